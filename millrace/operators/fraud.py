@@ -30,9 +30,13 @@ def rekey(df: DataFrame, column) -> DataFrame:
     return df.withColumn("key", F.col(column))
 
 
-def high_value_alerts(orders: DataFrame, threshold=HIGH_VALUE_ABOVE, amount="total_amount"):
-    """One alert per order strictly above the threshold. Narrow: no shuffle."""
+def high_value_alerts(
+    orders: DataFrame, threshold=HIGH_VALUE_ABOVE, amount="total_amount", keep=(),
+):
+    """One alert per order strictly above the threshold, with the columns to ``keep``.
+    Narrow: no shuffle."""
     return orders.where(money(amount) > F.lit(threshold)).select(
+        *keep,
         "trace_id",
         "order_id",
         "user_id",

@@ -14,7 +14,7 @@ def spark(tmp_path_factory):
         **{
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
-            "spark.driver.memory": "8g",
+            "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false",
             "spark.checkpoint.dir": shared,
         },
     )
