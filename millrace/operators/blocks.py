@@ -6,8 +6,8 @@ row per block carries the value from the blocks before, and an equi join on
 ``(key, block)`` puts the two together. Offsets are unique in a log partition, so no block
 holds more than ``rows`` of its rows, whatever the skew.
 
-Block zero is used for keys that are small enough to be one group (see ``hot_keys``).
-Null keys must be dropped by the caller.
+Keys small enough to be one group are not cut (see ``hot_keys``) and carry nothing. Null
+keys must be dropped by the caller.
 """
 
 from __future__ import annotations
@@ -37,22 +37,25 @@ def hot_keys(df: DataFrame, keys, rows=BLOCK_ROWS) -> DataFrame:
     return counted.where(F.col("_n") > rows).drop("_n")
 
 
-def with_blocks(df: DataFrame, keys, offset, rows=BLOCK_ROWS, split="hot") -> DataFrame:
-    """Add ``_block``. ``split="hot"`` cuts only the keys that need it; ``"all"`` cuts every
-    key and saves the counting pass, for keys known to be few and large."""
+def _cut(df, keys, offset, rows, split):
+    """Rows with their ``_block``, and those of them whose key has several blocks.
+
+    ``split="hot"`` cuts only the keys that need it; ``"all"`` cuts every key and saves the
+    counting pass, for keys known to be few and large.
+    """
     number = block_of(offset, rows)
     if split == "all":
-        return df.withColumn(BLOCK, number)
-    hot = hot_keys(df, keys, rows).withColumn("_hot", F.lit(True))
-    marked = df.join(F.broadcast(hot), list(keys), "left")
-    return marked.withColumn(
-        BLOCK, F.when(F.col("_hot"), number).otherwise(F.lit(0).cast("long"))
-    ).drop("_hot")
+        blocked = df.withColumn(BLOCK, number)
+        return blocked, blocked
+    hot = F.broadcast(hot_keys(df, keys, rows))
+    marked = df.join(hot.withColumn("_hot", F.lit(True)), list(keys), "left")
+    zero = F.lit(0).cast("long")
+    blocked = marked.withColumn(BLOCK, F.when(F.col("_hot"), number).otherwise(zero)).drop("_hot")
+    return blocked, df.join(hot, list(keys)).withColumn(BLOCK, number)
 
 
-def _carried(blocked, keys, part, fold, keep=None):
+def _carried(rows, keys, part, fold):
     """One row per block with the value folded over the blocks before it."""
-    rows = blocked if keep is None else blocked.where(keep)
     parts = rows.groupBy(*keys, BLOCK).agg(part.alias("_part"))
     before = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     return parts.select(*keys, BLOCK, fold(F.col("_part")).over(before).alias("_carry"))
@@ -76,8 +79,8 @@ def _attach(local, carried, keys, name, combine):
 
 def running_count(df, keys, offset, name, rows=BLOCK_ROWS, split="hot"):
     """Rows of the key up to and including this one, in offset order."""
-    blocked = with_blocks(df, keys, offset, rows, split)
-    carried = _carried(blocked, keys, F.count(F.lit(1)), F.sum)
+    blocked, cut = _cut(df, keys, offset, rows, split)
+    carried = _carried(cut, keys, F.count(F.lit(1)), F.sum)
     numbered = Window.partitionBy(*keys, BLOCK).orderBy(offset)
     local = blocked.withColumn("_local", F.row_number().over(numbered))
     return _attach(
@@ -87,8 +90,8 @@ def running_count(df, keys, offset, name, rows=BLOCK_ROWS, split="hot"):
 
 def running_max(df, keys, offset, value, name, rows=BLOCK_ROWS, split="hot"):
     """Largest ``value`` seen by the key up to and including this row."""
-    blocked = with_blocks(df, keys, offset, rows, split)
-    carried = _carried(blocked, keys, F.max(value), F.max)
+    blocked, cut = _cut(df, keys, offset, rows, split)
+    carried = _carried(cut, keys, F.max(value), F.max)
     local = blocked.withColumn("_local", F.max(value).over(_up_to_here(keys, [offset])))
     return _attach(local, carried, keys, name, F.greatest)
 
@@ -99,10 +102,10 @@ def fill_forward(df, keys, offset, value, name, tie=None, rows=BLOCK_ROWS, split
     ``tie`` orders rows that share an offset.
     """
     order = [offset] if tie is None else [offset, tie]
-    blocked = with_blocks(df, keys, offset, rows, split)
+    blocked, cut = _cut(df, keys, offset, rows, split)
     rank = F.struct(*order)
     carried = _carried(
-        blocked,
+        cut,
         keys,
         F.max_by(value, F.when(F.col(value).isNotNull(), rank)),
         lambda part: F.last(part, ignorenulls=True),

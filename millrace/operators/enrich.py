@@ -42,15 +42,20 @@ def enrich(
 
 
 def asof_enrich(
-    orders: DataFrame, changes: DataFrame, key="user_id", seq="offset", *, rows=BLOCK_ROWS,
+    orders: DataFrame, changes: DataFrame, key="user_id", seq="offset", *, before=None,
+    rows=BLOCK_ROWS,
 ):
     """Orders with the profile that was current when they arrived.
 
     Both logs carry ``seq``, the arrival order. An order sees the last change of its key
     at or before its own place; an order before the first change is dropped and never
     comes back; later changes touch later orders only. A change whose fields are all null
-    is a tombstone and clears the profile.
+    is a tombstone and clears the profile. ``before`` holds the profiles from before the
+    logs begin, one row per key, without ``seq``.
     """
+    if before is not None:
+        known = before.withColumn(seq, F.lit(-1).cast(changes.schema[seq].dataType))
+        changes = changes.unionByName(known)
     profile_columns = [c for c in changes.columns if c not in (key, seq)]
     order_columns = [c for c in orders.columns if c not in (key, seq)]
     profile = F.struct(*profile_columns)

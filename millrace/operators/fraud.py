@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.scalar import (
@@ -17,12 +17,12 @@ from millrace.functions.scalar import (
     velocity_order_id,
     velocity_score,
 )
-from millrace.operators.blocks import BLOCK, BLOCK_ROWS, block_of, running_count, running_max
+from millrace.operators.blocks import BLOCK_ROWS, all_of, running_count, running_max
 
 
 def drop_null_orders(df: DataFrame, *columns) -> DataFrame:
     """Records with a value in each of the given columns (default: the user)."""
-    return df.dropna(subset=list(columns) or ["user_id"])
+    return df.where(all_of([F.col(c).isNotNull() for c in columns or ("user_id",)]))
 
 
 def rekey(df: DataFrame, column) -> DataFrame:
@@ -72,40 +72,33 @@ def running_counts(
 
 def velocity_alerts(
     df: DataFrame, size=WINDOW_SIZE, threshold=VELOCITY_THRESHOLD, *, user="user_id",
-    ts="occurred_at", offset="offset", rows=BLOCK_ROWS,
+    ts="occurred_at", chunk=1 << 20,
 ):
     """One alert for each record that takes a user's window to ``threshold`` or beyond.
 
-    An alert holds the user, the window and the count, nothing of the record itself. So the
-    alerts follow from how many records each block of the log adds to a window: rows are
-    counted before the only large shuffle, and no row-level window is needed. The count
-    table is then spread by block, so a window with a third of all rows is written out by
-    many tasks.
+    An alert holds the user, the window and the running count, nothing of the record
+    itself. So the alerts of a window follow from its final count ``n``: one for each number
+    from the threshold to ``n``. Rows are counted before the only large shuffle, and no
+    row-level window is needed. Windows that qualify are cut into ranges of ``chunk``
+    numbers that are spread over all tasks, so a window with a third of all rows is not
+    written out by one of them.
     """
-    per_block = (
-        with_window(
-            drop_null_orders(df, user, ts).select(user, ts, block_of(offset, rows).alias(BLOCK)),
-            size,
-            ts,
-        )
-        .groupBy(user, "window_start", BLOCK)
-        .agg(F.count(F.lit(1)).alias("_here"))
-    )
-    upto = (
-        Window.partitionBy(user, "window_start")
-        .orderBy(BLOCK)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    totals = per_block.withColumn("_upto", F.sum("_here").over(upto)).where(
-        F.col("_upto") >= threshold
-    )
-    first = F.greatest(F.lit(threshold).cast("long"), F.col("_upto") - F.col("_here") + 1)
-    counts = totals.repartition(user, "window_start", BLOCK).select(
+    counts = window_counts(df, size, user=user, ts=ts).where(F.col("n") >= threshold)
+    low = F.lit(threshold).cast("long")
+    ranges = counts.select(
         F.col(user).alias("user_id"),
         "window_start",
-        F.explode(F.sequence(first, F.col("_upto"))).alias("n"),
+        F.col("n").alias("_last"),
+        F.explode(F.sequence(low, F.col("n"), F.lit(chunk).cast("long"))).alias("_from"),
+    )
+    # A fixed number of partitions: the ranges are tiny before they are written out, and
+    # adaptive execution would otherwise put them all into one task.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    upto = F.least(F.col("_last"), F.col("_from") + F.lit(chunk - 1))
+    numbers = ranges.repartition(tasks, "user_id", "window_start", "_from").select(
+        "user_id", "window_start", F.explode(F.sequence("_from", upto)).alias("n")
     )
-    return velocity_rows(counts)
+    return velocity_rows(numbers)
 
 
 def velocity_rows(counts: DataFrame) -> DataFrame:
@@ -121,12 +114,12 @@ def velocity_rows(counts: DataFrame) -> DataFrame:
 
 def fraud_alerts(
     orders: DataFrame, size=WINDOW_SIZE, threshold=HIGH_VALUE_ABOVE,
-    velocity_threshold=VELOCITY_THRESHOLD, rows=BLOCK_ROWS,
+    velocity_threshold=VELOCITY_THRESHOLD,
 ):
     """Both kinds of alert in one bag."""
     columns = ["order_id", "user_id", "reason", "score"]
     high = high_value_alerts(orders, threshold).select(columns)
-    fast = velocity_alerts(orders, size, velocity_threshold, rows=rows).select(columns)
+    fast = velocity_alerts(orders, size, velocity_threshold).select(columns)
     return high.unionByName(fast)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,96 +38,100 @@ def reserve_stock(lines: DataFrame, stock: DataFrame, seq=("offset", "line"), ro
     ``lines`` has ``sku``, ``quantity`` and the columns of ``seq``, a total order whose
     first column is the log offset; other columns are passed on.
 
-    Most lines are settled without folding: all lines of a SKU whose demand fits its stock
-    are reserved, and a line larger than the whole stock is rejected. The others are folded
-    in order in one pass over sorted partitions. A SKU with more than ``rows`` such lines
-    is cut into blocks and the stock at the start of each block is worked out first
-    (``_block_starts``), so its blocks are folded side by side like any other SKU.
+    Lines are shuffled once, by SKU. All lines of a SKU whose demand fits its stock are
+    reserved, and a line larger than the stock is rejected, by comparing columns; the rest
+    are folded in order while sorted partitions stream by. A SKU with more than ``rows``
+    lines is cut into blocks of the log, shuffled by block, and the stock each block starts
+    with is worked out first (``_block_starts``), so its blocks fold side by side.
     """
     seq = list(seq)
-    shelf = stock.select("sku", F.col("quantity").cast("long").alias("_stock"))
-    demand = lines.groupBy("sku").agg(F.sum("quantity").alias("_demand"))
-    plenty = shelf.join(demand, "sku", "left").select(
-        "sku", "_stock", (F.coalesce("_demand", F.lit(0)) <= F.col("_stock")).alias("_fits")
-    )
-    known = lines.join(plenty, "sku", "left")
-    simple = F.when(F.col("_stock").isNull() | (F.col("quantity") > F.col("_stock")), "REJECTED")
-    settled = known.withColumn("status", simple.when(F.col("_fits"), F.lit("RESERVED")))
-
-    contested = settled.where(F.col("status").isNull()).drop("status", "_fits")
-    hot = (
-        contested.groupBy("sku")
-        .agg(F.count(F.lit(1)).alias("_n"), F.first("_stock").alias("_stock"))
-        .where(F.col("_n") > rows)
-        .drop("_n")
+    demand = lines.groupBy("sku").agg(
+        F.sum("quantity").alias("_demand"), F.count(F.lit(1)).alias("_n")
     )
-    folded = _fold(_with_start(contested, hot, seq, rows), seq)
-    events = (
-        settled.where(F.col("status").isNotNull())
-        .select(*lines.columns, "status")
-        .unionByName(folded.select(*lines.columns, "status"))
+    shelf = stock.select("sku", F.col("quantity").cast("long").alias("_stock"))
+    fits = F.coalesce("_demand", F.lit(0)) <= F.col("_stock")
+    cold = shelf.join(demand.where(F.col("_n") <= rows), "sku").select(
+        "sku", F.lit(0).cast("long").alias(BLOCK), F.col("_stock").alias("_left"), fits.alias("_fits")
     )
+    # At most count / rows SKUs have more than ``rows`` lines, so they may be broadcast.
+    # Whether there is one is asked here: it decides the plan.
+    hot = demand.where(F.col("_n") > rows)
+    if hot.isEmpty():
+        cut = lines.withColumn(BLOCK, F.lit(0).cast("long"))
+        starts = cold
+    else:
+        hot = cut_lineage(
+            hot.join(shelf, "sku", "left").select("sku", "_stock", fits.alias("_hot_fits"))
+        )
+        names = F.broadcast(hot.select("sku", "_hot_fits", F.lit(True).alias("_hot")))
+        block = F.when(F.col("_hot"), block_of(seq[0], rows) + 1).otherwise(F.lit(0).cast("long"))
+        cut = lines.join(names, "sku", "left").withColumn(BLOCK, block).drop("_hot")
+        contested = hot.where(~F.col("_hot_fits")).select("sku", "_stock")
+        eligible = (
+            cut.join(F.broadcast(contested), "sku")
+            .where(F.col("quantity") <= F.col("_stock"))
+            .select("sku", "quantity", BLOCK, *seq)
+        )
+        starts = cold.unionByName(
+            _block_starts(eligible, contested, seq).select(
+                "sku", BLOCK, F.col("_start").alias("_left"), F.lit(False).alias("_fits")
+            )
+        )
+    keys = ["sku", BLOCK]
+    placed = cut.repartition(*keys).join(starts, keys, "left")
+    all_fit = F.coalesce("_hot_fits", "_fits") if "_hot_fits" in cut.columns else F.col("_fits")
+    never = F.col("_left").isNull() | (F.col("quantity") > F.col("_left"))
+    known = placed.withColumn(
+        "status", F.when(all_fit, F.lit("RESERVED")).when(never, F.lit("REJECTED"))
+    ).drop("_fits", "_hot_fits")
+    events = _fold(known.sortWithinPartitions(*keys, *seq)).select(*lines.columns, "status")
+    return events, stock_left(stock, events)
+
+
+def stock_left(stock: DataFrame, events: DataFrame) -> DataFrame:
+    """Stock after the reserved lines."""
     taken = (
         events.where(F.col("status") == "RESERVED")
         .groupBy("sku")
         .agg(F.sum("quantity").alias("_taken"))
     )
-    remaining = shelf.join(taken, "sku", "left").select(
-        "sku", (F.col("_stock") - F.coalesce("_taken", F.lit(0))).alias("quantity")
-    )
-    return events, remaining
+    left = F.col("quantity").cast("long") - F.coalesce("_taken", F.lit(0))
+    return stock.join(taken, "sku", "left").select("sku", left.alias("quantity"))
 
 
-def _with_start(contested, hot, seq, rows):
-    """Add ``_block`` and ``_left``, the stock when the block starts.
-
-    At most ``count / rows`` SKUs can be hot, so that table may be broadcast. Whether there
-    is one at all is asked up front: it decides the plan.
-    """
-    if hot.isEmpty():
-        return contested.withColumn(BLOCK, F.lit(0).cast("long")).withColumnRenamed(
-            "_stock", "_left"
-        )
-    hot = cut_lineage(hot)
-    names = F.broadcast(hot.select("sku", F.lit(True).alias("_hot")))
-    cut = contested.join(names, "sku", "left").withColumn(
-        BLOCK,
-        F.when(F.col("_hot"), block_of(seq[0], rows) + 1).otherwise(F.lit(0).cast("long")),
-    )
-    starts = _block_starts(cut.where(F.col("_hot")).select("sku", "quantity", BLOCK, *seq), hot, seq)
-    return (
-        cut.join(starts, ["sku", BLOCK], "left")
-        .withColumn("_left", F.coalesce("_start", "_stock"))
-        .drop("_hot", "_start", "_stock")
-    )
-
-
-def _fold(lines, seq):
-    """Fold each (sku, block) from ``_left`` in order; adds ``status``.
+def _fold(lines):
+    """Fold each (sku, block) from ``_left`` in order, where ``status`` is not known yet.
 
     Sorted partitions stream through in Arrow batches; what is left of the current group is
-    carried from batch to batch, so no group has to fit in memory.
+    carried from batch to batch, so no group has to fit in memory. Lines whose status is
+    known do not take part: they are either too large for the stock or belong to a SKU
+    nobody has to fold.
     """
 
     def run(batches):
         group, left = None, 0
-        for pdf in batches:
-            skus, blocks = pdf["sku"].tolist(), pdf[BLOCK].tolist()
-            wants, starts = pdf["quantity"].tolist(), pdf["_left"].tolist()
-            status = []
-            for here, want, start in zip(zip(skus, blocks), wants, starts):
-                if here != group:
-                    group, left = here, start
-                if want <= left:
-                    left -= want
-                    status.append("RESERVED")
-                else:
-                    status.append("REJECTED")
-            yield pdf.assign(status=status)
-
-    schema = lines.schema.add("status", "string")
-    ordered = lines.repartition("sku", BLOCK).sortWithinPartitions("sku", BLOCK, *seq)
-    return ordered.mapInPandas(run, schema)
+        for batch in batches:
+            status = batch.column("status")
+            open_rows = np.flatnonzero(status.is_null().to_numpy(zero_copy_only=False))
+            if len(open_rows):
+                part = batch.select(["sku", BLOCK, "quantity", "_left"]).take(pa.array(open_rows))
+                skus, blocks, wants, starts = (column.to_pylist() for column in part.columns)
+                found = []
+                for here, want, start in zip(zip(skus, blocks), wants, starts):
+                    if here != group:
+                        group, left = here, start
+                    if want <= left:
+                        left -= want
+                        found.append("RESERVED")
+                    else:
+                        found.append("REJECTED")
+                filled = status.to_numpy(zero_copy_only=False).copy()
+                filled[open_rows] = found
+                at = batch.schema.get_field_index("status")
+                batch = batch.set_column(at, "status", pa.array(filled, pa.string()))
+            yield batch
+
+    return lines.mapInArrow(run, lines.schema)
 
 
 def _level(stock):
@@ -178,7 +183,9 @@ def _block_starts(lines, hot, seq):
     log is; in practice a stock runs out within one or two blocks.
     """
     blocks = cut_lineage(_summaries(lines, seq))
-    pending = hot.select("sku", F.col("_stock").alias("_now"), F.lit(-1).cast("long").alias("_from"))
+    pending = hot.select(
+        "sku", F.col("_stock").alias("_now"), F.lit(-1).cast("long").alias("_from")
+    )
     order = Window.partitionBy("sku").orderBy(BLOCK)
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("sku")
@@ -188,7 +195,9 @@ def _block_starts(lines, hot, seq):
         level = _level(F.col("_now"))
         small = F.element_at("_small", level + 1)
         need = F.element_at("_need", level + 1)
-        walked = ahead.select("sku", BLOCK, "_now", level.alias("_level"), small.alias("_uses"), need.alias("_needs"))
+        walked = ahead.select(
+            "sku", BLOCK, "_now", level.alias("_level"), small.alias("_uses"), need.alias("_needs")
+        )
         walked = walked.withColumn(
             "_start", F.col("_now") - F.coalesce(F.sum("_uses").over(before), F.lit(0))
         )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.scalar import col, default_currency, has_text, order_total
+from millrace.operators.blocks import all_of
 
 # Fixed value: the shape of an e-mail address, local part, at sign, domain.
 EMAIL = r"^[^\s@]+@[^\s@.]+(\.[^\s@.]+)*$"
@@ -99,6 +100,5 @@ def with_reasons(df: DataFrame, rules) -> DataFrame:
 
 def validate(df: DataFrame, rules):
     """Rows that meet every rule, and the others with their ``reasons``."""
-    checked = with_reasons(df, rules)
-    valid = checked.where(F.size("reasons") == 0).drop("reasons")
-    return valid, checked.where(F.size("reasons") > 0)
+    meets_all = all_of([holds for _, holds in rules])
+    return df.where(meets_all), with_reasons(df.where(~meets_all), rules)

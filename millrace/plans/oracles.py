@@ -434,6 +434,7 @@ ORACLES["stream_dedup"] = """
   UNION ALL
   SELECT user_id || '|' || event_type, NULL FROM events WHERE event_type = 'view'"""
 ORACLES["stream_enrich"] = ORACLES["asof_enriched"]
+ORACLES["stream_enrich_keyed"] = ORACLES["asof_enriched"]
 ORACLES["stream_reserve"] = ORACLES["reserve_stock"]
 ORACLES["stream_payments"] = ORACLES["payments"]
 ORACLES["stream_upsert"] = f"""

@@ -25,7 +25,7 @@ from millrace.streaming import jobs
 from millrace.streaming.dedup import stream_dedup as dedup_stream
 from millrace.streaming.fraud import stream_velocity as velocity_stream
 from millrace.streaming.keyed import enrich_log
-from millrace.streaming.keyed import stream_reserve as reserve_stream
+from millrace.streaming.tables import enrich_writer, reserve_writer
 
 QUERIES = {}
 
@@ -571,14 +571,13 @@ def stream_dedup(spark, sf_dir):
     return read_batches(spark, written).select("channel", "event_id")
 
 
-@query
-def stream_enrich(spark, sf_dir):
-    events = inputs.shape_events(table_stream(spark, sf_dir, "events.parquet"))
+def _purchases_and_signups(spark, sf_dir, **options):
+    events = inputs.shape_events(table_stream(spark, sf_dir, "events.parquet", **options))
     text = F.concat(
         F.lit("user-"), F.col("user_id").cast("string"), F.lit("-v"), F.col("offset").cast("string")
     )
     change = F.col("event_type") == "signup"
-    log = events.where(F.col("event_type").isin("signup", "purchase")).select(
+    return events.where(F.col("event_type").isin("signup", "purchase")).select(
         "user_id",
         "offset",
         F.when(change, 0).otherwise(1).alias("log_side"),
@@ -586,17 +585,35 @@ def stream_enrich(spark, sf_dir):
         F.when(change, F.concat(text, F.lit("@example.com"))).alias("email"),
         money("value").alias("total_amount"),
     )
+
+
+@query
+def stream_enrich(spark, sf_dir):
+    """Profile at arrival, with the profiles in a versioned table."""
+    folder = job_dir(spark, "enrich")
+    writer = enrich_writer(folder, fields=["name", "email"])
+    log = _purchases_and_signups(spark, sf_dir)
+    jobs.start(log, writer, f"{folder}/checkpoint").awaitTermination()
+    return read_batches(spark, f"{folder}/orders").drop("batch_id")
+
+
+@query
+def stream_enrich_keyed(spark, sf_dir):
+    """Profile at arrival, with the profiles in per-key state and small micro-batches."""
+    log = _purchases_and_signups(spark, sf_dir, max_bytes=1 << 30)
     joined = enrich_log(log, "user_id", "offset", ["name", "email"], ["total_amount"])
-    written = jobs.run_to_table(joined, job_dir(spark, "enrich"))
+    written = jobs.run_to_table(joined, job_dir(spark, "enrich-keyed"))
     return read_batches(spark, written).drop("batch_id")
 
 
 @query
 def stream_reserve(spark, sf_dir):
     lines = inputs.shape_lines(table_stream(spark, sf_dir, "lineitem.parquet"))
-    events = reserve_stream(lines, inputs.stock(spark, sf_dir), inputs.LINE_ORDER)
-    written = jobs.run_to_table(events, job_dir(spark, "reserve"))
-    return read_batches(spark, written).select("offset", "line", "sku", "quantity", "status")
+    folder = job_dir(spark, "reserve")
+    writer = reserve_writer(folder, inputs.stock(spark, sf_dir), inputs.LINE_ORDER)
+    jobs.start(lines, writer, f"{folder}/checkpoint").awaitTermination()
+    events = read_batches(spark, f"{folder}/events")
+    return events.select("offset", "line", "sku", "quantity", "status")
 
 
 @query

@@ -36,10 +36,17 @@ def read_topic(
     return reader.format(file_format).load(path).where(F.col("topic") == topic)
 
 
-def table_stream(spark: SparkSession, folder: str, table: str, max_files=None) -> DataFrame:
-    """A table's files as a stream; ``table`` is a file name pattern in ``folder``."""
+def table_stream(
+    spark: SparkSession, folder: str, table: str, *, max_files=None, max_bytes=None,
+) -> DataFrame:
+    """A table's files as a stream; ``table`` is a file name pattern in ``folder``.
+
+    ``max_files`` or ``max_bytes`` caps a micro-batch.
+    """
     schema = spark.read.option("pathGlobFilter", table).parquet(folder).schema
     reader = spark.readStream.schema(schema).option("pathGlobFilter", table)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     return reader.parquet(folder)

@@ -1,12 +1,14 @@
-"""Per-key state in arrival order: profile at arrival, stock reservation.
+"""Profile at arrival with per-key state, for low latency.
 
-Spark hands a key's rows of one micro-batch over in no given order, so they are sorted by
-arrival first. That holds one key's share of one micro-batch in memory: cap micro-batches
-(``max_per_trigger``) to bound it. Across micro-batches only the key's state is kept.
+Only users in a micro-batch are touched. Spark hands a key's rows over in no given order,
+so they are sorted by arrival first: one key's share of one micro-batch is held in memory,
+which the cap on micro-batches (``max_per_trigger``, ``max_bytes``) bounds. To work through
+a large backlog use ``enrich_writer``, which has no such limit.
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,8 +16,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
 
 
-def _in_order(rows, order):
-    return pd.concat(list(rows), ignore_index=True).sort_values(order, kind="stable")
+def _in_order(rows, major, minor):
+    chunks = list(rows)
+    pdf = chunks[0] if len(chunks) == 1 else pd.concat(chunks, ignore_index=True)
+    return pdf.take(np.lexsort((pdf[minor].to_numpy(), pdf[major].to_numpy())))
 
 
 def stream_asof_enrich(orders: DataFrame, changes: DataFrame, key="user_id", seq="offset"):
@@ -58,73 +62,27 @@ class ProfileAtArrival(StatefulProcessor):
         self.profile = handle.getValueState("profile", columns)
 
     def handleInputRows(self, key, rows, timerValues):
-        pdf = _in_order(rows, [self.seq, "log_side"])
+        pdf = _in_order(rows, self.seq, "log_side")
         known = self.profile.get() if self.profile.exists() else (None,) * len(self.fields)
-        is_change = (pdf["log_side"] == 0).to_numpy()
+        is_change = pdf["log_side"].to_numpy() == 0
         # Number of changes at or before each row; zero is the profile carried in.
         at = is_change.cumsum()
-        profiles = [known, *pdf.loc[is_change, self.fields].itertuples(index=False, name=None)]
-        profiles = [tuple(None if pd.isna(v) else v for v in p) for p in profiles]
-        last = profiles[-1]
-        if all(v is None for v in last):
-            self.profile.clear()
-        else:
-            self.profile.update(last)
-        alive = [any(v is not None for v in p) for p in profiles]
-        keep = [not change and alive[n] for change, n in zip(is_change, at)]
-        if any(keep):
-            out = pdf.loc[keep, [self.seq, *self.carried]].copy()
-            out.insert(0, self.key, key[0])
-            chosen = [profiles[n] for n, kept in zip(at, keep) if kept]
-            for i, field in enumerate(self.fields):
-                out[self.names.get(field, field)] = [p[i] for p in chosen]
-            yield out
-
-    def close(self):
-        pass
-
-
-def stream_reserve(lines: DataFrame, stock: DataFrame, seq=("offset", "line")) -> DataFrame:
-    """Reserve lines of a stream in log order; see ``reserve_stock``.
-
-    ``stock`` (a table) is what each SKU starts with; afterwards its state is what is left.
-    """
-    kinds = {f.name: f.dataType for f in lines.schema.fields}
-    schema = T.StructType(
-        [T.StructField(c, kinds[c]) for c in lines.columns]
-        + [T.StructField("status", T.StringType())]
-    )
-    start = stock.select("sku", F.col("quantity").cast("long").alias("quantity")).groupBy("sku")
-    return lines.groupBy("sku").transformWithStateInPandas(
-        Shelf(list(seq)), schema, "append", "none", initialState=start
-    )
-
-
-class Shelf(StatefulProcessor):
-    """Keeps what is left of a SKU."""
-
-    def __init__(self, seq):
-        self.seq = seq
-
-    def init(self, handle):
-        self.left = handle.getValueState("left", "quantity long")
-
-    def handleInitialState(self, key, initialState, timerValues):
-        self.left.update((int(initialState["quantity"].sum()),))
-
-    def handleInputRows(self, key, rows, timerValues):
-        pdf = _in_order(rows, self.seq)
-        left = self.left.get()[0] if self.left.exists() else -1
-        status = []
-        for want in pdf["quantity"].tolist():
-            if want <= left:
-                left -= want
-                status.append("RESERVED")
+        changes = zip(*[pdf[f].to_numpy()[is_change] for f in self.fields])
+        profiles = [known, *(tuple(None if v != v else v for v in p) for p in changes)]
+        if is_change.any():
+            if any(v is not None for v in profiles[-1]):
+                self.profile.update(profiles[-1])
             else:
-                status.append("REJECTED")
-        if left >= 0:
-            self.left.update((left,))
-        yield pdf.assign(status=status)
+                self.profile.clear()
+        alive = np.array([any(v is not None for v in p) for p in profiles])
+        keep = ~is_change & alive[at]
+        if keep.any():
+            chosen = at[keep]
+            out = {self.key: key[0], self.seq: pdf[self.seq].to_numpy()[keep]}
+            out |= {c: pdf[c].to_numpy()[keep] for c in self.carried}
+            for i, field in enumerate(self.fields):
+                out[self.names.get(field, field)] = [profiles[n][i] for n in chosen]
+            yield pd.DataFrame(out)
 
     def close(self):
         pass
