@@ -190,7 +190,7 @@ def _block_starts(lines, hot, seq):
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("sku")
     found = None
-    while not pending.isEmpty():
+    while found is None or not pending.isEmpty():
         ahead = blocks.join(F.broadcast(pending), "sku").where(F.col(BLOCK) > F.col("_from"))
         level = _level(F.col("_now"))
         small = F.element_at("_small", level + 1)

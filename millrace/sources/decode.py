@@ -24,7 +24,7 @@ def decode_json(log: DataFrame, schema: T.StructType, *, value="value", into="ev
     its ``allowed`` values leaves ``into`` null and says why in ``error``.
     """
     text = F.when(F.length(_text(value)) > 0, _text(value))
-    wide = schema.add(T.StructField(_CORRUPT, T.StringType()))
+    wide = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     parsed = log.withColumn("_parsed", F.from_json(text, wide, options))
     problem = F.when(F.col(f"_parsed.{_CORRUPT}").isNotNull(), F.lit("malformed"))

@@ -63,3 +63,14 @@ def test_restock_adds_and_creates(spark):
     more = spark.createDataFrame([("a", 2), ("b", 5), ("c", 0)], "sku string, quantity int")
     got = {r.sku: r.quantity for r in restock(stock, more).collect()}
     assert got == {"a": 3, "b": 5}
+
+
+def test_hot_skus_nobody_has_to_fold(spark):
+    """Many lines, but either enough stock for all, none at all, or an unknown SKU."""
+    lines = [(sku, i, 0, 2) for i in range(50) for sku in ("plenty", "empty", "absent")]
+    stock = [("plenty", 1000), ("empty", 0)]
+    expected = fold(lines, stock)
+    assert run(spark, lines, stock, rows=10) == expected
+    assert run(spark, [r for r in lines if r[0] != "empty"], stock, rows=10) == fold(
+        [r for r in lines if r[0] != "empty"], stock
+    )
