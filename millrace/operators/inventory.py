@@ -16,6 +16,16 @@ FOLD_ROWS = 1 << 20
 
 _NEVER = 1 << 62
 
+# What a new shop starts with.
+SEEDS = {"SKU-1": 100, "SKU-LOAD": 1000}
+
+
+def seed_stock(stock: DataFrame, seeds=None) -> DataFrame:
+    """Stock with a row for each seeded SKU that has none yet."""
+    rows = list((SEEDS if seeds is None else seeds).items())
+    start = stock.sparkSession.createDataFrame(rows, "sku string, quantity int")
+    return stock.select("sku", "quantity").unionByName(start.join(stock, "sku", "left_anti"))
+
 
 def restock(stock: DataFrame, additions: DataFrame) -> DataFrame:
     """Stock after the additions (at least one piece each); new SKUs get a row."""
@@ -36,7 +46,8 @@ def reserve_stock(lines: DataFrame, stock: DataFrame, seq=("offset", "line"), ro
     touch the others. Unknown SKUs are rejected. Returns ``(events, remaining)``.
 
     ``lines`` has ``sku``, ``quantity`` and the columns of ``seq``, a total order whose
-    first column is the log offset; other columns are passed on.
+    first column is the log offset (of an order: a block holds ``rows`` orders at most);
+    other columns are passed on.
 
     Lines are shuffled once, by SKU. All lines of a SKU whose demand fits its stock are
     reserved, and a line larger than the stock is rejected, by comparing columns; the rest
@@ -45,8 +56,11 @@ def reserve_stock(lines: DataFrame, stock: DataFrame, seq=("offset", "line"), ro
     with is worked out first (``_block_starts``), so its blocks fold side by side.
     """
     seq = list(seq)
-    demand = lines.groupBy("sku").agg(
-        F.sum("quantity").alias("_demand"), F.count(F.lit(1)).alias("_n")
+    # One row per SKU, kept: it is used three times and takes a pass over the lines.
+    demand = cut_lineage(
+        lines.groupBy("sku").agg(
+            F.sum("quantity").alias("_demand"), F.count(F.lit(1)).alias("_n")
+        )
     )
     shelf = stock.select("sku", F.col("quantity").cast("long").alias("_stock"))
     fits = F.coalesce("_demand", F.lit(0)) <= F.col("_stock")

@@ -423,6 +423,22 @@ ORACLES["topic_rows"] = f"""
          'fraud-alerts' AS topic, trace_id AS trace
   FROM orders_log WHERE total_amount > 10000"""
 
+ORACLES["alert_events"] = f"""
+  WITH {ORDERS}, named AS (
+    SELECT *, md5('HIGH_VALUE|' || order_id) AS h FROM orders_log WHERE total_amount > 10000)
+  SELECT substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' ||
+         substr(h, 17, 4) || '-' || substr(h, 21, 12) AS event_id,
+         occurred_at, trace_id, order_id, user_id, 'HIGH_VALUE' AS reason, 1.0::DOUBLE AS score
+  FROM named"""
+ORACLES["dead_letters"] = f"""
+  WITH {_VALUES}
+  SELECT CAST(user_id AS VARCHAR) AS key, v AS value, 'orders-dlq' AS topic,
+         CAST(user_id % 6 AS INTEGER) AS "partition", event_id AS "offset",
+         CASE WHEN NOT json_valid(v) OR json_type(v, '$.k') = 'VARCHAR' THEN 'malformed'
+              ELSE 'k is missing' END AS error, 1 AS attempts
+  FROM values
+  WHERE v <> '' AND (NOT json_valid(v) OR json_extract(v, '$.k') IS NULL
+                     OR json_type(v, '$.k') = 'VARCHAR')"""
 ORACLES["stream_velocity"] = f"""
   WITH {EVENTS}, last AS (
     SELECT *, max(n) OVER (PARTITION BY order_id) AS top FROM ({velocity('events_log', 86400)}))
@@ -433,6 +449,12 @@ ORACLES["stream_dedup"] = """
          strftime(ts, '%Y-%m-%d %H') AS event_id FROM events WHERE event_type <> 'view'
   UNION ALL
   SELECT user_id || '|' || event_type, NULL FROM events WHERE event_type = 'view'"""
+ORACLES["stream_dedup_table"] = """
+  SELECT user_id || '|' || event_type AS channel, strftime(ts, '%Y-%m-%d %H') AS event_id,
+         min(event_id) AS "offset"
+  FROM events e WHERE event_type <> 'view' GROUP BY 1, 2
+  UNION ALL
+  SELECT user_id || '|' || event_type, NULL, event_id FROM events WHERE event_type = 'view'"""
 ORACLES["stream_enrich"] = ORACLES["asof_enriched"]
 ORACLES["stream_enrich_keyed"] = ORACLES["asof_enriched"]
 ORACLES["stream_reserve"] = ORACLES["reserve_stock"]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.envelope import with_envelope
 from millrace.functions.scalar import first_non_blank, money
 from millrace.functions.trace import with_trace_id
 from millrace.operators import dedup, enrich, fraud, inventory, lag, notify, orders as intake
@@ -25,7 +26,7 @@ from millrace.streaming import jobs
 from millrace.streaming.dedup import stream_dedup as dedup_stream
 from millrace.streaming.fraud import stream_velocity as velocity_stream
 from millrace.streaming.keyed import enrich_log
-from millrace.streaming.tables import enrich_writer, reserve_writer
+from millrace.streaming.tables import dedup_writer, enrich_writer, reserve_writer
 
 QUERIES = {}
 
@@ -535,6 +536,25 @@ def topic_rows(spark, sf_dir):
     )
 
 
+@query
+def alert_events(spark, sf_dir):
+    """High-value alerts as complete events, named by what they are about."""
+    alerts = fraud.high_value_alerts(inputs.orders_log(spark, sf_dir), keep=("occurred_at",))
+    return with_envelope(alerts, "reason", "order_id", occurred_at="occurred_at")
+
+
+@query
+def dead_letters(spark, sf_dir):
+    """What cannot be decoded, as records of the dead-letter topic."""
+    schema = T.StructType([T.StructField("k", T.IntegerType())])
+    log = inputs.topic_log(spark, sf_dir)
+    _, dead = decode.quarantine(decode.decode_json(log, schema, required=("k",)))
+    return dead.select(
+        F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
+        F.lit("orders-dlq").alias("topic"), "partition", "offset", "error", "attempts",
+    )
+
+
 # Streams: the table's files as a stream, into a table of the job's own
 
 
@@ -556,18 +576,24 @@ def stream_velocity_per_record(spark, sf_dir):
     return read_batches(spark, written).drop("batch_id")
 
 
-@query
-def stream_dedup(spark, sf_dir):
-    """One record per user, kind and hour."""
-    events = inputs.shape_events(table_stream(spark, sf_dir, "events.parquet"))
-    keyed = events.select(
+def _hourly(events):
+    """One key per user, kind and hour; views have none."""
+    return events.select(
         F.when(
             F.col("event_type") != "view", F.date_format("occurred_at", "yyyy-MM-dd HH")
         ).alias("event_id"),
         F.concat_ws("|", F.col("user_id").cast("string"), "event_type").alias("channel"),
         "occurred_at",
+        "offset",
     )
-    written = jobs.run_to_table(dedup_stream(keyed, horizon="60 days"), job_dir(spark, "dedup"))
+
+
+@query
+def stream_dedup(spark, sf_dir):
+    """One record per key; which of the copies is not settled by a stream."""
+    events = inputs.shape_events(table_stream(spark, sf_dir, "events.parquet"))
+    kept = dedup_stream(_hourly(events), horizon="60 days")
+    written = jobs.run_to_table(kept, job_dir(spark, "dedup"))
     return read_batches(spark, written).select("channel", "event_id")
 
 
@@ -587,6 +613,16 @@ def _purchases_and_signups(spark, sf_dir, **options):
     )
 
 
+@query
+def stream_dedup_table(spark, sf_dir):
+    """The same against the table written so far."""
+    events = inputs.shape_events(table_stream(spark, sf_dir, "events.parquet"))
+    folder = job_dir(spark, "dedup-table")
+    writer = dedup_writer(f"{folder}/table", horizon="60 days")
+    jobs.start(_hourly(events), writer, f"{folder}/checkpoint").awaitTermination()
+    return read_batches(spark, f"{folder}/table").select("channel", "event_id", "offset")
+
+
 @query
 def stream_enrich(spark, sf_dir):
     """Profile at arrival, with the profiles in a versioned table."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.operators.dedup import first_per_key
 from millrace.operators.tables import upsert
@@ -29,7 +30,9 @@ def exactly_once_writer(path: str, transform=None, after_write=None):
 
 def read_batches(spark: SparkSession, path: str, schema=None) -> DataFrame:
     """All rows written so far, with the ``batch_id`` they came in."""
-    reader = spark.read if schema is None else spark.read.schema(f"{schema}, batch_id long")
+    reader = spark.read
+    if schema is not None:
+        reader = reader.schema(T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())]))
     return reader.option("basePath", path).parquet(path)
 
 

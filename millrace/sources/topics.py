@@ -29,11 +29,12 @@ def read_topic(
         }
         if streaming and max_per_trigger:
             options["maxOffsetsPerTrigger"] = str(max_per_trigger)
-        return reader.format("kafka").options(**options).load()
+        return reader.format("kafka").options(**options).load().select(*TOPIC_LOG.fieldNames())
     reader = reader.schema(TOPIC_LOG)
     if streaming and max_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_per_trigger)
-    return reader.format(file_format).load(path).where(F.col("topic") == topic)
+    log = reader.format(file_format).load(path).where(F.col("topic") == topic)
+    return log.select(*TOPIC_LOG.fieldNames())
 
 
 def table_stream(

@@ -12,10 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.blocks import all_of
+from millrace.operators.dedup import first_per_key
 from millrace.operators.enrich import asof_enrich
 from millrace.operators.inventory import FOLD_ROWS, reserve_stock, stock_left
 from millrace.operators.tables import upsert
-from millrace.sinks.tables import read_table
+from millrace.sinks.tables import read_batches, read_table
 
 
 def reserve_writer(folder: str, stock: DataFrame, seq=("offset", "line"), rows=FOLD_ROWS):
@@ -60,3 +62,30 @@ def enrich_writer(folder: str, key="user_id", seq="offset", *, fields, side="log
         ).parquet(f"{folder}/profiles/version={batch_id}")
 
     return write
+
+
+def dedup_writer(path: str, keys=("channel", "event_id"), order=("offset",), *,
+                 ts="occurred_at", horizon="1 day"):
+    """Write the first record per key; records with a null in the key all pass.
+
+    The output is its own memory: a key is new if no earlier batch wrote it within
+    ``horizon`` of event time before the oldest record of this batch. Copies inside a batch
+    collapse before the shuffle, so one key may fill a third of it.
+    """
+    keys = list(keys)
+
+    def write(batch: DataFrame, batch_id: int):
+        spark = batch.sparkSession
+        known = all_of([F.col(k).isNotNull() for k in keys])
+        once = first_per_key(batch.where(known), keys, list(order)).select(*batch.columns)
+        if batch_id > 0:
+            oldest = batch.agg(F.min(ts)).first()[0]
+            recent = (F.col("batch_id") < batch_id) & (
+                F.col(ts) >= F.lit(oldest) - F.expr(f"INTERVAL {horizon}")
+            )
+            written = read_batches(spark, path, batch.drop("batch_id").schema)
+            once = once.join(written.where(recent).select(*keys), keys, "left_anti")
+        rows = once.select(*batch.columns).unionByName(batch.where(~known))
+        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return write

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from millrace.operators.inventory import reserve_stock, restock
+from millrace.operators.inventory import reserve_stock, restock, seed_stock
 
 
 def fold(lines, stock):
@@ -74,3 +74,8 @@ def test_hot_skus_nobody_has_to_fold(spark):
     assert run(spark, [r for r in lines if r[0] != "empty"], stock, rows=10) == fold(
         [r for r in lines if r[0] != "empty"], stock
     )
+
+
+def test_seeding_keeps_what_is_there(spark):
+    stock = spark.createDataFrame([("SKU-1", 7)], "sku string, quantity int")
+    assert {r.sku: r.quantity for r in seed_stock(stock).collect()} == {"SKU-1": 7, "SKU-LOAD": 1000}

@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace import schemas
+from millrace.functions.envelope import with_envelope
 from millrace.functions.scalar import default_currency, first_non_blank, order_total
 from millrace.functions.trace import with_trace_id
 from millrace.operators import orders as intake
-from millrace.sinks.logs import to_topic_rows, write_topic
+from millrace.sinks.logs import stream_topic, to_topic_rows, write_topic
 from millrace.sources import cdc, decode
+from millrace.sources.avro import decode_text_record
 from millrace.sources.infer import infer_fields, infer_flatten
 from millrace.sources.topics import read_topic
 
@@ -205,3 +207,63 @@ def test_validation(spark):
     assert [r.reasons for r in intake.with_reasons(odd, extra).collect()] == [
         ["n is below 1", "s is unknown"], ["n is null"],
     ]
+
+
+def avro(*texts):
+    """A record body: text fields, then for a fourth field the branch of its union."""
+    out = b""
+    for i, text in enumerate(texts):
+        if i == 3:
+            out += bytes([0 if text is None else 2])
+            if text is None:
+                continue
+        data = text.encode()
+        size, head = len(data) << 1, b""
+        while size >= 0x80:
+            head += bytes([size & 0x7F | 0x80])
+            size >>= 7
+        out += head + bytes([size]) + data
+    return out
+
+
+def test_profile_bodies(spark):
+    long = "é" * 9000
+    bodies = [avro("ada", "Ada", "a@b"), avro("", long, "x"), b"\x08ad", None]
+    frame = spark.createDataFrame(
+        [(i, None if b is None else bytearray(b)) for i, b in enumerate(bodies)], "id int, body binary"
+    )
+    rows = decode_text_record(frame, schemas.USER_PROFILE_V1).orderBy("id").collect()
+    assert tuple(rows[0].event) == ("ada", "Ada", "a@b") and rows[1].event.name == long
+    assert rows[2].event is None and rows[3].event is None
+    second = spark.createDataFrame(
+        [(bytearray(avro("a", "b", "c", "d")),), (bytearray(avro("a", "b", "c", None)),)], "body binary"
+    )
+    got = decode_text_record(second, schemas.USER_PROFILE_V2).select("event.*")
+    assert [r.phone for r in got.collect()] == ["d", None]
+
+
+def test_envelope_is_the_same_in_every_attempt(spark):
+    alerts = spark.createDataFrame(
+        [("o1", "HIGH_VALUE", "t"), ("o2", "HIGH_VALUE", None)], "order_id string, reason string, trace_id string"
+    )
+    at = F.lit(datetime(2026, 1, 1))
+    first, again = (
+        with_envelope(alerts, "reason", "order_id", occurred_at=at).collect() for _ in range(2)
+    )
+    assert first == again and len({r.event_id for r in first}) == 2
+    assert first[0].trace_id == "t" and first[1].trace_id == first[1].event_id
+    assert list(first[0].asDict()) == ["event_id", "occurred_at", "trace_id", "order_id", "reason"]
+    assert len(first[0].event_id) == 36
+
+
+def test_stream_to_a_topic_folder(spark, tmp_path):
+    spark.range(3).selectExpr("cast(id AS string) AS user_id", "id AS n").write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("user_id string, n long").parquet(str(tmp_path / "in"))
+    query = stream_topic(
+        to_topic_rows(stream, "user_id", "orders"), str(tmp_path / "check"), path=str(tmp_path / "log")
+    )
+    query.awaitTermination()
+    back = read_topic(spark, "orders", path=str(tmp_path / "log"))
+    assert sorted(bytes(r.key) for r in back.collect()) == [b"0", b"1", b"2"]
+    again = read_topic(spark, "orders", streaming=True, max_per_trigger=1, path=str(tmp_path / "log"))
+    assert again.isStreaming and again.columns == back.columns

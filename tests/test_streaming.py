@@ -16,7 +16,7 @@ from millrace.streaming import jobs
 from millrace.streaming.dedup import stream_dedup
 from millrace.streaming.fraud import stream_high_value, stream_velocity, stream_window_counts
 from millrace.streaming.keyed import stream_asof_enrich
-from millrace.streaming.tables import enrich_writer, reserve_writer
+from millrace.streaming.tables import dedup_writer, enrich_writer, reserve_writer
 
 START = datetime(2026, 1, 1)
 ORDERS = "order_id string, user_id string, occurred_at timestamp_ntz, offset long"
@@ -240,6 +240,27 @@ def test_stream_dedup(spark, tmp_path):
     assert got == [("e", ""), ("e", ""), ("e", "1"), ("e", "2"), ("s", "1")]
 
 
+def test_dedup_against_earlier_batches(spark, tmp_path):
+    """Half of all records are copies of one."""
+    schema = "channel string, event_id string, occurred_at timestamp_ntz, offset long"
+    log = Log(spark, tmp_path / "e", schema)
+    expected, offset = set(), 0
+    for batch in range(3):
+        rows = []
+        for i in range(40):
+            event = "hot" if i % 2 else f"{batch}-{i % 7}" if i % 3 else None
+            expected.add(event)
+            rows.append(("e", event, START + timedelta(seconds=offset), offset))
+            offset += 1
+        log.add(rows)
+    path = str(tmp_path / "out")
+    jobs.start(log.stream(), dedup_writer(path), str(tmp_path / "c")).awaitTermination()
+    got = [r.event_id for r in sinks.read_batches(spark, path).collect()]
+    nulls = log.table().where("event_id IS NULL").count()
+    assert sorted(e for e in got if e) == sorted(e for e in expected if e)
+    assert got.count(None) == nulls and nulls > 0
+
+
 UPDATES = "id string, at long, a string, b string"
 
 
