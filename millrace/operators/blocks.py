@@ -37,6 +37,22 @@ def hot_keys(df: DataFrame, keys, rows=BLOCK_ROWS) -> DataFrame:
     return counted.where(F.col("_n") > rows).drop("_n")
 
 
+def join_skewed(df: DataFrame, table: DataFrame, keys, how="inner", rows=BLOCK_ROWS):
+    """Join rows with a table of one row per key (``how``: inner, left, left_semi, left_anti).
+
+    Rows of hot keys do not move: the table's rows for those keys, as few as there are hot
+    keys, are broadcast to them. All others are joined by key. Spark's own handling of a
+    skewed join needs both sides straight from a shuffle, which an aggregated table is not.
+    Without a hot key the first branch is empty and adaptive execution leaves it out.
+    """
+    keys = list(keys)
+    hot = F.broadcast(hot_keys(df, keys, rows))
+    common = df.join(hot, keys, "left_semi")
+    rare = df.join(hot, keys, "left_anti")
+    few = F.broadcast(table.join(hot, keys, "left_semi"))
+    return common.join(few, keys, how).unionByName(rare.join(table, keys, how))
+
+
 def _cut(df, keys, offset, rows, split):
     """Rows with their ``_block``, and those of them whose key has several blocks.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.blocks import all_of
+from millrace.operators.blocks import BLOCK_ROWS, all_of, join_skewed
 
 
 def first_per_key(df: DataFrame, keys, order) -> DataFrame:
@@ -18,7 +18,7 @@ def first_per_key(df: DataFrame, keys, order) -> DataFrame:
 
 def dedup_first(
     submissions: DataFrame, key="idempotency_key", order="offset", order_id="order_id",
-    failed=None,
+    failed=None, rows=BLOCK_ROWS,
 ):
     """Every submission with the order id its key stands for, and whether it was taken.
 
@@ -26,14 +26,14 @@ def dedup_first(
     A submission whose send ``failed`` (a condition) frees the key for the next one; it
     answers with its own order id unless the key was already held. Keys must not be null.
 
-    The winners are one row per key, found with partial aggregation; Spark splits a skewed
-    key when joining them back.
+    The winners are one row per key, found with partial aggregation; submissions of a hot
+    key stay where they are and have its winner sent to them.
     """
     sent = submissions if failed is None else submissions.where(~failed)
     winners = sent.groupBy(key).agg(
         F.min_by(order_id, order).alias("canonical_order_id"), F.min(order).alias("_won_at")
     )
-    answered = submissions.join(winners, key, "left")
+    answered = join_skewed(submissions, winners, [key], "left", rows)
     held = F.col("_won_at") <= F.col(order)
     return answered.select(
         *submissions.columns,
@@ -44,9 +44,11 @@ def dedup_first(
     )
 
 
-def skip_processed(df: DataFrame, ledger: DataFrame, keys=("partition", "offset")):
+def skip_processed(
+    df: DataFrame, ledger: DataFrame, keys=("partition", "offset"), rows=BLOCK_ROWS,
+):
     """Records whose log coordinate is not in the ledger yet."""
-    return df.join(ledger.select(*keys), list(keys), "left_anti")
+    return join_skewed(df, ledger.select(*keys), keys, "left_anti", rows)
 
 
 def ledger_dedup(df: DataFrame, ledger: DataFrame, keys=("partition", "offset")):
@@ -60,7 +62,7 @@ def ledger_dedup(df: DataFrame, ledger: DataFrame, keys=("partition", "offset"))
         if rest
         else df.select(*keys).distinct()
     )
-    return skip_processed(once, ledger, keys)
+    return once.join(ledger.select(*keys), list(keys), "left_anti")
 
 
 def ledger_rows(processed: DataFrame) -> DataFrame:

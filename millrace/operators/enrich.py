@@ -5,16 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.blocks import BLOCK_ROWS, fill_forward
+from millrace.operators.blocks import BLOCK_ROWS, fill_forward, join_skewed
 
 
-def broadcast_if_small(df: DataFrame, limit_rows: int) -> DataFrame:
-    """Mark a table for broadcast once counting has shown it is small enough.
-
-    The count stops at the limit, so checking a large table is cheap.
-    """
-    fits = df.limit(limit_rows + 1).count() <= limit_rows
-    return F.broadcast(df) if fits else df
+def fits(df: DataFrame, limit_rows: int) -> bool:
+    """Whether a table has at most so many rows; counting stops at the limit."""
+    return df.limit(limit_rows + 1).count() <= limit_rows
 
 
 def enrich_projection(joined: DataFrame, processed_at=None) -> DataFrame:
@@ -28,16 +24,19 @@ def enrich_projection(joined: DataFrame, processed_at=None) -> DataFrame:
 
 def enrich(
     orders: DataFrame, profiles: DataFrame, key="user_id", *, broadcast_rows=None,
-    processed_at=None,
+    processed_at=None, rows=BLOCK_ROWS,
 ):
     """Orders with the latest profile of their user; orders without one are dropped.
 
-    ``profiles`` holds one row per key. With ``broadcast_rows`` the table is sent to every
-    task if it has at most that many rows. Otherwise Spark joins by key, choosing a
-    broadcast from its own size estimate and splitting a skewed user at run time.
+    ``profiles`` holds one row per key. With ``broadcast_rows`` the whole table is sent to
+    every task if it has at most that many rows. Otherwise orders of hot users have those
+    users' profiles sent to them and the rest are joined by key.
     """
-    table = profiles if broadcast_rows is None else broadcast_if_small(profiles, broadcast_rows)
-    joined = orders.where(F.col(key).isNotNull()).join(table, key, "inner")
+    known = orders.where(F.col(key).isNotNull())
+    if broadcast_rows is not None and fits(profiles, broadcast_rows):
+        joined = known.join(F.broadcast(profiles), key)
+    else:
+        joined = join_skewed(known, profiles, [key], "inner", rows)
     return enrich_projection(joined, processed_at)
 
 

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.blocks import BLOCK_ROWS, join_skewed
+
 
 def latest_per_key(
     log: DataFrame, key, order=("partition", "offset"), *, tombstone=None, drop_tombstones=True
@@ -110,10 +112,10 @@ def lookup(table: DataFrame, key, value) -> DataFrame:
     return table.where(F.col(key) == F.lit(value))
 
 
-def lookup_many(table: DataFrame, requests: DataFrame, key) -> DataFrame:
+def lookup_many(table: DataFrame, requests: DataFrame, key, rows=BLOCK_ROWS) -> DataFrame:
     """Each requested key with its row, or with ``found`` false and the reason."""
     found = table.withColumn("found", F.lit(True))
-    answered = requests.join(found, key, "left")
+    answered = join_skewed(requests, found, [key], "left", rows)
     hit = F.coalesce("found", F.lit(False))
     return answered.withColumn("found", hit).withColumn(
         "reason", F.when(~hit, F.lit("not found"))

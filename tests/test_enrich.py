@@ -2,7 +2,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from millrace.operators.enrich import asof_enrich, broadcast_if_small, enrich
+from millrace.operators.blocks import join_skewed
+from millrace.operators.enrich import asof_enrich, enrich, fits
 
 CHANGES = "user_id string, offset long, name string, email string"
 ORDERS = "user_id string, offset long, order_id string"
@@ -21,9 +22,19 @@ def test_hit_and_miss(spark):
 
 
 def test_broadcast_is_checked(spark):
-    table = spark.range(20)
-    assert "broadcast" in broadcast_if_small(table, 20)._jdf.queryExecution().toString()
-    assert "broadcast" not in broadcast_if_small(table, 19)._jdf.queryExecution().toString()
+    assert fits(spark.range(20), 20) and not fits(spark.range(20), 19)
+
+
+def test_skewed_join_equals_a_join(spark):
+    """A third of the rows on one key, with keys missing on either side and null keys."""
+    rows = spark.range(900).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 50 = 1 THEN null ELSE concat('k', id % 40) END AS k")
+    for names in (["hot", "k1", "k2", "zz"], ["k1", "k2", "zz"], []):
+        table = spark.createDataFrame([(n, n.upper()) for n in names], "k string, v string")
+        for how in ("inner", "left", "left_semi", "left_anti"):
+            for limit in (30, 10_000):
+                got = join_skewed(rows, table, ["k"], how, limit)
+                expected = rows.join(table, "k", how)
+                assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
 
 
 def test_order_before_profile_is_dropped_and_not_replayed(spark):
