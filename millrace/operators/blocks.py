@@ -37,6 +37,12 @@ def hot_keys(df: DataFrame, keys, rows=BLOCK_ROWS) -> DataFrame:
     return counted.where(F.col("_n") > rows).drop("_n")
 
 
+def split_hot(df: DataFrame, keys, rows=BLOCK_ROWS):
+    """Rows of hot keys, and all others (those with a null key among them)."""
+    hot = F.broadcast(hot_keys(df, keys, rows))
+    return df.join(hot, list(keys), "left_semi"), df.join(hot, list(keys), "left_anti")
+
+
 def join_skewed(df: DataFrame, table: DataFrame, keys, how="inner", rows=BLOCK_ROWS):
     """Join rows with a table of one row per key (``how``: inner, left, left_semi, left_anti).
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.blocks import BLOCK_ROWS, all_of, join_skewed
+from millrace.operators.blocks import BLOCK_ROWS, all_of, join_skewed, split_hot
 
 
 def first_per_key(df: DataFrame, keys, order) -> DataFrame:
@@ -26,21 +26,21 @@ def dedup_first(
     A submission whose send ``failed`` (a condition) frees the key for the next one; it
     answers with its own order id unless the key was already held. Keys must not be null.
 
-    The winners are one row per key, found with partial aggregation; submissions of a hot
-    key stay where they are and have its winner sent to them.
+    Rows of a hot key stay where they are and have its winner, found with partial
+    aggregation, sent to them; the others are answered in one window by key.
     """
-    sent = submissions if failed is None else submissions.where(~failed)
-    winners = sent.groupBy(key).agg(
-        F.min_by(order_id, order).alias("canonical_order_id"), F.min(order).alias("_won_at")
+    sent = F.lit(True) if failed is None else ~failed
+    first = F.min(F.when(sent, F.struct(F.col(order).alias("at"), F.col(order_id).alias("id"))))
+    common, rare = split_hot(submissions, [key], rows)
+    winners = F.broadcast(common.groupBy(key).agg(first.alias("_won")))
+    answered = common.join(winners, key).unionByName(
+        rare.withColumn("_won", first.over(Window.partitionBy(key)))
     )
-    answered = join_skewed(submissions, winners, [key], "left", rows)
-    held = F.col("_won_at") <= F.col(order)
+    held = F.col("_won.at") <= F.col(order)
     return answered.select(
         *submissions.columns,
-        F.when(held, F.col("canonical_order_id"))
-        .otherwise(F.col(order_id))
-        .alias("canonical_order_id"),
-        F.coalesce(F.col("_won_at") == F.col(order), F.lit(False)).alias("accepted"),
+        F.when(held, F.col("_won.id")).otherwise(F.col(order_id)).alias("canonical_order_id"),
+        F.coalesce(F.col("_won.at") == F.col(order), F.lit(False)).alias("accepted"),
     )
 
 

@@ -114,12 +114,20 @@ def velocity_rows(counts: DataFrame) -> DataFrame:
 
 def fraud_alerts(
     orders: DataFrame, size=WINDOW_SIZE, threshold=HIGH_VALUE_ABOVE,
-    velocity_threshold=VELOCITY_THRESHOLD,
+    velocity_threshold=VELOCITY_THRESHOLD, *, grace=None, partition="partition",
 ):
-    """Both kinds of alert in one bag."""
+    """Both kinds of alert in one bag.
+
+    With ``grace`` orders that come too late for their window are not counted, as on the
+    stream (``partition`` and ``offset`` say how they came); a late order of high value
+    is still an alert.
+    """
     columns = ["order_id", "user_id", "reason", "score"]
     high = high_value_alerts(orders, threshold).select(columns)
-    fast = velocity_alerts(orders, size, velocity_threshold).select(columns)
+    counted = orders
+    if grace is not None:
+        counted = drop_late(orders, partition=partition, size=size, grace=grace)
+    fast = velocity_alerts(counted, size, velocity_threshold).select(columns)
     return high.unionByName(fast)
 
 

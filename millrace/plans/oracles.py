@@ -443,6 +443,21 @@ ORACLES["stream_velocity"] = f"""
   WITH {EVENTS}, last AS (
     SELECT *, max(n) OVER (PARTITION BY order_id) AS top FROM ({velocity('events_log', 86400)}))
   SELECT order_id, user_id, reason, score, n FROM last WHERE n = top"""
+ORACLES["stream_fraud_alerts"] = f"""
+  WITH {ORDERS}, last AS (
+    SELECT *, max(n) OVER (PARTITION BY order_id) AS top
+    FROM ({velocity('orders_log', 30 * 86400)}))
+  SELECT order_id, user_id, reason, score FROM ({high_value()})
+  UNION ALL
+  SELECT order_id, user_id, reason, score FROM last WHERE n = top"""
+ORACLES["fraud_alerts_with_grace"] = f"""
+  WITH {LATE}, accepted AS (
+    SELECT * FROM timed
+    WHERE {window_start('occurred_at', 3600)} + INTERVAL 1 HOUR > stream_time - INTERVAL 1 MINUTE)
+  SELECT 'ord-' || event_id AS order_id, user_id, 'HIGH_VALUE' AS reason, 1.0::DOUBLE AS score
+  FROM events WHERE CAST(value * 1000 AS DECIMAL(18,2)) > 90000
+  UNION ALL
+  SELECT order_id, user_id, reason, score FROM ({velocity('accepted', 3600, 2)})"""
 ORACLES["stream_velocity_per_record"] = ORACLES["velocity_alerts_1d"]
 ORACLES["stream_dedup"] = """
   SELECT DISTINCT user_id || '|' || event_type AS channel,

@@ -568,6 +568,32 @@ def stream_velocity(spark, sf_dir):
     )
 
 
+@query
+def stream_fraud_alerts(spark, sf_dir):
+    """Both kinds of alert; of a window the last one."""
+    orders = inputs.shape_orders(table_stream(spark, sf_dir, "orders.parquet"))
+    written = jobs.stream_fraud(orders, job_dir(spark, "fraud"), "30 days")
+    columns = ["order_id", "user_id", "reason", "score"]
+    high = read_batches(spark, written["HIGH_VALUE"]).select(columns)
+    fast = tables.latest_per_key(
+        read_batches(spark, written["VELOCITY"]), "order_id", ("batch_id",)
+    )
+    return high.unionByName(fast.select(columns))
+
+
+@query
+def fraud_alerts_with_grace(spark, sf_dir):
+    """Late events are not counted; every event is worth its value in thousands."""
+    log = inputs.late_log(spark, sf_dir).withColumns(
+        {
+            "order_id": F.concat(F.lit("ord-"), F.col("offset").cast("string")),
+            "trace_id": F.lit(None).cast("string"),
+            "total_amount": money(F.col("value") * 1000),
+        }
+    )
+    return fraud.fraud_alerts(log, "1 hour", 90_000, 2, grace="1 minute")
+
+
 @query
 def stream_velocity_per_record(spark, sf_dir):
     events = inputs.shape_events(table_stream(spark, sf_dir, "events.parquet"))

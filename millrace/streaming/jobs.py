@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.functions.scalar import GRACE, WINDOW_SIZE
 from millrace.operators.payments import charge
 from millrace.session import ROCKSDB
 from millrace.sinks.tables import exactly_once_writer
+from millrace.streaming.fraud import stream_high_value, stream_velocity
 
 AVAILABLE_NOW = {"availableNow": True}
 
@@ -41,6 +43,19 @@ def stream_payments(orders: DataFrame, folder: str, after_write=None) -> str:
     return run_to_table(orders, folder, transform=charge, after_write=after_write)
 
 
+def stream_fraud(orders: DataFrame, folder: str, size=WINDOW_SIZE, grace=GRACE) -> dict:
+    """Both kinds of alert from a stream of orders, each by its own query.
+
+    Returns the paths of the two tables. A window that grows over several micro-batches has
+    an alert in each of them, told apart by ``n``.
+    """
+    fast = stream_velocity(orders, size, grace)
+    return {
+        "HIGH_VALUE": run_to_table(stream_high_value(orders), f"{folder}/high-value"),
+        "VELOCITY": run_to_table(fast, f"{folder}/velocity", mode="update"),
+    }
+
+
 def read_state(spark: SparkSession, checkpoint: str, variable=None, operator=0) -> DataFrame:
     """The keyed state of a query, from its checkpoint."""
     reader = spark.read.format("statestore").option("operatorId", operator)

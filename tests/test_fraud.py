@@ -74,6 +74,15 @@ def test_two_minutes_late_counts_twenty_is_dropped(spark):
     assert [(a.user_id, a.n) for a in alerts] == [("in", 3)]
 
 
+def test_late_orders_of_high_value_still_alert(spark):
+    frame = log(spark, LATE).withColumns(
+        {"trace_id": F.lit("t"), "total_amount": F.when(F.col("order_id") == "drop-1", 20000).otherwise(1)}
+    )
+    got = {(a.reason, a.user_id) for a in fraud.fraud_alerts(frame, grace="1 minute").collect()}
+    assert got == {("HIGH_VALUE", "out"), ("VELOCITY", "in")}
+    assert fraud.fraud_alerts(frame).where("reason = 'VELOCITY'").count() == 2
+
+
 def test_two_minutes_late_is_dropped_once_the_window_is_closed(spark):
     rows = [("a", "u", 180), ("clock", "c", 361), ("late", "u", 241)]
     kept = {r.order_id for r in fraud.drop_late(log(spark, rows)).collect()}

@@ -111,6 +111,8 @@ def test_idempotency_first_wins(spark):
         0: ("o0", True), 1: ("o0", False), 2: ("o2", False), 3: ("o3", True), 4: ("o3", False),
         5: ("o5", False),
     }
+    parted = dedup.dedup_first(rows, failed=F.col("failed"), rows=2)
+    assert {r.offset: (r.canonical_order_id, r.accepted) for r in parted.collect()} == got
     plain = {r.offset: r.accepted for r in dedup.dedup_first(rows.drop("failed")).collect()}
     assert [o for o, taken in plain.items() if taken] and sum(plain.values()) == 3
 
