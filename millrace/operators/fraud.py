@@ -83,17 +83,23 @@ def velocity_alerts(
     numbers that are spread over all tasks, so a window with a third of all rows is not
     written out by one of them.
     """
-    counts = window_counts(df, size, user=user, ts=ts).where(F.col("n") >= threshold)
-    low = F.lit(threshold).cast("long")
-    ranges = counts.select(
-        F.col(user).alias("user_id"),
+    counts = window_counts(df, size, user=user, ts=ts).withColumnRenamed(user, "user_id")
+    return growth_alerts(counts.withColumn("before", F.lit(0).cast("long")), threshold, chunk)
+
+
+def growth_alerts(counts: DataFrame, threshold=VELOCITY_THRESHOLD, chunk=1 << 20):
+    """The alerts of windows whose count went from ``before`` to ``n``."""
+    low = F.greatest(F.lit(threshold).cast("long"), F.col("before") + 1)
+    grown = counts.withColumn("_low", low).where(F.col("_low") <= F.col("n"))
+    ranges = grown.select(
+        "user_id",
         "window_start",
         F.col("n").alias("_last"),
-        F.explode(F.sequence(low, F.col("n"), F.lit(chunk).cast("long"))).alias("_from"),
+        F.explode(F.sequence("_low", "n", F.lit(chunk).cast("long"))).alias("_from"),
     )
     # A fixed number of partitions: the ranges are tiny before they are written out, and
     # adaptive execution would otherwise put them all into one task.
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     upto = F.least(F.col("_last"), F.col("_from") + F.lit(chunk - 1))
     numbers = ranges.repartition(tasks, "user_id", "window_start", "_from").select(
         "user_id", "window_start", F.explode(F.sequence("_from", upto)).alias("n")
@@ -154,23 +160,38 @@ def late_candidates(
 
 def with_stream_time(
     log: DataFrame, *, partition="partition", offset="offset", ts="occurred_at",
-    rows=BLOCK_ROWS,
+    before=None, rows=BLOCK_ROWS,
 ):
-    """Add ``stream_time``: the highest event time of the partition up to this record."""
-    return running_max(log, [partition], offset, ts, "stream_time", rows, split="all")
+    """Add ``stream_time``: the highest event time of the partition up to this record.
+
+    ``before`` has the stream time each partition had reached before this log, one row per
+    partition of the topic (broadcast: a topic has thousands of partitions at most).
+    """
+    timed = running_max(log, [partition], offset, ts, "stream_time", rows, split="all")
+    if before is None:
+        return timed
+    past = F.broadcast(before.select(partition, F.col("stream_time").alias("_past")))
+    return timed.join(past, partition, "left").withColumn(
+        "stream_time", F.greatest("stream_time", "_past")
+    ).drop("_past")
 
 
 def drop_late(
     log: DataFrame, *, partition="partition", offset="offset", ts="occurred_at",
-    size=WINDOW_SIZE, grace=GRACE, rows=BLOCK_ROWS,
+    size=WINDOW_SIZE, grace=GRACE, before=None, rows=BLOCK_ROWS,
 ):
     """Records whose window was still open when they arrived.
 
     Exact, record by record. Stream time is kept per ``partition``, which should be the
-    partition of the log as read for counting (the one re-keyed by user).
+    partition of the log as read for counting (the one re-keyed by user). ``before`` is as
+    in ``with_stream_time``.
     """
     timed = with_window(
-        with_stream_time(log, partition=partition, offset=offset, ts=ts, rows=rows), size, ts
+        with_stream_time(
+            log, partition=partition, offset=offset, ts=ts, before=before, rows=rows
+        ),
+        size,
+        ts,
     )
     return timed.where(is_open("window_end", "stream_time", grace)).drop(
         "window_start", "window_end", "stream_time"

@@ -49,7 +49,7 @@ def events_log(spark, sf_dir):
     return shape_events(table(spark, sf_dir, "events"))
 
 
-def late_log(spark, sf_dir):
+def shape_late(log: DataFrame) -> DataFrame:
     """Events of which some happened 2 or 20 minutes before they were recorded."""
     recorded = F.col("occurred_at")
     happened = (
@@ -57,7 +57,11 @@ def late_log(spark, sf_dir):
         .when(F.col("offset") % 11 == 0, recorded - F.expr("INTERVAL 2 MINUTES"))
         .otherwise(recorded)
     )
-    return events_log(spark, sf_dir).withColumns({"timestamp": recorded, "occurred_at": happened})
+    return log.withColumns({"timestamp": recorded, "occurred_at": happened})
+
+
+def late_log(spark, sf_dir):
+    return shape_late(events_log(spark, sf_dir))
 
 
 def profiles(spark, sf_dir):

@@ -458,6 +458,7 @@ ORACLES["fraud_alerts_with_grace"] = f"""
   FROM events WHERE CAST(value * 1000 AS DECIMAL(18,2)) > 90000
   UNION ALL
   SELECT order_id, user_id, reason, score FROM ({velocity('accepted', 3600, 2)})"""
+ORACLES["stream_velocity_exact"] = ORACLES["late_filtered_velocity"]
 ORACLES["stream_velocity_per_record"] = ORACLES["velocity_alerts_1d"]
 ORACLES["stream_dedup"] = """
   SELECT DISTINCT user_id || '|' || event_type AS channel,

@@ -26,7 +26,12 @@ from millrace.streaming import jobs
 from millrace.streaming.dedup import stream_dedup as dedup_stream
 from millrace.streaming.fraud import stream_velocity as velocity_stream
 from millrace.streaming.keyed import enrich_log
-from millrace.streaming.tables import dedup_writer, enrich_writer, reserve_writer
+from millrace.streaming.tables import (
+    dedup_writer,
+    enrich_writer,
+    reserve_writer,
+    velocity_writer,
+)
 
 QUERIES = {}
 
@@ -595,8 +600,19 @@ def fraud_alerts_with_grace(spark, sf_dir):
 
 
 @query
-def stream_velocity_per_record(spark, sf_dir):
+def stream_velocity_exact(spark, sf_dir):
+    """Late events left out by the same rule as in a batch."""
     events = inputs.shape_events(table_stream(spark, sf_dir, "events.parquet"))
+    folder = job_dir(spark, "velocity-exact")
+    writer = velocity_writer(folder, "1 hour", threshold=2)
+    jobs.start(inputs.shape_late(events), writer, f"{folder}/checkpoint").awaitTermination()
+    return read_batches(spark, f"{folder}/alerts").drop("batch_id")
+
+
+@query
+def stream_velocity_per_record(spark, sf_dir):
+    files = table_stream(spark, sf_dir, "events.parquet", max_bytes=1 << 30)
+    events = inputs.shape_events(files)
     alerts = velocity_stream(events, "1 day", mode="per_record")
     written = jobs.run_to_table(alerts, job_dir(spark, "velocity-each"))
     return read_batches(spark, written).drop("batch_id")

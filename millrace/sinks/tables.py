@@ -46,11 +46,16 @@ def read_committed(spark: SparkSession, path: str, keys) -> DataFrame:
     return first_per_key(rows, list(keys), order).drop("batch_id")
 
 
+def _folder(spark: SparkSession, path: str):
+    """The file system a path is on, and the path on it."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), root
+
+
 def _versions(spark: SparkSession, path: str):
     """Numbers of the finished versions of a table, from its folder."""
     jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files, root = _folder(spark, path)
     if not files.exists(root):
         return []
     found = []
@@ -62,6 +67,18 @@ def _versions(spark: SparkSession, path: str):
     return sorted(found)
 
 
+def write_version(df: DataFrame, path: str, version: int, keep=3):
+    """Write a version of a table and delete all but the newest ``keep``.
+
+    A restart goes back one batch at most, so it always finds the version it starts from.
+    """
+    df.write.mode("overwrite").parquet(f"{path}/version={version}")
+    spark = df.sparkSession
+    files, root = _folder(spark, path)
+    for old in [v for v in _versions(spark, path) if v <= version][:-keep]:
+        files.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, f"version={old}"), True)
+
+
 def read_table(spark: SparkSession, path: str, before=None) -> DataFrame | None:
     """The latest finished version of a table, or the latest before a batch."""
     ready = [v for v in _versions(spark, path) if before is None or v < before]
@@ -83,9 +100,7 @@ def upsert_writer(path: str, keys, order_by, **options):
         order = [order_by] if isinstance(order_by, str) else list(order_by)
         if table is None:
             table = batch.drop(*order).where(F.lit(False))
-        upsert(table, batch, keys, order, **options).write.mode("overwrite").parquet(
-            f"{path}/version={batch_id}"
-        )
+        write_version(upsert(table, batch, keys, order, **options), path, batch_id)
 
     return write
 

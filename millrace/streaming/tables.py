@@ -15,9 +15,61 @@ from pyspark.sql import functions as F
 from millrace.operators.blocks import all_of
 from millrace.operators.dedup import first_per_key
 from millrace.operators.enrich import asof_enrich
+from millrace.functions.scalar import GRACE, VELOCITY_THRESHOLD, WINDOW_SIZE, is_open
+from millrace.operators.fraud import drop_late, growth_alerts, window_counts
 from millrace.operators.inventory import FOLD_ROWS, reserve_stock, stock_left
 from millrace.operators.tables import upsert
-from millrace.sinks.tables import read_batches, read_table
+from millrace.sinks.tables import read_batches, read_table, write_version
+
+
+def velocity_writer(
+    folder: str, size=WINDOW_SIZE, grace=GRACE, threshold=VELOCITY_THRESHOLD, *,
+    user="user_id", ts="occurred_at", partition="partition", offset="offset",
+):
+    """Velocity alerts with the exact late rule, record by record, over micro-batches.
+
+    Gives what ``velocity_alerts(drop_late(log))`` gives for the whole log, however it is
+    cut into micro-batches. Alerts go to ``folder/alerts``. State is the stream time of
+    each partition and the counts of windows that can still grow.
+    """
+
+    def write(batch: DataFrame, batch_id: int):
+        spark = batch.sparkSession
+        times = read_table(spark, f"{folder}/times", before=batch_id)
+        counts = read_table(spark, f"{folder}/counts", before=batch_id)
+        accepted = drop_late(
+            batch, partition=partition, offset=offset, ts=ts, size=size, grace=grace, before=times
+        )
+        new = window_counts(accepted, size, user=user, ts=ts).withColumnRenamed(user, "user_id")
+        zero = F.lit(0).cast("long")
+        log = new.withColumn("before", zero)
+        if counts is not None:
+            old = counts.withColumnsRenamed({"n": "before"}).withColumn("n", zero)
+            log = log.unionByName(old)
+        total = log.groupBy("user_id", "window_start", "window_end").agg(
+            F.sum("before").alias("before"), (F.sum("before") + F.sum("n")).alias("n")
+        )
+        write_version(total, f"{folder}/totals", batch_id)
+        total = read_table(spark, f"{folder}/totals", before=batch_id + 1)
+        alerts = growth_alerts(total, threshold)
+        alerts.write.mode("overwrite").parquet(f"{folder}/alerts/batch_id={batch_id}")
+
+        reached = batch.groupBy(partition).agg(F.max(ts).alias("stream_time"))
+        if times is not None:
+            reached = reached.unionByName(times).groupBy(partition).agg(
+                F.max("stream_time").alias("stream_time")
+            )
+        write_version(reached, f"{folder}/times", batch_id)
+        times = read_table(spark, f"{folder}/times", before=batch_id + 1)
+        slowest = F.lit(times.agg(F.min("stream_time")).first()[0])
+        growing = total.where(is_open("window_end", slowest, grace))
+        write_version(
+            growing.select("user_id", "window_start", "window_end", "n"),
+            f"{folder}/counts",
+            batch_id,
+        )
+
+    return write
 
 
 def reserve_writer(folder: str, stock: DataFrame, seq=("offset", "line"), rows=FOLD_ROWS):
@@ -36,7 +88,7 @@ def reserve_writer(folder: str, stock: DataFrame, seq=("offset", "line"), rows=F
         events.write.mode("overwrite").parquet(mine)
         # What is left follows from the events as written: the fold runs once.
         left = stock_left(shelf, spark.read.schema(events.schema).parquet(mine))
-        left.write.mode("overwrite").parquet(f"{folder}/stock/version={batch_id}")
+        write_version(left, f"{folder}/stock", batch_id)
 
     return write
 
@@ -57,9 +109,8 @@ def enrich_writer(folder: str, key="user_id", seq="offset", *, fields, side="log
             known = changes.drop(seq).where(F.lit(False))
         joined = asof_enrich(orders, changes, key, seq, before=known)
         joined.write.mode("overwrite").parquet(f"{folder}/orders/batch_id={batch_id}")
-        upsert(known, changes, key, seq, on_null="delete", missing="overwrite").write.mode(
-            "overwrite"
-        ).parquet(f"{folder}/profiles/version={batch_id}")
+        now = upsert(known, changes, key, seq, on_null="delete", missing="overwrite")
+        write_version(now, f"{folder}/profiles", batch_id)
 
     return write
 

@@ -16,7 +16,7 @@ from millrace.streaming import jobs
 from millrace.streaming.dedup import stream_dedup
 from millrace.streaming.fraud import stream_high_value, stream_velocity, stream_window_counts
 from millrace.streaming.keyed import stream_asof_enrich
-from millrace.streaming.tables import dedup_writer, enrich_writer, reserve_writer
+from millrace.streaming.tables import dedup_writer, enrich_writer, reserve_writer, velocity_writer
 
 START = datetime(2026, 1, 1)
 ORDERS = "order_id string, user_id string, occurred_at timestamp_ntz, offset long"
@@ -99,6 +99,33 @@ def test_late_orders(spark, orders, tmp_path, mode):
     assert alerts(spark, path) == [("in", 3)]
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_exact_late_rule_over_micro_batches(spark, tmp_path, seed):
+    """The same alerts as one batch over the whole log, with late records and three partitions."""
+    rng = random.Random(seed)
+    log = Log(spark, tmp_path / "e", f"{ORDERS}, partition int")
+    offset = 0
+    for _ in range(6):
+        rows = []
+        for _ in range(50):
+            user = rng.choice(["hot", "hot", "a", "b"])
+            late = rng.choice([0, 0, 0, 0, 120, 400, 1200])
+            rows.append((*order(f"o{offset}", user, offset * 6 - late, offset), len(user) % 3))
+            offset += 1
+        log.add(rows)
+    folder = str(tmp_path / "job")
+    jobs.start(log.stream(), velocity_writer(folder), f"{folder}/checkpoint").awaitTermination()
+    expected = fraud.velocity_alerts(fraud.drop_late(log.table()))
+    got = sinks.read_batches(spark, f"{folder}/alerts")
+    pick = ("order_id", "n", "score")
+    assert sorted(map(tuple, got.select(*pick).collect())) == sorted(
+        map(tuple, expected.select(*pick).collect())
+    )
+    assert fraud.drop_late(log.table()).count() < 300
+    assert len(sinks._versions(spark, f"{folder}/counts")) == 3
+    assert sinks.read_table(spark, f"{folder}/counts").count() < 10
+
+
 def test_state_is_dropped_after_window_and_grace(spark, orders, tmp_path):
     folder = str(tmp_path / "job")
     orders.add([order("a", "u", 0)])
