@@ -239,6 +239,10 @@ _LAG = f"""
 ORACLES["consumer_lag"] = f"{_LAG} SELECT * FROM lag"
 ORACLES["group_lag"] = f"""
   {_LAG} SELECT group_id, topic, CAST(sum(lag) AS BIGINT) AS total_lag FROM lag GROUP BY 1, 2"""
+ORACLES["enrichment_counters"] = f"""
+  WITH {EVENTS}, {_CHANGES}
+  SELECT 'consumed' AS table_name, count(*) AS n FROM events_log WHERE event_type = 'purchase'
+  UNION ALL SELECT 'joined', count(*) FROM ({_ASOF})"""
 ORACLES["pipeline_counts"] = " UNION ALL ".join(
     f"SELECT '{name}' AS table_name, count(*) AS n FROM {name}"
     for name in ("orders", "lineitem", "events", "part")
@@ -272,7 +276,7 @@ ORACLES["order_validation"] = f"""
          coalesce(array_to_string({_REASON}, '; '), '') AS reasons FROM orders"""
 ORACLES["invalid_orders"] = f"""
   SELECT CAST(o_orderkey AS VARCHAR) AS order_id, unnest({_REASON}) AS reason FROM orders"""
-ORACLES["idempotent_orders"] = f"""
+_IDEMPOTENT = f"""
   WITH {EVENTS}, keyed AS (
     SELECT "offset", 'ord-' || "offset" AS order_id,
            CASE WHEN event_type IN ('purchase', 'signup')
@@ -284,8 +288,12 @@ ORACLES["idempotent_orders"] = f"""
     SELECT *, row_number() OVER (PARTITION BY idempotency_key ORDER BY "offset") AS r,
            first_value(order_id) OVER (PARTITION BY idempotency_key ORDER BY "offset")
              AS canonical_order_id
-    FROM keyed)
+    FROM keyed)"""
+ORACLES["idempotent_orders"] = f"""{_IDEMPOTENT}
   SELECT "offset", idempotency_key, order_id, canonical_order_id, r = 1 AS accepted FROM placed"""
+ORACLES["intake_counters"] = f"""{_IDEMPOTENT}
+  SELECT CASE WHEN r = 1 THEN 'success' ELSE 'duplicate' END AS result, count(*) AS n
+  FROM placed GROUP BY 1"""
 ORACLES["ledger_dedup"] = f"""
   WITH {EVENTS} SELECT "partition", "offset", user_id, event_type FROM events_log
   WHERE occurred_at >= TIMESTAMP '2024-01-10'"""
@@ -318,6 +326,13 @@ ORACLES["reserve_stock_ample"] = f"""{_reserve(40)}
   SELECT "offset", line, sku, quantity, status FROM fold WHERE r > 0"""
 ORACLES["stock_after"] = f"""{_reserve(10)}
   SELECT sku, CAST(min(left_over) AS BIGINT) AS quantity FROM fold GROUP BY sku"""
+ORACLES["inventory_counters"] = f"""{_reserve(10)}
+  SELECT status, count(*) AS n FROM fold WHERE r > 0 GROUP BY status"""
+ORACLES["seeded_stock"] = """
+  SELECT 'SKU-' || p_partkey AS sku, p_size * 10 AS quantity FROM part
+  UNION ALL
+  SELECT * FROM (VALUES ('SKU-1', 100), ('SKU-LOAD', 1000)) s(sku, quantity)
+  WHERE s.sku NOT IN (SELECT 'SKU-' || p_partkey FROM part)"""
 ORACLES["restock"] = """
   SELECT sku, CAST(sum(q) AS BIGINT) AS quantity FROM (
     SELECT p_partkey AS sku, p_size * 10 AS q FROM part
@@ -400,6 +415,10 @@ ORACLES["wire_frames"] = """
          CASE WHEN c_mktsegment <> 'MACHINERY' THEN CAST(c_nationkey AS BIGINT) END AS schema_id,
          CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_name END AS body
   FROM customer"""
+ORACLES["decoded_profiles"] = f"""
+  WITH {PROFILES}
+  SELECT CAST(7 AS BIGINT) AS schema_id, CAST(user_id AS VARCHAR) AS user_id, name, email
+  FROM profiles"""
 ORACLES["conformed_profiles"] = f"""
   WITH {PROFILES}
   SELECT CAST(user_id AS VARCHAR) AS user_id, name, email, CAST(NULL AS VARCHAR) AS phone

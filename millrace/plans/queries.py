@@ -15,11 +15,12 @@ from millrace.operators.counters import counters, table_counts
 from millrace.operators.partitioning import vip_partition
 from millrace.operators.payments import charge
 from millrace.plans import inputs
-from millrace.schemas import USER_PROFILE_V2
+from millrace.schemas import USER_PROFILE_V1, USER_PROFILE_V2
 from millrace.session import job_dir, prepare
 from millrace.sinks.logs import to_topic_rows
 from millrace.sinks.tables import read_batches, read_committed, read_table, upsert_writer
 from millrace.sources import cdc, decode
+from millrace.sources.avro import decode_text_record
 from millrace.sources.infer import infer_flatten
 from millrace.sources.topics import table_stream
 from millrace.streaming import jobs
@@ -312,6 +313,15 @@ def group_lag(spark, sf_dir):
     return lag.group_lag(_lag(spark, sf_dir))
 
 
+@query
+def enrichment_counters(spark, sf_dir):
+    """Orders read and orders joined, of purchases with the profile at arrival."""
+    events = inputs.events_log(spark, sf_dir)
+    orders = inputs.shape_purchases(events)
+    joined = enrich.asof_enrich(orders, inputs.shape_profile_changes(events))
+    return table_counts({"consumed": orders, "joined": joined})
+
+
 @query
 def pipeline_counts(spark, sf_dir):
     names = ("orders", "lineitem", "events", "part")
@@ -345,8 +355,7 @@ def invalid_orders(spark, sf_dir):
     return invalid.select("order_id", F.explode("reasons").alias("reason"))
 
 
-@query
-def idempotent_orders(spark, sf_dir):
+def _idempotent(spark, sf_dir):
     """The key comes from the header, else the body, else the record's own place."""
     log = inputs.events_log(spark, sf_dir)
     day = F.date_format("occurred_at", "yyyy-MM-dd")
@@ -364,6 +373,18 @@ def idempotent_orders(spark, sf_dir):
     return dedup.dedup_first(requests)
 
 
+@query
+def idempotent_orders(spark, sf_dir):
+    return _idempotent(spark, sf_dir)
+
+
+@query
+def intake_counters(spark, sf_dir):
+    """Orders taken and repeats answered."""
+    result = F.when(F.col("accepted"), "success").otherwise("duplicate")
+    return counters(_idempotent(spark, sf_dir).withColumn("result", result), "result")
+
+
 @query
 def ledger_dedup(spark, sf_dir):
     """The whole log delivered twice to a consumer that has done the first nine days."""
@@ -410,6 +431,21 @@ def restock(spark, sf_dir):
     return inventory.restock(inputs.stock(spark, sf_dir), returned)
 
 
+@query
+def inventory_counters(spark, sf_dir):
+    events, _ = inventory.reserve_stock(
+        inputs.lines_log(spark, sf_dir), inputs.stock(spark, sf_dir), inputs.LINE_ORDER
+    )
+    return counters(events, "status")
+
+
+@query
+def seeded_stock(spark, sf_dir):
+    """Parts that have stock, and the seeds of a new shop."""
+    named = inputs.stock(spark, sf_dir).withColumn("sku", F.concat(F.lit("SKU-"), "sku"))
+    return inventory.seed_stock(named)
+
+
 # Sources, decoding, placement
 
 
@@ -490,6 +526,22 @@ def wire_frames(spark, sf_dir):
     )
 
 
+@query
+def decoded_profiles(spark, sf_dir):
+    """Profiles through their wire form: a frame with the schema id, then the record."""
+
+    def text(column):
+        size = F.lpad(F.hex(F.octet_length(column).cast("long") * 2), 2, "0")
+        return F.concat(F.unhex(size), F.encode(column, "UTF-8"))
+
+    number = F.col("user_id").cast("string")
+    profile = inputs.profiles(spark, sf_dir).withColumn("user_id", number)
+    record = F.concat(text("user_id"), text("name"), text("email"))
+    framed = profile.select(F.concat(F.unhex(F.lit("0000000007")), record).alias("value"))
+    read = decode_text_record(decode.split_wire_frame(framed), USER_PROFILE_V1)
+    return read.select("schema_id", "event.*")
+
+
 @query
 def conformed_profiles(spark, sf_dir):
     """Customers of the first schema version and suppliers of the second, under the second."""
