@@ -47,8 +47,9 @@ def at_least(column, low):
 
 
 def email(column):
-    """Null passes; combine with ``not_blank`` where the address is required."""
-    return f"{column} is not an address", F.coalesce(col(column).rlike(EMAIL), F.lit(True))
+    """Null and empty pass; combine with ``not_blank`` where the address is required."""
+    fits = (F.length(col(column)) == 0) | col(column).rlike(EMAIL)
+    return f"{column} is not an address", F.coalesce(fits, F.lit(True))
 
 
 def one_of(column, allowed):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.dedup import first_per_key
-from millrace.operators.tables import upsert
+from millrace.operators.tables import latest_per_key, upsert
 
 
 def exactly_once_writer(path: str, transform=None, after_write=None):
@@ -105,30 +105,32 @@ def upsert_writer(path: str, keys, order_by, **options):
     return write
 
 
-def merge_writer(table: str, keys, order_by, on_null="ignore"):
-    """Apply each micro-batch to a catalog table that supports row-level changes."""
+def merge_writer(table: str, keys, order_by, document=False):
+    """Apply each micro-batch to a catalog table that supports row-level changes.
+
+    As ``upsert``: fields a record leaves out keep their value and null records are
+    ignored, or, with ``document``, records replace the whole and null records delete.
+    """
     keys = [keys] if isinstance(keys, str) else list(keys)
     order = [order_by] if isinstance(order_by, str) else list(order_by)
 
     def write(batch: DataFrame, batch_id: int):
         fields = [c for c in batch.columns if c not in keys and c not in order]
-        empty = F.coalesce(*[F.col(c).cast("string") for c in fields]).isNull()
-        rows = batch.withColumn("_null", empty)
-        if on_null == "ignore":
-            rows = rows.where(~F.col("_null"))
-        rest = [c for c in rows.columns if c not in keys]
-        last = rows.groupBy(*keys).agg(
-            F.max_by(F.struct(*rest), F.struct(*order)).alias("_last")
-        )
-        updates = last.select(*keys, "_last.*").drop(*order).alias("updates")
+        if document:
+            empty = F.coalesce(*[F.col(c).cast("string") for c in fields]).isNull()
+            last = latest_per_key(batch.withColumn("gone", empty), keys, order).drop(*order)
+        else:
+            nothing = batch.drop(*order).where(F.lit(False))
+            last = upsert(nothing, batch, keys, order).withColumn("gone", F.lit(False))
         same = F.expr(" AND ".join(f"updates.{k} = {table}.{k}" for k in keys))
-        values = {c: F.col(f"updates.{c}") for c in [*keys, *fields]}
-        merge = updates.mergeInto(table, same)
-        if on_null == "delete":
-            merge = merge.whenMatched(F.col("updates._null")).delete()
-        merge.whenMatched().update(values).whenNotMatched(
-            ~F.col("updates._null")
-        ).insert(values).withSchemaEvolution().merge()
+        new = {c: F.col(f"updates.{c}") for c in [*keys, *fields]}
+        changed = {
+            c: new[c] if document else F.coalesce(new[c], F.col(f"{table}.{c}")) for c in fields
+        }
+        gone = F.col("updates.gone")
+        merge = last.alias("updates").mergeInto(table, same).withSchemaEvolution()
+        merge = merge.whenMatched(gone).delete().whenMatched().update(changed)
+        merge.whenNotMatched(~gone).insert(new).merge()
 
     return write
 

@@ -66,8 +66,8 @@ def infer_flatten(df: DataFrame, json_col, exclude=("items",), types=None) -> Da
     """Replace a JSON column by one column per top-level field.
 
     ``types`` gives the type of fields the caller knows better, such as money as a decimal.
-    Rows whose value is not an object pass through with null fields and keep their text in
-    ``json_col``.
+    Rows whose value is not an object, or does not parse, pass through and keep their text
+    in ``json_col``.
     """
     schema = infer_fields(df, json_col, exclude)
     for name, kind in (types or {}).items():
@@ -76,10 +76,12 @@ def infer_flatten(df: DataFrame, json_col, exclude=("items",), types=None) -> Da
         )
     text = F.col(json_col).cast("string")
     is_object = F.coalesce(text.rlike(r"^\s*\{"), F.lit(False))
-    parsed = df.withColumn("_row", F.when(is_object, F.from_json(text, schema)))
+    wide = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
+    options = {"columnNameOfCorruptRecord": "_corrupt"}
+    parsed = df.withColumn("_row", F.when(is_object, F.from_json(text, wide, options)))
     others = [c for c in df.columns if c != json_col]
     return parsed.select(
         *others,
-        F.when(~is_object, text).alias(json_col),
+        F.when(is_object, F.col("_row._corrupt")).otherwise(text).alias(json_col),
         *[F.col("_row").getField(f.name).alias(f.name) for f in schema.fields],
     )

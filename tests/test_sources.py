@@ -135,6 +135,7 @@ def test_inference_lets_other_values_through(spark):
     docs = spark.createDataFrame([(i, d) for i, d in enumerate(DOCS)], "id int, doc string")
     rows = {r.id: r for r in infer_flatten(docs, "doc").collect()}
     assert rows[2].doc == "not json" and rows[3].doc is None and rows[0].n == 1
+    assert rows[4].doc == '{"n": 3,' and rows[0].doc is None
 
 
 def test_cdc(spark):
@@ -198,10 +199,10 @@ def test_validation(spark):
         ["user_id is blank", "items is empty"],
     ]
     people = spark.createDataFrame(
-        [("u", "n", "a@b.c"), ("u", "n", "nobody"), ("u", "n", None)], "user_id string, name string, email string"
+        [("u", "n", "a@b.c"), ("u", "n", "nobody"), ("u", "n", None), ("u", "n", "")], "user_id string, name string, email string"
     )
     _, invalid = intake.validate(people, intake.profile_rules())
-    assert [r.reasons for r in invalid.collect()] == [["email is not an address"], ["email is blank"]]
+    assert [r.reasons for r in invalid.collect()] == [["email is not an address"], ["email is blank"], ["email is blank"]]
     extra = [intake.at_least("n", 1), intake.one_of("s", ("A",)), intake.not_null("n")]
     odd = spark.createDataFrame([(0, "B"), (None, None)], "n int, s string")
     assert [r.reasons for r in intake.with_reasons(odd, extra).collect()] == [
