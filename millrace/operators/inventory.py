@@ -165,7 +165,7 @@ def _summaries(lines, seq):
     """
 
     def summarise(key, pdf):
-        pdf = pdf.sort_values(seq, kind="stable")
+        pdf = pdf.sort_values(seq, kind="stable", na_position="first")
         want = pdf["quantity"].to_numpy(dtype=np.int64)
         digits = np.frexp(want.astype(np.float64))[1]
         small, need = [0] * 64, [_NEVER] * 64
@@ -233,7 +233,7 @@ def _after(lines, crossing, seq):
     """Stock after folding one block of each SKU (one row per hot SKU: broadcast)."""
 
     def run(key, pdf):
-        pdf = pdf.sort_values(seq, kind="stable")
+        pdf = pdf.sort_values(seq, kind="stable", na_position="first")
         left = int(pdf["_start"].iloc[0])
         for want in pdf["quantity"].tolist():
             if want <= left:

@@ -16,50 +16,46 @@ def infer_fields(df: DataFrame, json_col, exclude=("items",)) -> T.StructType:
     for everything else, including nested values. Null fields say nothing. Where rows
     disagree the wider type wins, text being the widest.
 
-    One aggregated pass; what reaches the driver is one row per field name.
+    One aggregated pass; what reaches the driver is a row per field name and kind of value.
     """
     entries = df.select(
         F.explode(F.from_json(F.col(json_col).cast("string"), "map<string,variant>")).alias("name", "v")
     )
     if exclude:
         entries = entries.where(~F.col("name").isin(*exclude))
-    kind = F.schema_of_variant("v")
-    whole = F.when(kind == "BIGINT", F.try_variant_get("v", "$", "bigint"))
+    entries = entries.select("name", "v", F.schema_of_variant("v").alias("told"))
+    told = F.col("told")
+    kind = (
+        F.when(told.isin("BOOLEAN", "BIGINT", "VOID"), told)
+        .when(told.startswith("DECIMAL") | told.isin("DOUBLE", "FLOAT"), F.lit("REAL"))
+        .otherwise(F.lit("TEXT"))
+    )
+    number = F.when(told == "BIGINT", F.try_variant_get("v", "$", "bigint"))
     seen = (
-        entries.select(
-            "name",
-            (kind == "BOOLEAN").alias("flag"),
-            whole.isNotNull().alias("whole"),
-            (kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT")).alias("real"),
-            (kind == "VOID").alias("void"),
-            whole.alias("n"),
-        )
-        .groupBy("name")
-        .agg(
-            F.count(F.lit(1)).alias("all"),
-            *[F.count_if(c).alias(c) for c in ("flag", "whole", "real", "void")],
-            F.min("n").alias("low"),
-            F.max("n").alias("high"),
-        )
+        entries.select("name", kind.alias("kind"), number.alias("n"))
+        .groupBy("name", "kind")
+        .agg(F.min("n").alias("low"), F.max("n").alias("high"))
+        .where(F.col("kind") != "VOID")
         .orderBy("name")
         .collect()
     )
-    fields = []
+    told = {}
     for row in seen:
-        told = row["all"] - row["void"]
-        if told == 0:
-            continue
-        if row["flag"] == told:
-            kind = T.BooleanType()
-        elif row["whole"] == told:
-            fits = _INT32[0] <= row["low"] and row["high"] <= _INT32[1]
-            kind = T.IntegerType() if fits else T.LongType()
-        elif row["whole"] + row["real"] == told:
-            kind = T.DoubleType()
-        else:
-            kind = T.StringType()
-        fields.append(T.StructField(row["name"], kind))
-    return T.StructType(fields)
+        told.setdefault(row["name"], {})[row["kind"]] = row
+    return T.StructType([T.StructField(name, _widest(kinds)) for name, kinds in told.items()])
+
+
+def _widest(kinds):
+    """The type that holds every kind of value seen in a field."""
+    if set(kinds) == {"BOOLEAN"}:
+        return T.BooleanType()
+    if set(kinds) == {"BIGINT"}:
+        whole = kinds["BIGINT"]
+        fits = _INT32[0] <= whole["low"] and whole["high"] <= _INT32[1]
+        return T.IntegerType() if fits else T.LongType()
+    if set(kinds) <= {"BIGINT", "REAL"}:
+        return T.DoubleType()
+    return T.StringType()
 
 
 def infer_flatten(df: DataFrame, json_col, exclude=("items",), types=None) -> DataFrame:

@@ -40,14 +40,15 @@ def read_topic(
 def table_stream(
     spark: SparkSession, folder: str, table: str, *, max_files=None, max_bytes=None,
 ) -> DataFrame:
-    """A table's files as a stream; ``table`` is a file name pattern in ``folder``.
+    """A table's files as a stream; ``table`` is one file, a folder of files or a pattern.
 
     ``max_files`` or ``max_bytes`` caps a micro-batch.
     """
-    schema = spark.read.option("pathGlobFilter", table).parquet(folder).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", table)
+    # As a pattern, because a stream takes a plain path for a folder.
+    path = f"{folder}/{{{table}}}"
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
-    return reader.parquet(folder)
+    return reader.parquet(path)

@@ -79,3 +79,27 @@ def test_hot_skus_nobody_has_to_fold(spark):
 def test_seeding_keeps_what_is_there(spark):
     stock = spark.createDataFrame([("SKU-1", 7)], "sku string, quantity int")
     assert {r.sku: r.quantity for r in seed_stock(stock).collect()} == {"SKU-1": 7, "SKU-LOAD": 1000}
+
+
+def test_splitting_skewed_joins_does_not_split_a_fold(spark):
+    """With everything counted as skewed and no broadcast, a SKU's lines stay in one task."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "0",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        rng = random.Random(8)
+        lines = [(rng.choice("aab"), i, 0, rng.randint(1, 9)) for i in range(3000)]
+        stock = [("a", 5000), ("b", 2000)]
+        expected = fold(lines, stock)
+        assert run(spark, lines, stock) == expected
+        assert run(spark, lines, stock, rows=500) == expected
+    finally:
+        for key in settings:
+            spark.conf.unset(key)

@@ -15,7 +15,7 @@ from millrace.sinks.logs import stream_topic, to_topic_rows, write_topic
 from millrace.sources import cdc, decode
 from millrace.sources.avro import decode_text_record
 from millrace.sources.infer import infer_fields, infer_flatten
-from millrace.sources.topics import read_topic
+from millrace.sources.topics import read_topic, table_stream
 
 ORDER = {
     "eventId": "e1", "occurredAt": "2026-01-01T00:00:00.123Z", "traceId": "t1", "orderId": "o1",
@@ -268,3 +268,20 @@ def test_stream_to_a_topic_folder(spark, tmp_path):
     assert sorted(bytes(r.key) for r in back.collect()) == [b"0", b"1", b"2"]
     again = read_topic(spark, "orders", streaming=True, max_per_trigger=1, path=str(tmp_path / "log"))
     assert again.isStreaming and again.columns == back.columns
+
+
+def test_a_table_streams_from_a_file_or_a_folder(spark, tmp_path):
+    spark.range(10).repartition(3).write.parquet(str(tmp_path / "t.parquet"))
+    one = next((tmp_path / "t.parquet").glob("part-*.parquet"))
+    count = spark.read.parquet(str(one)).count()
+    for folder, name, rows in ((tmp_path, "t.parquet", 10), (one.parent, one.name, count)):
+        out = tmp_path / f"out-{rows}"
+        query = (
+            table_stream(spark, str(folder), name, max_files=1)
+            .writeStream.format("parquet")
+            .option("checkpointLocation", str(out / "check"))
+            .trigger(availableNow=True)
+            .start(str(out / "data"))
+        )
+        query.awaitTermination()
+        assert spark.read.parquet(str(out / "data")).count() == rows
