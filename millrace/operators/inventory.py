@@ -7,9 +7,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.operators.blocks import BLOCK, block_of
-from millrace.session import cut_lineage
+from millrace.session import cut_lineage, job_dir, on_disk
 
 # Lines of one SKU a single task folds; a SKU with more is cut into blocks of the log.
 FOLD_ROWS = 1 << 20
@@ -161,7 +162,7 @@ def _summaries(lines, seq):
     it leaves the stock with fewer. So while no such line fits and the small ones do not
     use up the leading digit, a block takes exactly its small lines. Per size this needs
     two numbers: the sum of the small lines, and the least stock at which a line of
-    exactly ``d`` digits fits.
+    exactly ``d`` digits fits. The quantities go along in order, as packed numbers.
     """
 
     def summarise(key, pdf):
@@ -179,13 +180,15 @@ def _summaries(lines, seq):
                 need[size] = int((want + before)[mine].min())
                 total += int(want[mine].sum())
         return pd.DataFrame(
-            {"sku": [key[0]], BLOCK: [key[1]], "_small": [small], "_need": [need]}
+            {
+                "sku": [key[0]], BLOCK: [key[1]], "_small": [small], "_need": [need],
+                "_wants": [want.tobytes()],
+            }
         )
 
     sku = lines.schema["sku"].dataType.simpleString()
-    return lines.groupBy("sku", BLOCK).applyInPandas(
-        summarise, f"sku {sku}, {BLOCK} long, _small array<long>, _need array<long>"
-    )
+    shape = f"sku {sku}, {BLOCK} long, _small array<long>, _need array<long>, _wants binary"
+    return lines.groupBy("sku", BLOCK).applyInPandas(summarise, shape)
 
 
 def _block_starts(lines, hot, seq):
@@ -194,9 +197,13 @@ def _block_starts(lines, hot, seq):
     Each round takes every SKU forward to the first block in which its stock loses a binary
     digit, using sums over block summaries only, and folds that one block. A stock has at
     most 63 digits and every round takes one away, so the rounds are few however long the
-    log is; in practice a stock runs out within one or two blocks.
+    log is; in practice a stock runs out within one or two blocks. The rounds read the
+    summaries, never the lines again.
     """
-    blocks = cut_lineage(_summaries(lines, seq))
+    spark = lines.sparkSession
+    path = job_dir(spark, "stock-blocks")
+    _summaries(lines, seq).write.parquet(path)
+    blocks = spark.read.parquet(path)
     pending = hot.select(
         "sku", F.col("_stock").alias("_now"), F.lit(-1).cast("long").alias("_from")
     )
@@ -225,21 +232,24 @@ def _block_starts(lines, hot, seq):
         step = done.select("sku", BLOCK, "_start")
         found = step if found is None else found.unionByName(step)
         crossing = done.where(F.col(BLOCK) == F.col("_stop")).select("sku", BLOCK, "_start")
-        pending = cut_lineage(_after(lines, crossing, seq))
+        pending = cut_lineage(_after(blocks, crossing))
+    files, root = on_disk(spark, path)
+    files.delete(root, True)
     return found
 
 
-def _after(lines, crossing, seq):
+def _after(blocks, crossing):
     """Stock after folding one block of each SKU (one row per hot SKU: broadcast)."""
 
-    def run(key, pdf):
-        pdf = pdf.sort_values(seq, kind="stable", na_position="first")
-        left = int(pdf["_start"].iloc[0])
-        for want in pdf["quantity"].tolist():
-            if want <= left:
-                left -= want
-        return pd.DataFrame({"sku": [key[0]], "_now": [left], "_from": [key[1]]})
-
-    sku = lines.schema["sku"].dataType.simpleString()
-    chosen = lines.join(F.broadcast(crossing), ["sku", BLOCK])
-    return chosen.groupBy("sku", BLOCK).applyInPandas(run, f"sku {sku}, _now long, _from long")
+    @F.pandas_udf(T.LongType())
+    def fold(wants: pd.Series, starts: pd.Series) -> pd.Series:
+        ends = []
+        for packed, left in zip(wants, starts.tolist()):
+            for want in np.frombuffer(packed, dtype=np.int64).tolist():
+                if want <= left:
+                    left -= want
+            ends.append(left)
+        return pd.Series(ends, dtype="int64")
+
+    chosen = blocks.select("sku", BLOCK, "_wants").join(F.broadcast(crossing), ["sku", BLOCK])
+    return chosen.select("sku", fold("_wants", "_start").alias("_now"), F.col(BLOCK).alias("_from"))

@@ -60,6 +60,12 @@ def job_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def on_disk(spark: SparkSession, path: str):
+    """The file system a path is on, and the path on it."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), root
+
+
 def cut_lineage(df):
     """Reliable checkpoint, so a lost executor costs one read and not the whole history."""
     context = df.sparkSession.sparkContext

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from millrace.operators.dedup import first_per_key
 from millrace.operators.tables import latest_per_key, upsert
+from millrace.session import on_disk
 
 
 def exactly_once_writer(path: str, transform=None, after_write=None):
@@ -46,16 +47,10 @@ def read_committed(spark: SparkSession, path: str, keys) -> DataFrame:
     return first_per_key(rows, list(keys), order).drop("batch_id")
 
 
-def _folder(spark: SparkSession, path: str):
-    """The file system a path is on, and the path on it."""
-    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), root
-
-
 def _versions(spark: SparkSession, path: str):
     """Numbers of the finished versions of a table, from its folder."""
     jvm = spark.sparkContext._jvm
-    files, root = _folder(spark, path)
+    files, root = on_disk(spark, path)
     if not files.exists(root):
         return []
     found = []
@@ -74,7 +69,7 @@ def write_version(df: DataFrame, path: str, version: int, keep=3):
     """
     df.write.mode("overwrite").parquet(f"{path}/version={version}")
     spark = df.sparkSession
-    files, root = _folder(spark, path)
+    files, root = on_disk(spark, path)
     for old in [v for v in _versions(spark, path) if v <= version][:-keep]:
         files.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, f"version={old}"), True)
 
