@@ -171,15 +171,13 @@ def requests(spark, sf_dir):
 def defective_orders(spark, sf_dir):
     """Orders of which some break one or more of the rules."""
     fault = F.col("offset") % 50
-    items = F.when(fault == 1, F.array().cast("array<struct<sku:string,quantity:int,price:decimal(18,2)>>")).otherwise(
-        F.array(
-            F.struct(
-                F.when(fault == 2, " ").otherwise("SKU-1").alias("sku"),
-                F.when(fault == 3, 0).otherwise(1).alias("quantity"),
-                F.when(fault != 4, F.col("total_amount")).alias("price"),
-            )
-        )
+    line = F.struct(
+        F.when(fault == 2, " ").otherwise("SKU-1").alias("sku"),
+        F.when(fault == 3, 0).otherwise(1).alias("quantity"),
+        F.when(fault != 4, F.col("total_amount")).alias("price"),
     )
+    no_lines = F.array().cast("array<struct<sku:string,quantity:int,price:decimal(18,2)>>")
+    items = F.when(fault == 1, no_lines).otherwise(F.array(line))
     return orders_log(spark, sf_dir).select(
         "offset",
         "order_id",
@@ -240,10 +238,12 @@ def topic_log(spark, sf_dir):
     def header(key, value):
         return F.struct(F.lit(key).alias("key"), F.encode(value, "UTF-8").alias("value"))
 
+    kind = F.col("event_type")
+    own = header("traceId", trace)
     headers = (
-        F.when(F.col("event_type") == "click", F.array(header("traceId", F.lit("old")), header("traceId", trace)))
-        .when(F.col("event_type") == "view", F.array(header("traceId", trace), header("lang", F.lit("en"))))
-        .when(F.col("event_type") == "error", F.array(header("traceId", F.lit(""))))
+        F.when(kind == "click", F.array(header("traceId", F.lit("old")), own))
+        .when(kind == "view", F.array(own, header("lang", F.lit("en"))))
+        .when(kind == "error", F.array(header("traceId", F.lit(""))))
         .otherwise(F.array().cast("array<struct<key:string,value:binary>>"))
     )
     return events_log(spark, sf_dir).select(

@@ -243,7 +243,7 @@ ORACLES["enrichment_counters"] = f"""
   WITH {EVENTS}, {_CHANGES}
   SELECT 'consumed' AS table_name, count(*) AS n FROM events_log WHERE event_type = 'purchase'
   UNION ALL SELECT 'joined', count(*) FROM ({_ASOF})"""
-ORACLES["pipeline_counts"] = " UNION ALL ".join(
+ORACLES["row_counts"] = " UNION ALL ".join(
     f"SELECT '{name}' AS table_name, count(*) AS n FROM {name}"
     for name in ("orders", "lineitem", "events", "part")
 )

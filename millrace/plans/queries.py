@@ -323,7 +323,7 @@ def enrichment_counters(spark, sf_dir):
 
 
 @query
-def pipeline_counts(spark, sf_dir):
+def row_counts(spark, sf_dir):
     names = ("orders", "lineitem", "events", "part")
     return table_counts({name: inputs.table(spark, sf_dir, name) for name in names})
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -46,7 +45,7 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local session may fall back to a temporary folder of its own.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or os.environ.get("MILLRACE_SHARED_DIR")
+    named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")

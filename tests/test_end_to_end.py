@@ -20,7 +20,7 @@ REQUEST = (
 )
 
 
-def test_pipeline(spark, tmp_path):
+def test_from_request_to_messages(spark, tmp_path):
     def request(offset, user, quantity, total, key):
         item = ("SKU-1", quantity, Decimal("9.99"))
         return (f"o{offset}", user, [item], total, None, key, offset, datetime(2026, 1, 1, 0, 0, offset))

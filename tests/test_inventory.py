@@ -103,3 +103,20 @@ def test_splitting_skewed_joins_does_not_split_a_fold(spark):
     finally:
         for key in settings:
             spark.conf.unset(key)
+
+
+def test_many_hot_skus_at_once_equal_the_fold(spark):
+    """Eighty SKUs of very different sizes and stocks, all of them cut into blocks."""
+    rng = random.Random(99)
+    lines, stock = [], []
+    sizes = {}
+    for i in range(80):
+        sku = f"s{i:02d}"
+        top = rng.choice([1, 2, 3, 10, 64, 65, 1000, 1 << 20, (1 << 31) - 1])
+        sizes[sku] = sorted({rng.randint(0, top) for _ in range(rng.choice([1, 2, 5, 40]))})
+        stock.append((sku, min((1 << 31) - 1, rng.choice([0, 1, top, top * 3, top * 20, top * 60]))))
+    for offset in range(120):
+        for line, sku in enumerate(sorted(sizes)):
+            lines.append((sku, offset, line, rng.choice(sizes[sku])))
+    expected = fold(lines, stock)
+    assert run(spark, lines, stock, rows=9) == expected
