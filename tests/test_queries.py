@@ -70,3 +70,30 @@ def test_running_values_shuffle_rows_once(spark, sf_dir):
     left = text[text.index("SortMergeJoin"):text.index("partial_max")]
     rows_side = left[:left.index("FileScan")]
     assert rows_side.count("Exchange") == 1
+
+
+def test_python_code_runs_where_the_package_is_missing(tmp_path):
+    """Executors get functions and state processors by value."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from millrace.functions.hashing import _murmur2
+    from millrace.streaming.fraud import WindowCounter
+    from millrace.streaming.keyed import ProfileAtArrival
+
+    packed = cloudpickle.dumps(
+        [_murmur2.func, WindowCounter("t", 1, 3), ProfileAtArrival("k", "s", ["n"], [], {})]
+    )
+    code = (
+        "import sys, importlib.util, pandas as pd; from pyspark import cloudpickle\n"
+        "assert importlib.util.find_spec('millrace') is None\n"
+        "made = cloudpickle.loads(sys.stdin.buffer.read())\n"
+        "print(made[0](pd.Series(['user-1']))[0], made[1].threshold)"
+    )
+    done = subprocess.run(
+        [sys.executable, "-I", "-c", code], input=packed, cwd=tmp_path, capture_output=True
+    )
+    assert done.returncode == 0, done.stderr.decode()
+    assert done.stdout.split()[1] == b"3"
