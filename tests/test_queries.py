@@ -72,6 +72,20 @@ def test_running_values_shuffle_rows_once(spark, sf_dir):
     assert rows_side.count("Exchange") == 1
 
 
+@pytest.mark.parametrize(
+    "name, scans, shuffles",
+    [("enriched_orders", 2, 0), ("idempotent_orders", 1, 1), ("running_counts", 1, 1)],
+)
+def test_without_a_hot_key_the_plan_is_the_plain_one(spark, sf_dir, name, scans, shuffles):
+    """Adaptive execution leaves out what is there for hot keys once it finds none."""
+    frame = entry.queries()[name](spark, sf_dir)
+    frame.collect()
+    text = frame._jdf.queryExecution().executedPlan().toString()
+    final = text[:text.index("Initial Plan")]
+    assert final.count("FileScan") == scans
+    assert final.count("Exchange hashpartitioning") == shuffles
+
+
 def test_python_code_runs_where_the_package_is_missing(tmp_path):
     """Executors get functions and state processors by value."""
     import subprocess
