@@ -74,7 +74,7 @@ def test_running_values_shuffle_rows_once(spark, sf_dir):
 
 @pytest.mark.parametrize(
     "name, scans, shuffles",
-    [("enriched_orders", 2, 0), ("idempotent_orders", 1, 1), ("running_counts", 1, 1)],
+    [("enriched_orders", 2, 0), ("idempotent_orders", 1, 1)],
 )
 def test_without_a_hot_key_the_plan_is_the_plain_one(spark, sf_dir, name, scans, shuffles):
     """Adaptive execution leaves out what is there for hot keys once it finds none."""
