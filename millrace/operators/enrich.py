@@ -58,19 +58,20 @@ def asof_enrich(
     profile_columns = [c for c in changes.columns if c not in (key, seq)]
     order_columns = [c for c in orders.columns if c not in (key, seq)]
     profile = F.struct(*profile_columns)
-    order = F.struct(*order_columns) if order_columns else F.struct(F.lit(1).alias("_one"))
+    # Order columns stay apart, so those nobody asks for are not shuffled.
+    own = {c: f"_order_{c}" for c in order_columns}
     change_rows = changes.where(F.col(key).isNotNull()).select(
         key, seq, F.lit(0).alias("_side"), profile.alias("_profile")
     )
     order_rows = orders.where(F.col(key).isNotNull()).select(
-        key, seq, F.lit(1).alias("_side"), order.alias("_order")
+        key, seq, F.lit(1).alias("_side"), *[F.col(c).alias(own[c]) for c in order_columns]
     )
     log = change_rows.unionByName(order_rows, allowMissingColumns=True)
     filled = fill_forward(log, [key], seq, "_profile", "_current", tie="_side", rows=rows)
     alive = F.coalesce(*[F.col(f"_current.{c}").cast("string") for c in profile_columns])
     hit = filled.where((F.col("_side") == 1) & alive.isNotNull())
     joined = hit.select(
-        key, seq, *[f"_order.{c}" for c in order_columns],
+        key, seq, *[F.col(own[c]).alias(c) for c in order_columns],
         *[f"_current.{c}" for c in profile_columns],
     )
     return enrich_projection(joined)
