@@ -49,14 +49,20 @@ def join_skewed(df: DataFrame, table: DataFrame, keys, how="inner", rows=BLOCK_R
     Rows of hot keys do not move: the table's rows for those keys, as few as there are hot
     keys, are broadcast to them. All others are joined by key. Spark's own handling of a
     skewed join needs both sides straight from a shuffle, which an aggregated table is not.
-    Without a hot key the first branch is empty and adaptive execution leaves it out.
+    Without a hot key the first branch is empty and adaptive execution leaves it out. Rows
+    with a null key match nothing and, where the join keeps them, skip the shuffle.
     """
     keys = list(keys)
-    hot = F.broadcast(hot_keys(df, keys, rows))
-    common = df.join(hot, keys, "left_semi")
-    rare = df.join(hot, keys, "left_anti")
+    known = all_of([F.col(k).isNotNull() for k in keys])
+    keyed = df.where(known)
+    hot = F.broadcast(hot_keys(keyed, keys, rows))
+    common = keyed.join(hot, keys, "left_semi")
+    rare = keyed.join(hot, keys, "left_anti")
     few = F.broadcast(table.join(hot, keys, "left_semi"))
-    return common.join(few, keys, how).unionByName(rare.join(table, keys, how))
+    joined = common.join(few, keys, how).unionByName(rare.join(table, keys, how))
+    if how in ("left", "left_anti"):
+        joined = joined.unionByName(df.where(~known), allowMissingColumns=True)
+    return joined
 
 
 def _cut(df, keys, offset, rows, split):

@@ -44,7 +44,7 @@ def reserve_stock(lines: DataFrame, stock: DataFrame, seq=("offset", "line"), ro
 
     A line is RESERVED if what is left covers it, which then shrinks; otherwise it is
     REJECTED and nothing changes. Lines stand alone: one rejected line of an order does not
-    touch the others. Unknown SKUs are rejected. Returns ``(events, remaining)``.
+    touch the others. Unknown and missing SKUs are rejected. Returns ``(events, remaining)``.
 
     ``lines`` has ``sku``, ``quantity`` and the columns of ``seq``, a total order whose
     first column is the log offset (of an order: a block holds ``rows`` orders at most);
@@ -57,6 +57,9 @@ def reserve_stock(lines: DataFrame, stock: DataFrame, seq=("offset", "line"), ro
     with is worked out first (``_block_starts``), so its blocks fold side by side.
     """
     seq = list(seq)
+    # Lines without a SKU need no place in the shuffle.
+    nameless = lines.where(F.col("sku").isNull())
+    columns, lines = lines.columns, lines.where(F.col("sku").isNotNull())
     # One row per SKU, kept: it is used three times and takes a pass over the lines.
     demand = cut_lineage(
         lines.groupBy("sku").agg(
@@ -99,7 +102,8 @@ def reserve_stock(lines: DataFrame, stock: DataFrame, seq=("offset", "line"), ro
     known = placed.withColumn(
         "status", F.when(all_fit, F.lit("RESERVED")).when(never, F.lit("REJECTED"))
     ).drop("_fits", "_hot_fits")
-    events = _fold(known.sortWithinPartitions(*keys, *seq)).select(*lines.columns, "status")
+    folded = _fold(known.sortWithinPartitions(*keys, *seq)).select(*columns, "status")
+    events = folded.unionByName(nameless.withColumn("status", F.lit("REJECTED")))
     return events, stock_left(stock, events)
 
 

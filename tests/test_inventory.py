@@ -44,6 +44,17 @@ def test_lines_stand_alone_and_unknown_sku_is_rejected(spark):
     assert left == [("a", 2), ("b", 0)]
 
 
+def test_lines_without_a_sku(spark):
+    lines = [(None, 1, 0, 1), ("a", 2, 0, 1), (None, 3, 0, 1)]
+    frame = spark.createDataFrame(lines, "sku string, offset long, line int, quantity int")
+    stock = spark.createDataFrame([("a", 3)], "sku string, quantity int")
+    events, left = reserve_stock(frame, stock)
+    assert sorted((r.offset, r.status) for r in events.collect()) == [
+        (1, "REJECTED"), (2, "RESERVED"), (3, "REJECTED"),
+    ]
+    assert left.first().quantity == 2
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_hot_sku_in_blocks_equals_the_fold(spark, seed):
     """A third of all lines on one SKU, cut into many blocks, adversarial sizes."""
