@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import exact, secrets, urls
+from millrace.llm import exact, secrets, tokens, urls
 from millrace.llm.common import read, texts
 from millrace.session import prepare
 
@@ -45,6 +45,14 @@ def op6_secret_scan(spark, sf_dir):
     )
 
 
+@query
+def op9_token_counts(spark, sf_dir):
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return tokens.token_counts(read(spark, sf_dir, "documents"), path)
+
+
 @query
 def op8_exact_dedup(spark, sf_dir):
     return exact.exact_dedup(read(spark, sf_dir, "documents")).select(

@@ -48,13 +48,13 @@ def rule_of(rules=RULES):
 
 def grams(gram=GRAM, features=FEATURES):
     """Numbers of the hashed n-grams of host and path; a shorter text is one gram."""
-    parts = []
-    for part in ("host", "path"):
+    def of(part):
         starts = F.sequence(F.lit(1), F.greatest(F.length(part) - gram + 1, F.lit(1)))
-        parts.append(F.transform(starts, lambda i, part=part: F.pmod(
+        return F.transform(starts, lambda i: F.pmod(
             F.xxhash64(F.lit(part), F.substr(F.col(part), i, F.lit(gram))), F.lit(features)
-        ).cast("int")))
-    return F.concat(*parts)
+        ).cast("int"))
+
+    return F.concat(of("host"), of("path"))
 
 
 def fit(labelled: DataFrame, rows=FIT_ROWS, features=FEATURES, steps=STEPS):
