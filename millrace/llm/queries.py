@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import exact, secrets, tokens, urls
+from millrace.llm import exact, leaks, secrets, tokens, toxic, urls
 from millrace.llm.common import read, texts
 from millrace.session import prepare
 
@@ -29,6 +29,18 @@ def op2_url_filter(spark, sf_dir):
     return judged.select("page_id", "host", "path", "rule", "verdict", "block_score")
 
 
+@query
+def op5_toxicity(spark, sf_dir):
+    docs = texts(read(spark, sf_dir, "documents"))
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    labels = read(spark, sf_dir, "labels").where(~held_out).select(
+        "doc_id", F.col("toxic").alias("label")
+    )
+    score = toxic.fit_toxic(docs, labels).probability(F.col("text"))
+    scored = docs.select("doc_id", held_out.alias("held_out"), score.alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= toxic.THRESHOLD).cast("int"))
+
+
 @query
 def op6_secret_scan(spark, sf_dir):
     scanned = secrets.scan_secrets(texts(read(spark, sf_dir, "documents")))
@@ -45,6 +57,16 @@ def op6_secret_scan(spark, sf_dir):
     )
 
 
+@query
+def op7_decontamination(spark, sf_dir):
+    docs = texts(read(spark, sf_dir, "documents"))
+    found = leaks.with_leaks(docs, read(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", (F.size("leaks.items") > 0).alias("leaked"),
+        F.col("leaks.items").alias("item_ids"), F.col("leaks.distances").alias("distances"),
+    )
+
+
 @query
 def op9_token_counts(spark, sf_dir):
     import public_tokenizers
