@@ -306,9 +306,8 @@ def _calibrate(values):
     slope, offset = 1.0, 0.0
     # Targets a little inside 0 and 1 keep the curve finite when classes part cleanly.
     target = np.where(y == 1, 1 - 1 / (y.sum() + 2), 1 / (len(y) - y.sum() + 2))
-    share = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
     for _ in range(3000):
-        miss = (1 / (1 + np.exp(-(slope * x + offset))) - target) * share
+        miss = (1 / (1 + np.exp(-(slope * x + offset))) - target) / len(y)
         slope -= 4 * (miss @ x)
         offset -= 4 * miss.sum()
     return float(slope), float(offset)
