@@ -63,3 +63,25 @@ def blocks(rows, size, limit=BLOCK_BYTES):
             held, total = [], 0
     if held:
         yield held
+
+
+def keep_once(docs: DataFrame, judged: DataFrame, digest) -> DataFrame:
+    """The documents judged ``kept``, with all their columns.
+
+    ``judged`` names a document by ``doc_id`` and ``digest``, as the column ``digest`` of
+    ``docs`` does. A document stored twice with both the same is kept once.
+    """
+    units = judged.groupBy("doc_id", "digest").agg(
+        F.max("kept").alias("kept"), F.count("*").alias("_copies")
+    )
+    chosen = stored(units.where("kept").select(
+        F.col("doc_id").alias("_id"), F.col("digest").alias("_of"), "_copies"
+    ), "kept-documents")
+    marked = docs.withColumn("_digest", digest)
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_of"))
+    kept = marked.join(chosen, same)
+    if chosen.where("_copies > 1").isEmpty():
+        return kept.select(*docs.columns)
+    rows = F.struct(*docs.columns).alias("_row")
+    repeated = kept.where("_copies > 1").groupBy("_of", "_id").agg(F.first(rows).alias("_row"))
+    return kept.where("_copies = 1").select(*docs.columns).unionByName(repeated.select("_row.*"))

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import stored, texts
+from millrace.llm.common import keep_once, stored, texts
 
 # Digests in a shard of the index on average: bounds what one task holds.
 SHARD_DIGESTS = 16_384
@@ -19,7 +19,7 @@ NO_ID = -(1 << 63)
 
 def digest_table(docs: DataFrame) -> DataFrame:
     """One narrow row per document: ``row`` names it within this table, ``digest`` its text."""
-    digest = F.unhex(F.sha2(F.col("text"), 256))
+    digest = F.unhex(_sha256(F.col("text")))
     table = texts(docs).select(
         F.monotonically_increasing_id().alias("row"), "doc_id", digest.alias("digest")
     )
@@ -179,22 +179,8 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
 
 def drop_repeats(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns."""
-    judged = exact_dedup(docs)
-    stays = judged.where("kept").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_d"))
-    # Rows stored twice with the same id and text: both match, so these are made one.
-    twice = judged.where("doc_id <=> keep_id").groupBy("digest", "doc_id").count()
-    twice = twice.where("count > 1").select(
-        F.col("doc_id").alias("_id2"), F.col("digest").alias("_d2"), F.lit(True).alias("_twice")
-    )
-    digest = F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))
-    marked = docs.withColumn("_digest", digest)
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_d"))
-    kept = marked.join(stays, same, "left_semi")
-    if twice.isEmpty():
-        return kept.drop("_digest")
-    same = F.col("doc_id").eqNullSafe(F.col("_id2")) & (F.col("_digest") == F.col("_d2"))
-    kept = kept.join(twice, same, "left")
-    single = kept.where("_twice is null").select(*docs.columns)
-    rows = F.struct(*docs.columns)
-    merged = kept.where("_twice").groupBy("doc_id", "_digest").agg(F.min(rows).alias("_r"))
-    return single.unionByName(merged.select("_r.*"))
+    return keep_once(docs, exact_dedup(docs), F.unhex(_sha256(F.col("text"))))
+
+
+def _sha256(text):
+    return F.sha2(F.coalesce(text, F.lit("")), 256)

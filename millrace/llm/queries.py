@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import exact, leaks, secrets, tokens, toxic, urls
+from millrace.llm import exact, leaks, near, secrets, tokens, toxic, urls
 from millrace.llm.common import read, texts
 from millrace.session import prepare
 
@@ -23,6 +23,13 @@ def query(function):
     return run
 
 
+@query
+def op1_near_dedup(spark, sf_dir):
+    return near.near_classes(read(spark, sf_dir, "documents")).select(
+        "doc_id", "class_id", "class_size", "kept"
+    )
+
+
 @query
 def op2_url_filter(spark, sf_dir):
     judged = urls.judge_urls(read(spark, sf_dir, "pages").select("page_id", "url"))

@@ -19,6 +19,8 @@ MARGIN = 64
 # Words whose counts a task remembers.
 REMEMBERED = 400_000
 
+# Letters, marks and single line ends next to each other are pre-tokens of their own.
+PIECE = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+|[.,;:!?*#$&|]+|\n(?=[^\n])")
 BESIDE_SPACE = re.compile(r" \s|\s ")
 BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
 
@@ -43,23 +45,38 @@ def _counter(json):
     tokenizer = Tokenizer.from_str(json)
     tokenizer.no_truncation()
     tokenizer.no_padding()
-    known = {}
+    known, known_pieces = {}, {}
+
+    def encode(found, into):
+        found = list(found)
+        encoded = tokenizer.encode_batch_fast(found, add_special_tokens=False)
+        into.update(zip(found, map(len, encoded)))
+
+    def learn(words):
+        """Words repeat less than what they consist of: sum the counts of the pieces."""
+        cut, whole = {}, []
+        for w in words:
+            pieces = PIECE.findall(w)
+            if "".join(pieces) == w:
+                pieces[0] = " " + pieces[0]
+                cut[w] = pieces
+            else:
+                whole.append(" " + w)
+        encode(set().union(*cut.values()) - known_pieces.keys(), known_pieces)
+        known.update((w, sum(map(known_pieces.__getitem__, p))) for w, p in cut.items())
+        counts = {}
+        encode(whole, counts)
+        known.update((w[1:], n) for w, n in counts.items())
 
     def count(found):
         parts = [words_of(text) for text in found]
-        inner = {w for p in parts for w in p[1:]}
-        new = [w for w in inner if w not in known]
-        for w, e in zip(new, tokenizer.encode_batch_fast(
-            [" " + w for w in new], add_special_tokens=False
-        )):
-            known[w] = len(e)
-        first = tokenizer.encode_batch_fast(
-            [p[0] for p in parts if p], add_special_tokens=False
-        )
-        first = iter(first)
-        sums = [len(next(first)) + sum(map(known.__getitem__, p[1:])) if p else 0 for p in parts]
-        if len(known) > REMEMBERED:
-            known.clear()
+        starts = [p.pop(0) if p else "" for p in parts]
+        learn(set().union(*parts) - known.keys())
+        first = tokenizer.encode_batch_fast(starts, add_special_tokens=False)
+        sums = [len(e) + sum(map(known.__getitem__, p)) for e, p in zip(first, parts)]
+        for memory in (known, known_pieces):
+            if len(memory) > REMEMBERED:
+                memory.clear()
         return sums
 
     return count
