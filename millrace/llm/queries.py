@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import exact, leaks, near, secrets, tokens, toxic, urls
+from millrace.llm import exact, leaks, near, pieces, secrets, tokens, toxic, urls
 from millrace.llm.common import read, texts
 from millrace.session import prepare
 
@@ -36,6 +36,15 @@ def op2_url_filter(spark, sf_dir):
     return judged.select("page_id", "host", "path", "rule", "verdict", "block_score")
 
 
+@query
+def op4_pieces(spark, sf_dir):
+    import public_tokenizers
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    coded = pieces.with_pieces(texts(read(spark, sf_dir, "documents")), path)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "round_trip")
+
+
 @query
 def op5_toxicity(spark, sf_dir):
     docs = texts(read(spark, sf_dir, "documents"))
