@@ -36,6 +36,8 @@ def stored(df: DataFrame, name: str, **options) -> DataFrame:
     """
     spark = df.sparkSession
     path = job_dir(spark, name)
+    # What is written needs no shuffle files any more.
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     df.write.options(**options).parquet(path)
     if not _folders:
         atexit.register(_tidy, spark)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import exact, leaks, near, pieces, secrets, tokens, toxic, urls
+from millrace.llm import exact, leaks, near, pieces, repeats, secrets, tokens, toxic, urls
 from millrace.llm.common import read, texts
 from millrace.session import prepare
 
@@ -98,6 +98,13 @@ def op8_exact_dedup(spark, sf_dir):
     )
 
 
+@query
+def op10_repeats(spark, sf_dir):
+    return repeats.cut_repeats(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 ORACLES["op8_exact_dedup"] = """
     SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
            doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
