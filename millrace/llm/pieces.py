@@ -23,9 +23,9 @@ from millrace.llm.common import blocks
 MARK = "▁"
 # Longer words are encoded one by one instead of side by side.
 LONGEST = 64
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 # Text encoded at once: the more, the fewer steps for all its new words together.
-BLOCK = 6 << 20
+BLOCK = 3 << 20
 NEVER = 1 << 40
 
 WORDS = re.compile(f"{MARK}+[^{MARK}]*")
@@ -250,7 +250,7 @@ class Tables:
         for k in order[sizes[order] > LONGEST]:
             out[k] = np.array(self.t.encode_word(words[k], self.memory), np.int32).tobytes()
         order = order[sizes[order] <= LONGEST]
-        for part in np.array_split(order, max(1, len(order) // 100_000)):
+        for part in np.array_split(order, max(1, len(order) // 30_000)):
             if len(part):
                 for k, ids in zip(part, self._side_by_side([words[k] for k in part])):
                     out[k] = ids

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import exact, leaks, near, pieces, repeats, secrets, tokens, toxic, urls
+from millrace.llm import exact, leaks, lm, near, pieces, repeats, secrets, tokens, toxic, urls
 from millrace.llm.common import read, texts
 from millrace.session import prepare
 
@@ -36,6 +36,12 @@ def op2_url_filter(spark, sf_dir):
     return judged.select("page_id", "host", "path", "rule", "verdict", "block_score")
 
 
+@query
+def op3_lm_scores(spark, sf_dir):
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    return lm.score_texts(read(spark, sf_dir, "documents"), held_out)
+
+
 @query
 def op4_pieces(spark, sf_dir):
     import public_tokenizers
