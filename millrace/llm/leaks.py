@@ -113,7 +113,8 @@ def _finder_udf(items, rate):
         find, ids, distances = item_finder(wanted, rate), [], []
         for block in blocks(batches, len):
             for text in block:
-                hits = sorted((i, d) for n, d in find(text).items() for i in names[n])
+                hits = [(i, d) for n, d in find(text).items() for i in names[n]]
+                hits.sort(key=lambda hit: (hit[0] is not None, hit[0] or 0, hit[1]))
                 ids.append([i for i, _ in hits])
                 distances.append([d for _, d in hits])
         return pd.DataFrame({"items": ids, "distances": distances})
@@ -131,14 +132,17 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, rate=ERROR_RATE) -> DataFr
     and each block is looked for in the texts as they stream by.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("id"), plain(F.col("text")).alias("item"))
-    items = items.where("item <> ''").groupBy("item").agg(F.collect_list("id").alias("ids"))
+    items = items.where("item <> ''").groupBy("item").agg(
+        F.collect_list(F.struct("id")).alias("ids")  # bare values would lose the nulls
+    )
     total = items.agg(F.sum(F.length("item"))).first()[0] or 0
     n = total // ITEMS_CHARS + 1
     out = docs.withColumn("_plain", plain(F.col("text")))
     parts = []
     for i in range(n):
-        block = items.where(F.pmod(F.xxhash64("item"), F.lit(n)) == i).collect()
-        out = out.withColumn(f"_found{i}", _finder_udf(sorted((r[0], r[1]) for r in block), rate)("_plain"))
+        rows = items.where(F.pmod(F.xxhash64("item"), F.lit(n)) == i).collect()
+        block = [(row["item"], [r["id"] for r in row["ids"]]) for row in rows]
+        out = out.withColumn(f"_found{i}", _finder_udf(block, rate)("_plain"))
         parts.append(f"_found{i}")
     leaks = F.struct(*[
         (F.concat(*[F.col(p)[field] for p in parts])).alias(field) for field in ("items", "distances")
