@@ -19,6 +19,8 @@ SIMILARITY = 0.8
 SKETCHES = 16
 # Shingles in a sketch: more of them tell texts apart better and find pairs less often.
 ORDER = 2
+# Strangers of a bucket that are aligned with each other, and further sketches that part more.
+FEW, NEXT = 16, 3
 
 _BYTES = np.zeros(256, np.uint8)
 _BYTES[128:] = 1
@@ -222,47 +224,67 @@ def _shingles_udf(words):
     return shingle_bytes
 
 
-def links(docs: DataFrame, nodes: DataFrame, least=SIMILARITY, words=WORDS) -> DataFrame:
-    """Verified links ``(a, b)`` between different texts.
+def linked(docs: DataFrame, nodes: DataFrame, least=SIMILARITY, words=WORDS) -> DataFrame:
+    """``node, root`` of the classes that verified links between different texts make.
 
     ``nodes`` holds a row per distinct text: ``node`` (its digest) and ``sketches``. Texts that
     share a sketch meet in a bucket, where each is aligned with the first of them only, so
-    no bucket gives more pairs than rows. Those unlike the first meet again in smaller
-    buckets, of texts that share another sketch as well, until all have found
-    their like or are alone. So a passage that thousands of texts share costs each of them a
-    few alignments, and a link is not lost because a bucket's first text is a stranger.
+    no bucket gives more pairs than rows. Those that no link connects to the first are strangers:
+    up to ``FEW`` are aligned with each other, more of them meet again in the smaller buckets of
+    those that share one of the next ``NEXT`` sketches too. So a passage that thousands of texts
+    share costs each a few alignments. Two texts alike share about half of their sketches,
+    each a chance to meet, so a bucket whose first text is a stranger loses no link.
     """
     members = stored(nodes.select("node", F.posexplode("sketches").alias("i", "sketch")).select(
-        F.xxhash64("i", "sketch").alias("bucket"), "node"
+        F.xxhash64("i", "sketch").alias("bucket"), "i", "node"
     ), "sketch-buckets")
-    meeting = _meeting(members)
-    crowd = stored(meeting, "bucket-members")
+    crowd = stored(_meeting(members), "bucket-members")
     wanted = crowd.select("node").distinct()
     shingled = docs.select("text", node_of(F.col("text")).alias("node")).join(
         wanted, "node", "left_semi"
     )
-    first = shingled.groupBy("node").agg(F.first("text").alias("text"))
-    shingled = stored(first.select("node", _shingles_udf(words)("text").alias("shingles")), "shingles")
-    found = None
-    tried = None
-    while not crowd.isEmpty():
-        pairs = crowd.where("node <> first").select(F.col("node").alias("b"), F.col("first").alias("a")).distinct()
+    shingled = shingled.groupBy("node").agg(F.first("text").alias("text"))
+    shingled = stored(
+        shingled.select("node", _shingles_udf(words)("text").alias("shingles")), "shingles"
+    )
+    few, tried, found, roots = None, None, None, None
+    while True:
+        pairs = crowd.where("node <> first").select(
+            F.col("first").alias("a"), F.col("node").alias("b")
+        )
+        if few is not None:
+            pairs = pairs.unionByName(few)
+        pairs = pairs.distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        judged = pairs.join(shingled.select(F.col("node").alias("a"), F.col("shingles").alias("_a")), "a")
-        judged = judged.join(shingled.select(F.col("node").alias("b"), F.col("shingles").alias("_b")), "b")
-        alike = _similarity_udf(least)("_a", "_b") >= least
-        judged = stored(judged.select("a", "b", alike.alias("alike")), "aligned-pairs")
-        tried = judged if tried is None else stored(tried.unionByName(judged), "tried-pairs")
+        judged = stored(_aligned(pairs, shingled, least), "aligned-pairs")
+        tried = judged if tried is None else tried.unionByName(judged)
         new = judged.where("alike").select("a", "b")
         found = new if found is None else found.unionByName(new)
-        # Who was unlike the first of a bucket may still be like another one there.
-        strangers = crowd.where("node <> first").join(
-            tried.where("not alike").select(F.col("a").alias("first"), F.col("b").alias("node")),
-            ["first", "node"], "left_semi",
-        ).select("bucket", "node")
-        crowd = stored(_meeting(_narrower(strangers, nodes)), "bucket-members")
-    return found
+        roots = components(found)
+        strangers = _rooted(_rooted(crowd, roots, "node"), roots, "first").where(
+            "node_root <> first_root"
+        ).select("bucket", "i", "node", F.col("node_root").alias("root"))
+        strangers = stored(strangers, "strangers")
+        sizes = strangers.groupBy("bucket").agg(
+            F.count("*").alias("n"), F.min("node").alias("least"),
+            F.bit_xor(F.xxhash64("node")).alias("who"),
+            F.min("root").alias("low"), F.max("root").alias("high"),
+        )
+        # Where all are of one class by now, nothing is left to find.
+        sizes = stored(sizes.where("low <> high").drop("low", "high"), "strangers-counted")
+        if sizes.isEmpty():
+            return roots
+        few = _small_sets(strangers, sizes)
+        many = strangers.join(sizes.where(F.col("n") > FEW).select("bucket"), "bucket", "left_semi")
+        crowd = stored(_meeting(_narrower(many, nodes)), "bucket-members")
+
+
+def _rooted(rows, roots, column):
+    """Add the root of a node column, the node itself where it has no link."""
+    named = roots.select(F.col("node").alias(column), F.col("root").alias(f"{column}_root"))
+    rooted = rows.join(named, column, "left")
+    return rooted.withColumn(f"{column}_root", F.coalesce(f"{column}_root", column))
 
 
 def _meeting(members):
@@ -271,14 +293,36 @@ def _meeting(members):
     return members.join(counted.where("n > 1").drop("n"), "bucket")
 
 
+def _small_sets(strangers, sizes):
+    """Pairs of members of buckets of up to ``FEW``; buckets with the same members count once."""
+    sets = sizes.where(F.col("n").between(2, FEW)).groupBy("n", "least", "who").agg(
+        F.min("bucket").alias("bucket")
+    )
+    member = strangers.join(sets.select("bucket"), "bucket", "left_semi")
+    left = member.select("bucket", F.col("node").alias("a"), F.col("root").alias("a_root"))
+    right = member.select("bucket", F.col("node").alias("b"), F.col("root").alias("b_root"))
+    return left.join(right, "bucket").where("a < b and a_root <> b_root").select("a", "b")
+
+
 def _narrower(strangers, nodes):
-    """Buckets of those that share, besides a bucket, one more sketch."""
-    counted = strangers.groupBy("bucket").count().where("count > 1").drop("count")
-    crowded = strangers.join(counted, "bucket", "left_semi")
-    again = crowded.join(nodes, "node").select(
-        "bucket", "node", F.posexplode("sketches").alias("i", "sketch")
+    """Buckets of those that share, besides a bucket, one of the sketches after its own."""
+    size = F.size("sketches")
+    after = F.explode(F.transform(
+        F.sequence(F.lit(1), F.lit(NEXT)),
+        lambda k: F.struct(F.pmod(F.col("i") + k, size).alias("j"),
+                           F.get("sketches", F.pmod(F.col("i") + k, size)).alias("sketch")),
+    )).alias("s")
+    again = strangers.join(nodes, "node").select("bucket", "node", after)
+    return again.select(
+        F.xxhash64("bucket", "s.j", "s.sketch").alias("bucket"), F.col("s.j").alias("i"), "node"
     )
-    return again.select(F.xxhash64("bucket", "i", "sketch").alias("bucket"), "node").distinct()
+
+
+def _aligned(pairs, shingled, least):
+    left = shingled.select(F.col("node").alias("a"), F.col("shingles").alias("_a"))
+    right = shingled.select(F.col("node").alias("b"), F.col("shingles").alias("_b"))
+    both = pairs.join(left, "a").join(right, "b")
+    return both.select("a", "b", (_similarity_udf(least)("_a", "_b") >= least).alias("alike"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -299,7 +343,11 @@ def components(edges: DataFrame) -> DataFrame:
             "u <> v"
         ).distinct()
 
+    def print_of(pairs):
+        return pairs.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
+
     now = stored(downwards(edges.select(F.col("a").alias("u"), F.col("b").alias("v"))), "edges")
+    before = print_of(now)
     while True:
         larger = hang(both_ways(now)).where("v > u").select(
             F.col("v").alias("u"), F.col("m").alias("v")
@@ -308,11 +356,11 @@ def components(edges: DataFrame) -> DataFrame:
         smaller = hung.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             hung.select("u", F.col("m").alias("v"))
         )
-        after = stored(downwards(smaller), "edges")
-        same = after.join(now, ["u", "v"], "left_anti").isEmpty()
-        if same and after.count() == now.count():
-            return after.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        now = after
+        now = stored(downwards(smaller), "edges")
+        after = print_of(now)
+        if after == before:
+            return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        before = after
 
 
 def node_of(text):
@@ -337,13 +385,9 @@ def near_classes(
     nodes = stored(table.groupBy(F.col("digest").alias("node")).agg(
         F.first("sketches").alias("sketches")
     ), "distinct-texts")
-    linked = links(docs, nodes, least, words)
+    roots = linked(docs, nodes, least, words).select(F.col("node").alias("digest"), "root")
     rows = table.select("row", "doc_id", "digest")
-    if linked is None:
-        rooted = rows.withColumn("root", F.col("digest"))
-    else:
-        roots = components(linked).select(F.col("node").alias("digest"), "root")
-        rooted = rows.join(roots, "digest", "left").withColumn("root", F.coalesce("root", "digest"))
+    rooted = rows.join(roots, "digest", "left").withColumn("root", F.coalesce("root", "digest"))
     rooted = stored(rooted, "rooted")
     last = F.max(F.struct("doc_id", "row")).alias("last")
     classes = rooted.groupBy("root").agg(last, F.count("*").alias("class_size"))
