@@ -15,7 +15,7 @@ def header_trace(headers) -> Column:
     """Text of the last header named ``traceId``, if it is not empty."""
     named = F.filter(col(headers), lambda h: h["key"] == TRACE_HEADER)
     text = F.try_element_at(named, F.lit(-1))["value"].cast("string")
-    return F.when(has_text(text), text)
+    return F.when(F.octet_length(text) > 0, text)
 
 
 def set_trace_header(headers, trace_id) -> Column:

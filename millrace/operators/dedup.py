@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.blocks import BLOCK_ROWS, all_of, join_skewed, split_hot
+from millrace.operators.blocks import BLOCK_ROWS, all_of, split_hot
 
 
 def first_per_key(df: DataFrame, keys, order) -> DataFrame:
@@ -24,18 +24,21 @@ def dedup_first(
 
     The first submission of a key wins; later ones get its order id and emit nothing.
     A submission whose send ``failed`` (a condition) frees the key for the next one; it
-    answers with its own order id unless the key was already held. Keys must not be null.
+    answers with its own order id unless the key was already held. A submission without a key
+    stands for itself, outside the shuffle.
 
     Rows of a hot key stay where they are and have its winner, found with partial
     aggregation, sent to them; the others are answered in one window by key.
     """
     sent = F.lit(True) if failed is None else ~failed
     first = F.min(F.when(sent, F.struct(F.col(order).alias("at"), F.col(order_id).alias("id"))))
-    common, rare = split_hot(submissions, [key], rows)
+    common, rare = split_hot(submissions.where(F.col(key).isNotNull()), [key], rows)
     winners = F.broadcast(common.groupBy(key).agg(first.alias("_won")))
     answered = common.join(winners, key).unionByName(
         rare.withColumn("_won", first.over(Window.partitionBy(key)))
     )
+    alone = F.when(sent, F.struct(F.col(order).alias("at"), F.col(order_id).alias("id")))
+    answered = answered.unionByName(submissions.where(F.col(key).isNull()).withColumn("_won", alone))
     held = F.col("_won.at") <= F.col(order)
     return answered.select(
         *submissions.columns,
@@ -44,17 +47,16 @@ def dedup_first(
     )
 
 
-def skip_processed(
-    df: DataFrame, ledger: DataFrame, keys=("partition", "offset"), rows=BLOCK_ROWS,
-):
-    """Records whose log coordinate is not in the ledger yet."""
-    return join_skewed(df, ledger.select(*keys), keys, "left_anti", rows)
+def skip_processed(df: DataFrame, ledger: DataFrame, keys=("partition", "offset")):
+    """Records whose log coordinate is not in the ledger yet. Coordinates are unique, so none is hot."""
+    return df.join(ledger.select(*keys), list(keys), "left_anti")
 
 
-def ledger_dedup(df: DataFrame, ledger: DataFrame, keys=("partition", "offset")):
+def ledger_dedup(df: DataFrame, ledger: DataFrame, keys=("partition", "offset"), coordinate=None):
     """Records to process: new to the ledger, one per log coordinate.
 
-    Redelivered copies are equal, so the least row stands for all of them.
+    Redelivered copies are equal, so the least row stands for all of them. ``coordinate`` are the
+    keys that the ledger has, if a record consists of several rows.
     """
     rest = [c for c in df.columns if c not in keys]
     once = (
@@ -62,7 +64,7 @@ def ledger_dedup(df: DataFrame, ledger: DataFrame, keys=("partition", "offset"))
         if rest
         else df.select(*keys).distinct()
     )
-    return once.join(ledger.select(*keys), list(keys), "left_anti")
+    return skip_processed(once, ledger, coordinate or keys).select(*df.columns)
 
 
 def ledger_rows(processed: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.envelope import with_envelope
 from millrace.functions.scalar import (
     GRACE,
     HIGH_VALUE_ABOVE,
@@ -107,9 +108,10 @@ def growth_alerts(counts: DataFrame, threshold=VELOCITY_THRESHOLD, chunk=1 << 20
     return velocity_rows(numbers)
 
 
-def velocity_rows(counts: DataFrame) -> DataFrame:
-    """The alert for a (user, window, running count)."""
+def velocity_rows(counts: DataFrame, *keep) -> DataFrame:
+    """The alert for a (user, window, running count), with the columns to ``keep``."""
     return counts.select(
+        *keep,
         velocity_order_id("user_id", "window_start").alias("order_id"),
         "user_id",
         F.lit("VELOCITY").alias("reason"),
@@ -118,6 +120,17 @@ def velocity_rows(counts: DataFrame) -> DataFrame:
     )
 
 
+def velocity_events(counts: DataFrame, *, occurred_at="window_start") -> DataFrame:
+    """Velocity alerts as complete events, one for each running count of a window.
+
+    ``counts`` holds ``user_id, window_start, n``. Each has an id of its own, made from the user,
+    the window and the count, which also starts its trace; the user is the key.
+    """
+    alerts = velocity_rows(counts.select("user_id", "window_start", "n"), "window_start")
+    named = with_envelope(alerts, "reason", "order_id", "n", occurred_at=occurred_at)
+    return rekey(named, "user_id").drop("window_start")
+
+
 def fraud_alerts(
     orders: DataFrame, size=WINDOW_SIZE, threshold=HIGH_VALUE_ABOVE,
     velocity_threshold=VELOCITY_THRESHOLD, *, grace=None, partition="partition",
@@ -178,17 +191,19 @@ def with_stream_time(
 
 def drop_late(
     log: DataFrame, *, partition="partition", offset="offset", ts="occurred_at",
-    size=WINDOW_SIZE, grace=GRACE, before=None, rows=BLOCK_ROWS,
+    size=WINDOW_SIZE, grace=GRACE, before=None, rows=BLOCK_ROWS, user="user_id",
 ):
     """Records whose window was still open when they arrived.
 
+    Records without a ``user`` never reach a window: they are dropped and do not move the clock.
+
     Exact, record by record. Stream time is kept per ``partition``, which should be the
     partition of the log as read for counting (the one re-keyed by user). ``before`` is as
     in ``with_stream_time``.
     """
     timed = with_window(
         with_stream_time(
-            log, partition=partition, offset=offset, ts=ts, before=before, rows=rows
+            drop_null_orders(log, user), partition=partition, offset=offset, ts=ts, before=before, rows=rows
         ),
         size,
         ts,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.blocks import BLOCK, block_of
+from millrace.operators.dedup import ledger_dedup
 from millrace.session import cut_lineage, job_dir, on_disk
 
 # Lines of one SKU a single task folds; a SKU with more is cut into blocks of the log.
@@ -44,36 +45,42 @@ def reserve_stock(lines: DataFrame, stock: DataFrame, seq=("offset", "line"), ro
 
     A line is RESERVED if what is left covers it, which then shrinks; otherwise it is
     REJECTED and nothing changes. Lines stand alone: one rejected line of an order does not
-    touch the others. Unknown and missing SKUs are rejected. Returns ``(events, remaining)``.
+    touch the others. Unknown and missing SKUs and missing quantities are rejected. Returns ``(events, remaining)``.
 
     ``lines`` has ``sku``, ``quantity`` and the columns of ``seq``, a total order whose
     first column is the log offset (of an order: a block holds ``rows`` orders at most);
     other columns are passed on.
 
     Lines are shuffled once, by SKU. All lines of a SKU whose demand fits its stock are
-    reserved, and a line larger than the stock is rejected, by comparing columns; the rest
-    are folded in order while sorted partitions stream by. A SKU with more than ``rows``
+    reserved, and a line larger than the stock is rejected, by comparing columns (both with
+    what lines below zero give back in mind); the rest are folded in order while sorted partitions stream by. A SKU with more than ``rows``
     lines is cut into blocks of the log, shuffled by block, and the stock each block starts
-    with is worked out first (``_block_starts``), so its blocks fold side by side.
+    with is worked out first (``_block_starts``), so its blocks fold side by side. That takes
+    stock that only shrinks: a SKU with a line below zero is folded in one go.
     """
     seq = list(seq)
-    # Lines without a SKU need no place in the shuffle.
-    nameless = lines.where(F.col("sku").isNull())
-    columns, lines = lines.columns, lines.where(F.col("sku").isNotNull())
+    # Lines without a SKU or a quantity need no place in the shuffle.
+    whole = F.col("sku").isNotNull() & F.col("quantity").isNotNull()
+    nameless = lines.where(~whole)
+    columns, lines = lines.columns, lines.where(whole)
     # One row per SKU, kept: it is used three times and takes a pass over the lines.
     demand = cut_lineage(
         lines.groupBy("sku").agg(
-            F.sum("quantity").alias("_demand"), F.count(F.lit(1)).alias("_n")
+            F.sum(F.greatest("quantity", F.lit(0))).alias("_demand"),
+            F.sum(F.greatest(-F.col("quantity"), F.lit(0))).alias("_back"),
+            F.count(F.lit(1)).alias("_n"),
         )
     )
+    cut_up = (F.col("_n") > rows) & (F.col("_back") == 0)
     shelf = stock.select("sku", F.col("quantity").cast("long").alias("_stock"))
     fits = F.coalesce("_demand", F.lit(0)) <= F.col("_stock")
-    cold = shelf.join(demand.where(F.col("_n") <= rows), "sku").select(
-        "sku", F.lit(0).cast("long").alias(BLOCK), F.col("_stock").alias("_left"), fits.alias("_fits")
+    cold = shelf.join(demand.where(~cut_up), "sku").select(
+        "sku", F.lit(0).cast("long").alias(BLOCK), F.col("_stock").alias("_left"),
+        fits.alias("_fits"), (F.col("_stock") + F.col("_back")).alias("_most"),
     )
     # At most count / rows SKUs have more than ``rows`` lines, so they may be broadcast.
     # Whether there is one is asked here: it decides the plan.
-    hot = demand.where(F.col("_n") > rows)
+    hot = demand.where(cut_up)
     if hot.isEmpty():
         cut = lines.withColumn(BLOCK, F.lit(0).cast("long"))
         starts = cold
@@ -92,21 +99,35 @@ def reserve_stock(lines: DataFrame, stock: DataFrame, seq=("offset", "line"), ro
         )
         starts = cold.unionByName(
             _block_starts(eligible, contested, seq).select(
-                "sku", BLOCK, F.col("_start").alias("_left"), F.lit(False).alias("_fits")
+                "sku", BLOCK, F.col("_start").alias("_left"), F.lit(False).alias("_fits"),
+                F.col("_start").alias("_most"),
             )
         )
     keys = ["sku", BLOCK]
     placed = cut.repartition(*keys).join(starts, keys, "left")
     all_fit = F.coalesce("_hot_fits", "_fits") if "_hot_fits" in cut.columns else F.col("_fits")
-    never = F.col("_left").isNull() | (F.col("quantity") > F.col("_left"))
+    never = F.col("_left").isNull() | (F.col("quantity") > F.col("_most"))
     known = placed.withColumn(
         "status", F.when(all_fit, F.lit("RESERVED")).when(never, F.lit("REJECTED"))
-    ).drop("_fits", "_hot_fits")
+    ).drop("_fits", "_hot_fits", "_most")
     folded = _fold(known.sortWithinPartitions(*keys, *seq)).select(*columns, "status")
     events = folded.unionByName(nameless.withColumn("status", F.lit("REJECTED")))
     return events, stock_left(stock, events)
 
 
+def reserve_once(lines: DataFrame, stock: DataFrame, ledger: DataFrame, seq=("offset", "line"),
+                 keys=("partition", "offset"), rows=FOLD_ROWS):
+    """Reserve the lines of the log records that the ledger does not hold yet.
+
+    Returns ``(events, remaining, ledger)``; the ledger then holds these records too, so one
+    that is delivered again, in this batch or a later one, takes nothing. Copies of a line within
+    the batch are one line.
+    """
+    new = ledger_dedup(lines, ledger, tuple(dict.fromkeys([*keys, *seq])), coordinate=keys)
+    events, left = reserve_stock(new, stock, seq, rows)
+    return events, left, ledger.select(*keys).unionByName(new.select(*keys).distinct())
+
+
 def stock_left(stock: DataFrame, events: DataFrame) -> DataFrame:
     """Stock after the reserved lines."""
     taken = (

@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame
 from millrace.functions.scalar import PAID_BELOW, money, payment_status, transaction_id
 
 
-def charge(orders: DataFrame, paid_below=PAID_BELOW) -> DataFrame:
-    """One payment per order, the same for every attempt. Narrow: no shuffle."""
+def charge(orders: DataFrame, paid_below=PAID_BELOW, keep=()) -> DataFrame:
+    """One payment per order, the same for every attempt, with the columns to ``keep``.
+    Narrow: no shuffle."""
     return orders.select(
+        *keep,
         "order_id",
         "user_id",
         money("total_amount").alias("amount"),

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.blocks import BLOCK_ROWS, join_skewed
+
+# A word of a search: the same for the documents and for what is asked.
+WORD = r"\w+(?:\.\w+)*"
 
 
 def latest_per_key(
@@ -112,10 +114,10 @@ def lookup(table: DataFrame, key, value) -> DataFrame:
     return table.where(F.col(key) == F.lit(value))
 
 
-def lookup_many(table: DataFrame, requests: DataFrame, key, rows=BLOCK_ROWS) -> DataFrame:
-    """Each requested key with its row, or with ``found`` false and the reason."""
+def lookup_many(table: DataFrame, requests: DataFrame, key) -> DataFrame:
+    """Each requested key with its row, or with ``found`` false and the reason. Requests are distinct."""
     found = table.withColumn("found", F.lit(True))
-    answered = join_skewed(requests, found, [key], "left", rows)
+    answered = requests.join(found, key, "left")
     hit = F.coalesce("found", F.lit(False))
     return answered.withColumn("found", hit).withColumn(
         "reason", F.when(~hit, F.lit("not found"))
@@ -125,16 +127,17 @@ def lookup_many(table: DataFrame, requests: DataFrame, key, rows=BLOCK_ROWS) ->
 def search_rows(df: DataFrame, q, limit=10, *, columns=None, tie="order_id") -> DataFrame:
     """Rows holding words of ``q`` in a text column, most matched words first.
 
-    Case does not matter. A blank query or ``*`` finds every row. ``tie`` orders rows with
+    Words are runs of letters, digits and single dots between them, on both sides, and match as a
+    whole. Case does not matter. A blank query or ``*`` finds every row. ``tie`` orders rows with
     the same rank.
     """
     text_columns = columns or [name for name, kind in df.dtypes if kind == "string"]
-    words = list(dict.fromkeys((q or "").lower().split()))
-    if not words or words == ["*"]:
+    words = list(dict.fromkeys(re.findall(WORD, (q or "").lower())))
+    if (q or "").strip() in ("", "*"):
         ranked = df.withColumn("matched", F.lit(0))
     else:
-        document = F.lower(F.concat_ws("\n", *text_columns))
-        hits = [F.contains(document, F.lit(word)).cast("int") for word in words]
-        total = reduce(lambda left, right: left + right, hits)
+        held = F.regexp_extract_all(F.lower(F.concat_ws("\n", *text_columns)), F.lit("(?U)" + WORD), F.lit(0))
+        asked = F.array(*[F.lit(word) for word in words]).cast("array<string>")
+        total = F.size(F.array_intersect(asked, held))
         ranked = df.withColumn("matched", total).where(F.col("matched") > 0)
     return ranked.orderBy(F.col("matched").desc(), tie).limit(limit)

@@ -188,8 +188,8 @@ ORACLES["order_lookup"] = f"""
 ORACLES["search_orders"] = f"""
   WITH {ENRICHED}, ranked AS (
     SELECT order_id, user_email, priority,
-           CAST(contains(lower(user_email) || chr(10) || lower(priority), 'customer.000000001') AS INTEGER)
-           + CAST(contains(lower(user_email) || chr(10) || lower(priority), '1-urgent') AS INTEGER)
+           CAST(len(list_intersect(['customer.000000001', '1', 'urgent'], regexp_extract_all(
+             lower(user_email) || chr(10) || lower(priority), '\\w+(?:\\.\\w+)*'))) AS INTEGER)
              AS matched
     FROM enriched)
   SELECT * FROM ranked WHERE matched > 0 ORDER BY matched DESC, order_id LIMIT 10"""
@@ -299,11 +299,11 @@ ORACLES["ledger_dedup"] = f"""
   WHERE occurred_at >= TIMESTAMP '2024-01-10'"""
 
 
-def _reserve(per_size):
+def _reserve(per_size, quantity="CAST(l_quantity AS INTEGER)"):
     return f"""
   WITH RECURSIVE lines AS (
     SELECT l_partkey AS sku, l_orderkey AS "offset", l_linenumber AS line,
-           CAST(l_quantity AS INTEGER) AS quantity,
+           {quantity} AS quantity,
            row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_suppkey,
              l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate) AS r
     FROM lineitem),
@@ -314,7 +314,8 @@ def _reserve(per_size):
     FROM part
     UNION ALL
     SELECT f.sku, l.r,
-           CASE WHEN l.quantity <= f.left_over THEN f.left_over - l.quantity ELSE f.left_over END,
+           CAST(CASE WHEN l.quantity <= f.left_over THEN f.left_over - l.quantity
+             ELSE f.left_over END AS BIGINT),
            l."offset", l.line, l.quantity,
            CASE WHEN l.quantity <= f.left_over THEN 'RESERVED' ELSE 'REJECTED' END
     FROM fold f JOIN lines l ON l.sku = f.sku AND l.r = f.r + 1)"""
@@ -324,6 +325,23 @@ ORACLES["reserve_stock"] = f"""{_reserve(10)}
   SELECT "offset", line, sku, quantity, status FROM fold WHERE r > 0"""
 ORACLES["reserve_stock_ample"] = f"""{_reserve(40)}
   SELECT "offset", line, sku, quantity, status FROM fold WHERE r > 0"""
+_ODD_QUANTITY = """CASE l_orderkey % 5 WHEN 1 THEN NULL WHEN 2 THEN 0
+             WHEN 3 THEN -CAST(l_quantity AS INTEGER) ELSE CAST(l_quantity AS INTEGER) END"""
+ORACLES["reserve_odd_lines"] = f"""{_reserve(3, _ODD_QUANTITY)}
+  SELECT "offset", line, sku, quantity, status FROM fold WHERE r > 0"""
+ORACLES["payment_events"] = f"""
+  WITH {ORDERS}, named AS (
+    SELECT *, md5('7:PAYMENT|' || length('pay-' || order_id) || ':pay-' || order_id) AS h
+    FROM orders_log)
+  SELECT substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' ||
+         substr(h, 17, 4) || '-' || substr(h, 21, 12) AS event_id,
+         occurred_at, trace_id, order_id, user_id, total_amount AS amount,
+         CASE WHEN total_amount < 10000 THEN 'PAID' ELSE 'FAILED' END AS status,
+         'pay-' || order_id AS transaction_id, order_id AS key
+  FROM named"""
+ORACLES["processed_once"] = f"""
+  WITH {EVENTS} SELECT "partition", "offset", user_id, event_type FROM events_log
+  WHERE occurred_at >= TIMESTAMP '2024-01-10'"""
 ORACLES["stock_after"] = f"""{_reserve(10)}
   SELECT sku, CAST(min(left_over) AS BIGINT) AS quantity FROM fold GROUP BY sku"""
 ORACLES["inventory_counters"] = f"""{_reserve(10)}
@@ -444,7 +462,7 @@ ORACLES["topic_rows"] = f"""
 
 ORACLES["alert_events"] = f"""
   WITH {ORDERS}, named AS (
-    SELECT *, md5('HIGH_VALUE|' || order_id) AS h FROM orders_log WHERE total_amount > 10000)
+    SELECT *, md5('10:HIGH_VALUE|' || length(order_id) || ':' || order_id) AS h FROM orders_log WHERE total_amount > 10000)
   SELECT substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' ||
          substr(h, 17, 4) || '-' || substr(h, 21, 12) AS event_id,
          occurred_at, trace_id, order_id, user_id, 'HIGH_VALUE' AS reason, 1.0::DOUBLE AS score

@@ -415,6 +415,21 @@ def reserve_stock_ample(spark, sf_dir):
     return events.select("offset", "line", "sku", "quantity", "status")
 
 
+@query
+def reserve_odd_lines(spark, sf_dir):
+    """Lines without a quantity, of none, and of less than none, which gives stock back."""
+    number = F.col("offset") % 5
+    quantity = F.when(number == 1, F.lit(None)).when(number == 2, 0).when(
+        number == 3, -F.col("quantity")
+    ).otherwise(F.col("quantity"))
+    lines = inputs.lines_log(spark, sf_dir).withColumn("_given", F.col("quantity"))
+    order = tuple("_given" if c == "quantity" else c for c in inputs.LINE_ORDER)
+    events, _ = inventory.reserve_stock(
+        lines.withColumn("quantity", quantity), inputs.stock(spark, sf_dir, 3), order
+    )
+    return events.select("offset", "line", "sku", "quantity", "status")
+
+
 @query
 def stock_after(spark, sf_dir):
     _, left = inventory.reserve_stock(
@@ -600,6 +615,25 @@ def alert_events(spark, sf_dir):
     return with_envelope(alerts, "reason", "order_id", occurred_at="occurred_at")
 
 
+@query
+def payment_events(spark, sf_dir):
+    """Payments as complete events that carry on the trace of their order, keyed by it."""
+    orders = inputs.orders_log(spark, sf_dir)
+    paid = charge(orders, keep=("occurred_at", "trace_id")).withColumn("_kind", F.lit("PAYMENT"))
+    events = with_envelope(paid, "_kind", "transaction_id", occurred_at="occurred_at")
+    return fraud.rekey(events.drop("_kind"), "order_id")
+
+
+@query
+def processed_once(spark, sf_dir):
+    """The log without what a ledger of its first nine days holds."""
+    log = inputs.events_log(spark, sf_dir).select(
+        "partition", "offset", "user_id", "event_type", "occurred_at"
+    )
+    done = log.where(F.col("occurred_at") < F.lit("2024-01-10").cast("timestamp"))
+    return dedup.skip_processed(log, done).drop("occurred_at")
+
+
 @query
 def dead_letters(spark, sf_dir):
     """What cannot be decoded, as records of the dead-letter topic."""

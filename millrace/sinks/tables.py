@@ -62,13 +62,17 @@ def _versions(spark: SparkSession, path: str):
     return sorted(found)
 
 
-def write_version(df: DataFrame, path: str, version: int, keep=3):
-    """Write a version of a table and delete all but the newest ``keep``.
+def write_version(df: DataFrame, path: str, version: int):
+    """Write a version of a table. Older ones stay for who still reads them: see ``drop_versions``."""
+    df.write.mode("overwrite").parquet(f"{path}/version={version}")
+
 
-    A restart goes back one batch at most, so it always finds the version it starts from.
+def drop_versions(spark: SparkSession, path: str, version: int, keep=3):
+    """Delete all but the newest ``keep`` versions up to ``version``.
+
+    To be called when no reader is at an older one. A restart goes back one batch at most, so it
+    always finds the version it starts from.
     """
-    df.write.mode("overwrite").parquet(f"{path}/version={version}")
-    spark = df.sparkSession
     files, root = on_disk(spark, path)
     for old in [v for v in _versions(spark, path) if v <= version][:-keep]:
         files.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, f"version={old}"), True)

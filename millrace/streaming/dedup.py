@@ -9,7 +9,7 @@ from millrace.operators.blocks import all_of
 
 
 def stream_dedup(stream: DataFrame, keys=("channel", "event_id"), *, ts="occurred_at",
-                 horizon="1 day") -> DataFrame:
+                 horizon) -> DataFrame:
     """The first record per key; records with a null in the key all pass.
 
     Copies are recognised for as long as they come within ``horizon`` of each other in

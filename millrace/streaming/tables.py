@@ -16,10 +16,10 @@ from millrace.operators.blocks import all_of
 from millrace.operators.dedup import first_per_key
 from millrace.operators.enrich import asof_enrich
 from millrace.functions.scalar import GRACE, VELOCITY_THRESHOLD, WINDOW_SIZE, is_open
-from millrace.operators.fraud import drop_late, growth_alerts, window_counts
+from millrace.operators.fraud import drop_late, drop_null_orders, growth_alerts, with_window
 from millrace.operators.inventory import FOLD_ROWS, reserve_stock, stock_left
 from millrace.operators.tables import upsert
-from millrace.sinks.tables import read_batches, read_table, write_version
+from millrace.sinks.tables import drop_versions, read_batches, read_table, write_version
 
 
 def velocity_writer(
@@ -30,24 +30,32 @@ def velocity_writer(
 
     Gives what ``velocity_alerts(drop_late(log))`` gives for the whole log, however it is
     cut into micro-batches. Alerts go to ``folder/alerts``. State is the stream time of
-    each partition and the counts of windows that can still grow.
+    each partition and the counts of windows that can still grow. The log is partitioned by
+    user, so a window lives as long as its own partition's time allows: an idle one
+    keeps no windows of the others.
     """
 
     def write(batch: DataFrame, batch_id: int):
         spark = batch.sparkSession
         times = read_table(spark, f"{folder}/times", before=batch_id)
         counts = read_table(spark, f"{folder}/counts", before=batch_id)
+        batch = drop_null_orders(batch, user)
         accepted = drop_late(
-            batch, partition=partition, offset=offset, ts=ts, size=size, grace=grace, before=times
+            batch, partition=partition, offset=offset, ts=ts, size=size, grace=grace,
+            before=times, user=user,
+        )
+        windowed = with_window(drop_null_orders(accepted, user, ts), size, ts)
+        new = windowed.groupBy(F.col(user).alias("user_id"), "window_start", "window_end").agg(
+            F.count(F.lit(1)).alias("n"), F.max(partition).alias("_partition")
         )
-        new = window_counts(accepted, size, user=user, ts=ts).withColumnRenamed(user, "user_id")
         zero = F.lit(0).cast("long")
         log = new.withColumn("before", zero)
         if counts is not None:
             old = counts.withColumnsRenamed({"n": "before"}).withColumn("n", zero)
             log = log.unionByName(old)
         total = log.groupBy("user_id", "window_start", "window_end").agg(
-            F.sum("before").alias("before"), (F.sum("before") + F.sum("n")).alias("n")
+            F.sum("before").alias("before"), (F.sum("before") + F.sum("n")).alias("n"),
+            F.max("_partition").alias("_partition"),
         )
         write_version(total, f"{folder}/totals", batch_id)
         total = read_table(spark, f"{folder}/totals", before=batch_id + 1)
@@ -61,13 +69,18 @@ def velocity_writer(
             )
         write_version(reached, f"{folder}/times", batch_id)
         times = read_table(spark, f"{folder}/times", before=batch_id + 1)
-        slowest = F.lit(times.agg(F.min("stream_time")).first()[0])
-        growing = total.where(is_open("window_end", slowest, grace))
+        reached = times.select(F.col(partition).alias("_partition"), "stream_time")
+        growing = total.join(reached, "_partition").where(
+            is_open("window_end", "stream_time", grace)
+        )
         write_version(
-            growing.select("user_id", "window_start", "window_end", "n"),
+            growing.select("user_id", "window_start", "window_end", "n", "_partition"),
             f"{folder}/counts",
             batch_id,
         )
+        # These are the job's own: nobody else is at an older version.
+        for state in ("totals", "times", "counts"):
+            drop_versions(spark, f"{folder}/{state}", batch_id)
 
     return write
 
@@ -116,12 +129,12 @@ def enrich_writer(folder: str, key="user_id", seq="offset", *, fields, side="log
 
 
 def dedup_writer(path: str, keys=("channel", "event_id"), order=("offset",), *,
-                 ts="occurred_at", horizon="1 day"):
+                 ts="occurred_at", horizon=None):
     """Write the first record per key; records with a null in the key all pass.
 
-    The output is its own memory: a key is new if no earlier batch wrote it within
-    ``horizon`` of event time before the oldest record of this batch. Copies inside a batch
-    collapse before the shuffle, so one key may fill a third of it.
+    The output is its own memory: a key is new if no earlier batch wrote it. With a ``horizon``
+    only what lies within it, in event time before the oldest record of this batch, is
+    remembered, besides records without a time. Copies inside a batch collapse before the shuffle, so one key may fill a third of it.
     """
     keys = list(keys)
 
@@ -130,10 +143,11 @@ def dedup_writer(path: str, keys=("channel", "event_id"), order=("offset",), *,
         known = all_of([F.col(k).isNotNull() for k in keys])
         once = first_per_key(batch.where(known), keys, list(order)).select(*batch.columns)
         if batch_id > 0:
-            oldest = batch.agg(F.min(ts)).first()[0]
-            recent = (F.col("batch_id") < batch_id) & (
-                F.col(ts) >= F.lit(oldest) - F.expr(f"INTERVAL {horizon}")
-            )
+            recent = F.col("batch_id") < batch_id
+            if horizon is not None:
+                oldest = batch.agg(F.min(ts)).first()[0]
+                near = F.col(ts) >= F.lit(oldest) - F.expr(f"INTERVAL {horizon}")
+                recent = recent & F.coalesce(near, F.lit(True))
             written = read_batches(spark, path, batch.drop("batch_id").schema)
             once = once.join(written.where(recent).select(*keys), keys, "left_anti")
         rows = once.select(*batch.columns).unionByName(batch.where(~known))
