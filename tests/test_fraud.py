@@ -165,3 +165,22 @@ def test_no_task_gets_more_than_a_block(spark):
     largest = blocked.groupBy("k", BLOCK).count().agg(F.max("count")).first()[0]
     assert largest <= 100
     assert {r.k for r in cut.select("k").distinct().collect()} == {"hot"}
+
+
+def test_record_without_a_user_does_not_move_the_clock(spark):
+    start = datetime(2026, 1, 1)
+    rows = [("u", start, 0, 0), (None, start + timedelta(hours=1), 1, 0)]
+    rows += [("u", start + timedelta(seconds=i), 1 + i, 0) for i in (1, 2)]
+    log = spark.createDataFrame(rows, "user_id string, occurred_at timestamp, offset long, partition int")
+    assert fraud.drop_late(log).count() == 3
+    assert fraud.velocity_alerts(fraud.drop_late(log)).count() == 1
+
+
+def test_velocity_events_have_ids_of_their_own(spark):
+    counts = spark.createDataFrame(
+        [("u", datetime(2026, 1, 1), n) for n in (3, 4, 5, 6)], "user_id string, window_start timestamp, n long"
+    )
+    events = fraud.velocity_events(counts)
+    assert events.select("event_id").distinct().count() == 4
+    assert events.columns[:3] == ["event_id", "occurred_at", "trace_id"]
+    assert {r.key for r in events.collect()} == {"u"}

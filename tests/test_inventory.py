@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from millrace.operators import inventory
 from millrace.operators.inventory import reserve_stock, restock, seed_stock
 
 
@@ -131,3 +132,31 @@ def test_many_hot_skus_at_once_equal_the_fold(spark):
             lines.append((sku, offset, line, rng.choice(sizes[sku])))
     expected = fold(lines, stock)
     assert run(spark, lines, stock, rows=9) == expected
+
+
+def test_odd_quantities_follow_the_log(spark):
+    rows = [
+        ("a", 1, 0, 8), ("a", 2, 0, -5), ("a", 3, 0, 8), ("a", 4, 0, None), ("a", 5, 0, 0),
+        ("b", 6, 0, None), ("c", 7, 0, 1), (None, 8, 0, 1),
+    ]
+    lines = spark.createDataFrame(rows, "sku string, offset long, line int, quantity int")
+    stock = spark.createDataFrame([("a", 5), ("b", 1)], "sku string, quantity int")
+    for most in (1 << 20, 2):
+        events, left = inventory.reserve_stock(lines, stock, rows=most)
+        got = {r.offset: r.status for r in events.collect()}
+        assert got == {
+            1: "REJECTED", 2: "RESERVED", 3: "RESERVED", 4: "REJECTED", 5: "RESERVED",
+            6: "REJECTED", 7: "REJECTED", 8: "REJECTED",
+        }
+        assert sorted(map(tuple, left.collect())) == [("a", 2), ("b", 1)]
+
+
+def test_redelivered_records_take_no_stock(spark):
+    schema = "partition int, offset long, line int, sku string, quantity int"
+    lines = spark.createDataFrame([(4, 99, 0, "a", 2), (4, 99, 1, "a", 1), (4, 99, 0, "a", 2)], schema)
+    stock = spark.createDataFrame([("a", 5)], "sku string, quantity int")
+    ledger = spark.createDataFrame([], "partition int, offset long")
+    events, left, ledger = inventory.reserve_once(lines, stock, ledger)
+    assert events.count() == 2 and left.first().quantity == 2 and ledger.count() == 1
+    events, again, ledger = inventory.reserve_once(lines, left, ledger)
+    assert events.count() == 0 and again.first().quantity == 2 and ledger.count() == 1

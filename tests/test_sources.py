@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace import schemas
-from millrace.functions.envelope import with_envelope
+from millrace.functions.envelope import event_id_of, with_envelope
 from millrace.functions.scalar import default_currency, first_non_blank, order_total
 from millrace.functions.trace import with_trace_id
 from millrace.operators import orders as intake
@@ -285,3 +285,18 @@ def test_a_table_streams_from_a_file_or_a_folder(spark, tmp_path):
         )
         query.awaitTermination()
         assert spark.read.parquet(str(out / "data")).count() == rows
+
+
+def test_event_ids_tell_lists_of_values_apart(spark):
+    rows = spark.createDataFrame(
+        [("a|b", "c"), ("a", "b|c"), (None, "c"), ("", "c"), ("-", "c")], "x string, y string"
+    )
+    assert rows.select(event_id_of("x", "y").alias("id")).distinct().count() == 5
+
+
+def test_a_blank_trace_header_is_a_trace(spark):
+    headers = "array<struct<key:string,value:binary>>"
+    rows = spark.createDataFrame(
+        [([("traceId", b"  ")], "p"), ([("traceId", b"")], "p")], f"headers {headers}, trace_id string"
+    )
+    assert [r.trace_id for r in with_trace_id(rows).collect()] == ["  ", "p"]

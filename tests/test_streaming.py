@@ -126,6 +126,17 @@ def test_exact_late_rule_over_micro_batches(spark, tmp_path, seed):
     assert sinks.read_table(spark, f"{folder}/counts").count() < 10
 
 
+def test_an_idle_partition_keeps_no_windows_of_others(spark, tmp_path):
+    log = Log(spark, tmp_path / "e", f"{ORDERS}, partition int")
+    log.add([(*order("i", "idle", 0, 0), 0)])
+    for hour in range(1, 5):
+        log.add([(*order(f"b{hour}", "busy", hour * 3600, hour), 1)])
+    folder = str(tmp_path / "job")
+    jobs.start(log.stream(), velocity_writer(folder), f"{folder}/checkpoint").awaitTermination()
+    left = sinks.read_table(spark, f"{folder}/counts").groupBy("user_id").count().collect()
+    assert {r["user_id"]: r["count"] for r in left} == {"idle": 1, "busy": 1}
+
+
 def test_state_is_dropped_after_window_and_grace(spark, orders, tmp_path):
     folder = str(tmp_path / "job")
     orders.add([order("a", "u", 0)])

@@ -95,6 +95,10 @@ def test_search(spark):
     assert [r.order_id for r in tables.search_rows(rows, "ADA usd").collect()] == ["3", "1", "2"]
     assert [r.order_id for r in tables.search_rows(rows, "  ", 2).collect()] == ["1", "2"]
     assert tables.search_rows(rows, "*").count() == 3
+    # Whole words only, and words of nothing but marks find nothing.
+    assert tables.search_rows(rows, "lan").count() == 0 and tables.search_rows(rows, "?!").count() == 0
+    canada = spark.createDataFrame([("9", "canada"), ("8", "Ada")], "order_id string, name string")
+    assert [r.order_id for r in tables.search_rows(canada, "ada").collect()] == ["8"]
 
 
 def test_idempotency_first_wins(spark):
@@ -117,6 +121,25 @@ def test_idempotency_first_wins(spark):
     assert [o for o, taken in plain.items() if taken] and sum(plain.values()) == 3
 
 
+def test_submissions_without_a_key_stand_alone(spark):
+    rows = spark.createDataFrame(
+        [(None, 0, "o0", False), (None, 1, "o1", False), (None, 2, "o2", True), ("k", 3, "o3", False)],
+        "idempotency_key string, offset long, order_id string, failed boolean",
+    )
+    got = {
+        r.offset: (r.canonical_order_id, r.accepted)
+        for r in dedup.dedup_first(rows, failed=F.col("failed")).collect()
+    }
+    assert got == {0: ("o0", True), 1: ("o1", True), 2: ("o2", False), 3: ("o3", True)}
+
+
+def test_skip_processed_is_one_plain_join(spark):
+    log = spark.range(20).selectExpr("cast(id % 2 as int) as partition", "id as offset", "id as v")
+    left = dedup.skip_processed(log, log.where("offset < 15"))
+    assert sorted(r.offset for r in left.collect()) == [15, 16, 17, 18, 19]
+    assert left._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+
+
 def test_redelivered_record_is_processed_once(spark):
     rows = spark.createDataFrame(
         [(4, 99, "a"), (4, 99, "a"), (4, 98, "b")], "partition int, offset long, order_id string"
