@@ -273,7 +273,7 @@ def test_stream_dedup(spark, tmp_path):
     log = Log(spark, tmp_path / "e", "channel string, event_id string, occurred_at timestamp_ntz")
     log.add([("e", "1", START), ("s", "1", START), ("e", None, START)])
     log.add([("e", "1", START + timedelta(minutes=1)), ("e", None, START), ("e", "2", START)])
-    path = jobs.run_to_table(stream_dedup(log.stream()), str(tmp_path / "job"))
+    path = jobs.run_to_table(stream_dedup(log.stream(), horizon="1 day"), str(tmp_path / "job"))
     got = sorted((r.channel, r.event_id or "") for r in sinks.read_batches(spark, path).collect())
     assert got == [("e", ""), ("e", ""), ("e", "1"), ("e", "2"), ("s", "1")]
 
