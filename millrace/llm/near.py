@@ -19,8 +19,13 @@ SIMILARITY = 0.8
 SKETCHES = 16
 # Shingles in a sketch: more of them tell texts apart better and find pairs less often.
 ORDER = 2
-# Strangers of a bucket that are aligned with each other, and further sketches that part more.
-FEW, NEXT = 16, 3
+# Strangers of a bucket that are aligned with each other; more are parted by three further
+# sketches at once, in each of these ways (places after the bucket's own sketch).
+FEW = 16
+PARTED_BY = tuple(
+    tuple(sorted({1 + (first + k * step) % 15 for k in range(3)}))
+    for step in (1, 2, 4, 7) for first in range(0, 15, 3)
+)
 
 _BYTES = np.zeros(256, np.uint8)
 _BYTES[128:] = 1
@@ -231,7 +236,7 @@ def linked(docs: DataFrame, nodes: DataFrame, least=SIMILARITY, words=WORDS) ->
     share a sketch meet in a bucket, where each is aligned with the first of them only, so
     no bucket gives more pairs than rows. Those that no link connects to the first are strangers:
     up to ``FEW`` are aligned with each other, more of them meet again in the smaller buckets of
-    those that share one of the next ``NEXT`` sketches too. So a passage that thousands of texts
+    those that share three further sketches too, for each way of ``PARTED_BY``. So a passage that thousands of texts
     share costs each a few alignments. Two texts alike share about half of their sketches,
     each a chance to meet, so a bucket whose first text is a stranger loses no link.
     """
@@ -305,16 +310,18 @@ def _small_sets(strangers, sizes):
 
 
 def _narrower(strangers, nodes):
-    """Buckets of those that share, besides a bucket, one of the sketches after its own."""
-    size = F.size("sketches")
-    after = F.explode(F.transform(
-        F.sequence(F.lit(1), F.lit(NEXT)),
-        lambda k: F.struct(F.pmod(F.col("i") + k, size).alias("j"),
-                           F.get("sketches", F.pmod(F.col("i") + k, size)).alias("sketch")),
-    )).alias("s")
-    again = strangers.join(nodes, "node").select("bucket", "node", after)
+    """Buckets of those that share, besides a bucket, three of the sketches after its own."""
+    def sketch(k):
+        return F.get("sketches", F.pmod(F.col("i") + k, F.size("sketches")))
+
+    ways = F.array(*[
+        F.struct(F.lit(n).alias("n"), F.xxhash64(*[sketch(k) for k in way]).alias("sketches"))
+        for n, way in enumerate(PARTED_BY)
+    ])
+    again = strangers.join(nodes, "node").select("bucket", "i", "node", F.explode(ways).alias("way"))
     return again.select(
-        F.xxhash64("bucket", "s.j", "s.sketch").alias("bucket"), F.col("s.j").alias("i"), "node"
+        F.xxhash64("bucket", "way.n", "way.sketches").alias("bucket"),
+        F.pmod(F.col("i") + F.col("way.n") + 1, F.lit(16)).alias("i"), "node",
     )
 
 
