@@ -42,7 +42,17 @@ def stored(df: DataFrame, name: str, **options) -> DataFrame:
     if not _folders:
         atexit.register(_tidy, spark)
     _folders.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def done_with(*tables):
+    """Delete stored tables that nothing will read again."""
+    for table in tables:
+        files, root = on_disk(table.sparkSession, table.stored_at)
+        files.delete(root, True)
+        _folders.remove(table.stored_at)
 
 
 def _tidy(spark):

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import stored, texts
+from millrace.llm.common import done_with, stored, texts
 
 LENGTH = 200
 # Bytes that are equal from a chosen position on, and the hashed ones there.
@@ -140,9 +140,13 @@ def _find_cells(length):
 
 
 def _shared(rows, keys):
-    """Rows whose keys another row has too. Counted before the shuffle, then joined back."""
+    """Rows whose keys another row has too. Counted before the shuffle, then joined back.
+
+    The counts are stored, so that the join reads two plain shuffles and Spark may split the
+    rows of a frequent key over several tasks.
+    """
     counts = rows.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").drop("_n")
-    return rows.join(counts, keys, "left_semi")
+    return rows.join(stored(counts, "shared-keys"), keys, "left_semi")
 
 
 def _narrowed(cells, step, size):
@@ -176,6 +180,7 @@ def repeated_starts(rows: DataFrame, length=LENGTH) -> DataFrame:
     found = stored(rows.mapInPandas(_find_anchors(length), ANCHORS), "anchors", compression="zstd")
     # First rank: the bytes ahead. Positions that are alone with them are done.
     left = stored(_shared(found, ["name"]), "ranked", compression="zstd")
+    done_with(found)
     # Second: all bytes around. Who shares them has every start in common.
     classes = left.groupBy("name", "context").agg(
         F.count("*").alias("n"), F.min(F.struct("row", "at", "first", "last")).alias("one")
@@ -183,6 +188,7 @@ def repeated_starts(rows: DataFrame, length=LENGTH) -> DataFrame:
     classes = stored(classes, "classes")
     whole = left.join(classes.where("n > 1").select("name", "context"), ["name", "context"])
     whole = stored(whole.select("row", F.col("first").alias("low"), F.col("last").alias("high")), "whole")
+    done_with(left)
     # The others may share a part with one of another class: one position stands for each.
     several = classes.groupBy("name").agg(
         F.count("*").alias("k"), F.min("n").alias("least")
@@ -192,9 +198,11 @@ def repeated_starts(rows: DataFrame, length=LENGTH) -> DataFrame:
     ).groupBy("row").agg(F.collect_list("p").alias("positions"))
     cells = rows.join(todo, "row").select("row", "text", "positions")
     cells = stored(cells.mapInPandas(_find_cells(length), CELLS), "cells", compression="zstd")
-    cells = stored(_shared(cells, ["core"]), "shared-cells", compression="zstd")
-    parts = _narrowed(cells, CELL, PART)
+    open_cells = stored(_shared(cells, ["core"]), "shared-cells", compression="zstd")
+    done_with(cells)
+    parts = _narrowed(open_cells, CELL, PART)
     parts = stored(_shared(parts, ["rank", "rank2"]), "shared-parts", compression="zstd")
+    done_with(open_cells)
     starts = _shared(_narrowed(parts.drop("rank", "rank2", "j"), CELL, 1), ["rank", "rank2"])
     single = starts.where("open").select(
         "row", (F.col("start") - F.col("j")).alias("low"), (F.col("start") - F.col("j")).alias("high")
