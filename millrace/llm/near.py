@@ -359,7 +359,7 @@ def components(edges: DataFrame) -> DataFrame:
         larger = hang(both_ways(now)).where("v > u").select(
             F.col("v").alias("u"), F.col("m").alias("v")
         )
-        hung = hang(downwards(larger))
+        hung = hang(larger)
         smaller = hung.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             hung.select("u", F.col("m").alias("v"))
         )
