@@ -19,13 +19,12 @@ SIMILARITY = 0.8
 SKETCHES = 16
 # Shingles in a sketch: more of them tell texts apart better and find pairs less often.
 ORDER = 2
-# Strangers of a bucket that are aligned with each other; more are parted by three further
-# sketches at once, in each of these ways (places after the bucket's own sketch).
+# Members of a bucket whose pairs are listed; those of more are compared block against block,
+# in blocks of about so many texts and shingles.
 FEW = 16
-PARTED_BY = tuple(
-    tuple(sorted({1 + (first + k * step) % 15 for k in range(3)}))
-    for step in (1, 2, 4, 7) for first in range(0, 15, 3)
-)
+BLOCK_TEXTS, BLOCK_SHINGLES = 512, 1 << 20
+# Shingles whose owners are multiplied at once.
+WIDE = 4096
 
 _BYTES = np.zeros(256, np.uint8)
 _BYTES[128:] = 1
@@ -229,16 +228,76 @@ def _shingles_udf(words):
     return shingle_bytes
 
 
+def links_between(shingles, sketches, roots, sides, i, least=SIMILARITY):
+    """Pairs of rows that are alike, enough of them to connect what links connect.
+
+    Rows of side 0 are compared with those of side 1, or with each other if there is none. Left
+    out are pairs of one root, and those that share a sketch before the ``i``-th: another bucket
+    compares them. What two texts do not have in common has to be edited, so only pairs with
+    enough common shingles are aligned, and of these only what is not connected yet.
+    """
+    sizes = np.array([len(s) for s in shingles])
+    with np.errstate(over="ignore"):
+        labelled = label_occurrences(np.concatenate(shingles).astype(np.uint64), sizes)
+    _, codes, times = np.unique(labelled, return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    common = times[codes] > 1
+    codes, owner = (np.cumsum(times > 1) - 1)[codes[common]], owner[common]
+    order = np.argsort(codes, kind="stable")
+    codes, owner = codes[order], owner[order]
+    left = np.flatnonzero(sides == 0)
+    right = np.flatnonzero(sides == 1) if sides.any() else left
+    shared = np.zeros((len(left), len(right)), np.float32)
+    for start in range(0, codes[-1] + 1 if len(codes) else 0, WIDE):
+        low, high = np.searchsorted(codes, [start, start + WIDE])
+        held = np.zeros((len(sizes), WIDE), np.float32)
+        held[owner[low:high], codes[low:high] - start] = 1
+        shared += held[left] @ held[right].T
+    longest = np.maximum.outer(sizes[left], sizes[right])
+    possible = longest - shared <= ((1 - least) * longest + 1e-9).astype(np.int64)
+    possible &= roots[left][:, None] != roots[right]
+    if right is left:
+        possible = np.triu(possible, 1)
+    for k in range(i):
+        possible &= sketches[left, k][:, None] != sketches[right, k]
+    x, y = np.nonzero(possible)
+    best = np.argsort(-shared[x, y] / longest[x, y], kind="stable")
+    parent = list(range(roots.max() + 1))
+
+    def root(n):
+        while parent[n] != n:
+            parent[n] = n = parent[parent[n]]
+        return n
+
+    found = []
+    for a, b in zip(left[x[best]].tolist(), right[y[best]].tolist()):
+        u, v = root(roots[a]), root(roots[b])
+        if u != v and aligned_similarity(shingles[a], shingles[b], least) >= least:
+            parent[u] = v
+            found.append((a, b))
+    return found
+
+
+def _links_of_cell(least):
+    def run(rows):
+        found = links_between(
+            [np.frombuffer(s, np.uint32) for s in rows["shingles"]], np.stack(rows["sketches"]),
+            pd.factorize(rows["root"])[0], rows["side"].to_numpy(), int(rows["i"].iloc[0]), least,
+        )
+        nodes = rows["node"].to_numpy()
+        return pd.DataFrame({"a": [nodes[x] for x, _ in found], "b": [nodes[y] for _, y in found]})
+
+    return run
+
+
 def linked(docs: DataFrame, nodes: DataFrame, least=SIMILARITY, words=WORDS) -> DataFrame:
     """``node, root`` of the classes that verified links between different texts make.
 
     ``nodes`` holds a row per distinct text: ``node`` (its digest) and ``sketches``. Texts that
-    share a sketch meet in a bucket, where each is aligned with the first of them only, so
-    no bucket gives more pairs than rows. Those that no link connects to the first are strangers:
-    up to ``FEW`` are aligned with each other, more of them meet again in the smaller buckets of
-    those that share three further sketches too, for each way of ``PARTED_BY``. So a passage that thousands of texts
-    share costs each a few alignments. Two texts alike share about half of their sketches,
-    each a chance to meet, so a bucket whose first text is a stranger loses no link.
+    share a sketch meet in a bucket, where each is first aligned with the first of them.
+    Those that no link connects to the first are strangers. All pairs of strangers are compared:
+    pair by pair in buckets of up to ``FEW``, in larger ones block against block inside a
+    task, so that rows are copied once per block and not once per partner.
     """
     members = stored(nodes.select("node", F.posexplode("sketches").alias("i", "sketch")).select(
         F.xxhash64("i", "sketch").alias("bucket"), "i", "node"
@@ -252,37 +311,30 @@ def linked(docs: DataFrame, nodes: DataFrame, least=SIMILARITY, words=WORDS) ->
     shingled = stored(
         shingled.select("node", _shingles_udf(words)("text").alias("shingles")), "shingles"
     )
-    few, tried, found, roots = None, None, None, None
-    while True:
-        pairs = crowd.where("node <> first").select(
-            F.col("first").alias("a"), F.col("node").alias("b")
-        )
-        if few is not None:
-            pairs = pairs.unionByName(few)
-        pairs = pairs.distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        judged = stored(_aligned(pairs, shingled, least), "aligned-pairs")
-        tried = judged if tried is None else tried.unionByName(judged)
-        new = judged.where("alike").select("a", "b")
-        found = new if found is None else found.unionByName(new)
-        roots = components(found)
-        strangers = _rooted(_rooted(crowd, roots, "node"), roots, "first").where(
-            "node_root <> first_root"
-        ).select("bucket", "i", "node", F.col("node_root").alias("root"))
-        strangers = stored(strangers, "strangers")
-        sizes = strangers.groupBy("bucket").agg(
-            F.count("*").alias("n"), F.min("node").alias("least"),
-            F.bit_xor(F.xxhash64("node")).alias("who"),
-            F.min("root").alias("low"), F.max("root").alias("high"),
-        )
-        # Where all are of one class by now, nothing is left to find.
-        sizes = stored(sizes.where("low <> high").drop("low", "high"), "strangers-counted")
-        if sizes.isEmpty():
-            return roots
-        few = _small_sets(strangers, sizes)
-        many = strangers.join(sizes.where(F.col("n") > FEW).select("bucket"), "bucket", "left_semi")
-        crowd = stored(_meeting(_narrower(many, nodes)), "bucket-members")
+    pairs = crowd.where("node <> first").select(
+        F.col("first").alias("a"), F.col("node").alias("b")
+    ).distinct()
+    judged = stored(_aligned(pairs, shingled, least), "aligned-pairs")
+    roots = components(judged.where("alike"))
+    rest = _rooted(_rooted(crowd, roots, "node"), roots, "first").select(
+        "bucket", "i", "node", F.col("node_root").alias("root"),
+        (F.col("node_root") != F.col("first_root")).alias("apart"),
+    ).where("apart")
+    rest = stored(rest, "strangers")
+    sizes = rest.groupBy("bucket").agg(
+        F.count("*").alias("n"), F.min("node").alias("least"),
+        F.bit_xor(F.xxhash64("node")).alias("who"),
+        F.min("root").alias("low"), F.max("root").alias("high"),
+    )
+    # Where all are of one class by now, nothing is left to find.
+    sizes = stored(sizes.where("low <> high").drop("low", "high"), "strangers-counted")
+    if sizes.isEmpty():
+        return roots
+    few = _small_sets(rest, sizes).distinct().join(judged, ["a", "b"], "left_anti")
+    few = stored(_aligned(few, shingled, least), "aligned-pairs").where("alike").select("a", "b")
+    many = stored(_across(rest, sizes, nodes, shingled, least), "block-links")
+    known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return components(known.unionByName(few).unionByName(many))
 
 
 def _rooted(rows, roots, column):
@@ -309,19 +361,45 @@ def _small_sets(strangers, sizes):
     return left.join(right, "bucket").where("a < b and a_root <> b_root").select("a", "b")
 
 
-def _narrower(strangers, nodes):
-    """Buckets of those that share, besides a bucket, three of the sketches after its own."""
-    def sketch(k):
-        return F.get("sketches", F.pmod(F.col("i") + k, F.size("sketches")))
+def _across(rest, sizes, nodes, shingled, least):
+    """Links ``a, b`` between the members of buckets of more than ``FEW``.
 
-    ways = F.array(*[
-        F.struct(F.lit(n).alias("n"), F.xxhash64(*[sketch(k) for k in way]).alias("sketches"))
-        for n, way in enumerate(PARTED_BY)
-    ])
-    again = strangers.join(nodes, "node").select("bucket", "i", "node", F.explode(ways).alias("way"))
-    return again.select(
-        F.xxhash64("bucket", "way.n", "way.sketches").alias("bucket"),
-        F.pmod(F.col("i") + F.col("way.n") + 1, F.lit(16)).alias("i"), "node",
+    Members are dealt to blocks by their length and a hash. Each two blocks that may hold a
+    link make a cell: lengths that differ more than links allow never meet.
+    """
+    large = sizes.where(F.col("n") > FEW).select("bucket", "n")
+    size = shingled.select("node", (F.octet_length("shingles") / 4).alias("size"))
+    # Texts with a link are of one band or of neighbouring ones.
+    band = F.floor(F.log("size") / -np.log(0.99 * least))
+    rows = rest.join(large, "bucket").join(size, "node").select(
+        "bucket", "i", "node", "root", "apart", "size",
+        F.when(F.col("n") > BLOCK_TEXTS, band).otherwise(0).alias("band"),
+    )
+    part = ["bucket", "band", "apart"]
+    parts = rows.groupBy(part).agg(F.greatest(
+        F.ceil(F.count("*") / BLOCK_TEXTS), F.ceil(F.sum("size") / BLOCK_SHINGLES)
+    ).alias("blocks"))
+    parts = stored(parts, "bucket-parts")
+    blocks_ = parts.select("bucket", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block"),
+                           "band", "apart")
+    one, other = [
+        blocks_.select("bucket", F.struct("band", "apart", "block").alias(name)) for name in ("l", "r")
+    ]
+    cells = one.join(other, "bucket").where(
+        "l <= r and abs(l.band - r.band) <= 1 and (l.apart or r.apart)"
+    )
+    cells = stored(cells, "bucket-cells")
+    sides = [cells.select("bucket", "l", "r", F.lit(0).alias("side"), f"{c}.band", f"{c}.apart",
+                          f"{c}.block") for c in ("l", "r")]
+    sides = sides[0].unionByName(sides[1].where("l <> r").withColumn("side", F.lit(1)))
+    dealt = rows.join(parts, part).withColumn("block", F.expr("pmod(xxhash64(node), blocks)"))
+    dealt = dealt.select(*part, "block", "i", "node", "root").join(sides, [*part, "block"])
+    held = shingled.join(nodes, "node")
+    dealt = dealt.join(held, "node").select(
+        "bucket", "l", "r", "side", "i", "node", "root", "shingles", "sketches"
+    )
+    return dealt.groupBy("bucket", "l", "r").applyInPandas(
+        _links_of_cell(least), "a binary, b binary"
     )
 
 

@@ -161,6 +161,25 @@ def test_near_classes_against_all_pairs(spark):
             assert got[i].kept == (i == max(ids))
 
 
+def pairs_in_a_crowd():
+    """Pairs with similarity 0.81 of texts that share a passage, 0.78 alike with all others."""
+    passage = prose(300, 82)
+    texts = []
+    for i in range(60):
+        begin = prose(400 + i, 3)
+        texts += [" ".join([passage, begin, prose(500 + 2 * i + k, 19)]) for k in (0, 1)]
+    return texts
+
+
+def test_crowded_buckets_lose_no_link_just_over_the_limit(spark, monkeypatch):
+    docs = table(spark, list(enumerate(pairs_in_a_crowd())))
+    for texts, shingles in ((near.BLOCK_TEXTS, near.BLOCK_SHINGLES), (7, 1000)):
+        monkeypatch.setattr(near, "BLOCK_TEXTS", texts)
+        monkeypatch.setattr(near, "BLOCK_SHINGLES", shingles)
+        got = {r.doc_id: (r.class_id, r.class_size) for r in near.near_classes(docs).collect()}
+        assert got == {i: (i | 1, 2) for i in range(120)}
+
+
 def test_near_classes_of_odd_rows(spark):
     docs = odd_documents()
     got = near.near_classes(table(spark, docs)).collect()
