@@ -294,10 +294,10 @@ def linked(docs: DataFrame, nodes: DataFrame, least=SIMILARITY, words=WORDS) ->
     """``node, root`` of the classes that verified links between different texts make.
 
     ``nodes`` holds a row per distinct text: ``node`` (its digest) and ``sketches``. Texts that
-    share a sketch meet in a bucket, where each is first aligned with the first of them.
-    Those that no link connects to the first are strangers. All pairs of strangers are compared:
-    pair by pair in buckets of up to ``FEW``, in larger ones block against block inside a
-    task, so that rows are copied once per block and not once per partner.
+    share a sketch meet in a bucket, where each is first aligned with the first of them. In
+    buckets that still hold several classes all pairs of different ones are compared, the class
+    of the first too: pair by pair in buckets of up to ``FEW``, in larger ones block against
+    block inside a task, so that rows are copied once per block and not once per partner.
     """
     members = stored(nodes.select("node", F.posexplode("sketches").alias("i", "sketch")).select(
         F.xxhash64("i", "sketch").alias("bucket"), "i", "node"
@@ -319,15 +319,15 @@ def linked(docs: DataFrame, nodes: DataFrame, least=SIMILARITY, words=WORDS) ->
     rest = _rooted(_rooted(crowd, roots, "node"), roots, "first").select(
         "bucket", "i", "node", F.col("node_root").alias("root"),
         (F.col("node_root") != F.col("first_root")).alias("apart"),
-    ).where("apart")
-    rest = stored(rest, "strangers")
+    )
+    rest = stored(rest, "rooted-members")
     sizes = rest.groupBy("bucket").agg(
         F.count("*").alias("n"), F.min("node").alias("least"),
         F.bit_xor(F.xxhash64("node")).alias("who"),
         F.min("root").alias("low"), F.max("root").alias("high"),
     )
     # Where all are of one class by now, nothing is left to find.
-    sizes = stored(sizes.where("low <> high").drop("low", "high"), "strangers-counted")
+    sizes = stored(sizes.where("low <> high").drop("low", "high"), "unsettled-buckets")
     if sizes.isEmpty():
         return roots
     few = _small_sets(rest, sizes).distinct().join(judged, ["a", "b"], "left_anti")
@@ -350,12 +350,12 @@ def _meeting(members):
     return members.join(counted.where("n > 1").drop("n"), "bucket")
 
 
-def _small_sets(strangers, sizes):
+def _small_sets(rest, sizes):
     """Pairs of members of buckets of up to ``FEW``; buckets with the same members count once."""
     sets = sizes.where(F.col("n").between(2, FEW)).groupBy("n", "least", "who").agg(
         F.min("bucket").alias("bucket")
     )
-    member = strangers.join(sets.select("bucket"), "bucket", "left_semi")
+    member = rest.join(sets.select("bucket"), "bucket", "left_semi")
     left = member.select("bucket", F.col("node").alias("a"), F.col("root").alias("a_root"))
     right = member.select("bucket", F.col("node").alias("b"), F.col("root").alias("b_root"))
     return left.join(right, "bucket").where("a < b and a_root <> b_root").select("a", "b")
@@ -364,8 +364,9 @@ def _small_sets(strangers, sizes):
 def _across(rest, sizes, nodes, shingled, least):
     """Links ``a, b`` between the members of buckets of more than ``FEW``.
 
-    Members are dealt to blocks by their length and a hash. Each two blocks that may hold a
-    link make a cell: lengths that differ more than links allow never meet.
+    Members are dealt to blocks by their length and a hash, those of the first's class apart.
+    Each two blocks that may hold a link make a cell: the first's class is not compared with
+    itself, and lengths that differ more than links allow never meet.
     """
     large = sizes.where(F.col("n") > FEW).select("bucket", "n")
     size = shingled.select("node", (F.octet_length("shingles") / 4).alias("size"))

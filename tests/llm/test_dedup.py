@@ -180,6 +180,30 @@ def test_crowded_buckets_lose_no_link_just_over_the_limit(spark, monkeypatch):
         assert got == {i: (i | 1, 2) for i in range(120)}
 
 
+def chains():
+    """Texts f, a, b: f-a 0.95 alike, a-b 0.80, f-b less; f has the least digest of the three."""
+    out = []
+    for i in range(40):
+        middle = prose(600 + i, 104).split()
+        end = list(middle)
+        for place in (10, 30, 70, 90):
+            end[place] = f"other{i}"
+        a, b = " ".join(middle), " ".join(end)
+        for k in range(10_000):
+            f = " ".join([*middle[:50], f"first{k}", *middle[51:]])
+            digests = [hashlib.sha256(t.encode()).digest() for t in (f, a, b)]
+            if digests[0] == min(digests):
+                break
+        out += [f, a, b]
+    return out
+
+
+def test_members_that_joined_a_class_still_meet_the_strangers(spark):
+    docs = table(spark, list(enumerate(chains())))
+    got = {r.doc_id: (r.class_id, r.class_size) for r in near.near_classes(docs).collect()}
+    assert got == {i: (i // 3 * 3 + 2, 3) for i in range(120)}
+
+
 def test_near_classes_of_odd_rows(spark):
     docs = odd_documents()
     got = near.near_classes(table(spark, docs)).collect()
