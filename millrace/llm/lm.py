@@ -21,7 +21,9 @@ from millrace.llm.common import blocks, stored, texts
 END = b"\n"
 # Words that are classes, endings that are classes, and words whose counts go to every task.
 TOP, ENDINGS, HOT = 768, 255, 65_536
+# Steps over all pairs, histories worked on at once, and noise for each pair.
 WIDTH, STEPS, BATCH, NOISE = 32, 600, 4096, 256
+PRIOR = 20.0
 DISCOUNT = 0.75
 BLOCK = 8 << 20
 
@@ -42,35 +44,46 @@ class LogBilinear:
         self.target = self.rng.normal(0, 0.1, (targets, width)).astype(np.float32)
         self.bias = np.full(targets, -np.log(targets), np.float32)
 
-    def fit(self, histories, targets, weights, steps=STEPS, batch=BATCH, noise=NOISE, rate=0.15):
-        """Tell pairs drawn by ``weights`` from targets drawn by their frequency alone."""
+    def fit(self, histories, targets, weights, steps=STEPS, batch=BATCH, noise=NOISE, rate=0.15, prior=0.0):
+        """Tell pairs counted by ``weights`` from ``noise`` times as many by frequency alone.
+
+        Nothing is drawn: each step passes over all pairs, ``batch`` histories at a time, with
+        the noise as its expected number for every target. ``prior``: pairs added to each history
+        by frequency alone, so that rare ones are not learnt by heart.
+        """
         if not len(targets):
             return self
         frequency = np.bincount(targets, weights, len(self.bias)) + 1e-3 * weights.sum() / len(self.bias)
         frequency /= frequency.sum()
         self.bias[:] = np.log(frequency)
-        drawn, noisy = np.cumsum(weights) / weights.sum(), np.cumsum(frequency)
+        expected = (frequency * noise).astype(np.float32)
         log_noise = (np.log(frequency) + np.log(noise)).astype(np.float32)
-        sums = [np.full_like(p, 1e-6) for p in (self.history, self.target, self.bias)]
+        given, row = np.unique(histories, axis=0, return_inverse=True)
+        row = row.ravel()
+        order = np.argsort(row, kind="stable")
+        row, targets = row[order], np.asarray(targets)[order]
+        usual = (prior / np.sum(weights) * frequency).astype(np.float32)
+        weights = (np.asarray(weights, float)[order] / np.sum(weights)).astype(np.float32)
+        parts = range(0, len(given), batch)
+        limits = [np.searchsorted(row, [start, start + batch]) for start in parts]
+        # Small, for the gradient of a pair is as small as its share of all.
+        sums = [np.full_like(p, 1e-16) for p in (self.history, self.target, self.bias)]
         for _ in range(steps):
-            rows = np.minimum(np.searchsorted(drawn, self.rng.random(batch)), len(targets) - 1)
-            false = np.minimum(np.searchsorted(noisy, self.rng.random(noise)), len(self.bias) - 1)
-            given, true = histories[rows], targets[rows]
-            hidden = sum(self.history[k][given[:, k]] for k in range(given.shape[1]))
-            score = (hidden * self.target[true]).sum(axis=1) + self.bias[true] - log_noise[true]
-            up = 1 / (1 + np.exp(score))
-            scores = hidden @ self.target[false].T + (self.bias - log_noise)[false]
-            down = -1 / (1 + np.exp(-scores))
             grads = [np.zeros_like(p) for p in (self.history, self.target, self.bias)]
-            by_hidden = up[:, None] * self.target[true] + down @ self.target[false]
-            for k in range(given.shape[1]):
-                np.add.at(grads[0][k], given[:, k], by_hidden)
-            np.add.at(grads[1], true, up[:, None] * hidden)
-            np.add.at(grads[1], false, down.T @ hidden)
-            np.add.at(grads[2], true, up)
-            np.add.at(grads[2], false, down.sum(axis=0))
+            for start, (low, high) in zip(parts, limits):
+                places = given[start:start + batch]
+                seen = np.tile(usual, (len(places), 1))
+                np.add.at(seen, (row[low:high] - start, targets[low:high]), weights[low:high])
+                hidden = sum(self.history[k][places[:, k]] for k in range(places.shape[1]))
+                scores = hidden @ self.target.T + (self.bias - log_noise)
+                true = 1 / (1 + np.exp(np.clip(-scores, -60, 60)))
+                miss = seen - (seen + seen.sum(axis=1, keepdims=True) * expected) * true
+                by_hidden = miss @ self.target
+                for k in range(places.shape[1]):
+                    np.add.at(grads[0][k], places[:, k], by_hidden)
+                grads[1] += miss.T @ hidden
+                grads[2] += miss.sum(axis=0)
             for value, grad, total in zip((self.history, self.target, self.bias), grads, sums):
-                grad /= batch
                 total += grad * grad
                 value += rate * grad / np.sqrt(total)
         return self
@@ -187,7 +200,7 @@ def fit_lm(docs: DataFrame) -> Model:
     ).groupBy("before", "after").agg(F.sum("n").alias("n")).toPandas()
     model = LogBilinear(1, classes.number, classes.number)
     model.fit(pairs[["before"]].to_numpy(np.int64), pairs["after"].to_numpy(np.int64),
-              pairs["n"].to_numpy(float))
+              pairs["n"].to_numpy(float), prior=PRIOR)
     # The product of all history with all target vectors: each row is normalised.
     after = model.log10(np.arange(classes.number)[:, None])
     return Model(counts, tokens or 0, distinct, classes, hot, after, WordTable(classes, totals))

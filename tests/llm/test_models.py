@@ -210,3 +210,11 @@ def test_noise_contrastive_estimation_finds_the_conditional():
     before, after = np.divmod(np.arange(24), 6)
     model = lm.LogBilinear(1, 4, 6, width=8).fit(before[:, None], after, true.ravel(), steps=1500, batch=1024, noise=64)
     assert np.abs(10.0 ** model.log10(np.arange(4)[:, None]) - true).max() < 0.06
+
+
+def test_the_rarest_pairs_are_learnt_too():
+    before, after = np.r_[np.repeat(np.arange(10), 20), 10], np.r_[np.tile(np.arange(20), 10), 3]
+    counts = np.r_[np.full(200, 1e7), 40.0]
+    model = lm.LogBilinear(1, 11, 20).fit(before[:, None], after, counts)
+    got = 10.0 ** model.log10(np.arange(11)[:, None])
+    assert got[10, 3] > 0.5 and np.abs(got[:10] - 0.05).max() < 0.02
