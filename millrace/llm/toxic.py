@@ -235,6 +235,9 @@ def fit_toxic(docs: DataFrame, labels: DataFrame) -> ToxicModel:
         for y, n in ((1, FIT_TOXIC), (0, FIT_CLEAN))
     ]
     sample = taken[0].unionByName(taken[1])
+    # What each sampled label stands for among all, where a limit cuts the classes unevenly.
+    of_all = dict(known.groupBy("label").count().collect())
+    shares = [max(1.0, of_all.get(y, 0) / n) for y, n in ((0, FIT_CLEAN), (1, FIT_TOXIC))]
     # The sample's size is bounded by the two constants, so it may be sent to every task.
     fitted = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
         F.broadcast(sample), "doc_id"
@@ -258,7 +261,7 @@ def fit_toxic(docs: DataFrame, labels: DataFrame) -> ToxicModel:
             clean = pd.concat([clean, worst[~worst.word.isin(toxic.word)]])
             clean = clean.drop_duplicates("word")
     values = fitted.select("label", _decision_udf(weights, bias)("text").alias("value")).collect()
-    slope, offset = _calibrate(np.array(values, float))
+    slope, offset = _calibrate(np.array(values, float), shares)
     return ToxicModel(weights, bias, slope, offset)
 
 
@@ -300,14 +303,20 @@ def _words_to_fit(evidence):
     return toxic, clean[~clean.word.isin(toxic.word)]
 
 
-def _calibrate(values):
-    """Slope and offset that give the label's probability from the decision value."""
+def _calibrate(values, shares=(1.0, 1.0)):
+    """Slope and offset that give the label's probability from the decision value.
+
+    ``shares``: how many labels each clean and each toxic row stands for.
+    """
     y, x = values[:, 0], np.clip(values[:, 1], NO_WORD, None)
     slope, offset = 1.0, 0.0
     # Targets a little inside 0 and 1 keep the curve finite when classes part cleanly.
-    target = np.where(y == 1, 1 - 1 / (y.sum() + 2), 1 / (len(y) - y.sum() + 2))
+    weight = np.where(y == 1, shares[1], shares[0])
+    toxic = weight[y == 1].sum()
+    total = weight.sum()
+    target = np.where(y == 1, 1 - 1 / (toxic + 2), 1 / (total - toxic + 2))
     for _ in range(3000):
-        miss = (1 / (1 + np.exp(-(slope * x + offset))) - target) / len(y)
+        miss = (1 / (1 + np.exp(-(slope * x + offset))) - target) * weight / total
         slope -= 4 * (miss @ x)
         offset -= 4 * miss.sum()
     return float(slope), float(offset)

@@ -218,3 +218,11 @@ def test_the_rarest_pairs_are_learnt_too():
     model = lm.LogBilinear(1, 11, 20).fit(before[:, None], after, counts)
     got = 10.0 ** model.log10(np.arange(11)[:, None])
     assert got[10, 3] > 0.5 and np.abs(got[:10] - 0.05).max() < 0.02
+
+
+def test_calibration_means_the_same_when_a_class_is_cut():
+    rng = np.random.default_rng(3)
+    toxic_rows = np.c_[np.ones(100), rng.normal(0.6, 0.7, 100)]
+    clean_rows = np.c_[np.zeros(100), rng.normal(-0.6, 0.7, 100)]
+    whole = toxic._calibrate(np.r_[toxic_rows, np.repeat(clean_rows, 9, axis=0)])
+    assert toxic._calibrate(np.r_[toxic_rows, clean_rows], (9.0, 1.0)) == pytest.approx(whole)
