@@ -3,7 +3,8 @@
 Two words are alike in the measure of the letter triples they share as subsequences, each
 weighted down by the room it takes, so ``idxiot`` is still close to ``idiot``. The machine
 is fitted on labelled sentences through landmark words; because the kernel has the triples
-as explicit features, what is fitted folds into one weight per triple.
+as explicit features, what is fitted folds into one weight per triple. Only Latin script is
+judged: letters from U+0250 on have one code, so their words differ by length alone.
 """
 
 from __future__ import annotations
