@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import exact, leaks, lm, near, pieces, repeats, secrets, tokens, toxic, urls
+from millrace.llm import (
+    centroids, exact, leaks, lm, near, packing, pieces, repeats, resample, secrets, tokens, toxic, urls,
+)
 from millrace.llm.common import read, texts
 from millrace.session import prepare
 
@@ -111,9 +113,65 @@ def op10_repeats(spark, sf_dir):
     )
 
 
+@query
+def op11_importance_resample(spark, sf_dir):
+    return resample.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_packing(spark, sf_dir):
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack(read(spark, sf_dir, "documents"), path)
+
+
+@query
+def op13_clustering(spark, sf_dir):
+    return centroids.cluster(read(spark, sf_dir, "embeddings"))
+
+
 ORACLES["op8_exact_dedup"] = """
     SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
            doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
     FROM documents
     WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
+
+
+def _clustering_sql(rounds=centroids.ROUNDS, k=centroids.CLUSTERS, dimensions=centroids.DIMENSIONS):
+    """All rounds spelt out, one after the other."""
+    steps = [f"""kept AS MATERIALIZED (
+        SELECT vec_id, list_transform(embedding, lambda x: CAST(floor({centroids.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS ints
+        FROM embeddings
+        WHERE len(embedding) = {dimensions}
+          AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dimensions}
+    ), place0 AS MATERIALIZED (
+        SELECT CAST(row_number() OVER (ORDER BY sha256('{centroids.SEED}:' || vec_id)) - 1 AS INTEGER) AS cluster, ints
+        FROM kept QUALIFY cluster < {k}
+    )"""]
+    for r in range(rounds + 1):
+        steps.append(f"""near{r} AS MATERIALIZED (
+        SELECT vec_id, any_value(v.ints) AS ints, min({{'distance': list_sum(list_transform(
+            list_zip(v.ints, p.ints), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 'cluster': cluster}}) AS best
+        FROM kept v CROSS JOIN place{r} p GROUP BY vec_id
+    )""")
+        if r < rounds:
+            steps.append(f"""place{r + 1} AS MATERIALIZED (
+        SELECT p.cluster, coalesce(m.ints, p.ints) AS ints FROM place{r} p LEFT JOIN (
+            SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY d) AS ints FROM (
+                SELECT best.cluster AS cluster, d, sum(ints[d]) AS s, count(*) AS n
+                FROM near{r}, range(1, {dimensions + 1}) ds(d) GROUP BY ALL
+            ) GROUP BY cluster
+        ) m USING (cluster)
+    )""")
+    return "WITH " + ", ".join(steps) + f"""
+        SELECT vec_id, CAST(best.cluster AS INTEGER) AS cluster, CAST(best.distance AS BIGINT) AS distance,
+               CAST(sum(best.distance) OVER (PARTITION BY best.cluster) AS BIGINT) AS cluster_inertia,
+               CAST(sum(best.distance) OVER () AS BIGINT) AS inertia,
+               sha256(array_to_string(p.ints, ',')) AS centroid_sha256
+        FROM near{rounds} JOIN place{rounds} p ON p.cluster = best.cluster
+    """
+
+
+ORACLES["op13_clustering"] = _clustering_sql()
