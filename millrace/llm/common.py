@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,9 +10,6 @@ from millrace.session import job_dir, on_disk
 # Text worked on at once inside a task, in bytes; what numpy needs is a small multiple.
 BLOCK_BYTES = 2 << 20
 
-_folders = []
-
-
 def read(spark, sf_dir, table) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -28,20 +23,26 @@ def texts(docs: DataFrame, *more) -> DataFrame:
     )
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str, **options) -> DataFrame:
     """Write a table in the folder the cluster shares and read it again.
 
-    Cuts the lineage, so a lost executor costs a read. The folders go when the driver's
-    process ends.
+    Cuts the lineage, so a lost executor costs a read. The folder goes with ``done_with``, or
+    when the driver's process ends.
     """
     spark = df.sparkSession
     path = job_dir(spark, name)
-    # What is written needs no shuffle files any more.
-    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
-    df.write.options(**options).parquet(path)
-    if not _folders:
-        atexit.register(_tidy, spark)
-    _folders.append(path)
+    files, root = on_disk(spark, path)
+    files.deleteOnExit(root)
+    # What is written needs no shuffle files any more: of this write, whatever the session does.
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.options(**options).parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     table = spark.read.schema(df.schema).parquet(path)
     table.stored_at = path
     return table
@@ -52,16 +53,7 @@ def done_with(*tables):
     for table in tables:
         files, root = on_disk(table.sparkSession, table.stored_at)
         files.delete(root, True)
-        _folders.remove(table.stored_at)
-
-
-def _tidy(spark):
-    for path in _folders:
-        try:
-            files, root = on_disk(spark, path)
-            files.delete(root, True)
-        except Exception:  # noqa: BLE001  the session is gone; the folder's owner tidies
-            return
+        files.cancelDeleteOnExit(root)
 
 
 def blocks(rows, size, limit=BLOCK_BYTES):
@@ -89,11 +81,13 @@ def keep_once(docs: DataFrame, judged: DataFrame, digest) -> DataFrame:
     chosen = stored(units.where("kept").select(
         F.col("doc_id").alias("_id"), F.col("digest").alias("_of"), "_copies"
     ), "kept-documents")
-    marked = docs.withColumn("_digest", digest)
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_of"))
+    # The row goes along as one column, so that no name of its own is in the way.
+    marked = docs.select(
+        F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_doc"), digest.alias("_digest")
+    )
+    same = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_of"))
     kept = marked.join(chosen, same)
     if chosen.where("_copies > 1").isEmpty():
-        return kept.select(*docs.columns)
-    rows = F.struct(*docs.columns).alias("_row")
-    repeated = kept.where("_copies > 1").groupBy("_of", "_id").agg(F.first(rows).alias("_row"))
-    return kept.where("_copies = 1").select(*docs.columns).unionByName(repeated.select("_row.*"))
+        return kept.select("_row.*")
+    repeated = kept.where("_copies > 1").groupBy("_of", "_id").agg(F.first("_row").alias("_row"))
+    return kept.where("_copies = 1").select("_row.*").unionByName(repeated.select("_row.*"))

@@ -1,7 +1,7 @@
 """Piece encoding and decoding as a shortest path through a weighted transducer.
 
-The transducer is compiled from a model file: the normaliser writes spaces as a mark and puts
-one before the text, arcs spell pieces, and characters without a piece leave as bytes. A state
+The transducer is compiled from a model file: the normaliser, as the model states it, writes spaces as
+a mark and may put one before the text, arcs spell pieces, and characters without a piece leave as bytes. A state
 is a place in the text with the piece that led there. In a model built by merging, an arc
 weighs nothing where merging would leave the two pieces apart and is infinitely heavy where
 it would join them, so that in the tropical semiring exactly one path is finite: the
@@ -13,8 +13,10 @@ from __future__ import annotations
 
 import re
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,16 +25,49 @@ from millrace.llm.common import blocks
 MARK = "▁"
 # Longer words are encoded one by one instead of side by side.
 LONGEST = 64
-REMEMBERED = 200_000
-# Text encoded at once: the more, the fewer steps for all its new words together.
-BLOCK = 3 << 20
-NEVER = 1 << 40
+REMEMBERED = 100_000
+# Text encoded at once, and words that walk side by side: the more, the fewer steps, but the more memory.
+BLOCK = 1 << 20
+TOGETHER = 8192
+NEVER = 1 << 30
 
 WORDS = re.compile(f"{MARK}+[^{MARK}]*")
+SPACES = re.compile(" +")
 BASE = 0x9E3779B97F4A7C15 | 1
 MASK = (1 << 64) - 1
 
 
+class Normaliser:
+    """How a model rewrites a text before pieces are looked for, as a function to words.
+
+    What a model may ask for: a mark before the text (``prefix``), and no space at the ends nor more
+    than one elsewhere (``squeeze``). Spaces become marks.
+    """
+
+    def __init__(self, prefix=True, squeeze=False):
+        self.prefix, self.squeeze = prefix, squeeze
+
+    def words(self, text):
+        """The words a text is encoded as, each without the mark it begins with.
+
+        The first one of a text that begins without a mark is ``None`` followed by that word.
+        """
+        if self.squeeze:
+            text = SPACES.sub(" ", text.replace(MARK, " ")).strip(" ")
+        if self.prefix or not text:
+            return words_of(text)
+        if text[0] in f" {MARK}":
+            return words_of(text[1:]) or [""]
+        first, *more = text.replace(MARK, " ").split(" ", 1)
+        rest = words_of(more[0]) or [""] if more else []
+        return [None, first, *rest]
+
+    def spelt(self, text):
+        """The text that decoding gives back."""
+        text = text.replace(MARK, " ")
+        return SPACES.sub(" ", text).strip(" ") if self.squeeze else text
+
+
 class Transducer:
     """The compiled model: pieces with their weights, and how each of them comes about.
 
@@ -41,8 +76,8 @@ class Transducer:
     came, and when it was merged away (times are the highest cost paid so far).
     """
 
-    def __init__(self, pieces, scores, normal, byte_ids):
-        self.pieces, self.byte_ids = pieces, byte_ids
+    def __init__(self, pieces, scores, normal, byte_ids, normaliser):
+        self.pieces, self.byte_ids, self.normaliser = pieces, byte_ids, normaliser
         self.ids = {pieces[i]: i for i in normal}
         self.ranks = {i: -scores[i] for i in normal}
         for piece in self.ids:
@@ -123,33 +158,48 @@ class Transducer:
 
 
 class Tables:
-    """The transducer as arrays, to walk through many words side by side."""
+    """The transducer as arrays, to walk through many words side by side.
+
+    Made once, on the driver; tasks get the arrays, and remember for themselves what they found.
+    """
 
     def __init__(self, transducer):
         self.t = t = transducer
         n = len(t.pieces)
-        self.n, self.bytes = n, np.array(t.byte_ids, np.int64)
+        self.n, self.bytes = n, np.array(t.byte_ids, np.int32)
         with np.errstate(over="ignore"):
             self.powers = np.cumprod(np.r_[1, np.full(LONGEST + 1, BASE, np.uint64)].astype(np.uint64))
             inverse = pow(BASE, -1, 1 << 64)
             self.back = np.cumprod(np.r_[1, np.full(LONGEST + 1, inverse, np.uint64)].astype(np.uint64))
-        self.hashes, self.lengths = np.zeros(n, np.uint64), np.zeros(n, np.int64)
-        self.ranks, self.whole = np.zeros(n, np.int64), np.zeros(n, bool)
+        self.hashes, self.lengths = np.zeros(n, np.uint64), np.zeros(n, np.int32)
+        self.ranks, self.whole = np.zeros(n, np.int32), np.zeros(n, bool)
         for piece, i in t.ids.items():
             self.hashes[i] = sum((ord(c) + 1) * pow(BASE, k, 1 << 64) for k, c in enumerate(piece)) & MASK
             self.lengths[i], self.ranks[i], self.whole[i] = len(piece), t.ranks[i], i in t.whole
         self.lengths[self.bytes] = 1
         self._index(np.array(sorted(t.ids.values())))
         self.right, self.left = self._spines(t.right), self._spines(t.left)
-        self.known = np.full(1 << 20, -1, np.int64)
-        self.apart = np.zeros(1 << 20, bool)
+        # From here on the arrays say what these did.
+        t.right, t.left = {}, {}
+        self._forget()
+
+    def _forget(self):
+        self.known = np.full(1 << 19, -1, np.int64)
+        self.apart = np.zeros(1 << 19, bool)
         self.memory = {}
 
+    def __getstate__(self):
+        return {k: v for k, v in vars(self).items() if k not in ("known", "apart", "memory")}
+
+    def __setstate__(self, state):
+        vars(self).update(state)
+        self._forget()
+
     def _index(self, ids):
         """Open addressing: a piece is within ``probes`` places of where its hash points."""
         bits = 19
         self.shift, size = np.uint64(64 - bits), 1 << bits
-        self.keys, self.values = np.zeros(size, np.uint64), np.full(size, -1, np.int64)
+        self.keys, self.values = np.zeros(size, np.uint64), np.full(size, -1, np.int32)
         self.probes = 0
         for i, at in zip(ids, self._place(self.hashes[ids])):
             probe = 0
@@ -164,7 +214,7 @@ class Tables:
 
     def find(self, h):
         """The pieces with these hashes, -1 where there is none."""
-        at, out = self._place(h), np.full(len(h), -1, np.int64)
+        at, out = self._place(h), np.full(len(h), -1, np.int32)
         left = None
         for probe in range(self.probes):
             where = at if left is None else at[left]
@@ -183,16 +233,16 @@ class Tables:
 
     def _spines(self, ends):
         depth = max((len(e) for e in ends.values()), default=1)
-        out = np.full((3, self.n, depth), -1, np.int64)
+        out = np.full((3, self.n, depth), -1, np.int32)
         for i, end in ends.items():
             out[:, i, :len(end)] = np.array(end).T
         return out
 
     def stay_apart(self, a, b):
         """For each pair of neighbours whether merging leaves them apart; answers are kept."""
-        key = a * self.n + b
+        key = a.astype(np.int64) * self.n + b
         with np.errstate(over="ignore"):
-            slot = ((key.astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(44)).astype(np.int64)
+            slot = ((key.astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(45)).astype(np.int64)
         hit = self.known[slot] == key
         out = self.apart[slot]
         if not hit.all():
@@ -249,8 +299,10 @@ class Tables:
         order = np.argsort(sizes, kind="stable")
         for k in order[sizes[order] > LONGEST]:
             out[k] = np.array(self.t.encode_word(words[k], self.memory), np.int32).tobytes()
+            if len(self.memory) > REMEMBERED:
+                self.memory.clear()
         order = order[sizes[order] <= LONGEST]
-        for part in np.array_split(order, max(1, len(order) // 30_000)):
+        for part in np.array_split(order, max(1, len(order) // TOGETHER)):
             if len(part):
                 for k, ids in zip(part, self._side_by_side([words[k] for k in part])):
                     out[k] = ids
@@ -264,7 +316,7 @@ class Tables:
         sums = np.zeros((len(words), width + 1), np.uint64)
         with np.errstate(over="ignore"):
             np.cumsum((points + np.uint64(1)) * self.powers[:width], axis=1, out=sums[:, 1:])
-        last = np.full((width + 1, len(words)), -1, np.int64)
+        last = np.full((width + 1, len(words)), -1, np.int32)
         sums = np.ascontiguousarray(sums.T)
         for end in range(1, width + 1):
             rows = np.flatnonzero(sizes >= end)
@@ -328,11 +380,49 @@ def words_of(text):
     return [w[1:] for w in WORDS.findall(MARK + text.replace(" ", MARK))]
 
 
+def _fields(message):
+    """The numbered fields of a message in the format of model files: numbers, and bytes of the others."""
+    at = 0
+
+    def number():
+        nonlocal at
+        value = shift = 0
+        while True:
+            byte = message[at]
+            at += 1
+            value |= (byte & 127) << shift
+            shift += 7
+            if byte < 128:
+                return value
+
+    while at < len(message):
+        field, kind = divmod(number(), 8)
+        if kind == 0:
+            yield field, number()
+        else:
+            size = number() if kind == 2 else {1: 8, 5: 4}[kind]
+            yield field, message[at:at + size]
+            at += size
+
+
+def _normaliser(model):
+    """The normaliser that a model states; one this module cannot compile is refused."""
+    parts = {3: b"", 2: b""} | {f: v for f, v in _fields(model) if f in (2, 3)}
+    # Numbers of the fields, and what they are where they are left out.
+    stated, trained = dict(_fields(parts[3])), dict(_fields(parts[2]))
+    rules, prefix, squeeze, escape = (stated.get(k, v) for k, v in ((2, b""), (3, 1), (4, 1), (5, 1)))
+    if rules or not escape or trained.get(24, 0):
+        raise ValueError("the model's normaliser maps characters, keeps spaces, or marks the ends of words")
+    return Normaliser(bool(prefix), bool(squeeze))
+
+
 def load(path):
     """Compile a model file."""
     import sentencepiece
 
-    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    with open(path, "rb") as file:
+        data = file.read()
+    model = sentencepiece.SentencePieceProcessor(model_proto=data)
     n = model.get_piece_size()
     byte_ids = [i for i in range(n) if model.is_byte(i)]
     normal = [
@@ -342,60 +432,81 @@ def load(path):
     pieces = [model.id_to_piece(i) for i in range(n)]
     if any(MARK in p.lstrip(MARK) for p in pieces):
         raise ValueError("pieces must hold the mark at their beginning only")
-    return Transducer(pieces, [model.get_score(i) for i in range(n)], normal, byte_ids)
+    return Transducer(pieces, [model.get_score(i) for i in range(n)], normal, byte_ids, _normaliser(data))
 
 
 def decoder(transducer):
-    """A function from ids to text: pieces and bytes put together, without the first space."""
+    """A function from ids to text: pieces and bytes put together, without the space put first."""
     spelt = [p.replace(MARK, " ").encode() for p in transducer.pieces]
     for value, i in enumerate(transducer.byte_ids):
         spelt[i] = bytes([value])
     controls = set(range(len(spelt))) - set(transducer.ids.values()) - set(transducer.byte_ids)
     for i in controls:
         spelt[i] = b""
+    first = b" " if transducer.normaliser.prefix else b""
 
     def decode(ids):
-        data = b"".join(map(spelt.__getitem__, ids))
-        return data.removeprefix(b" ").decode("utf-8", "replace")
+        return b"".join(map(spelt.__getitem__, ids)).removeprefix(first).decode("utf-8", "replace")
 
     return decode
 
 
-def encoder(transducer):
+def encoder(tables):
     """A function from texts to arrays of ids that remembers the words it has met."""
-    tables, known = Tables(transducer), {}
+    known, bare = {}, {}
+    words = tables.t.normaliser.words
+
+    def learn(new, into, mark):
+        into.update(zip(new, tables.encode_words([mark + w for w in new])))
 
     def encode(found):
-        parts = [words_of(text) for text in found]
-        new = list(set().union(*parts) - known.keys())
-        known.update(zip(new, tables.encode_words([MARK + w for w in new])))
-        out = [np.frombuffer(b"".join(map(known.__getitem__, p)), np.int32) for p in parts]
-        if len(known) > REMEMBERED:
-            known.clear()
+        parts = [words(text) for text in found]
+        firsts = {k: p[1] for k, p in enumerate(parts) if p and p[0] is None}
+        for k in firsts:
+            parts[k] = parts[k][2:]
+        learn(list(set().union(*parts) - known.keys()), known, MARK)
+        learn(list(set(firsts.values()) - bare.keys()), bare, "")
+        out = []
+        for k, part in enumerate(parts):
+            start = bare[firsts[k]] if k in firsts else b""
+            out.append(np.frombuffer(start + b"".join(map(known.__getitem__, part)), np.int32))
+        for memory in (known, bare):
+            if len(memory) > REMEMBERED:
+                memory.clear()
         return out
 
     return encode
 
 
 def _encode_udf(transducer):
-    @F.pandas_udf("ids array<int>, round_trip boolean")
-    def encode_texts(batches: pd.Series) -> pd.DataFrame:
-        encode, decode = encoder(transducer), decoder(transducer)
-        ids, same = [], []
-        for block in blocks(batches, len, BLOCK):
-            found = encode(block)
-            ids += found
-            same += [decode(i.tolist()) == text.replace(MARK, " ") for i, text in zip(found, block)]
-        return pd.DataFrame({"ids": ids, "round_trip": same})
+    tables = Tables(transducer)
+
+    @F.arrow_udf("ids array<int>, round_trip boolean")
+    def encode_texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encode, decode = encoder(tables), decoder(tables.t)
+        spelt = tables.t.normaliser.spelt
+        for batch in batches:
+            ids, ends, same = [np.zeros(0, np.int32)], [0], []
+            for block in blocks((text.as_py() for text in batch), len, BLOCK):
+                found = encode(block)
+                ids.append(np.concatenate(found))
+                for mine, text in zip(found, block):
+                    ends.append(ends[-1] + len(mine))
+                    same.append(decode(mine.tolist()) == spelt(text))
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids)))
+            yield pa.StructArray.from_arrays([lists, pa.array(same, pa.bool_())], ["ids", "round_trip"])
 
     return encode_texts
 
 
 def _decode_udf(transducer):
-    @F.pandas_udf("string")
-    def decode_ids(batches: pd.Series) -> pd.Series:
+    transducer.right, transducer.left = {}, {}
+
+    @F.arrow_udf("string")
+    def decode_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         decode = decoder(transducer)
-        return pd.Series([decode(list(ids)) for ids in batches])
+        for batch in batches:
+            yield pa.array([decode(ids.as_py()) for ids in batch], pa.string())
 
     return decode_ids
 
@@ -404,13 +515,15 @@ def with_pieces(docs: DataFrame, model) -> DataFrame:
     """Add ``ids``, the pieces of each whole text, and ``round_trip``: decoding gives the text back.
 
     ``model`` is the path of a model file on the driver. No begin or end pieces are added; a null
-    or empty text has no ids. A mark in a text is encoded like a space, which is also what it
-    is decoded to. Columns named ``ids`` or ``round_trip`` are replaced.
+    or empty text has no ids. The text that decoding gives is the model's normal form: a mark in it is
+    a space, and a model that squeezes spaces leaves out the others. Repeated rows are encoded
+    each. Columns named ``ids`` or ``round_trip`` are replaced, others are kept as they are.
     """
-    coded = docs.withColumn("_coded", _encode_udf(load(model))(F.coalesce(F.col("text"), F.lit(""))))
-    return coded.withColumns(
-        {"ids": F.col("_coded.ids"), "round_trip": F.col("_coded.round_trip")}
-    ).drop("_coded")
+    coded = _encode_udf(load(model))(F.coalesce(F.col("text"), F.lit("")))
+    kept = [F.col(f"_row.`{c}`") for c in docs.columns if c not in ("ids", "round_trip")]
+    # The row goes along as one column, so that no name of its own is in the way.
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), coded.alias("_coded"))
+    return rows.select(*kept, "_coded.ids", "_coded.round_trip")
 
 
 def decoded(ids, model):

@@ -131,6 +131,19 @@ def op13_clustering(spark, sf_dir):
     return centroids.cluster(read(spark, sf_dir, "embeddings"))
 
 
+@query
+def url_rules(spark, sf_dir):
+    """What the rules alone say of each URL, which SQL can say too."""
+    parsed = urls.with_host_and_path(read(spark, sf_dir, "pages").select("page_id", "url"))
+    return parsed.select("page_id", "host", "path", urls.rule_of().alias("rule"))
+
+
+@query
+def secret_patterns(spark, sf_dir):
+    """What the fixed patterns alone find, which SQL can find too."""
+    return op6_secret_scan(spark, sf_dir).drop("spans")
+
+
 ORACLES["op8_exact_dedup"] = """
     SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
            doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -175,3 +188,83 @@ def _clustering_sql(rounds=centroids.ROUNDS, k=centroids.CLUSTERS, dimensions=ce
 
 
 ORACLES["op13_clustering"] = _clustering_sql()
+
+_FITS = " ".join(
+    f"WHEN (host = '{d}' OR ends_with(host, '.{d}')) AND starts_with(path, '/{rest}') THEN '{d}/{rest}'"
+    for d, _, rest in sorted((rule.partition("/") for _, rule in urls.RULES), key=lambda r: -len("".join(r)))
+)
+ORACLES["url_rules"] = f"""
+    WITH cut AS (
+        SELECT page_id, position('://' IN coalesce(url, '')) AS mark, coalesce(url, '') AS url FROM pages
+    ), tails AS (
+        SELECT page_id, CASE WHEN mark > 0 THEN substr(url, mark + 3) ELSE '' END AS tail FROM cut
+    ), hosts AS (
+        SELECT page_id, regexp_extract(tail, '^[^/?#]*') AS raw, tail FROM tails
+    ), parts AS (
+        SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+               regexp_extract(substr(tail, length(raw) + 1), '^[^?#]*') AS path FROM hosts
+    )
+    SELECT page_id, host, path, CASE {_FITS} END AS rule FROM parts
+"""
+
+_VALUE = """(password|passwd|secret|token|api_?key)["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+ORACLES["secret_patterns"] = f"""
+    WITH found AS (
+        SELECT doc_id, k, kind, string_split_regex(t, p) AS gaps, regexp_extract_all(t, p) AS hits,
+               regexp_extract_all(t, p, g) AS parts, least_length
+        FROM (SELECT row_number() OVER () AS doc_row, doc_id, coalesce(text, '') AS t FROM documents),
+             (VALUES (0, 'assign', '(?i){_VALUE}', 2, 6), (1, 'access', 'AKIA[A-Z0-9]+', 0, 20),
+                     (2, 'hex', '[0-9a-f]+', 0, 24)) kinds(k, kind, p, g, least_length)
+    ), ends AS (
+        SELECT *, list_transform(range(1, len(hits) + 1), lambda i: length(gaps[i])) AS before,
+               list_transform(hits, lambda h: length(h)) AS sizes FROM found
+    ), spans AS (
+        SELECT doc_id, list(struct_pack(a := start_, k := k, t := kind || ':' || start_ || ':' || (start_ + size))
+                            ORDER BY start_, k) FILTER (good) AS all_of,
+               count(*) FILTER (good AND k = 0) AS n_assign, count(*) FILTER (good AND k = 1) AS n_access,
+               count(*) FILTER (good AND k = 2) AS n_hex
+        FROM (
+            SELECT doc_id, k, kind, size, length(part) >= least_length AS good,
+                   CAST(sum(gap + size) OVER (PARTITION BY doc_id, k ORDER BY i) - size AS BIGINT) AS start_
+            FROM (SELECT doc_id, k, kind, least_length, unnest(before) AS gap, unnest(sizes) AS size,
+                         unnest(parts) AS part, unnest(range(1, len(hits) + 1)) AS i FROM ends)
+        ) GROUP BY doc_id
+    )
+    SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+           coalesce(n_hex, 0) AS n_hex,
+           sha256(coalesce(array_to_string(list_transform(all_of, lambda s: s.t), ','), '')) AS base_sha256
+    FROM documents d LEFT JOIN spans s ON s.doc_id = d.doc_id
+"""
+
+# Texts as hexadecimal digits: two a byte.
+ORACLES["op10_repeats"] = f"""
+    WITH docs AS MATERIALIZED (
+        SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+    ), parts AS MATERIALIZED (
+        SELECT r, c, substr(h, CAST(2 * c + 1 AS BIGINT), {2 * (500 + repeats.LENGTH - 1)}) AS part
+        FROM (SELECT r, h, unnest(range(0, length(h) // 2 - {repeats.LENGTH - 1}, 500)) AS c FROM docs)
+    ), strings AS (
+        SELECT r, c + p AS p, md5(substr(part, CAST(2 * p + 1 AS BIGINT), {2 * repeats.LENGTH})) AS w
+        FROM (SELECT r, c, part, unnest(range(0, length(part) // 2 - {repeats.LENGTH - 1})) AS p FROM parts)
+    ), again AS (
+        SELECT r, p FROM strings QUALIFY count(*) OVER (PARTITION BY w) > 1
+    ), runs AS (
+        SELECT r, p, sum(opens) OVER (PARTITION BY r ORDER BY p) AS run FROM (
+            SELECT r, p, CASE WHEN p - lag(p) OVER (PARTITION BY r ORDER BY p) <= {repeats.LENGTH} THEN 0 ELSE 1 END
+                   AS opens FROM again)
+    ), cut AS (
+        SELECT r, list(first_ ORDER BY first_) AS f, list(last_ ORDER BY first_) AS l FROM (
+            SELECT r, min(p) AS first_, max(p) + {repeats.LENGTH} AS last_ FROM runs GROUP BY r, run
+        ) GROUP BY r
+    ), kept AS (
+        SELECT doc_id, length(h) // 2 AS n, f, l, h, list_concat([0], coalesce(l, [])) AS a,
+               list_concat(coalesce(f, []), [length(h) // 2]) AS b
+        FROM docs LEFT JOIN cut USING (r)
+    )
+    SELECT doc_id, n AS n_bytes, coalesce(n - list_sum(list_transform(range(1, len(a) + 1), lambda i: b[i] - a[i])), 0)::BIGINT
+               AS n_removed,
+           len(a) - 1 AS n_spans,
+           sha256(unhex(array_to_string(list_transform(range(1, len(a) + 1),
+               lambda i: substr(h, CAST(2 * a[i] + 1 AS BIGINT), CAST(2 * (b[i] - a[i]) AS BIGINT))), ''))) AS kept_sha256
+    FROM kept
+"""

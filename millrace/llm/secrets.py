@@ -40,12 +40,23 @@ ALLOWED_SHAPES = (
 SPANS = "array<struct<start:int,end:int,hit:string>>"
 
 
+# Matches whose positions are summed up together.
+CHUNK = 64
+
+
+def _chunks(array, size=CHUNK):
+    """An array cut into arrays of ``size``; together they take as long as one."""
+    starts = F.sequence(F.lit(1), F.greatest(F.size(array), F.lit(1)), F.lit(size))
+    return F.transform(starts, lambda k: F.slice(array, k, size))
+
+
 def _matches(pattern, keep):
     """Spans of all leftmost non-overlapping matches in ``text``.
 
     What lies between the matches and the matches themselves, put end to end, are the text,
-    so their lengths in code points give the positions. ``keep`` says which matches count.
-    A text without a match costs one search.
+    so their lengths in code points give the positions: first within a chunk of matches, then
+    moved by what the chunks before it add up to, so that many matches take no square of
+    their number. ``keep`` says which matches count. A text without a match costs one search.
     """
     parts = F.arrays_zip(
         F.split("text", pattern, -1).alias("gap"),
@@ -62,8 +73,23 @@ def _matches(pattern, keep):
         return F.struct(end.alias("at"), spans.alias("spans"))
 
     zero = F.struct(F.lit(0).alias("at"), none.alias("spans"))
-    found = F.aggregate(parts, zero, add, lambda done: done["spans"])
-    return F.when(F.col("text").rlike(pattern), found).otherwise(none)
+    local = F.transform(_chunks(parts), lambda chunk: F.aggregate(chunk, zero, add))
+    begins = F.aggregate(
+        local,
+        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("begins")),
+        lambda done, chunk: F.struct(
+            (done["at"] + chunk["at"]).alias("at"),
+            F.concat(done["begins"], F.array(done["at"])).alias("begins"),
+        ),
+        lambda done: done["begins"],
+    )
+    moved = F.zip_with(local, begins, lambda chunk, begin: F.transform(
+        chunk["spans"],
+        lambda s: F.struct(
+            (s["start"] + begin).alias("start"), (s["end"] + begin).alias("end"), s["hit"].alias("hit")
+        ),
+    ))
+    return F.when(F.col("text").rlike(pattern), F.flatten(moved)).otherwise(none)
 
 
 def _fixed(pattern, group, least):
@@ -138,14 +164,38 @@ def _entropy_spans(window, allow):
     return _matches(CANDIDATE, candidate), spans
 
 
+def _free_of(spans, others):
+    """Those of ``spans`` that touch none of ``others``, which are in order of their starts.
+
+    A span is held against a whole chunk first, and against what is in it only if it reaches into it.
+    """
+    wide = F.transform(_chunks(others), lambda chunk: F.struct(
+        F.array_min(F.transform(chunk, lambda b: b["start"])).alias("start"),
+        F.array_max(F.transform(chunk, lambda b: b["end"])).alias("end"),
+        chunk.alias("inside"),
+    ))
+
+    def touches(s, b):
+        return (b["start"] < s["end"]) & (s["start"] < b["end"])
+
+    return lambda chunks: F.filter(spans, lambda s: ~F.exists(
+        chunks, lambda c: F.coalesce(touches(s, c), F.lit(False)) & F.exists(c["inside"], lambda b: touches(s, b))
+    )), wide
+
+
 def scan_secrets(docs: DataFrame, window=WINDOW, allow=()) -> DataFrame:
     """Add ``secrets`` to documents: an array of ``(start, kind, end)`` in order of position.
 
     ``kind`` is a place in ``KINDS``, or one past them for what entropy finds; positions are
     code points, the end exclusive. Entropy adds strings that touch no fixed pattern's match.
-    ``allow`` lists strings that are known to be harmless. A null or empty text has none.
+    ``allow`` lists strings that are known to be harmless. A null or empty text has none. Spans
+    that start together are in order of their kinds; repeated rows are scanned each. A column
+    ``secrets`` is replaced, all others are kept as they are, whatever their names.
     """
-    scanned = docs.withColumn("text", F.coalesce(F.col("text"), F.lit("")))
+    # The row goes along as one column, so that no name of its own is in the way.
+    scanned = docs.select(
+        F.struct(*docs.columns).alias("_row"), F.coalesce(F.col("text"), F.lit("")).alias("text")
+    )
     for kind, pattern, group, least in KINDS:
         scanned = scanned.withColumn(f"_{kind}", _fixed(pattern, group, least))
 
@@ -158,14 +208,11 @@ def scan_secrets(docs: DataFrame, window=WINDOW, allow=()) -> DataFrame:
     candidates, random = _entropy_spans(window, allow)
     scanned = scanned.withColumn("_base", F.array_sort(base)).withColumn("candidates", candidates)
     scanned = scanned.withColumn("_random", random)
-    new = F.filter(F.col("_random"), lambda s: ~F.exists(
-        F.col("_base"), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])
-    ))
-    scanned = scanned.withColumn("_new", new)
+    free, chunks = _free_of(F.col("_random"), F.col("_base"))
+    scanned = scanned.withColumn("_chunks", chunks).withColumn("_new", free(F.col("_chunks")))
     both = F.array_sort(F.concat("_base", of_kind("_new", len(KINDS))))
-    return scanned.withColumn("secrets", both).drop(
-        *[f"_{kind}" for kind, *_ in KINDS], "_base", "_random", "_new", "candidates"
-    )
+    kept = [F.col(f"_row.`{c}`") for c in docs.columns if c != "secrets"]
+    return scanned.select(*kept, both.alias("secrets"))
 
 
 def spans_text(spans):
