@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 BLOCK_ROWS = 1 << 22
 BLOCK = "_block"
+# Sketches of frequent keys, and keys that each keeps track of.
+SHARDS, TRACKED = 64, 4096
 
 
 def block_of(offset, rows=BLOCK_ROWS):
@@ -28,17 +30,34 @@ def block_of(offset, rows=BLOCK_ROWS):
 
 
 def hot_keys(df: DataFrame, keys, rows=BLOCK_ROWS) -> DataFrame:
-    """Keys with more than ``rows`` rows.
+    """Keys with more than ``rows`` rows, none of their columns null.
+
+    A sketch of frequent items names the keys that may have as many; only those are counted, so no
+    table of all keys is ever shuffled. Tasks send sketches of bounded size, which are merged
+    side by side, ``SHARDS`` of them by the key's hash. A sketch never counts too few. It may lose
+    sight of a key with less than ``3.5 / TRACKED`` of its shard's rows: such a key is then
+    handled like a small one, which changes no result.
 
     At most ``count(df) / rows`` keys can qualify: 250,000 for a trillion rows at the
     default. That bound is what allows the result to be broadcast.
     """
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    known = df.where(all_of([F.col(k).isNotNull() for k in keys])).select(
+        *keys, F.xxhash64(*keys).alias("_key")
+    )
+    sketched = known.groupBy(F.pmod("_key", F.lit(SHARDS)).alias("_shard")).agg(
+        F.expr(f"approx_top_k(_key, {TRACKED}, {TRACKED})").alias("_seen")
+    )
+    likely = sketched.select(F.explode("_seen").alias("_item")).where(F.col("_item.count") > rows)
+    few = known.join(F.broadcast(likely.select(F.col("_item.item").alias("_key"))), "_key", "left_semi")
+    counted = few.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     return counted.where(F.col("_n") > rows).drop("_n")
 
 
 def split_hot(df: DataFrame, keys, rows=BLOCK_ROWS):
-    """Rows of hot keys, and all others (those with a null key among them)."""
+    """Rows of hot keys, and all others (those with a null key among them).
+
+    Keys are the same in both: adaptive execution leaves out the first part where no key is hot.
+    """
     hot = F.broadcast(hot_keys(df, keys, rows))
     return df.join(hot, list(keys), "left_semi"), df.join(hot, list(keys), "left_anti")
 

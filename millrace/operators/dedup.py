@@ -25,20 +25,19 @@ def dedup_first(
     The first submission of a key wins; later ones get its order id and emit nothing.
     A submission whose send ``failed`` (a condition) frees the key for the next one; it
     answers with its own order id unless the key was already held. A submission without a key
-    stands for itself, outside the shuffle.
+    stands for itself: its own place takes the part of the key, so that such rows are spread.
 
     Rows of a hot key stay where they are and have its winner, found with partial
     aggregation, sent to them; the others are answered in one window by key.
     """
     sent = F.lit(True) if failed is None else ~failed
     first = F.min(F.when(sent, F.struct(F.col(order).alias("at"), F.col(order_id).alias("id"))))
-    common, rare = split_hot(submissions.where(F.col(key).isNotNull()), [key], rows)
+    common, rare = split_hot(submissions, [key], rows)
     winners = F.broadcast(common.groupBy(key).agg(first.alias("_won")))
+    alone = [F.when(F.col(key).isNull(), F.col(c)) for c in (order, order_id)]
     answered = common.join(winners, key).unionByName(
-        rare.withColumn("_won", first.over(Window.partitionBy(key)))
+        rare.withColumn("_won", first.over(Window.partitionBy(key, *alone)))
     )
-    alone = F.when(sent, F.struct(F.col(order).alias("at"), F.col(order_id).alias("id")))
-    answered = answered.unionByName(submissions.where(F.col(key).isNull()).withColumn("_won", alone))
     held = F.col("_won.at") <= F.col(order)
     return answered.select(
         *submissions.columns,
@@ -75,8 +74,8 @@ def ledger_rows(processed: DataFrame) -> DataFrame:
 def dedup_events(df: DataFrame, keys=("channel", "event_id"), order=("offset",)) -> DataFrame:
     """The first row per channel and event id; rows without an event id all pass.
 
-    Rows without one are kept out of the shuffle.
+    Each row without one has a key of its own, so the input is read once and no task gets them all.
     """
     known = all_of([F.col(k).isNotNull() for k in keys])
-    once = first_per_key(df.where(known), list(keys), list(order))
-    return once.select(*df.columns).unionByName(df.where(~known))
+    marked = df.withColumn("_alone", F.when(~known, F.monotonically_increasing_id()))
+    return first_per_key(marked, [*keys, "_alone"], list(order)).select(*df.columns)

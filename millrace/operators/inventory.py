@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.envelope import with_envelope
+from millrace.functions.trace import set_trace_header
 from millrace.operators.blocks import BLOCK, block_of
 from millrace.operators.dedup import ledger_dedup
+from millrace.operators.fraud import rekey
 from millrace.session import cut_lineage, job_dir, on_disk
 
 # Lines of one SKU a single task folds; a SKU with more is cut into blocks of the log.
@@ -18,6 +21,9 @@ FOLD_ROWS = 1 << 20
 
 _NEVER = 1 << 62
 
+# Pieces of a block's map, and quantities in a row of a block that has more of them, at most.
+PIECES = 4096
+
 # What a new shop starts with.
 SEEDS = {"SKU-1": 100, "SKU-LOAD": 1000}
 
@@ -55,8 +61,8 @@ def reserve_stock(lines: DataFrame, stock: DataFrame, seq=("offset", "line"), ro
     reserved, and a line larger than the stock is rejected, by comparing columns (both with
     what lines below zero give back in mind); the rest are folded in order while sorted partitions stream by. A SKU with more than ``rows``
     lines is cut into blocks of the log, shuffled by block, and the stock each block starts
-    with is worked out first (``_block_starts``), so its blocks fold side by side. That takes
-    stock that only shrinks: a SKU with a line below zero is folded in one go.
+    with is worked out first, so its blocks fold side by side: by ``_block_starts`` where stock only
+    shrinks, by ``_mapped_starts`` for a SKU with lines below zero.
     """
     seq = list(seq)
     # Lines without a SKU or a quantity need no place in the shuffle.
@@ -71,7 +77,7 @@ def reserve_stock(lines: DataFrame, stock: DataFrame, seq=("offset", "line"), ro
             F.count(F.lit(1)).alias("_n"),
         )
     )
-    cut_up = (F.col("_n") > rows) & (F.col("_back") == 0)
+    cut_up = F.col("_n") > rows
     shelf = stock.select("sku", F.col("quantity").cast("long").alias("_stock"))
     fits = F.coalesce("_demand", F.lit(0)) <= F.col("_stock")
     cold = shelf.join(demand.where(~cut_up), "sku").select(
@@ -86,23 +92,29 @@ def reserve_stock(lines: DataFrame, stock: DataFrame, seq=("offset", "line"), ro
         starts = cold
     else:
         hot = cut_lineage(
-            hot.join(shelf, "sku", "left").select("sku", "_stock", fits.alias("_hot_fits"))
+            hot.join(shelf, "sku", "left").select("sku", "_stock", "_back", fits.alias("_hot_fits"))
         )
         names = F.broadcast(hot.select("sku", "_hot_fits", F.lit(True).alias("_hot")))
         block = F.when(F.col("_hot"), block_of(seq[0], rows) + 1).otherwise(F.lit(0).cast("long"))
         cut = lines.join(names, "sku", "left").withColumn(BLOCK, block).drop("_hot")
-        contested = hot.where(~F.col("_hot_fits")).select("sku", "_stock")
-        eligible = (
-            cut.join(F.broadcast(contested), "sku")
-            .where(F.col("quantity") <= F.col("_stock"))
-            .select("sku", "quantity", BLOCK, *seq)
-        )
-        starts = cold.unionByName(
-            _block_starts(eligible, contested, seq).select(
-                "sku", BLOCK, F.col("_start").alias("_left"), F.lit(False).alias("_fits"),
-                F.col("_start").alias("_most"),
+        contested = hot.where(~F.col("_hot_fits")).withColumn("_most", F.col("_stock") + F.col("_back"))
+        starts = cold
+        for kind, found in ((F.col("_back") == 0, _block_starts), (F.col("_back") > 0, _mapped_starts)):
+            some = contested.where(kind).select("sku", "_stock", "_back", "_most")
+            if some.isEmpty():
+                continue
+            eligible = (
+                cut.join(F.broadcast(some), "sku")
+                .where(F.col("quantity") <= F.col("_most"))
+                .select("sku", "quantity", BLOCK, "_stock", "_most", *[c for c in seq if c != "quantity"])
+            )
+            begun = found(eligible, some, seq).join(F.broadcast(some.select("sku", "_back")), "sku")
+            starts = starts.unionByName(
+                begun.select(
+                    "sku", BLOCK, F.col("_start").alias("_left"), F.lit(False).alias("_fits"),
+                    (F.col("_start") + F.col("_back")).alias("_most"),
+                )
             )
-        )
     keys = ["sku", BLOCK]
     placed = cut.repartition(*keys).join(starts, keys, "left")
     all_fit = F.coalesce("_hot_fits", "_fits") if "_hot_fits" in cut.columns else F.col("_fits")
@@ -128,6 +140,20 @@ def reserve_once(lines: DataFrame, stock: DataFrame, ledger: DataFrame, seq=("of
     return events, left, ledger.select(*keys).unionByName(new.select(*keys).distinct())
 
 
+def reservation_events(events: DataFrame, seq=("offset", "line"), *, occurred_at="occurred_at") -> DataFrame:
+    """Reserved and rejected lines as complete events, keyed by their order.
+
+    An event is named by its order, its SKU and its place in the log, and carries on the order's
+    trace, in its fields and as its header.
+    """
+    named = with_envelope(events, "order_id", "sku", *seq, occurred_at=occurred_at)
+    fields = named.select(
+        "event_id", "occurred_at", "trace_id", "order_id", "sku", "quantity", "status",
+        set_trace_header(F.lit(None).cast("array<struct<key:string,value:binary>>"), "trace_id").alias("headers"),
+    )
+    return rekey(fields, "order_id")
+
+
 def stock_left(stock: DataFrame, events: DataFrame) -> DataFrame:
     """Stock after the reserved lines."""
     taken = (
@@ -263,6 +289,97 @@ def _block_starts(lines, hot, seq):
     return found
 
 
+def _pieces(wants, least, most, limit):
+    """What lines in order make of each stock from ``least`` to ``most``: a map that is a shift on each piece.
+
+    Returns the first stock of each piece and what is taken from the stocks in it (less than
+    nothing where stock comes back), or nothing where there are more than ``limit`` pieces. A line
+    that some stocks of a piece cover and others do not cuts it; pieces that have come to the
+    same shift are joined again.
+    """
+    first, shift = np.array([least], np.int64), np.zeros(1, np.int64)
+    for want in wants.tolist():
+        left = first - shift
+        if want <= left.min():
+            shift += want
+            continue
+        highest = np.append(first[1:], most + 1) - 1 - shift
+        cut = np.flatnonzero((left < want) & (want <= highest))
+        if len(cut):
+            first = np.insert(first, cut + 1, want + shift[cut])
+            shift = np.insert(shift, cut + 1, shift[cut])
+        shift[first - shift >= want] += want
+        new = np.r_[True, shift[1:] != shift[:-1]]
+        first, shift = first[new], shift[new]
+        if len(first) > limit:
+            return None
+    return first, shift
+
+
+def _maps(lines, seq):
+    """Each block as a map from the stock it starts with to what it leaves: rows in order of ``_part``.
+
+    A block with too many pieces is passed on as its quantities, some in each row.
+    """
+
+    def summarise(key, pdf):
+        pdf = pdf.sort_values(seq, kind="stable", na_position="first")
+        wants = pdf["quantity"].to_numpy(dtype=np.int64)
+        stock, most = int(pdf["_stock"].iloc[0]), int(pdf["_most"].iloc[0])
+        pieces = _pieces(wants, min(0, stock), most, PIECES)
+        if pieces is not None:
+            found = [(0, *pieces, None)]
+        else:
+            found = [(k, None, None, wants[k:k + PIECES]) for k in range(0, len(wants), PIECES)]
+        return pd.DataFrame(
+            [(*key, *row) for row in found], columns=["sku", BLOCK, "_part", "_first", "_shift", "_wants"]
+        )
+
+    sku = lines.schema["sku"].dataType.simpleString()
+    shape = f"sku {sku}, {BLOCK} long, _part long, _first array<long>, _shift array<long>, _wants array<long>"
+    return lines.groupBy("sku", BLOCK).applyInPandas(summarise, shape)
+
+
+def _mapped_starts(lines, hot, seq):
+    """Stock at the start of every block of the hot SKUs, whose stock may grow as well.
+
+    The blocks are turned into maps side by side. What is left of a SKU is then carried from map to
+    map, in one pass over sorted partitions: per block one search in a short list, not its lines.
+    """
+    begin = F.broadcast(hot.select("sku", "_stock"))
+    maps = _maps(lines, seq).join(begin, "sku")
+    placed = maps.repartition("sku").sortWithinPartitions("sku", BLOCK, "_part")
+
+    def run(batches):
+        sku, left = None, 0
+        for batch in batches:
+            starts, opens = [], []
+            for here, stock, part, first, shift, wants in zip(*(
+                batch.column(c) for c in ("sku", "_stock", "_part", "_first", "_shift", "_wants")
+            )):
+                if sku is None or here != sku:
+                    sku, left = here, stock.as_py()
+                starts.append(left)
+                opens.append(part.as_py() == 0)
+                if first.is_valid:
+                    piece = np.searchsorted(first.values.to_numpy(), left, side="right") - 1
+                    left -= shift.values[int(piece)].as_py()
+                else:
+                    for want in wants.as_py():
+                        if want <= left:
+                            left -= want
+            found = pa.RecordBatch.from_arrays(
+                [batch.column("sku"), batch.column(BLOCK), pa.array(starts, pa.int64())],
+                names=["sku", BLOCK, "_start"],
+            )
+            yield found.filter(pa.array(opens, pa.bool_()))
+
+    shape = T.StructType([
+        lines.schema["sku"], T.StructField(BLOCK, T.LongType()), T.StructField("_start", T.LongType()),
+    ])
+    return cut_lineage(placed.mapInArrow(run, shape))
+
+
 def _after(blocks, crossing):
     """Stock after folding one block of each SKU (one row per hot SKU: broadcast)."""
 

@@ -6,6 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.scalar import money
+from millrace.session import job_dir
+
+
+def arrivals(spark, name, parts, key) -> str:
+    """A folder of files that arrive one part after the other, for a stream to read.
+
+    Inside a part, files hold different keys, so it does not matter which of them comes first.
+    """
+    folder = job_dir(spark, name)
+    for part in parts:
+        part.repartition(key).write.mode("append").parquet(folder)
+    return folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -257,3 +269,34 @@ def topic_log(spark, sf_dir):
         "event_type",
         "user_id",
     )
+
+
+def raw_documents(spark, sf_dir):
+    """Events as documents about their user; some are cut short, lack a name or have no key, errors have no value."""
+    fault = F.col("offset") % 29
+    text = F.col("offset").cast("string")
+    document = F.to_json(F.struct(
+        F.when(fault != 1, F.concat(F.lit("name-"), text)).alias("name"),
+        F.when(F.col("event_type") != "view", F.concat(F.lit("mail-"), text)).alias("email"),
+    ))
+    value = F.when(fault == 2, F.substring(document, 1, 9)).otherwise(document)
+    return events_log(spark, sf_dir).select(
+        F.when(fault != 3, F.encode(F.col("user_id").cast("string"), "UTF-8")).alias("key"),
+        F.when(F.col("event_type") != "error", F.encode(value, "UTF-8")).alias("value"),
+        F.lit("profiles").alias("topic"),
+        "partition",
+        "offset",
+        F.col("occurred_at").alias("timestamp"),
+        F.array().cast("array<struct<key:string,value:binary>>").alias("headers"),
+    )
+
+
+def order_lines_log(spark, sf_dir):
+    """Order lines as they are on a log of one partition, with what their events carry on."""
+    order = F.col("offset").cast("string")
+    return lines_log(spark, sf_dir).withColumns({
+        "partition": F.lit(0),
+        "order_id": order,
+        "trace_id": F.concat(F.lit("trace-"), order),
+        "occurred_at": F.col("shipped"),
+    })

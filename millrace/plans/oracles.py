@@ -516,3 +516,149 @@ ORACLES["stream_upsert"] = f"""
   WITH {EVENTS}, ranked AS (
     SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY "offset" DESC) AS r FROM events_log)
   SELECT user_id, event_type, value FROM ranked WHERE r = 1 AND event_type <> 'error'"""
+ORACLES["idempotent_null_keys"] = f"""
+  WITH {EVENTS}, keyed AS (
+    SELECT "offset", CASE WHEN user_id % 3 = 0 THEN user_id || '|' || event_type END AS idempotency_key,
+           'ord-' || "offset" AS order_id
+    FROM events_log)
+  SELECT "offset", idempotency_key, order_id,
+         CASE WHEN idempotency_key IS NULL THEN order_id
+              ELSE first_value(order_id) OVER same END AS canonical_order_id,
+         idempotency_key IS NULL OR row_number() OVER same = 1 AS accepted
+  FROM keyed WINDOW same AS (PARTITION BY idempotency_key ORDER BY "offset")"""
+ORACLES["ledger_ranges"] = """
+  WITH done AS (SELECT DISTINCT event_id AS o FROM events WHERE event_id % 1000 <> 7),
+  runs AS (SELECT o, o - row_number() OVER (ORDER BY o) AS run FROM done)
+  SELECT 0 AS "partition", min(o) AS "first", max(o) AS "last" FROM runs GROUP BY run"""
+ORACLES["processed_by_ranges"] = f"""
+  WITH {EVENTS} SELECT "partition", "offset", user_id, event_type FROM events_log
+  WHERE occurred_at >= TIMESTAMP '2024-01-10' AND "offset" % 11 <> 5"""
+ORACLES["reserve_hot_returns"] = """
+  WITH RECURSIVE lines AS MATERIALIZED (
+    SELECT l_partkey % 50 AS sku, l_partkey AS part, l_orderkey AS "offset", l_linenumber AS line,
+           CASE WHEN l_orderkey % 5 = 3 THEN -CAST(l_quantity AS INTEGER)
+                ELSE CAST(l_quantity AS INTEGER) END AS quantity,
+           row_number() OVER (PARTITION BY l_partkey % 50 ORDER BY l_orderkey, l_linenumber, l_partkey,
+             l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate) AS r
+    FROM lineitem),
+  steps AS MATERIALIZED (
+    SELECT r, list({'sku': sku, 'part': part, 'offset': "offset", 'line': line, 'quantity': quantity}) AS now
+    FROM lines GROUP BY r),
+  shelf AS (SELECT p_partkey AS sku, p_size * 10 AS q FROM part WHERE p_partkey < 50),
+  fold AS (
+    SELECT CAST(0 AS BIGINT) AS r, (SELECT map(list(sku), list(CAST(q AS BIGINT))) FROM shelf) AS stock,
+           CAST([] AS STRUCT(sku BIGINT, part BIGINT, "offset" BIGINT, line BIGINT, quantity BIGINT, fits BOOLEAN)[]) AS done
+    UNION ALL
+    SELECT s.r,
+           map_from_entries(list_transform(map_entries(f.stock), lambda e: {'key': e.key, 'value':
+             e.value - coalesce(list_sum(list_transform(list_filter(s.now,
+               lambda n: n.sku = e.key AND n.quantity <= e.value), lambda n: n.quantity)), 0)::BIGINT})),
+           list_transform(s.now, lambda n: {'sku': n.sku::BIGINT, 'part': n.part::BIGINT, 'offset': n."offset"::BIGINT,
+             'line': n.line::BIGINT, 'quantity': n.quantity::BIGINT,
+             'fits': coalesce(n.quantity <= f.stock[n.sku], false)})
+    FROM fold f JOIN steps s ON s.r = f.r + 1),
+  rows AS (SELECT unnest(done) AS d FROM fold)
+  SELECT d."offset" AS "offset", CAST(d.line AS INTEGER) AS line, d.part AS part, d.sku AS sku,
+         CAST(d.quantity AS INTEGER) AS quantity,
+         CASE WHEN d.fits THEN 'RESERVED' ELSE 'REJECTED' END AS status
+  FROM rows"""
+ORACLES["reservation_events"] = f"""{_reserve(10)},
+  placed AS (
+    SELECT f.*, l.l_suppkey, l.l_extendedprice, l.l_discount, l.l_tax, l.l_shipdate
+    FROM fold f JOIN (
+      SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_suppkey,
+        l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate) AS r FROM lineitem) l
+    ON l.l_partkey = f.sku AND l.r = f.r),
+  named AS (
+    SELECT *, md5(array_to_string([length(v) || ':' || v FOR v IN [
+      CAST("offset" AS VARCHAR), CAST(sku AS VARCHAR), CAST("offset" AS VARCHAR), CAST(line AS VARCHAR),
+      CAST(l_suppkey AS VARCHAR), CAST(quantity AS VARCHAR), CAST(l_extendedprice AS VARCHAR),
+      CAST(l_discount AS VARCHAR), CAST(l_tax AS VARCHAR), strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')]], '|')) AS h
+    FROM placed)
+  SELECT substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' ||
+         substr(h, 17, 4) || '-' || substr(h, 21, 12) AS event_id,
+         l_shipdate AS occurred_at, 'trace-' || "offset" AS trace_id, CAST("offset" AS VARCHAR) AS order_id,
+         sku, quantity, status, CAST("offset" AS VARCHAR) AS key, 'trace-' || "offset" AS header
+  FROM named"""
+ORACLES["stream_upsert_buckets"] = f"""
+  WITH {EVENTS}, {PROFILES}, turns AS (SELECT *, row("offset" % 3, "offset") AS turn FROM events_log),
+  given AS (
+    SELECT user_id,
+           max_by('name-' || "offset", turn) FILTER (event_type = 'signup') AS name,
+           max_by('mail-' || "offset", turn) FILTER (event_type IN ('signup', 'view')) AS email,
+           max_by('phone-' || "offset", turn) FILTER (event_type = 'purchase') AS phone
+    FROM turns WHERE event_type IN ('signup', 'view', 'purchase') GROUP BY user_id)
+  SELECT coalesce(p.user_id, g.user_id) AS user_id, coalesce(g.name, p.name) AS name,
+         coalesce(g.email, p.email) AS email, g.phone
+  FROM profiles p FULL JOIN given g ON p.user_id = g.user_id"""
+ORACLES["stream_documents"] = f"""
+  WITH {EVENTS}, judged AS (
+    SELECT *, CASE WHEN event_type = 'error' THEN NULL WHEN "offset" % 29 = 2 THEN 'malformed'
+                   WHEN "offset" % 29 = 1 THEN 'name is missing' END AS wrong
+    FROM events_log),
+  all_of AS (
+    SELECT *, coalesce(wrong, CASE WHEN "offset" % 29 = 3 THEN 'key is missing' END) AS error FROM judged),
+  ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY user_id
+      ORDER BY occurred_at >= TIMESTAMP '2024-01-15' DESC, "offset" DESC) AS r
+    FROM all_of WHERE error IS NULL)
+  SELECT CAST(user_id AS VARCHAR) AS id, 'name-' || "offset" AS name,
+         CASE WHEN event_type <> 'view' THEN 'mail-' || "offset" END AS email,
+         occurred_at AS ingested_at, CAST(NULL AS BIGINT) AS "offset", CAST(NULL AS VARCHAR) AS error
+  FROM ranked WHERE r = 1 AND event_type <> 'error'
+  UNION ALL
+  SELECT CASE WHEN "offset" % 29 <> 3 THEN CAST(user_id AS VARCHAR) END, NULL, NULL, NULL, "offset", error
+  FROM all_of WHERE error IS NOT NULL"""
+ORACLES["stream_reserve_redelivered"] = ORACLES["reserve_stock"]
+ORACLES["stream_velocity_clock"] = ORACLES["late_filtered_velocity"]
+ORACLES["enriched_broadcast"] = f"""
+  WITH {ENRICHED} SELECT order_id, event_id, TIMESTAMP '2026-01-01 00:00:00' AS occurred_at, user_id,
+         user_name, user_email FROM enriched"""
+ORACLES["search_all_columns"] = f"""
+  WITH {ENRICHED}, ranked AS (
+    SELECT order_id, user_name, priority,
+           CAST(len(list_intersect(['customer.000000001', 'example.com', 'trace', '7', '2', 'high'],
+             regexp_extract_all(lower(concat_ws(chr(10), order_id, event_id, trace_id, user_name, user_email,
+             priority)), '\\w+(?:\\.\\w+)*'))) AS INTEGER) AS matched
+    FROM enriched)
+  SELECT * FROM ranked WHERE matched > 0 ORDER BY matched DESC, order_id LIMIT 10"""
+ORACLES["velocity_events"] = f"""
+  WITH {EVENTS}, alerts AS (
+    SELECT 'velocity|' || user_id || '|' || epoch_ms(window_start) AS order_id, user_id, n, window_start
+    FROM ({numbered('events_log', 86400)}) WHERE n >= 3),
+  named AS (
+    SELECT *, md5('8:VELOCITY|' || length(order_id) || ':' || order_id || '|' || length(CAST(n AS VARCHAR))
+                  || ':' || n) AS h FROM alerts),
+  ids AS (
+    SELECT *, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' ||
+              substr(h, 17, 4) || '-' || substr(h, 21, 12) AS id FROM named)
+  SELECT id AS event_id, window_start AS occurred_at, id AS trace_id, order_id, user_id, 'VELOCITY' AS reason,
+         least(1.0::DOUBLE, n / 10.0::DOUBLE) AS score, n, user_id AS key
+  FROM ids"""
+ORACLES["partitions_of_keys"] = f"""
+  SELECT user_id, count(*) AS n, CAST(1 AS BIGINT) AS partitions FROM events GROUP BY user_id"""
+ORACLES["stream_retained_windows"] = f"""
+  WITH {LATE}, windowed AS (
+    SELECT *, {window_start('occurred_at', 3600)} AS window_start FROM timed),
+  accepted AS (
+    SELECT * FROM windowed WHERE window_start + INTERVAL 1 HOUR > stream_time - INTERVAL 1 MINUTE),
+  last AS (SELECT "partition", max(stream_time) AS reached FROM timed GROUP BY "partition")
+  SELECT user_id, window_start, window_start + INTERVAL 1 HOUR AS window_end, count(*) AS n
+  FROM accepted JOIN last USING ("partition")
+  WHERE window_start + INTERVAL 1 HOUR > reached - INTERVAL 1 MINUTE
+  GROUP BY user_id, window_start"""
+ORACLES["stream_payments_restarted"] = ORACLES["payments"]
+ORACLES["stream_notification_groups"] = f"""
+  SELECT * FROM ({ORACLES["notifications"]}) WHERE channel <> 'shipments-in'"""
+ORACLES["stream_state_lookup"] = f"""
+  WITH {EVENTS}, {_CHANGES}, last AS (
+    SELECT user_id, max_by(name, "offset") AS name FROM changes GROUP BY user_id)
+  SELECT c_custkey AS user_id, name, name || '@example.com' AS email, name IS NOT NULL AS found,
+         CASE WHEN name IS NULL THEN 'not found' END AS reason
+  FROM customer LEFT JOIN last ON user_id = c_custkey"""
+ORACLES["stream_counters"] = f"""
+  WITH {ORDERS}, p AS ({_PAYMENTS})
+  SELECT 'payments-counted' AS "query", 'payments' AS name, label, n FROM (
+    SELECT 'rows' AS label, count(*) AS n FROM p
+    UNION ALL SELECT 'paid', count(*) FROM p WHERE status = 'PAID'
+    UNION ALL SELECT 'failed', count(*) FROM p WHERE status = 'FAILED')"""

@@ -7,18 +7,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.envelope import with_envelope
-from millrace.functions.scalar import first_non_blank, money
+from millrace.functions.scalar import VELOCITY_THRESHOLD, first_non_blank, money
 from millrace.functions.trace import with_trace_id
-from millrace.operators import dedup, enrich, fraud, inventory, lag, notify, orders as intake
+from millrace.operators import dedup, enrich, fraud, inventory, lag, ledger, notify, orders as intake
 from millrace.operators import tables
-from millrace.operators.counters import counters, table_counts
-from millrace.operators.partitioning import vip_partition
+from millrace.operators.counters import counters, observe_counts, table_counts
+from millrace.operators.partitioning import by_key, vip_partition
 from millrace.operators.payments import charge
 from millrace.plans import inputs
 from millrace.schemas import USER_PROFILE_V1, USER_PROFILE_V2
 from millrace.session import job_dir, prepare
+from millrace.sinks.buckets import bucket_writer, document_writer, read_buckets
 from millrace.sinks.logs import to_topic_rows
-from millrace.sinks.tables import read_batches, read_committed, read_table, upsert_writer
+from millrace.sinks.tables import (
+    exactly_once_writer, read_batches, read_committed, read_table, start_groups, upsert_writer,
+)
 from millrace.sources import cdc, decode
 from millrace.sources.avro import decode_text_record
 from millrace.sources.infer import infer_flatten
@@ -27,6 +30,7 @@ from millrace.streaming import jobs
 from millrace.streaming.dedup import stream_dedup as dedup_stream
 from millrace.streaming.fraud import stream_velocity as velocity_stream
 from millrace.streaming.keyed import enrich_log
+from millrace.streaming.monitor import ProgressTable, counter_totals, read_progress
 from millrace.streaming.tables import (
     dedup_writer,
     enrich_writer,
@@ -86,6 +90,13 @@ def fraud_alerts(spark, sf_dir):
     return fraud.fraud_alerts(inputs.orders_log(spark, sf_dir), "30 days")
 
 
+@query
+def velocity_events(spark, sf_dir):
+    """Velocity alerts as complete events, one for each count from the threshold up, keyed by user."""
+    counted = fraud.running_counts(inputs.events_log(spark, sf_dir), "1 day")
+    return fraud.velocity_events(counted.where(F.col("n") >= VELOCITY_THRESHOLD))
+
+
 @query
 def fraud_counters(spark, sf_dir):
     return counters(fraud.fraud_alerts(inputs.orders_log(spark, sf_dir), "30 days"), "reason")
@@ -146,6 +157,16 @@ def enriched_orders(spark, sf_dir):
     return _enriched(spark, sf_dir)
 
 
+@query
+def enriched_broadcast(spark, sf_dir):
+    """Orders joined with all profiles sent to every task, at the instant they were processed."""
+    joined = enrich.enrich(
+        inputs.orders_log(spark, sf_dir), inputs.profiles(spark, sf_dir), broadcast_rows=1_000_000,
+        processed_at=F.lit("2026-01-01 00:00:00").cast("timestamp_ntz"),
+    )
+    return joined.select("order_id", "event_id", "occurred_at", "user_id", "user_name", "user_email")
+
+
 @query
 def asof_enriched(spark, sf_dir):
     events = inputs.events_log(spark, sf_dir)
@@ -250,6 +271,13 @@ def search_orders(spark, sf_dir):
     return found.select("order_id", "user_email", "priority", "matched")
 
 
+@query
+def search_all_columns(spark, sf_dir):
+    """The same over every text column, with words of several of them."""
+    found = tables.search_rows(_enriched(spark, sf_dir), "Customer.000000001@example.com trace 7 2-HIGH")
+    return found.select("order_id", "user_name", "priority", "matched")
+
+
 # Payments, notifications, counters, lag
 
 
@@ -378,6 +406,18 @@ def idempotent_orders(spark, sf_dir):
     return _idempotent(spark, sf_dir)
 
 
+@query
+def idempotent_null_keys(spark, sf_dir):
+    """Two thirds of the requests have no key: each of them stands for itself."""
+    keyed = F.col("user_id") % 3 == 0
+    requests = inputs.events_log(spark, sf_dir).select(
+        "offset",
+        F.when(keyed, F.concat_ws("|", F.col("user_id").cast("string"), "event_type")).alias("idempotency_key"),
+        F.concat(F.lit("ord-"), F.col("offset").cast("string")).alias("order_id"),
+    )
+    return dedup.dedup_first(requests)
+
+
 @query
 def intake_counters(spark, sf_dir):
     """Orders taken and repeats answered."""
@@ -385,6 +425,23 @@ def intake_counters(spark, sf_dir):
     return counters(_idempotent(spark, sf_dir).withColumn("result", result), "result")
 
 
+@query
+def ledger_ranges(spark, sf_dir):
+    """The ledger of all but a few records: as many ranges as there are gaps."""
+    done = inputs.events_log(spark, sf_dir).where("offset % 1000 <> 7")
+    return ledger.ranges_of(done.select(F.lit(0).alias("partition"), "offset"), rows=1 << 12)
+
+
+@query
+def processed_by_ranges(spark, sf_dir):
+    """The whole log delivered twice against the ranges of its first nine days, with odd records out of turn."""
+    log = inputs.events_log(spark, sf_dir).select("partition", "offset", "user_id", "event_type", "occurred_at")
+    early = F.col("occurred_at") < F.lit("2024-01-10").cast("timestamp")
+    done = ledger.ranges_of(log.where(early | (F.col("offset") % 11 == 5)))
+    once = ledger.once_by_ranges(log.unionByName(log), done, few=100)
+    return once.drop("occurred_at")
+
+
 @query
 def ledger_dedup(spark, sf_dir):
     """The whole log delivered twice to a consumer that has done the first nine days."""
@@ -430,6 +487,29 @@ def reserve_odd_lines(spark, sf_dir):
     return events.select("offset", "line", "sku", "quantity", "status")
 
 
+@query
+def reserve_hot_returns(spark, sf_dir):
+    """All lines on fifty SKUs, a fifth of them returns, in blocks of a thousand orders."""
+    quantity = F.when(F.col("offset") % 5 == 3, -F.col("quantity")).otherwise(F.col("quantity"))
+    lines = inputs.lines_log(spark, sf_dir).withColumn("part", F.col("sku"))
+    lines = lines.withColumns({"sku": F.col("sku") % 50, "given": F.col("quantity"), "quantity": quantity})
+    stock = inputs.stock(spark, sf_dir).where("sku < 50")
+    order = ("offset", "line", "part", "supplier", "given", "price", "discount", "tax", "shipped")
+    events, _ = inventory.reserve_stock(lines, stock, order, rows=1000)
+    return events.select("offset", "line", "part", "sku", "quantity", "status")
+
+
+@query
+def reservation_events(spark, sf_dir):
+    """Reservations as events that carry on the trace of their order, keyed by it."""
+    events, _ = inventory.reserve_stock(
+        inputs.order_lines_log(spark, sf_dir), inputs.stock(spark, sf_dir), inputs.LINE_ORDER
+    )
+    named = inventory.reservation_events(events, inputs.LINE_ORDER)
+    header = F.col("headers")[0]["value"].cast("string")
+    return named.withColumn("header", header).drop("headers")
+
+
 @query
 def stock_after(spark, sf_dir):
     _, left = inventory.reserve_stock(
@@ -487,6 +567,16 @@ def vip_partition_murmur2(spark, sf_dir):
     return _vip(spark, sf_dir, "murmur2")
 
 
+@query
+def partitions_of_keys(spark, sf_dir):
+    """Events brought together by user: how many partitions each user is in."""
+    placed = by_key(inputs.events_log(spark, sf_dir).select("user_id", "offset"), "user_id", 6)
+    marked = placed.withColumn("p", F.spark_partition_id())
+    return marked.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("p").alias("partitions")
+    )
+
+
 @query
 def json_quarantine(spark, sf_dir):
     schema = T.StructType([T.StructField("k", T.IntegerType())])
@@ -703,6 +793,15 @@ def stream_velocity_per_record(spark, sf_dir):
     return read_batches(spark, written).drop("batch_id")
 
 
+@query
+def stream_velocity_clock(spark, sf_dir):
+    """Late events left out by a clock for each partition, chained before the counter of each user."""
+    events = inputs.shape_late(inputs.shape_events(table_stream(spark, sf_dir, "events.parquet")))
+    alerts = velocity_stream(events, "1 hour", mode="per_record", threshold=2, partition="partition")
+    written = jobs.run_to_table(alerts, job_dir(spark, "velocity-clock"))
+    return read_batches(spark, written).drop("batch_id")
+
+
 def _hourly(events):
     """One key per user, kind and hour; views have none."""
     return events.select(
@@ -764,7 +863,7 @@ def stream_enrich(spark, sf_dir):
 def stream_enrich_keyed(spark, sf_dir):
     """Profile at arrival, with the profiles in per-key state and small micro-batches."""
     log = _purchases_and_signups(spark, sf_dir, max_bytes=1 << 30)
-    joined = enrich_log(log, "user_id", "offset", ["name", "email"], ["total_amount"])
+    joined = enrich_log(log, "user_id", "offset", ["name", "email"], ["total_amount"], salts=4)
     written = jobs.run_to_table(joined, job_dir(spark, "enrich-keyed"))
     return read_batches(spark, written).drop("batch_id")
 
@@ -802,3 +901,151 @@ def stream_upsert(spark, sf_dir):
     )
     jobs.start(updates, writer, f"{folder}/checkpoint").awaitTermination()
     return read_table(spark, f"{folder}/table")
+
+
+@query
+def stream_upsert_buckets(spark, sf_dir):
+    """Customers, then what events say of them in three parts: each batch rewrites the buckets it touches."""
+    kind = F.col("event_type")
+    text = F.col("offset").cast("string")
+    known = inputs.profiles(spark, sf_dir).withColumns(
+        {"offset": F.lit(-1).cast("long"), "phone": F.lit(None).cast("string")}
+    )
+    updates = inputs.events_log(spark, sf_dir).select(
+        "user_id",
+        "offset",
+        F.when(kind == "signup", F.concat(F.lit("name-"), text)).alias("name"),
+        F.when(kind.isin("signup", "view"), F.concat(F.lit("mail-"), text)).alias("email"),
+        F.when(kind == "purchase", F.concat(F.lit("phone-"), text)).alias("phone"),
+    )
+    days = [F.col("offset") % 3 == k for k in range(3)]
+    turns = [updates.where(day).withColumn("turn", F.lit(k)) for k, day in enumerate(days)]
+    parts = [known.withColumn("turn", F.lit(-1)), *turns]
+    folder = inputs.arrivals(spark, "arrivals", [p.select(*parts[0].columns) for p in parts], "user_id")
+    job = job_dir(spark, "upsert-buckets")
+    writer = bucket_writer(f"{job}/table", "user_id", ["turn", "offset"], buckets=32)
+    stream = table_stream(spark, folder, "*.parquet", max_files=1)
+    jobs.start(stream, writer, f"{job}/checkpoint").awaitTermination()
+    return read_buckets(spark, f"{job}/table")
+
+
+@query
+def stream_documents(spark, sf_dir):
+    """The last document of each user, and the records put aside, of a log that comes in two parts."""
+    log = inputs.raw_documents(spark, sf_dir)
+    middle = F.lit("2024-01-15").cast("timestamp")
+    parts = [log.where(F.col("timestamp") < middle), log.where(F.col("timestamp") >= middle)]
+    folder = inputs.arrivals(spark, "documents", parts, "key")
+    job = job_dir(spark, "documents")
+    schema = T.StructType([T.StructField("name", T.StringType()), T.StructField("email", T.StringType())])
+    writer = document_writer(job, schema, required=("name",), buckets=32)
+    stream = table_stream(spark, folder, "*.parquet", max_files=1)
+    jobs.start(stream, writer, f"{job}/checkpoint").awaitTermination()
+    kept = read_buckets(spark, f"{job}/table")
+    dead = read_batches(spark, f"{job}/dead").select("offset", F.col("key").cast("string").alias("id"), "error")
+    return kept.unionByName(dead, allowMissingColumns=True)
+
+
+@query
+def stream_reserve_redelivered(spark, sf_dir):
+    """Lines in two parts; the second brings a third of the first again, and takes no stock for it."""
+    lines = inputs.order_lines_log(spark, sf_dir)
+    middle = lines.agg(F.percentile_approx("offset", 0.5).alias("middle")).first().middle
+    again = (F.col("offset") >= middle) | (F.col("offset") % 3 == 0)
+    parts = [lines.where(F.col("offset") < middle), lines.where(again)]
+    folder, job = job_dir(spark, "lines"), job_dir(spark, "reserve-once")
+    coordinate = ("partition", "offset")
+    writer = reserve_writer(job, inputs.stock(spark, sf_dir), inputs.LINE_ORDER, coordinate=coordinate)
+    for part in parts:
+        # The job is stopped and started again between the parts.
+        part.write.mode("append").parquet(folder)
+        jobs.start(table_stream(spark, folder, "*.parquet"), writer, f"{job}/checkpoint").awaitTermination()
+    return read_batches(spark, f"{job}/events").select("offset", "line", "sku", "quantity", "status")
+
+
+@query
+def stream_retained_windows(spark, sf_dir):
+    """Windows that are still kept when the log has been read: those that can grow yet."""
+    events = inputs.shape_events(table_stream(spark, sf_dir, "events.parquet"))
+    folder = job_dir(spark, "velocity-retained")
+    writer = velocity_writer(folder, "1 hour", threshold=2)
+    jobs.start(inputs.shape_late(events), writer, f"{folder}/checkpoint").awaitTermination()
+    return read_table(spark, f"{folder}/counts").select("user_id", "window_start", "window_end", "n")
+
+
+class _Once:
+    """A fault that strikes the first time only, after a batch was written and before it counts."""
+
+    def __init__(self):
+        self.struck = False
+
+    def __call__(self, batch_id):
+        if not self.struck:
+            self.struck = True
+            raise RuntimeError("the job dies before the commit")
+
+
+@query
+def stream_payments_restarted(spark, sf_dir):
+    """The job dies after its first write; begun again by its supervisor it pays every order once."""
+    orders = inputs.shape_orders(table_stream(spark, sf_dir, "orders.parquet"))
+    folder = job_dir(spark, "payments-restarted")
+    written = jobs.stream_payments(orders, folder, _Once(), restarts=1)
+    return read_batches(spark, written).drop("batch_id")
+
+
+@query
+def stream_notification_groups(spark, sf_dir):
+    """Two consumer groups over one log, each with its own progress; one of them dies and goes on alone."""
+    folder = job_dir(spark, "groups")
+    payments = inputs.payments_log(spark, sf_dir)
+    log = inputs.arrivals(spark, "payments-log", [payments], "event_id")
+    stream = table_stream(spark, log, "*.parquet")
+    faults = {"notification-email": None, "notification-sms": _Once()}
+
+    def sent(group):
+        return lambda batch: notify.payment_notifications(batch).where(F.col("group_id") == group)
+
+    writers = {
+        group: exactly_once_writer(f"{folder}/{group}", sent(group), fault) for group, fault in faults.items()
+    }
+    for group, running in start_groups(stream, writers, f"{folder}/progress").items():
+        first = iter([running])
+
+        def begin(group=group, first=first):
+            again = {group: writers[group]}
+            return next(first, None) or start_groups(stream, again, f"{folder}/progress")[group]
+
+        jobs.supervise(begin, restarts=1)
+    tables_of = [read_batches(spark, f"{folder}/{group}").drop("batch_id") for group in writers]
+    return tables_of[0].unionByName(tables_of[1])
+
+
+@query
+def stream_state_lookup(spark, sf_dir):
+    """Every customer looked up in the state of the running enrichment: the profile, or why there is none."""
+    folder = job_dir(spark, "enrich-state")
+    log = _purchases_and_signups(spark, sf_dir)
+    joined = enrich_log(log, "user_id", "offset", ["name", "email"], ["total_amount"])
+    jobs.run_to_table(joined, folder)
+    state = jobs.read_state(spark, f"{folder}/checkpoint", "profile").select("key.user_id", "value.*")
+    wanted = inputs.profiles(spark, sf_dir).select("user_id")
+    return tables.lookup_many(state, wanted, "user_id")
+
+
+@query
+def stream_counters(spark, sf_dir):
+    """Payments by status, counted while the job ran and read from the table of its reports."""
+    orders = inputs.shape_orders(table_stream(spark, sf_dir, "orders.parquet"))
+    folder = job_dir(spark, "payments-counted")
+    paid = F.col("status") == "PAID"
+    counted = observe_counts(charge(orders), "payments", paid=paid, failed=~paid)
+    listener = ProgressTable(spark, f"{folder}/progress", names=["payments-counted"])
+    spark.streams.addListener(listener)
+    try:
+        running = jobs.start_to_table(counted, folder, name="payments-counted")
+        running.awaitTermination()
+        listener.wait(running.runId)
+    finally:
+        spark.streams.removeListener(listener)
+    return counter_totals(read_progress(spark, f"{folder}/progress"))

@@ -47,7 +47,7 @@ def read_committed(spark: SparkSession, path: str, keys) -> DataFrame:
     return first_per_key(rows, list(keys), order).drop("batch_id")
 
 
-def _versions(spark: SparkSession, path: str):
+def versions_of(spark: SparkSession, path: str):
     """Numbers of the finished versions of a table, from its folder."""
     jvm = spark.sparkContext._jvm
     files, root = on_disk(spark, path)
@@ -74,13 +74,13 @@ def drop_versions(spark: SparkSession, path: str, version: int, keep=3):
     always finds the version it starts from.
     """
     files, root = on_disk(spark, path)
-    for old in [v for v in _versions(spark, path) if v <= version][:-keep]:
+    for old in [v for v in versions_of(spark, path) if v <= version][:-keep]:
         files.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, f"version={old}"), True)
 
 
 def read_table(spark: SparkSession, path: str, before=None) -> DataFrame | None:
     """The latest finished version of a table, or the latest before a batch."""
-    ready = [v for v in _versions(spark, path) if before is None or v < before]
+    ready = [v for v in versions_of(spark, path) if before is None or v < before]
     return spark.read.parquet(f"{path}/version={ready[-1]}") if ready else None
 
 

@@ -22,8 +22,8 @@ def _in_order(rows, major, minor):
     return pdf.take(np.lexsort((pdf[minor].to_numpy(), pdf[major].to_numpy())))
 
 
-def stream_asof_enrich(orders: DataFrame, changes: DataFrame, key="user_id", seq="offset"):
-    """Orders with the profile current when they arrived; see ``asof_enrich``.
+def stream_asof_enrich(orders: DataFrame, changes: DataFrame, key="user_id", seq="offset", salts=1):
+    """Orders with the profile current when they arrived; see ``asof_enrich`` and ``enrich_log``.
 
     Profile fields must be text. Both streams carry ``seq``; micro-batches must take them
     in that order, as one topic log or one folder of files does.
@@ -33,18 +33,27 @@ def stream_asof_enrich(orders: DataFrame, changes: DataFrame, key="user_id", seq
     log = changes.select(key, seq, F.lit(0).alias("log_side"), *fields).unionByName(
         orders.select(key, seq, F.lit(1).alias("log_side"), *carried), allowMissingColumns=True
     )
-    return enrich_log(log, key, seq, fields, carried)
+    return enrich_log(log, key, seq, fields, carried, salts)
 
 
-def enrich_log(log: DataFrame, key, seq, fields, carried):
-    """The same over one log that holds both, told apart by ``log_side`` (0 change, 1 order)."""
+def enrich_log(log: DataFrame, key, seq, fields, carried, salts=1):
+    """The same over one log that holds both, told apart by ``log_side`` (0 change, 1 order).
+
+    With ``salts`` a key's orders are dealt to that many tasks by their ``seq``, and each of them keeps the
+    profile: changes, which are few against the orders of a hot user, go to all of them.
+    """
     kinds = {f.name: f.dataType for f in log.schema.fields}
     names = {"name": "user_name", "email": "user_email"}
     schema = T.StructType(
         [T.StructField(c, kinds[c]) for c in (key, seq, *carried)]
         + [T.StructField(names.get(c, c), T.StringType()) for c in fields]
     )
-    return log.where(F.col(key).isNotNull()).groupBy(key).transformWithStateInPandas(
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    own = F.array(F.pmod(F.col(seq).cast("long"), F.lit(salts)).cast("int"))
+    dealt = log.where(F.col(key).isNotNull()).withColumn(
+        "log_salt", F.explode(F.when(F.col("log_side") == 0, every).otherwise(own))
+    )
+    return dealt.groupBy(key, "log_salt").transformWithStateInPandas(
         ProfileAtArrival(key, seq, fields, carried, names), schema, "append", "none"
     )
 

@@ -18,6 +18,7 @@ from millrace.operators.enrich import asof_enrich
 from millrace.functions.scalar import GRACE, VELOCITY_THRESHOLD, WINDOW_SIZE, is_open
 from millrace.operators.fraud import drop_late, drop_null_orders, growth_alerts, with_window
 from millrace.operators.inventory import FOLD_ROWS, reserve_stock, stock_left
+from millrace.operators.ledger import once_by_ranges, ranges_of, with_processed
 from millrace.operators.tables import upsert
 from millrace.sinks.tables import drop_versions, read_batches, read_table, write_version
 
@@ -85,23 +86,37 @@ def velocity_writer(
     return write
 
 
-def reserve_writer(folder: str, stock: DataFrame, seq=("offset", "line"), rows=FOLD_ROWS):
+def reserve_writer(
+    folder: str, stock: DataFrame, seq=("offset", "line"), rows=FOLD_ROWS, coordinate=None,
+):
     """Reserve the lines of each micro-batch; see ``reserve_stock``.
 
     ``stock`` is what there is before the first batch. Events go to ``folder/events``, what
-    is left to ``folder/stock``.
+    is left to ``folder/stock``. With ``coordinate``, the log's partition and offset columns, a ledger of
+    what has been processed is kept in ``folder/ledger`` and moves together with the stock: a record
+    that comes again, in this micro-batch or a later one, takes nothing and has no event.
     """
 
     def write(batch: DataFrame, batch_id: int):
         spark = batch.sparkSession
         shelf = read_table(spark, f"{folder}/stock", before=batch_id)
         shelf = stock if shelf is None else shelf
+        ledger = None
+        if coordinate is not None:
+            ledger = read_table(spark, f"{folder}/ledger", before=batch_id)
+            if ledger is None:
+                ledger = ranges_of(batch.where(F.lit(False)), *coordinate)
+            line = [c for c in seq if c not in coordinate]
+            batch = once_by_ranges(batch, ledger, coordinate, line)
         events, _ = reserve_stock(batch, shelf, seq, rows)
         mine = f"{folder}/events/batch_id={batch_id}"
         events.write.mode("overwrite").parquet(mine)
-        # What is left follows from the events as written: the fold runs once.
-        left = stock_left(shelf, spark.read.schema(events.schema).parquet(mine))
-        write_version(left, f"{folder}/stock", batch_id)
+        # What is left, and done, follows from the events as written: the fold runs once.
+        events = spark.read.schema(events.schema).parquet(mine)
+        write_version(stock_left(shelf, events), f"{folder}/stock", batch_id)
+        if ledger is not None:
+            write_version(with_processed(ledger, events, coordinate), f"{folder}/ledger", batch_id)
+            drop_versions(spark, f"{folder}/ledger", batch_id)
 
     return write
 

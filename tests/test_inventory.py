@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from millrace.operators import inventory
@@ -160,3 +161,34 @@ def test_redelivered_records_take_no_stock(spark):
     assert events.count() == 2 and left.first().quantity == 2 and ledger.count() == 1
     events, again, ledger = inventory.reserve_once(lines, left, ledger)
     assert events.count() == 0 and again.first().quantity == 2 and ledger.count() == 1
+
+
+def growing(rng, n, offsets, sizes, back):
+    """Lines of which a share gives stock back."""
+    return [
+        (rng.choice(list(sizes)), offset, line, -rng.randint(1, 6) if rng.random() < back else rng.randint(0, 9))
+        for offset in range(offsets) for line in range(n)
+    ]
+
+
+@pytest.mark.parametrize("seed, pieces", [(1, 4096), (2, 4096), (3, 1), (4, 3)])
+def test_hot_sku_with_returns_in_blocks_equals_the_fold(spark, monkeypatch, seed, pieces):
+    """Blocks with few pieces are maps; those with more are folded on the way."""
+    monkeypatch.setattr(inventory, "PIECES", pieces)
+    rng = random.Random(seed)
+    stock = {"a": 30, "b": 0, "c": 7, "d": -3}
+    lines = growing(rng, 2, 150, stock, 0.3)
+    assert run(spark, lines, list(stock.items()), rows=9) == fold(lines, stock)
+
+
+def test_a_block_is_a_map_of_the_stock():
+    rng = random.Random(5)
+    for _ in range(60):
+        wants = np.array([rng.randint(-4, 12) for _ in range(rng.randint(1, 30))])
+        first, shift = inventory._pieces(wants, -5, 60, 4096)
+        assert first[0] == -5 and (np.diff(first) > 0).all() and (np.diff(shift) != 0).all()
+        for stock in range(-5, 61):
+            left = stock
+            for want in wants.tolist():
+                left -= want if want <= left else 0
+            assert left == stock - shift[np.searchsorted(first, stock, side="right") - 1]
