@@ -16,8 +16,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents go that a model fitted on the labelled ones finds toxic."""
     labels = read(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
     score = toxic.fit_toxic(docs, labels).probability(F.col("text"))
-    scored = docs.withColumn("_score", score)
-    return scored.where(F.col("_score") < toxic.THRESHOLD).select(*docs.columns)
+    scored = docs.select(F.struct(*docs.columns).alias("_row"), score.alias("_score"))
+    return scored.where(F.col("_score") < toxic.THRESHOLD).select("_row.*")
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
