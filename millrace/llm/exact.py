@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import keep_once, stored, texts
 
 # Digests in a shard of the index on average: bounds what one task holds.
-SHARD_DIGESTS = 16_384
+SHARD_DIGESTS = 2_048
 # Bits for each key still to place in a level: fewer levels for more bits.
 BITS_PER_KEY = 2
 # Stands for a null doc_id inside the index.
@@ -118,8 +118,8 @@ def build_index(table: DataFrame, digests_per_shard=SHARD_DIGESTS) -> DataFrame:
 
 
 def _probe(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-    out = asked[["digest", "doc_id", "row", "n"]].copy()
-    out["known"] = False
+    """What the slots say of bare digests: the winner and the copies of a member, nothing of others."""
+    out = asked[["digest"]].assign(known=False, doc_id=NO_ID, row=-1, n=0)
     if held.empty or out.empty:
         return out
     shard = held.iloc[0]
@@ -129,21 +129,20 @@ def _probe(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         for b in shard["levels"]
     ]
     words, kept = _words(out["digest"]), np.frombuffer(shard["digests"], "<u8").reshape(-1, 4)
-    at = slots(levels, words)
+    at = np.maximum(slots(levels, words), 0)
     # A stranger lands on someone's slot: only equal bytes make a member.
-    known = (at >= 0) & (kept[np.maximum(at, 0)] == words).all(axis=1)
+    known = (kept[at] == words).all(axis=1)
     out["known"] = known
     for name in ("doc_id", "row", "n"):
-        old = np.frombuffer(shard[name + "s"], np.int64)[np.maximum(at, 0)]
-        out[name] = np.where(known, old, out[name])
+        out.loc[known, name] = np.frombuffer(shard[name + "s"], np.int64)[at[known]]
     return out
 
 
 def judge(table: DataFrame, index: DataFrame, registered=True) -> DataFrame:
     """Each row of a digest table with the document that stays for its text.
 
-    A digest found in the index is a member: the index names its winner and the number of
-    copies. The others are grouped among themselves. ``registered`` says that the index was
+    The index is asked for bare digests. One found in it is a member: its slot names the winner and
+    the number of copies. Rows of the others are grouped among themselves. ``registered`` says that the index was
     built over this very table, so that the winner is one of its rows; otherwise all
     members are repeats and go.
 
@@ -152,10 +151,13 @@ def judge(table: DataFrame, index: DataFrame, registered=True) -> DataFrame:
     """
     first = index.select("of").first()
     n = first[0] if first else 1
-    asked = _by_digest(table, n)
-    found = asked.groupBy("shard").cogroup(index.groupBy("shard")).applyInPandas(
-        _probe, "digest binary, doc_id long, row long, n long, known boolean"
+    asked = table.select("digest").distinct().select("digest", _shard(n))
+    probed = asked.groupBy("shard").cogroup(index.groupBy("shard")).applyInPandas(
+        _probe, "digest binary, known boolean, doc_id long, row long, n long"
     )
+    probed = stored(probed, "probed-digests")
+    strangers = _by_digest(table.join(probed.where(~F.col("known")).select("digest"), "digest"), n)
+    found = probed.where("known").unionByName(strangers.drop("shard").withColumn("known", F.lit(False)))
     found = found.select(
         "digest", F.nullif("doc_id", F.lit(NO_ID)).alias("keep_id"), F.col("row").alias("keep_row"),
         F.col("n").alias("group_size"), "known",

@@ -4,9 +4,10 @@ All runs of one to three words are counted by hashed bucket, in the corpus and i
 bucket's gain is the logarithm of its share there against its share here; a document weighs
 the sum of its n-grams' gains, and the draw without replacement adds a Gumbel number.
 
-Inside a task, the n-grams of a few hundred thousand words at a time are interned in an open-addressed
-table of arrays: keyed by xxhash64, compared byte by byte, with a bucket and a count in each slot.
-What a word is worth is then looked up by slot, not by n-gram.
+Inside a task, the n-grams of some hundred thousand words at a time are interned in open-addressed tables of
+arrays: keyed by xxhash64, compared byte by byte, with a bucket and a count in each slot. Words are
+interned by their own bytes; a run of words is then the bytes of its words' slot numbers, and its crc32
+follows from theirs. What an n-gram is worth is looked up by slot.
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ SEED = "42"
 # Words interned at once, and bytes of text at once.
 WORDS = 1 << 17
 BLOCK = 4 << 20
-# Longer strings are compared one by one.
-LONG = 256
+# Longer words are compared and summed up one by one.
+LONG = 64
 
 SPACE = 32
 # What a byte stands for: letters in lower case, digits and all beyond ASCII; the rest parts words.
@@ -43,34 +44,109 @@ FOLDED[0x41:0x5B] = range(0x61, 0x7B)
 FOLDED[0x80:] = range(0x80, 0x100)
 
 
+# The primes of xxhash64, and the reflected polynomial of crc32.
+PRIMES = tuple(np.uint64(p) for p in (
+    0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5,
+))
+POLYNOMIAL = 0xEDB88320
+
+
+def _turned(x, bits):
+    return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
+
+
+def _lane(h, lane):
+    p1, p2, _, p4, _ = PRIMES
+    return _turned(h ^ (_turned(lane * p2, 31) * p1), 27) * p1 + p4
+
+
+def _mixed(h):
+    _, p2, p3, _, _ = PRIMES
+    h = (h ^ (h >> np.uint64(33))) * p2
+    h = (h ^ (h >> np.uint64(29))) * p3
+    return h ^ (h >> np.uint64(32))
+
+
+def hash_rows(rows):
+    """xxhash64 of each row of 64-bit numbers, as of its bytes (less than 32 of them)."""
+    with np.errstate(over="ignore"):
+        h = np.full(len(rows), PRIMES[4] + np.uint64(8 * rows.shape[1]), np.uint64)
+        for lane in rows.astype(np.uint64).T:
+            h = _lane(h, lane)
+        return _mixed(h)
+
+
+def eight_bytes(data):
+    """The eight bytes from each position of an array as a number; there are zeros after the end."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))
+
+
+def hash_strings(data, starts, sizes):
+    """xxhash64 of strings of ``data``: those of less than 32 bytes side by side, others one by one."""
+    p1, p2, p3, _, p5 = PRIMES
+    eight, at, left = eight_bytes(data), starts.copy(), sizes.copy()
+    long = sizes >= 32
+    left[long] = 0
+    with np.errstate(over="ignore"):
+        h = p5 + sizes.astype(np.uint64)
+        while len(rows := np.flatnonzero(left >= 8)):
+            h[rows] = _lane(h[rows], eight[at[rows]])
+            at[rows] += 8
+            left[rows] -= 8
+        rows = np.flatnonzero(left >= 4)
+        four = eight[at[rows]] & np.uint64(0xFFFFFFFF)
+        h[rows] = _turned(h[rows] ^ (four * p1), 23) * p2 + p3
+        at[rows] += 4
+        left[rows] -= 4
+        while len(rows := np.flatnonzero(left > 0)):
+            h[rows] = _turned(h[rows] ^ ((eight[at[rows]] & np.uint64(255)) * p5), 11) * p1
+            at[rows] += 1
+            left[rows] -= 1
+        h = _mixed(h)
+    view = memoryview(data)
+    for k in np.flatnonzero(long):
+        h[k] = xxhash.xxh64_intdigest(view[starts[k]:starts[k] + sizes[k]])
+    return h
+
+
+def _crc_shifts(longest=LONG):
+    """Per number of bytes what a crc32 becomes when as many zero bytes follow, by each of its four bytes."""
+    one = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        one = np.where(one & 1, (one >> 1) ^ np.uint32(POLYNOMIAL), one >> 1)
+    shifts = np.zeros((longest + 2, 4, 256), np.uint32)
+    shifts[0] = np.arange(256, dtype=np.uint32) << (8 * np.arange(4, dtype=np.uint32)[:, None])
+    for n in range(1, longest + 2):
+        shifts[n] = one[shifts[n - 1] & 255] ^ (shifts[n - 1] >> 8)
+    return shifts
+
+
+SHIFTS = _crc_shifts()
+
+
+def crc_joined(first, second, size):
+    """The crc32 of two strings put together, from theirs and the size of the second."""
+    out = second.copy()
+    for k in range(4):
+        out ^= SHIFTS[size, k, (first >> np.uint32(8 * k)) & np.uint32(255)]
+    return out
+
+
 class Slots:
-    """An open-addressed table of byte strings: runs of words of one text, one space between.
+    """An open-addressed table: ``slot`` says where each key went, ``owner`` which key has a slot (or -1).
 
-    ``slot`` is where each string went, ``bucket`` and ``count`` are by slot.
+    Keys that are equal as numbers are the same only if ``equal`` says so of the strings behind them.
+    ``count`` and ``bucket`` are by slot.
     """
 
-    def __init__(self, data, starts, ends, buckets=BUCKETS):
-        self.data = np.concatenate([data, np.zeros(8, np.uint8)])
-        self.starts, self.sizes = starts, ends - starts
-        view = memoryview(data)
-        spans = zip(starts.tolist(), ends.tolist())
-        keys = np.fromiter((xxhash.xxh64_intdigest(view[a:b]) for a, b in spans), np.uint64, len(starts))
-        self.slot = self._intern(keys)
-        self.count = np.bincount(self.slot, minlength=len(self.owner))
-        self.bucket = np.zeros(len(self.owner), np.int64)
-        used = np.flatnonzero(self.owner >= 0)
-        first = starts[self.owner[used]].tolist(), ends[self.owner[used]].tolist()
-        found = (zlib.crc32(view[a:b]) for a, b in zip(*first))
-        self.bucket[used] = np.fromiter(found, np.int64, len(used)) % buckets
-
-    def _intern(self, keys):
-        """Probe for all strings side by side: the first to reach an empty slot owns it."""
+    def __init__(self, keys, equal):
         size = 1 << max(4, int(2 * len(keys)).bit_length())
         self.owner = np.full(size, -1, np.int64)
-        slot = (keys >> np.uint64(64 - size.bit_length() + 1)).astype(np.int64)
+        self.slot = (keys >> np.uint64(64 - size.bit_length() + 1)).astype(np.int64)
         left = np.arange(len(keys))
         while len(left):
-            at = slot[left]
+            at = self.slot[left]
             empty = self.owner[at] < 0
             # Of several at one empty slot one is written; the others find it there.
             self.owner[at[empty]] = left[empty]
@@ -78,31 +154,44 @@ class Slots:
             same = owner == left
             other = np.flatnonzero(~same)
             alike = other[keys[owner[other]] == keys[left[other]]]
-            same[alike] = self._equal(owner[alike], left[alike])
+            same[alike] = equal(owner[alike], left[alike])
             left = left[~same]
-            slot[left] = (slot[left] + 1) & (size - 1)
-        return slot
+            self.slot[left] = (self.slot[left] + 1) & (size - 1)
+        self.used = np.flatnonzero(self.owner >= 0)
+
+    def counted(self, slots):
+        self.count = np.bincount(slots, minlength=len(self.owner))
+
+    def spread(self, values):
+        """An array by slot from one value for each used slot."""
+        out = np.zeros(len(self.owner), values.dtype)
+        out[self.used] = values
+        return out
 
-    def _equal(self, a, b):
-        """Whether strings are equal: eight bytes at a time, long ones as a whole."""
-        out = self.sizes[a] == self.sizes[b]
-        long = out & (self.sizes[a] > LONG)
+
+def equal_bytes(data, starts, sizes):
+    """Whether strings of ``data`` are equal: eight bytes at a time, long ones as a whole."""
+    eight = eight_bytes(data)
+
+    def equal(a, b):
+        out = sizes[a] == sizes[b]
+        long = out & (sizes[a] > LONG)
         for k in np.flatnonzero(long):
-            size = self.sizes[a[k]]
-            here, there = (self.data[self.starts[x[k]]:self.starts[x[k]] + size] for x in (a, b))
+            here, there = (data[starts[x[k]]:starts[x[k]] + sizes[a[k]]] for x in (a, b))
             out[k] = np.array_equal(here, there)
         rows, done = np.flatnonzero(out & ~long), 0
-        eight = np.ndarray(len(self.data) - 7, "<u8", self.data, strides=(1,))
         while len(rows):
-            left = np.minimum(self.sizes[a[rows]] - done, 8).astype(np.uint64)
-            differ = eight[self.starts[a[rows]] + done] ^ eight[self.starts[b[rows]] + done]
+            left = np.minimum(sizes[a[rows]] - done, 8).astype(np.uint64)
+            differ = eight[starts[a[rows]] + done] ^ eight[starts[b[rows]] + done]
             # The first byte is the lowest; bytes past the end are shifted out.
             wrong = (differ << (np.uint64(64) - left * np.uint64(8))) > 0
             out[rows[wrong]] = False
             done += 8
-            rows = rows[~wrong & (self.sizes[a[rows]] > done)]
+            rows = rows[~wrong & (sizes[a[rows]] > done)]
         return out
 
+    return equal
+
 
 def normalised(data, offsets):
     """All words of several texts as one array of bytes, a space after each: starts, ends and text of each."""
@@ -121,24 +210,65 @@ def normalised(data, offsets):
     return out, starts, starts + sizes, of
 
 
-def grams(starts, ends, of, n):
-    """Starts, ends and texts of the runs of words within a text whose first word is one of the first ``n``."""
-    for size in range(1, LONGEST + 1):
+def _words(view, data, starts, ends, n, buckets):
+    """The table of single words, the first ``n`` of which count; also crc32 and size by slot."""
+    sizes = ends - starts
+    table = Slots(hash_strings(data, starts, sizes), equal_bytes(data, starts, sizes))
+    table.counted(table.slot[:n])
+    owners = table.owner[table.used]
+    spans = zip(starts[owners].tolist(), ends[owners].tolist())
+    crcs = np.fromiter((zlib.crc32(view[a:b]) for a, b in spans), np.uint32, len(owners))
+    table.bucket = table.spread((crcs % buckets).astype(np.int64))
+    return table, table.spread(crcs), table.spread(sizes[owners])
+
+
+def _runs(view, starts, ends, of, n, words, crcs, sizes, buckets):
+    """The table of runs of two words and more whose first is one of the first ``n``; and their texts."""
+    rows, firsts, lasts = [], [], []
+    for size in range(2, LONGEST + 1):
         first = np.arange(max(0, min(n, len(starts) - size + 1)))
         first = first[of[first] == of[first + size - 1]]
-        yield starts[first], ends[first + size - 1], of[first]
-
-
-def interned(data, offsets, words=WORDS):
-    """The n-grams of some texts, part by part: their table, the text of each, and of each single word."""
+        row = np.full((len(first), LONGEST), -1, np.int64)
+        for k in range(size):
+            row[:, k] = words.slot[first + k]
+        rows.append(row)
+        firsts.append(first)
+        lasts.append(first + size - 1)
+    rows, firsts, lasts = (np.concatenate(x) for x in (rows, firsts, lasts))
+    table = Slots(hash_rows(rows), lambda a, b: (rows[a] == rows[b]).all(axis=1))
+    table.counted(table.slot)
+    owners = table.owner[table.used]
+    mine = rows[owners]
+    space = np.uint32(zlib.crc32(b" "))
+    crc = crcs[mine[:, 0]]
+    for k in range(1, LONGEST):
+        word = np.maximum(mine[:, k], 0)
+        size = np.minimum(sizes[word], LONG)
+        joined = crc_joined(crc, crc_joined(np.full(len(crc), space), crcs[word], size), size + 1)
+        crc = np.where(mine[:, k] >= 0, joined, crc)
+    # Words too long for the tables: the crc32 of the run's bytes, which stand together.
+    longest = np.where(mine >= 0, sizes[np.maximum(mine, 0)], 0).max(axis=1, initial=0)
+    for k in np.flatnonzero(longest > LONG):
+        crc[k] = zlib.crc32(view[starts[firsts[owners[k]]]:ends[lasts[owners[k]]]])
+    table.bucket = table.spread((crc % buckets).astype(np.int64))
+    return table, of[firsts]
+
+
+def interned(data, offsets, words=WORDS, buckets=BUCKETS):
+    """The n-grams of some texts, part by part: tables with the slot and the text of each occurrence.
+
+    Two of them a part, of single words and of longer runs.
+    """
     data, starts, ends, of = normalised(data, offsets)
     for a in range(0, len(starts), words):
         # A run that starts here may end in the next part.
         part = slice(a, a + words + LONGEST - 1)
         low, high = starts[a], ends[part][-1]
-        found = grams(starts[part] - low, ends[part] - low, of[part], words)
-        s, e, texts_of = (np.concatenate(x) for x in zip(*found))
-        yield Slots(data[low:high], s, e), texts_of, of[a:a + words]
+        here, s, e, text = data[low:high], starts[part] - low, ends[part] - low, of[part]
+        view, n = memoryview(here), min(words, len(s))
+        single, crcs, sizes = _words(view, here, s, e, n, buckets)
+        runs, text_of_run = _runs(view, s, e, text, n, single, crcs, sizes, buckets)
+        yield (single, single.slot[:n], text[:n]), (runs, runs.slot, text_of_run)
 
 
 def blocks_of(batch, limit=BLOCK):
@@ -160,8 +290,9 @@ def _count(batches):
     counts = np.zeros(BUCKETS, np.int64)
     for batch in batches:
         for _, data, offsets in blocks_of(batch):
-            for slots, *_ in interned(data, offsets):
-                counts += np.bincount(slots.bucket, weights=slots.count, minlength=BUCKETS).astype(np.int64)
+            for tables in interned(data, offsets):
+                for table, _, _ in tables:
+                    counts += np.bincount(table.bucket, table.count, BUCKETS).astype(np.int64)
     used = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays(
         [pa.array(used, pa.int32()), pa.array(counts[used], pa.int64())], names=["bucket", "n"]
@@ -192,12 +323,13 @@ def _weigh(gain):
             for row, data, offsets in blocks_of(batch):
                 n = len(offsets) - 1
                 here = slice(row, row + n)
-                for slots, of, of_words in interned(data, offsets):
-                    # What each string is worth is gathered by its slot.
-                    worth = gain[slots.bucket][slots.slot]
-                    weight[here] += np.bincount(of, worth, n).astype(np.int64)
-                    features[here] += np.bincount(of, minlength=n)
-                    words[here] += np.bincount(of_words, minlength=n)
+                for tables in interned(data, offsets):
+                    for table, slots, of in tables:
+                        # What each occurrence is worth is gathered by its slot.
+                        worth = gain[table.bucket][slots]
+                        weight[here] += np.bincount(of, worth, n).astype(np.int64)
+                        features[here] += np.bincount(of, minlength=n)
+                    words[here] += np.bincount(tables[0][2], minlength=n)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *(pa.array(x, pa.int64()) for x in (words, features, weight))],
                 names=["doc_id", "n_words", "n_features", "weight"],

@@ -12,6 +12,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from helpers import odd_documents, prose, table, with_clashes
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -87,32 +88,45 @@ def test_resampling_of_nothing(spark):
 
 def test_words_are_interned_by_their_bytes():
     texts = [prose(1, 200), "", "a a a b a a", "ab c", "a bc", prose(1, 200), "y" * 300 + " x " + "y" * 300]
-    data = "".join(texts).encode()
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
     offsets = np.cumsum([0, *(len(t.encode()) for t in texts)])
     for words in (1 << 17, 7):
-        want = [Counter(features(t)[1]) for t in texts]
-        got = [Counter() for _ in texts]
-        for slots, of, of_words in resample.interned(np.frombuffer(data, np.uint8), offsets, words):
-            assert (np.bincount(slots.slot, minlength=len(slots.count)) == slots.count).all()
-            owner = slots.owner[slots.slot]
-            for k, text in zip(owner, of):
-                start = slots.starts[k]
-                string = slots.data[start:start + slots.sizes[k]].tobytes().decode()
-                got[text][string] += 1
-            for k in np.flatnonzero(slots.owner >= 0):
-                start = slots.starts[slots.owner[k]]
-                string = slots.data[start:start + slots.sizes[slots.owner[k]]].tobytes()
-                assert slots.bucket[k] == zlib.crc32(string) % 10000
+        want, got = [Counter(), Counter()], [Counter(), Counter()]
+        for k, text in enumerate(texts):
+            for f in features(text)[1]:
+                want[" " in f][k, zlib.crc32(f.encode()) % 10000] += 1
+        for tables in resample.interned(data, offsets, words):
+            for kind, (table, slots, of) in enumerate(tables):
+                assert (np.bincount(slots, minlength=len(table.count)) == table.count).all()
+                got[kind].update(zip(of.tolist(), table.bucket[slots].tolist()))
         assert got == want
 
 
+def test_hashes_and_sums_are_those_of_the_bytes():
+    rng = np.random.default_rng(3)
+    for width in (1, 2, 3):
+        rows = rng.integers(-5, 1 << 40, (50, width))
+        assert resample.hash_rows(rows).tolist() == [xxhash.xxh64_intdigest(r.tobytes()) for r in rows]
+    data = rng.integers(0, 256, 400, np.uint8)
+    sizes = np.array([*range(0, 40), 100, 0])
+    starts = rng.integers(0, 400 - sizes + 1)
+    assert resample.hash_strings(data, starts, sizes).tolist() == [
+        xxhash.xxh64_intdigest(data[a:a + n].tobytes()) for a, n in zip(starts, sizes)
+    ]
+    for size in (0, 1, 7, 64, 65):
+        first, second = b"some", bytes(rng.integers(0, 256, size, np.uint8))
+        joined = resample.crc_joined(*(np.array([zlib.crc32(x)], np.uint32) for x in (first, second)), np.array([size]))
+        assert joined.tolist() == [zlib.crc32(first + second)]
+
+
 def test_strings_with_one_key_are_told_apart(monkeypatch):
     """All keys equal: only the bytes decide."""
-    monkeypatch.setattr(resample.xxhash, "xxh64_intdigest", lambda part: 5)
+    monkeypatch.setattr(resample, "hash_strings", lambda data, starts, sizes: np.full(len(starts), 5, np.uint64))
+    monkeypatch.setattr(resample, "hash_rows", lambda rows: np.full(len(rows), 7, np.uint64))
     text = "aa ab ac aa " + "z" * 300 + " " + "z" * 299 + "y ab"
     data = np.frombuffer(text.encode(), np.uint8)
-    (slots, _, _), = resample.interned(data, np.array([0, len(data)]))
-    found = Counter(slots.count[slots.owner >= 0].tolist())
+    (tables,) = resample.interned(data, np.array([0, len(data)]))
+    found = Counter(n for table, _, _ in tables for n in table.count[table.used].tolist())
     assert found == Counter(Counter(features(text)[1]).values())
 
 
