@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from millrace.operators.tables import upsert
 from millrace.session import on_disk
-from millrace.sinks.tables import drop_versions, read_table, versions_of, write_version
+from millrace.sinks.tables import drop_versions, read_table, _versions, write_version
 from millrace.sources.decode import decode_json, quarantine
 
 # Fixed values of a table's folder.
@@ -94,7 +94,7 @@ def drop_unused(spark: SparkSession, path: str, version: int, keep=3):
     To be called when no reader is at an older one.
     """
     used = set()
-    for at in [v for v in versions_of(spark, f"{path}/{MANIFEST}") if v <= version][-keep:]:
+    for at in [v for v in _versions(spark, f"{path}/{MANIFEST}") if v <= version][-keep:]:
         versions, _, _ = _manifest(spark, path, before=at + 1)
         used |= {(v, b) for b, v in versions.items()}
     files, root = on_disk(spark, path)

@@ -8,14 +8,18 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import fraud
+from millrace.operators.counters import observe_counts
 from millrace.operators.enrich import asof_enrich
 from millrace.operators.inventory import reserve_stock
 from millrace.sinks import tables as sinks
 from millrace.sources.topics import table_stream
 from millrace.streaming import jobs
 from millrace.streaming.dedup import stream_dedup
-from millrace.streaming.fraud import stream_high_value, stream_velocity, stream_window_counts
-from millrace.streaming.keyed import stream_asof_enrich
+from millrace.streaming.fraud import (
+    _window_counts, stream_drop_late, stream_high_value, stream_velocity, stream_window_counts,
+)
+from millrace.streaming.keyed import enrich_log, stream_asof_enrich
+from millrace.streaming.monitor import ProgressTable, counter_totals, read_progress
 from millrace.streaming.tables import dedup_writer, enrich_writer, reserve_writer, velocity_writer
 
 START = datetime(2026, 1, 1)
@@ -326,3 +330,105 @@ def test_fan_out_gives_every_writer_everything(spark, tmp_path):
     writer = sinks.fan_out([sinks.exactly_once_writer(p) for p in paths])
     jobs.start(log.stream(), writer, str(tmp_path / "c")).awaitTermination()
     assert [sinks.read_batches(spark, p).count() for p in paths] == [2, 2]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_a_clock_for_each_partition_equals_the_batch_rule(spark, tmp_path, seed):
+    """One partition lags hours behind the others and loses nothing by it; late records are dropped alike."""
+    rng = random.Random(seed)
+    log = Log(spark, tmp_path / "e", f"{ORDERS}, partition int")
+    offset = 0
+    for _ in range(3):
+        rows = []
+        for _ in range(60):
+            user = rng.choice(["hot", "hot", "a", "bb"])
+            partition = len(user) % 3
+            late = rng.choice([0, 0, 0, 0, 120, 400, 1200]) + (9000 if partition == 2 else 0)
+            rows.append((*order(f"o{offset}", user, offset * 6 - late, offset), partition))
+            offset += 1
+        rng.shuffle(rows)
+        log.add(rows)
+    accepted = fraud.drop_late(log.table())
+    kept = jobs.run_to_table(stream_drop_late(log.stream()), str(tmp_path / "late"))
+    got = sorted(r.offset for r in sinks.read_batches(spark, kept).collect())
+    assert got == sorted(r.offset for r in accepted.collect()) and len(got) < offset
+    alerts_of = stream_velocity(log.stream(), mode="per_record", partition="partition")
+    path = jobs.run_to_table(alerts_of, str(tmp_path / "job"))
+    want = fraud.velocity_alerts(accepted)
+    pick = ("order_id", "n", "score")
+    assert sorted(map(tuple, sinks.read_batches(spark, path).select(*pick).collect())) == sorted(
+        map(tuple, want.select(*pick).collect())
+    )
+
+
+def test_records_are_counted_before_they_are_shuffled():
+    """What a hot user sends to its task is a row per window and batch of rows, not its records."""
+    import pyarrow as pa
+
+    ms = [1_000 * i for i in range(1000)]
+    stamp = pa.array(ms, pa.timestamp("ms")).cast(pa.timestamp("us", "UTC"))
+    batch = pa.RecordBatch.from_arrays([pa.array(["hot"] * 1000), stamp, stamp], ["user_id", "ts", "clock"])
+    (out,) = _window_counts(300_000)(iter([batch]))
+    assert sorted(zip(*(out.column(c).to_pylist() for c in ("start_ms", "n")))) == [
+        (0, 300), (300_000, 300), (600_000, 300), (900_000, 100),
+    ]
+
+
+def test_a_salted_profile_is_the_same_for_every_order(spark, tmp_path):
+    log = Log(spark, tmp_path / "s", "user_id string, offset long, log_side int, name string, amount long")
+    rng = random.Random(3)
+    offset = 0
+    for _ in range(2):
+        rows = []
+        for _ in range(80):
+            change = rng.random() < 0.3
+            name = rng.choice([None, f"n{offset}"]) if change else None
+            rows.append((rng.choice(["hot", "u"]), offset, 0 if change else 1, name, offset))
+            offset += 1
+        log.add(rows)
+    table = log.table()
+    want = asof_enrich(
+        table.where("log_side = 1").select("user_id", "offset", "amount"),
+        table.where("log_side = 0").select("user_id", "offset", "name"),
+    )
+    joined = enrich_log(log.stream(), "user_id", "offset", ["name"], ["amount"], salts=3)
+    path = jobs.run_to_table(joined, str(tmp_path / "job"))
+    pick = ("user_id", "offset", "amount", "user_name")
+    assert sorted(map(tuple, sinks.read_batches(spark, path).select(*pick).collect())) == sorted(
+        map(tuple, want.select(*pick).collect())
+    )
+
+
+def test_a_supervisor_begins_again_and_gives_up(spark, orders, tmp_path):
+    orders.add([order("a", "u", 0), order("b", "u", 10)])
+    faults = iter([True, True, False])
+
+    def fault(batch_id):
+        if next(faults, False):
+            raise RuntimeError("before the commit")
+
+    path = jobs.run_to_table(orders.stream(), str(tmp_path / "ok"), after_write=fault, restarts=2)
+    assert sinks.read_batches(spark, path).count() == 2
+
+    def broken(batch_id):
+        raise RuntimeError("every time")
+
+    with pytest.raises(Exception, match="every time"):
+        jobs.run_to_table(orders.stream(), str(tmp_path / "no"), after_write=broken, restarts=1)
+
+
+def test_reports_of_a_running_job_become_rows(spark, orders, tmp_path):
+    for k in range(3):
+        orders.add([order(f"a{k}", "u", k), order(f"b{k}", "v", k)])
+    counted = observe_counts(orders.stream(), "orders", of_u=F.col("user_id") == "u")
+    listener = ProgressTable(spark, str(tmp_path / "reports"), names=["counted"])
+    spark.streams.addListener(listener)
+    try:
+        running = jobs.start_to_table(counted, str(tmp_path / "job"), name="counted")
+        running.awaitTermination()
+        assert listener.wait(running.runId)
+    finally:
+        spark.streams.removeListener(listener)
+    progress = read_progress(spark, str(tmp_path / "reports"))
+    assert progress.count() == 3
+    assert {r.label: r.n for r in counter_totals(progress).collect()} == {"rows": 6, "of_u": 3}
