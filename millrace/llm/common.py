@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.session import job_dir, on_disk
+from millrace.session import on_disk, scratch_dir
 
 # Text worked on at once inside a task, in bytes; what numpy needs is a small multiple.
 BLOCK_BYTES = 2 << 20
@@ -33,9 +33,7 @@ def stored(df: DataFrame, name: str, **options) -> DataFrame:
     when the driver's process ends.
     """
     spark = df.sparkSession
-    path = job_dir(spark, name)
-    files, root = on_disk(spark, path)
-    files.deleteOnExit(root)
+    path = scratch_dir(spark, name)
     # What is written needs no shuffle files any more: of this write, whatever the session does.
     before = spark.conf.get(CLEANUP)
     spark.conf.set(CLEANUP, "true")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.scalar import money
-from millrace.session import job_dir
+from millrace.session import scratch_dir
 
 
 def arrivals(spark, name, parts, key) -> str:
@@ -14,7 +14,7 @@ def arrivals(spark, name, parts, key) -> str:
 
     Inside a part, files hold different keys, so it does not matter which of them comes first.
     """
-    folder = job_dir(spark, name)
+    folder = scratch_dir(spark, name)
     for part in parts:
         part.repartition(key).write.mode("append").parquet(folder)
     return folder
@@ -300,3 +300,28 @@ def order_lines_log(spark, sf_dir):
         "trace_id": F.concat(F.lit("trace-"), order),
         "occurred_at": F.col("shipped"),
     })
+
+
+def order_events(spark, sf_dir):
+    """Orders with their list of lines, as events under their wire names; totals and currencies have gaps."""
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct(
+        F.col("l_linenumber").alias("line"),
+        F.col("l_partkey").cast("string").alias("sku"),
+        F.col("l_quantity").cast("int").alias("quantity"),
+        money("l_extendedprice").alias("price"),
+    ))).alias("lines"))
+    orders = orders_log(spark, sf_dir).join(lines, F.col("offset") == F.col("l_orderkey"), "left")
+    items = F.transform("lines", lambda i: F.struct(i["sku"], i["quantity"], i["price"]))
+    none = F.array().cast("array<struct<sku:string,quantity:int,price:decimal(18,2)>>")
+    return orders.select(
+        "offset",
+        F.col("event_id").alias("eventId"),
+        F.col("occurred_at").cast("timestamp").alias("occurredAt"),
+        F.col("trace_id").alias("traceId"),
+        F.col("order_id").alias("orderId"),
+        F.col("user_id").cast("string").alias("userId"),
+        F.coalesce(items, none).alias("items"),
+        F.when(F.col("order_status") != "P", F.col("total_amount")).alias("totalAmount"),
+        F.concat(F.lit("idem-"), F.col("order_id")).alias("idempotencyKey"),
+        F.when(F.col("order_status") != "O", F.lit("EUR")).alias("currency"),
+    )

@@ -662,3 +662,17 @@ ORACLES["stream_counters"] = f"""
     SELECT 'rows' AS label, count(*) AS n FROM p
     UNION ALL SELECT 'paid', count(*) FROM p WHERE status = 'PAID'
     UNION ALL SELECT 'failed', count(*) FROM p WHERE status = 'FAILED')"""
+ORACLES["stream_topic_orders"] = f"""
+  WITH {ORDERS}, lines AS (
+    SELECT l_orderkey, count(*) AS n, sum(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_quantity AS INTEGER)) AS total,
+           string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY l_linenumber, CAST(l_partkey AS VARCHAR),
+             CAST(l_quantity AS INTEGER), CAST(l_extendedprice AS DECIMAL(18,2))) AS skus
+    FROM lineitem GROUP BY l_orderkey)
+  SELECT 'evt-' || o_orderkey AS event_id, o_orderdate AS occurred_at, CAST(o_orderkey AS VARCHAR) AS order_id,
+         CAST(o_custkey AS VARCHAR) AS user_id,
+         CAST(CASE WHEN o_orderstatus <> 'P' THEN CAST(o_totalprice AS DECIMAL(18,2))
+              ELSE coalesce(total, 0) END AS DECIMAL(18,2)) AS total_amount,
+         CASE WHEN o_orderstatus <> 'O' THEN 'EUR' ELSE 'USD' END AS currency,
+         coalesce(n, 0) AS n_items, coalesce(skus, '') AS skus
+  FROM orders LEFT JOIN lines ON l_orderkey = o_orderkey"""
+ORACLES["stream_payments_inserted"] = ORACLES["payments"]

@@ -15,17 +15,19 @@ from millrace.operators.counters import counters, observe_counts, table_counts
 from millrace.operators.partitioning import by_key, vip_partition
 from millrace.operators.payments import charge
 from millrace.plans import inputs
-from millrace.schemas import USER_PROFILE_V1, USER_PROFILE_V2
-from millrace.session import job_dir, prepare
-from millrace.sinks.buckets import bucket_writer, document_writer, read_buckets
-from millrace.sinks.logs import to_topic_rows
+from millrace.schemas import ORDER_CREATED, USER_PROFILE_V1, USER_PROFILE_V2, to_columns
+from millrace.session import prepare, scratch_dir
+from millrace.sinks.buckets import (
+    bucket_writer, document_writer, insert_writer, read_buckets, read_inserted,
+)
+from millrace.sinks.logs import to_topic_rows, write_topic
 from millrace.sinks.tables import (
     exactly_once_writer, read_batches, read_committed, read_table, start_groups, upsert_writer,
 )
 from millrace.sources import cdc, decode
 from millrace.sources.avro import decode_text_record
 from millrace.sources.infer import infer_flatten
-from millrace.sources.topics import table_stream
+from millrace.sources.topics import read_topic, table_stream
 from millrace.streaming import jobs
 from millrace.streaming.dedup import stream_dedup as dedup_stream
 from millrace.streaming.fraud import stream_velocity as velocity_stream
@@ -743,7 +745,7 @@ def dead_letters(spark, sf_dir):
 def stream_velocity(spark, sf_dir):
     events = inputs.shape_events(table_stream(spark, sf_dir, "events.parquet"))
     alerts = velocity_stream(events, "1 day")
-    written = jobs.run_to_table(alerts, job_dir(spark, "velocity"), mode="update")
+    written = jobs.run_to_table(alerts, scratch_dir(spark, "velocity"), mode="update")
     return tables.latest_per_key(read_batches(spark, written), "order_id", ("batch_id",)).drop(
         "batch_id"
     )
@@ -753,7 +755,7 @@ def stream_velocity(spark, sf_dir):
 def stream_fraud_alerts(spark, sf_dir):
     """Both kinds of alert; of a window the last one."""
     orders = inputs.shape_orders(table_stream(spark, sf_dir, "orders.parquet"))
-    written = jobs.stream_fraud(orders, job_dir(spark, "fraud"), "30 days")
+    written = jobs.stream_fraud(orders, scratch_dir(spark, "fraud"), "30 days")
     columns = ["order_id", "user_id", "reason", "score"]
     high = read_batches(spark, written["HIGH_VALUE"]).select(columns)
     fast = tables.latest_per_key(
@@ -779,7 +781,7 @@ def fraud_alerts_with_grace(spark, sf_dir):
 def stream_velocity_exact(spark, sf_dir):
     """Late events left out by the same rule as in a batch."""
     events = inputs.shape_events(table_stream(spark, sf_dir, "events.parquet"))
-    folder = job_dir(spark, "velocity-exact")
+    folder = scratch_dir(spark, "velocity-exact")
     writer = velocity_writer(folder, "1 hour", threshold=2)
     jobs.start(inputs.shape_late(events), writer, f"{folder}/checkpoint").awaitTermination()
     return read_batches(spark, f"{folder}/alerts").drop("batch_id")
@@ -789,7 +791,7 @@ def stream_velocity_exact(spark, sf_dir):
 def stream_velocity_per_record(spark, sf_dir):
     events = inputs.shape_events(table_stream(spark, sf_dir, "events.parquet"))
     alerts = velocity_stream(events, "1 day", mode="per_record")
-    written = jobs.run_to_table(alerts, job_dir(spark, "velocity-each"))
+    written = jobs.run_to_table(alerts, scratch_dir(spark, "velocity-each"))
     return read_batches(spark, written).drop("batch_id")
 
 
@@ -798,7 +800,7 @@ def stream_velocity_clock(spark, sf_dir):
     """Late events left out by a clock for each partition, chained before the counter of each user."""
     events = inputs.shape_late(inputs.shape_events(table_stream(spark, sf_dir, "events.parquet")))
     alerts = velocity_stream(events, "1 hour", mode="per_record", threshold=2, partition="partition")
-    written = jobs.run_to_table(alerts, job_dir(spark, "velocity-clock"))
+    written = jobs.run_to_table(alerts, scratch_dir(spark, "velocity-clock"))
     return read_batches(spark, written).drop("batch_id")
 
 
@@ -819,7 +821,7 @@ def stream_dedup(spark, sf_dir):
     """One record per key; which of the copies is not settled by a stream."""
     events = inputs.shape_events(table_stream(spark, sf_dir, "events.parquet"))
     kept = dedup_stream(_hourly(events), horizon="60 days")
-    written = jobs.run_to_table(kept, job_dir(spark, "dedup"))
+    written = jobs.run_to_table(kept, scratch_dir(spark, "dedup"))
     return read_batches(spark, written).select("channel", "event_id")
 
 
@@ -843,7 +845,7 @@ def _purchases_and_signups(spark, sf_dir, **options):
 def stream_dedup_table(spark, sf_dir):
     """The same against the table written so far."""
     events = inputs.shape_events(table_stream(spark, sf_dir, "events.parquet"))
-    folder = job_dir(spark, "dedup-table")
+    folder = scratch_dir(spark, "dedup-table")
     writer = dedup_writer(f"{folder}/table", horizon="60 days")
     jobs.start(_hourly(events), writer, f"{folder}/checkpoint").awaitTermination()
     return read_batches(spark, f"{folder}/table").select("channel", "event_id", "offset")
@@ -852,7 +854,7 @@ def stream_dedup_table(spark, sf_dir):
 @query
 def stream_enrich(spark, sf_dir):
     """Profile at arrival, with the profiles in a versioned table."""
-    folder = job_dir(spark, "enrich")
+    folder = scratch_dir(spark, "enrich")
     writer = enrich_writer(folder, fields=["name", "email"])
     log = _purchases_and_signups(spark, sf_dir)
     jobs.start(log, writer, f"{folder}/checkpoint").awaitTermination()
@@ -864,14 +866,14 @@ def stream_enrich_keyed(spark, sf_dir):
     """Profile at arrival, with the profiles in per-key state and small micro-batches."""
     log = _purchases_and_signups(spark, sf_dir, max_bytes=1 << 30)
     joined = enrich_log(log, "user_id", "offset", ["name", "email"], ["total_amount"], salts=4)
-    written = jobs.run_to_table(joined, job_dir(spark, "enrich-keyed"))
+    written = jobs.run_to_table(joined, scratch_dir(spark, "enrich-keyed"))
     return read_batches(spark, written).drop("batch_id")
 
 
 @query
 def stream_reserve(spark, sf_dir):
     lines = inputs.shape_lines(table_stream(spark, sf_dir, "lineitem.parquet"))
-    folder = job_dir(spark, "reserve")
+    folder = scratch_dir(spark, "reserve")
     writer = reserve_writer(folder, inputs.stock(spark, sf_dir), inputs.LINE_ORDER)
     jobs.start(lines, writer, f"{folder}/checkpoint").awaitTermination()
     events = read_batches(spark, f"{folder}/events")
@@ -881,7 +883,7 @@ def stream_reserve(spark, sf_dir):
 @query
 def stream_payments(spark, sf_dir):
     orders = inputs.shape_orders(table_stream(spark, sf_dir, "orders.parquet"))
-    written = jobs.stream_payments(orders, job_dir(spark, "payments"))
+    written = jobs.stream_payments(orders, scratch_dir(spark, "payments"))
     return read_committed(spark, written, ["transaction_id"])
 
 
@@ -895,7 +897,7 @@ def stream_upsert(spark, sf_dir):
         F.when(F.col("event_type") != "error", F.col("event_type")).alias("event_type"),
         F.when(F.col("event_type") != "error", F.col("value")).alias("value"),
     )
-    folder = job_dir(spark, "upsert")
+    folder = scratch_dir(spark, "upsert")
     writer = upsert_writer(
         f"{folder}/table", "user_id", "offset", on_null="delete", missing="overwrite"
     )
@@ -922,7 +924,7 @@ def stream_upsert_buckets(spark, sf_dir):
     turns = [updates.where(day).withColumn("turn", F.lit(k)) for k, day in enumerate(days)]
     parts = [known.withColumn("turn", F.lit(-1)), *turns]
     folder = inputs.arrivals(spark, "arrivals", [p.select(*parts[0].columns) for p in parts], "user_id")
-    job = job_dir(spark, "upsert-buckets")
+    job = scratch_dir(spark, "upsert-buckets")
     writer = bucket_writer(f"{job}/table", "user_id", ["turn", "offset"], buckets=32)
     stream = table_stream(spark, folder, "*.parquet", max_files=1)
     jobs.start(stream, writer, f"{job}/checkpoint").awaitTermination()
@@ -936,7 +938,7 @@ def stream_documents(spark, sf_dir):
     middle = F.lit("2024-01-15").cast("timestamp")
     parts = [log.where(F.col("timestamp") < middle), log.where(F.col("timestamp") >= middle)]
     folder = inputs.arrivals(spark, "documents", parts, "key")
-    job = job_dir(spark, "documents")
+    job = scratch_dir(spark, "documents")
     schema = T.StructType([T.StructField("name", T.StringType()), T.StructField("email", T.StringType())])
     writer = document_writer(job, schema, required=("name",), buckets=32)
     stream = table_stream(spark, folder, "*.parquet", max_files=1)
@@ -953,7 +955,7 @@ def stream_reserve_redelivered(spark, sf_dir):
     middle = lines.agg(F.percentile_approx("offset", 0.5).alias("middle")).first().middle
     again = (F.col("offset") >= middle) | (F.col("offset") % 3 == 0)
     parts = [lines.where(F.col("offset") < middle), lines.where(again)]
-    folder, job = job_dir(spark, "lines"), job_dir(spark, "reserve-once")
+    folder, job = scratch_dir(spark, "lines"), scratch_dir(spark, "reserve-once")
     coordinate = ("partition", "offset")
     writer = reserve_writer(job, inputs.stock(spark, sf_dir), inputs.LINE_ORDER, coordinate=coordinate)
     for part in parts:
@@ -967,7 +969,7 @@ def stream_reserve_redelivered(spark, sf_dir):
 def stream_retained_windows(spark, sf_dir):
     """Windows that are still kept when the log has been read: those that can grow yet."""
     events = inputs.shape_events(table_stream(spark, sf_dir, "events.parquet"))
-    folder = job_dir(spark, "velocity-retained")
+    folder = scratch_dir(spark, "velocity-retained")
     writer = velocity_writer(folder, "1 hour", threshold=2)
     jobs.start(inputs.shape_late(events), writer, f"{folder}/checkpoint").awaitTermination()
     return read_table(spark, f"{folder}/counts").select("user_id", "window_start", "window_end", "n")
@@ -989,7 +991,7 @@ class _Once:
 def stream_payments_restarted(spark, sf_dir):
     """The job dies after its first write; begun again by its supervisor it pays every order once."""
     orders = inputs.shape_orders(table_stream(spark, sf_dir, "orders.parquet"))
-    folder = job_dir(spark, "payments-restarted")
+    folder = scratch_dir(spark, "payments-restarted")
     written = jobs.stream_payments(orders, folder, _Once(), restarts=1)
     return read_batches(spark, written).drop("batch_id")
 
@@ -997,7 +999,7 @@ def stream_payments_restarted(spark, sf_dir):
 @query
 def stream_notification_groups(spark, sf_dir):
     """Two consumer groups over one log, each with its own progress; one of them dies and goes on alone."""
-    folder = job_dir(spark, "groups")
+    folder = scratch_dir(spark, "groups")
     payments = inputs.payments_log(spark, sf_dir)
     log = inputs.arrivals(spark, "payments-log", [payments], "event_id")
     stream = table_stream(spark, log, "*.parquet")
@@ -1024,7 +1026,7 @@ def stream_notification_groups(spark, sf_dir):
 @query
 def stream_state_lookup(spark, sf_dir):
     """Every customer looked up in the state of the running enrichment: the profile, or why there is none."""
-    folder = job_dir(spark, "enrich-state")
+    folder = scratch_dir(spark, "enrich-state")
     log = _purchases_and_signups(spark, sf_dir)
     joined = enrich_log(log, "user_id", "offset", ["name", "email"], ["total_amount"])
     jobs.run_to_table(joined, folder)
@@ -1037,7 +1039,7 @@ def stream_state_lookup(spark, sf_dir):
 def stream_counters(spark, sf_dir):
     """Payments by status, counted while the job ran and read from the table of its reports."""
     orders = inputs.shape_orders(table_stream(spark, sf_dir, "orders.parquet"))
-    folder = job_dir(spark, "payments-counted")
+    folder = scratch_dir(spark, "payments-counted")
     paid = F.col("status") == "PAID"
     counted = observe_counts(charge(orders), "payments", paid=paid, failed=~paid)
     listener = ProgressTable(spark, f"{folder}/progress", names=["payments-counted"])
@@ -1049,3 +1051,44 @@ def stream_counters(spark, sf_dir):
     finally:
         spark.streams.removeListener(listener)
     return counter_totals(read_progress(spark, f"{folder}/progress"))
+
+
+@query
+def stream_topic_orders(spark, sf_dir):
+    """Orders with their lines from a topic, decoded by their schema in capped micro-batches; the job is stopped in between."""
+    events = inputs.order_events(spark, sf_dir)
+    log, job = scratch_dir(spark, "orders-topic"), scratch_dir(spark, "orders-read")
+    for half in (0, 1):
+        some = events.where(F.col("offset") % 2 == half)
+        rows = to_topic_rows(
+            some.withColumn("partition", (F.col("offset") % 6).cast("int")), "userId", "orders",
+            trace="traceId", partition="partition", fields=ORDER_CREATED.fieldNames(),
+        )
+        write_topic(rows.withColumns({
+            "offset": F.lit(0).cast("long"), "timestamp": F.lit("2026-01-01").cast("timestamp"), "timestampType": F.lit(0),
+        }), path=log, segment_records=20_000)
+        topic = read_topic(
+            spark, "orders", streaming=True, path=log, max_per_trigger=40_000, segment_records=20_000
+        )
+        decoded = decode.decode_json(topic, ORDER_CREATED, required=("orderId", "userId"))
+        good, _ = decode.quarantine(decoded)
+        jobs.run_to_table(to_columns(good.select("event.*")), job)
+    orders = intake.accept(read_batches(spark, f"{job}/table"))
+    return orders.select(
+        "event_id", F.col("occurred_at").cast("timestamp_ntz").alias("occurred_at"), "order_id", "user_id",
+        "total_amount", "currency",
+        F.size("items").cast("long").alias("n_items"),
+        F.array_join(F.transform("items", lambda i: i["sku"]), ",").alias("skus"),
+    )
+
+
+@query
+def stream_payments_inserted(spark, sf_dir):
+    """Every order comes twice, in batches of its own; the table has one payment each as it lies there."""
+    orders = inputs.orders_log(spark, sf_dir)
+    log = inputs.arrivals(spark, "orders-twice", [orders, orders], "order_id")
+    job = scratch_dir(spark, "payments-inserted")
+    writer = insert_writer(f"{job}/table", "transaction_id", "amount", buckets=32, transform=charge)
+    stream = table_stream(spark, log, "*.parquet", max_files=1)
+    jobs.start(stream, writer, f"{job}/checkpoint").awaitTermination()
+    return read_inserted(spark, f"{job}/table")

@@ -59,6 +59,14 @@ def job_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder that goes when the driver's process ends."""
+    path = job_dir(spark, name)
+    files, root = on_disk(spark, path)
+    files.deleteOnExit(root)
+    return path
+
+
 def on_disk(spark: SparkSession, path: str):
     """The file system a path is on, and the path on it."""
     root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators.blocks import all_of
+from millrace.operators.dedup import first_per_key
 from millrace.operators.tables import upsert
 from millrace.session import on_disk
 from millrace.sinks.tables import drop_versions, read_table, _versions, write_version
@@ -120,6 +122,46 @@ def bucket_writer(path: str, keys, order_by, buckets=256, **options):
     return write
 
 
+def insert_writer(path: str, keys, order_by, buckets=256, transform=None, after_write=None):
+    """A ``foreachBatch`` callback that writes the first row of each key, once and for good.
+
+    A batch is held against the keys in the buckets it touches, and only new ones are written: a table
+    that ``read_inserted`` takes as it is, one row per key, without any aggregation. A repeated
+    batch does not see what its first attempt wrote, and replaces it. Rows with a null key all pass.
+    ``transform`` and ``after_write`` are as in ``exactly_once_writer``.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+
+    def write(batch: DataFrame, batch_id: int):
+        spark = batch.sparkSession
+        rows = (batch if transform is None else transform(batch)).withColumn(BUCKET, bucket_of(keys, buckets))
+        known = all_of([F.col(k).isNotNull() for k in keys])
+        marked = rows.withColumn("_alone", F.when(~known, F.monotonically_increasing_id()))
+        order = [order_by] if isinstance(order_by, str) else list(order_by)
+        once = first_per_key(marked, [*keys, BUCKET, "_alone"], order).select(*rows.columns)
+        touched = {row[0] for row in rows.where(known).select(BUCKET).distinct().collect()}
+        folders = [
+            f"{path}/version={v}/{BUCKET}={b}" for v in _versions(spark, path) if v < batch_id
+            for b in _written(spark, f"{path}/version={v}") if b in touched
+        ]
+        if folders:
+            held = spark.read.schema(rows.select(*keys).schema).parquet(*folders)
+            once = once.join(held, keys, "left_anti").select(*rows.columns)
+        once.hint("rebalance", BUCKET).write.partitionBy(BUCKET).mode("overwrite").parquet(
+            f"{path}/version={batch_id}"
+        )
+        if after_write is not None:
+            after_write(batch_id)
+
+    return write
+
+
+def read_inserted(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all finished batches of ``insert_writer``."""
+    folders = [f"{path}/version={v}" for v in _versions(spark, path)]
+    return spark.read.parquet(*folders).drop(BUCKET)
+
+
 def document_writer(path: str, schema: T.StructType, *, order_by="offset", buckets=256, required=()):
     """A ``foreachBatch`` callback that keeps the last document of each key, and quarantines the others.
 

@@ -35,14 +35,18 @@ def to_topic_rows(
     )
 
 
-def write_topic(rows: DataFrame, *, bootstrap=None, path=None, mode="append"):
-    """Write records to brokers (needs the log connector) or to a folder by topic."""
+def write_topic(rows: DataFrame, *, bootstrap=None, path=None, mode="append", segment_records=None):
+    """Write records to brokers (needs the log connector) or to a folder by topic.
+
+    ``segment_records`` is how many records a file of the folder has at most: what lets a reader cap its
+    micro-batches in records.
+    """
     if bootstrap is not None:
         rows.write.format("kafka").option("kafka.bootstrap.servers", bootstrap).option(
             "includeHeaders", "true"
         ).save()
     else:
-        rows.write.mode(mode).partitionBy("topic").parquet(path)
+        rows.write.mode(mode).option("maxRecordsPerFile", segment_records or 0).partitionBy("topic").parquet(path)
 
 
 def stream_topic(rows: DataFrame, checkpoint: str, *, bootstrap=None, path=None, trigger=None):

@@ -10,13 +10,14 @@ from millrace.schemas import TOPIC_LOG
 
 def read_topic(
     spark: SparkSession, topic: str, *, streaming=False, starting="earliest",
-    max_per_trigger=None, bootstrap=None, path=None, file_format="parquet",
+    max_per_trigger=None, segment_records=None, bootstrap=None, path=None, file_format="parquet",
 ) -> DataFrame:
     """A topic as a batch or streaming DataFrame.
 
     From brokers (``bootstrap``; needs the log connector on the class path) or from a
     folder of files (``path``) holding the same columns. Only committed records are read.
-    ``max_per_trigger`` caps a micro-batch, in records or in files.
+    ``max_per_trigger`` caps a micro-batch: in records where they come from brokers or where ``segment_records``
+    says how many a file holds at most, else in files.
     """
     reader = spark.readStream if streaming else spark.read
     if bootstrap is not None:
@@ -32,7 +33,8 @@ def read_topic(
         return reader.format("kafka").options(**options).load().select(*TOPIC_LOG.fieldNames())
     reader = reader.schema(TOPIC_LOG)
     if streaming and max_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_per_trigger)
+        files = max_per_trigger if segment_records is None else max(1, max_per_trigger // segment_records)
+        reader = reader.option("maxFilesPerTrigger", files)
     log = reader.format(file_format).load(path).where(F.col("topic") == topic)
     return log.select(*TOPIC_LOG.fieldNames())
 

@@ -88,3 +88,23 @@ def test_documents_are_kept_and_the_others_put_aside(spark, tmp_path):
     assert [tuple(r) for r in kept] == [("a", "z", None)]
     dead = spark.read.parquet(f"{path}/dead").select("offset", "error").collect()
     assert sorted(map(tuple, dead)) == [(2, "malformed"), (3, "name is missing"), (6, "key is missing")]
+
+
+def test_inserted_rows_are_one_per_key_as_they_lie(spark, tmp_path):
+    path = str(tmp_path / "i")
+    fail = [True]
+
+    def fault(batch_id):
+        if batch_id == 1 and fail:
+            fail.clear()
+            raise RuntimeError("before the commit")
+
+    write = sink.insert_writer(path, "id", "at", buckets=4, after_write=fault)
+    write(batch(spark, [(1, 0, "a", None), (1, 1, "b", None), (None, 0, "n", None), (None, 0, "n", None)]), 0)
+    again = batch(spark, [(1, 0, "z", None), (2, 0, "c", None), (None, 2, "m", None)])
+    with pytest.raises(RuntimeError):
+        write(again, 1)
+    write(again, 1)
+    got = sorted((str(r.id), r.a) for r in sink.read_inserted(spark, path).collect())
+    assert got == [("1", "a"), ("2", "c"), ("None", "m"), ("None", "n"), ("None", "n")]
+    assert not any(r.a == "z" for r in spark.read.parquet(f"{path}/version=1").collect())

@@ -300,3 +300,18 @@ def test_a_blank_trace_header_is_a_trace(spark):
         [([("traceId", b"  ")], "p"), ([("traceId", b"")], "p")], f"headers {headers}, trace_id string"
     )
     assert [r.trace_id for r in with_trace_id(rows).collect()] == ["  ", "p"]
+
+
+def test_inference_keeps_what_gets_no_column(spark):
+    docs = spark.createDataFrame(
+        [(1, '{"a":1,"b":"x","c":true}'), (2, '{"a":2,"b":"y"}'), (3, '{"a":3,"d":{"e":1}}'), (4, "nothing")],
+        "id int, doc string",
+    )
+    flat = infer_flatten(docs, "doc", most=2, rest="others").orderBy("id")
+    assert flat.columns == ["id", "doc", "a", "b", "others"]
+    text = F.transform_values("others", lambda k, v: v.cast("string"))
+    got = [(r.id, r.doc, r.a, r.b, r.others) for r in flat.withColumn("others", text).collect()]
+    assert got == [
+        (1, None, 1, "x", {"c": "true"}), (2, None, 2, "y", {}), (3, None, 3, None, {"d": '{"e":1}'}),
+        (4, "nothing", None, None, None),
+    ]
