@@ -6,7 +6,7 @@ row per block carries the value from the blocks before, and an equi join on
 ``(key, block)`` puts the two together. Offsets are unique in a log partition, so no block
 holds more than ``rows`` of its rows, whatever the skew.
 
-Keys small enough to be one group are not cut (see ``hot_keys``) and carry nothing. Null
+Keys small enough to be one group are not cut (see ``hot_hashes``) and carry nothing. Null
 keys must be dropped by the caller.
 """
 
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 BLOCK_ROWS = 1 << 22
 BLOCK = "_block"
+HASH = "_hot_hash"
 # Sketches of frequent keys, and keys that each keeps track of.
 SHARDS, TRACKED = 64, 4096
 
@@ -29,37 +30,40 @@ def block_of(offset, rows=BLOCK_ROWS):
     return F.call_function("div", column.cast("long"), F.lit(rows).cast("long"))
 
 
-def hot_keys(df: DataFrame, keys, rows=BLOCK_ROWS) -> DataFrame:
-    """Keys with more than ``rows`` rows, none of their columns null.
+def _named(df, keys, kinds=None):
+    """Rows with the hash of their key, null if any of its columns is; ``kinds`` are the types to hash it in."""
+    columns = [F.col(k) if kinds is None else F.col(k).try_cast(kinds[k].dataType) for k in keys]
+    known = all_of([c.isNotNull() for c in columns])
+    return df.withColumn(HASH, F.when(known, F.xxhash64(*columns)))
 
-    A sketch of frequent items names the keys that may have as many; only those are counted, so no
-    table of all keys is ever shuffled. Tasks send sketches of bounded size, which are merged
-    side by side, ``SHARDS`` of them by the key's hash. A sketch never counts too few. It may lose
-    sight of a key with less than ``3.5 / TRACKED`` of its shard's rows: such a key is then
-    handled like a small one, which changes no result.
 
-    At most ``count(df) / rows`` keys can qualify: 250,000 for a trillion rows at the
-    default. That bound is what allows the result to be broadcast.
+def hot_hashes(df: DataFrame, keys, rows=BLOCK_ROWS) -> DataFrame:
+    """Hashes of the keys with more than ``rows`` rows, to be broadcast.
+
+    A sketch of frequent items tells them: tasks send sketches of bounded size, which are merged
+    side by side, ``SHARDS`` of them by the hash, and no table of all keys is ever counted or shuffled. A
+    sketch never counts too few. It may count a key that has a little less, or lose sight of
+    one with less than ``3.5 / TRACKED`` of its shard's rows; how a key is handled changes no result. Nor
+    does it matter if two keys share a hash: both are then handled alike.
+
+    At most about ``count(df) / rows`` keys can qualify: 250,000 for a trillion rows at the default, and
+    ``SHARDS * TRACKED`` whatever the size.
     """
-    known = df.where(all_of([F.col(k).isNotNull() for k in keys])).select(
-        *keys, F.xxhash64(*keys).alias("_key")
-    )
-    sketched = known.groupBy(F.pmod("_key", F.lit(SHARDS)).alias("_shard")).agg(
-        F.expr(f"approx_top_k(_key, {TRACKED}, {TRACKED})").alias("_seen")
+    named = _named(df, keys).select(HASH).where(F.col(HASH).isNotNull())
+    sketched = named.groupBy(F.pmod(HASH, F.lit(SHARDS)).alias("_shard")).agg(
+        F.expr(f"approx_top_k({HASH}, {TRACKED}, {TRACKED})").alias("_seen")
     )
     likely = sketched.select(F.explode("_seen").alias("_item")).where(F.col("_item.count") > rows)
-    few = known.join(F.broadcast(likely.select(F.col("_item.item").alias("_key"))), "_key", "left_semi")
-    counted = few.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counted.where(F.col("_n") > rows).drop("_n")
+    return F.broadcast(likely.select(F.col("_item.item").alias(HASH)))
 
 
 def split_hot(df: DataFrame, keys, rows=BLOCK_ROWS):
     """Rows of hot keys, and all others (those with a null key among them).
 
-    Keys are the same in both: adaptive execution leaves out the first part where no key is hot.
+    Adaptive execution leaves out the first part where no key is hot.
     """
-    hot = F.broadcast(hot_keys(df, keys, rows))
-    return df.join(hot, list(keys), "left_semi"), df.join(hot, list(keys), "left_anti")
+    hot, named = hot_hashes(df, keys, rows), _named(df, keys)
+    return named.join(hot, HASH, "left_semi").drop(HASH), named.join(hot, HASH, "left_anti").drop(HASH)
 
 
 def join_skewed(df: DataFrame, table: DataFrame, keys, how="inner", rows=BLOCK_ROWS):
@@ -74,10 +78,10 @@ def join_skewed(df: DataFrame, table: DataFrame, keys, how="inner", rows=BLOCK_R
     keys = list(keys)
     known = all_of([F.col(k).isNotNull() for k in keys])
     keyed = df.where(known)
-    hot = F.broadcast(hot_keys(keyed, keys, rows))
-    common = keyed.join(hot, keys, "left_semi")
-    rare = keyed.join(hot, keys, "left_anti")
-    few = F.broadcast(table.join(hot, keys, "left_semi"))
+    hot, named = hot_hashes(keyed, keys, rows), _named(keyed, keys)
+    common = named.join(hot, HASH, "left_semi").drop(HASH)
+    rare = named.join(hot, HASH, "left_anti").drop(HASH)
+    few = F.broadcast(_named(table, keys, df.schema).join(hot, HASH, "left_semi").drop(HASH))
     joined = common.join(few, keys, how).unionByName(rare.join(table, keys, how))
     if how in ("left", "left_anti"):
         joined = joined.unionByName(df.where(~known), allowMissingColumns=True)
@@ -94,11 +98,11 @@ def _cut(df, keys, offset, rows, split):
     if split == "all":
         blocked = df.withColumn(BLOCK, number)
         return blocked, blocked
-    hot = F.broadcast(hot_keys(df, keys, rows))
-    marked = df.join(hot.withColumn("_hot", F.lit(True)), list(keys), "left")
+    hot, named = hot_hashes(df, keys, rows), _named(df, keys)
+    marked = named.join(hot.withColumn("_hot", F.lit(True)), HASH, "left").drop(HASH)
     zero = F.lit(0).cast("long")
     blocked = marked.withColumn(BLOCK, F.when(F.col("_hot"), number).otherwise(zero)).drop("_hot")
-    return blocked, df.join(hot, list(keys)).withColumn(BLOCK, number)
+    return blocked, named.join(hot, HASH).drop(HASH).withColumn(BLOCK, number)
 
 
 def _carried(rows, keys, part, fold):
