@@ -676,3 +676,4 @@ ORACLES["stream_topic_orders"] = f"""
          coalesce(n, 0) AS n_items, coalesce(skus, '') AS skus
   FROM orders LEFT JOIN lines ON l_orderkey = o_orderkey"""
 ORACLES["stream_payments_inserted"] = ORACLES["payments"]
+ORACLES["stream_fraud_one_read"] = ORACLES["fraud_alerts_with_grace"]

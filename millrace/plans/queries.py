@@ -36,6 +36,7 @@ from millrace.streaming.monitor import ProgressTable, counter_totals, read_progr
 from millrace.streaming.tables import (
     dedup_writer,
     enrich_writer,
+    fraud_writer,
     reserve_writer,
     velocity_writer,
 )
@@ -764,19 +765,36 @@ def stream_fraud_alerts(spark, sf_dir):
     return high.unionByName(fast.select(columns))
 
 
-@query
-def fraud_alerts_with_grace(spark, sf_dir):
-    """Late events are not counted; every event is worth its value in thousands."""
-    log = inputs.late_log(spark, sf_dir).withColumns(
+def _in_thousands(log):
+    """Events as orders worth their value in thousands."""
+    return log.withColumns(
         {
             "order_id": F.concat(F.lit("ord-"), F.col("offset").cast("string")),
             "trace_id": F.lit(None).cast("string"),
             "total_amount": money(F.col("value") * 1000),
         }
     )
+
+
+@query
+def fraud_alerts_with_grace(spark, sf_dir):
+    """Late events are not counted; every event is worth its value in thousands."""
+    log = _in_thousands(inputs.late_log(spark, sf_dir))
     return fraud.fraud_alerts(log, "1 hour", 90_000, 2, grace="1 minute")
 
 
+@query
+def stream_fraud_one_read(spark, sf_dir):
+    """The same on a stream that is read once for both kinds of alert."""
+    events = inputs.shape_late(inputs.shape_events(table_stream(spark, sf_dir, "events.parquet")))
+    folder = scratch_dir(spark, "fraud-one-read")
+    writer = fraud_writer(folder, "1 hour", "1 minute", 90_000, 2)
+    jobs.start(_in_thousands(events), writer, f"{folder}/checkpoint").awaitTermination()
+    columns = ["order_id", "user_id", "reason", "score"]
+    high = read_batches(spark, f"{folder}/high-value").select(columns)
+    return high.unionByName(read_batches(spark, f"{folder}/velocity/alerts").select(columns))
+
+
 @query
 def stream_velocity_exact(spark, sf_dir):
     """Late events left out by the same rule as in a batch."""

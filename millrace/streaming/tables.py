@@ -15,12 +15,16 @@ from pyspark.sql import functions as F
 from millrace.operators.blocks import all_of
 from millrace.operators.dedup import first_per_key
 from millrace.operators.enrich import asof_enrich
-from millrace.functions.scalar import GRACE, VELOCITY_THRESHOLD, WINDOW_SIZE, is_open
-from millrace.operators.fraud import drop_late, drop_null_orders, growth_alerts, with_window
+from millrace.functions.scalar import GRACE, HIGH_VALUE_ABOVE, VELOCITY_THRESHOLD, WINDOW_SIZE, is_open
+from millrace.operators.fraud import (
+    drop_late, drop_null_orders, growth_alerts, high_value_alerts, with_window,
+)
 from millrace.operators.inventory import FOLD_ROWS, reserve_stock, stock_left
 from millrace.operators.ledger import once_by_ranges, ranges_of, with_processed
 from millrace.operators.tables import upsert
-from millrace.sinks.tables import drop_versions, read_batches, read_table, write_version
+from millrace.sinks.tables import (
+    drop_versions, exactly_once_writer, fan_out, read_batches, read_table, write_version,
+)
 
 
 def velocity_writer(
@@ -86,6 +90,18 @@ def velocity_writer(
     return write
 
 
+def fraud_writer(
+    folder: str, size=WINDOW_SIZE, grace=GRACE, above=HIGH_VALUE_ABOVE, threshold=VELOCITY_THRESHOLD, **columns,
+):
+    """Both kinds of alert from one read of the orders: what ``fraud_alerts`` with ``grace`` gives for the whole log.
+
+    High-value alerts go to ``folder/high-value``, velocity alerts to ``folder/velocity/alerts``; see
+    ``velocity_writer``, which takes ``columns``.
+    """
+    high = exactly_once_writer(f"{folder}/high-value", lambda batch: high_value_alerts(batch, above))
+    return fan_out([high, velocity_writer(f"{folder}/velocity", size, grace, threshold, **columns)])
+
+
 def reserve_writer(
     folder: str, stock: DataFrame, seq=("offset", "line"), rows=FOLD_ROWS, coordinate=None,
 ):
