@@ -156,10 +156,13 @@ def insert_writer(path: str, keys, order_by, buckets=256, transform=None, after_
     return write
 
 
-def read_inserted(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of all finished batches of ``insert_writer``."""
-    folders = [f"{path}/version={v}" for v in _versions(spark, path)]
-    return spark.read.parquet(*folders).drop(BUCKET)
+def read_inserted(spark: SparkSession, path: str) -> DataFrame | None:
+    """The rows of all finished batches of ``insert_writer``; nothing where none has written a row."""
+    folders = [
+        f"{path}/version={v}/{BUCKET}={b}" for v in _versions(spark, path)
+        for b in _written(spark, f"{path}/version={v}")
+    ]
+    return spark.read.parquet(*folders) if folders else None
 
 
 def document_writer(path: str, schema: T.StructType, *, order_by="offset", buckets=256, required=()):
