@@ -55,6 +55,34 @@ def test_pieces_equal_the_library_and_decode_to_the_text(spark):
     assert pieces.with_pieces(table(spark, []), MODEL).count() == 0
 
 
+@pytest.mark.parametrize("prefix", [0, 1])
+@pytest.mark.parametrize("squeeze", [0, 1])
+def test_the_models_own_normaliser_is_compiled(tmp_path, prefix, squeeze):
+    import sentencepiece
+
+    with open(MODEL, "rb") as file:
+        data = file.read() + bytes([0x1A, 4, 0x18, prefix, 0x20, squeeze])
+    path = tmp_path / "other.model"
+    path.write_bytes(data)
+    library = sentencepiece.SentencePieceProcessor(model_proto=data)
+    transducer = pieces.load(str(path))
+    encode, decode = pieces.encoder(pieces.Tables(transducer)), pieces.decoder(transducer)
+    texts = ["", " ", "a", " a", "a ", "  a  b   c ", "some words here", "x\n y\t z", "é 日本  😀 "]
+    texts += [noise(i, 80).strip(" ") + " end" for i in range(20)]
+    for text, ids in zip(texts, encode(texts)):
+        assert ids.tolist() == library.encode(text)
+        assert decode(ids.tolist()) == transducer.normaliser.spelt(text)
+
+
+def test_a_normaliser_that_maps_characters_is_refused(tmp_path):
+    with open(MODEL, "rb") as file:
+        data = file.read() + bytes([0x1A, 3, 0x12, 1, 65])
+    path = tmp_path / "mapping.model"
+    path.write_bytes(data)
+    with pytest.raises(ValueError):
+        pieces._normaliser(data)
+
+
 def test_words_walk_alike_alone_and_side_by_side():
     transducer = pieces.load(MODEL)
     tables = pieces.Tables(transducer)
