@@ -22,7 +22,9 @@ ORDER = 2
 # Members of a bucket whose pairs are listed; those of more are compared block against block,
 # in blocks of about so many texts and shingles.
 FEW = 16
-BLOCK_TEXTS, BLOCK_SHINGLES = 512, 1 << 20
+BLOCK_TEXTS, BLOCK_SHINGLES = 1024, 1 << 20
+# Buckets of more blocks than this are parted by the lengths of their texts first.
+BANDED = 4
 # Shingles whose owners are multiplied at once.
 WIDE = 4096
 
@@ -374,7 +376,7 @@ def _across(rest, sizes, nodes, shingled, least):
     band = F.floor(F.log("size") / -np.log(0.99 * least))
     rows = rest.join(large, "bucket").join(size, "node").select(
         "bucket", "i", "node", "root", "apart", "size",
-        F.when(F.col("n") > BLOCK_TEXTS, band).otherwise(0).alias("band"),
+        F.when(F.col("n") > BANDED * BLOCK_TEXTS, band).otherwise(0).alias("band"),
     )
     part = ["bucket", "band", "apart"]
     parts = rows.groupBy(part).agg(F.greatest(
