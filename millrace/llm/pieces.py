@@ -27,8 +27,8 @@ MARK = "▁"
 LONGEST = 64
 REMEMBERED = 100_000
 # Text encoded at once, and words that walk side by side: the more, the fewer steps, but the more memory.
-BLOCK = 1 << 20
-TOGETHER = 8192
+BLOCK = 2 << 20
+TOGETHER = 16384
 NEVER = 1 << 30
 
 WORDS = re.compile(f"{MARK}+[^{MARK}]*")
@@ -407,7 +407,10 @@ def _fields(message):
 
 def _normaliser(model):
     """The normaliser that a model states; one this module cannot compile is refused."""
-    parts = {3: b"", 2: b""} | {f: v for f, v in _fields(model) if f in (2, 3)}
+    parts = {2: b"", 3: b""}
+    for field, value in _fields(model):
+        if field in parts:
+            parts[field] += value  # a part given twice counts as one
     # Numbers of the fields, and what they are where they are left out.
     stated, trained = dict(_fields(parts[3])), dict(_fields(parts[2]))
     rules, prefix, squeeze, escape = (stated.get(k, v) for k, v in ((2, b""), (3, 1), (4, 1), (5, 1)))
