@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import re
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,8 +18,9 @@ OVERLAP = 512
 # Near a cut, the last tokens may differ from those of the whole text: no splice so close to
 # it. More than the longest special token and a look ahead.
 MARGIN = 64
-# Words whose counts a task remembers.
+# Words whose counts a task remembers, and characters of text it counts at once.
 REMEMBERED = 400_000
+AT_ONCE = 1 << 20
 
 # Letters, marks and single line ends next to each other are pre-tokens of their own.
 PIECE = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+|[.,;:!?*#$&|]+|\n(?=[^\n])")
@@ -38,13 +41,20 @@ def words_of(text):
     return text.split(" ")  # the same, where no space stands beside white space
 
 
-def _counter(json):
-    """A function from texts to token counts that remembers the counts of words."""
+def _tokenizer(json):
+    """The library's tokenizer, for one task: it has one core, and each thread of the library's would hold memory."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(json)
     tokenizer.no_truncation()
     tokenizer.no_padding()
+    return tokenizer
+
+
+def _counter(json):
+    """A function from texts to token counts that remembers the counts of words."""
+    tokenizer = _tokenizer(json)
     known, known_pieces = {}, {}
 
     def encode(found, into):
@@ -83,17 +93,21 @@ def _counter(json):
 
 
 def _count_whole(json):
-    def run(frames):
+    def run(batches):
         count = _counter(json)
-        for frame in frames:
-            sums = []
-            for block in blocks(frame.pop("text"), len):
-                sums += count(block)
-            yield frame.assign(n_tokens=sums)
+        for batch in batches:
+            # Texts become Python's a block at a time.
+            found = (text.as_py() for text in batch.column("text"))
+            sums = [n for block in blocks(found, len, AT_ONCE) for n in count(block)]
+            kept = [batch.column(name) for name in COUNTED]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(sums, pa.int64())], names=[*COUNTED, "n_tokens"])
 
     return run
 
 
+COUNTED = ["row", "doc_id", "n_bytes"]
+
+
 def boundaries(encoding):
     """Where pre-tokens start, in characters, and how many tokens come before each."""
     starts, last = [], None
@@ -106,11 +120,7 @@ def boundaries(encoding):
 
 def _encode_chunks(json):
     def run(frames):
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_str(json)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
+        tokenizer = _tokenizer(json)
         for frame in frames:
             out = []
             for row in frame.itertuples(index=False):
@@ -190,7 +200,7 @@ def token_counts(docs: DataFrame, tokenizer, limit=1024, chunk=CHUNK, overlap=OV
         F.monotonically_increasing_id().alias("row"), "doc_id",
         F.octet_length("text").cast("long").alias("n_bytes"), "text",
     )
-    plain = rows.where(F.length("text") <= chunk).mapInPandas(
+    plain = rows.where(F.length("text") <= chunk).mapInArrow(
         _count_whole(json), "row long, doc_id long, n_bytes long, n_tokens long"
     )
     # Short texts are none of the chunks' business; without long ones there is nothing to splice.

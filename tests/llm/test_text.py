@@ -3,6 +3,8 @@
 import hashlib
 import random
 import re
+import subprocess
+import sys
 from collections import Counter
 from math import log2
 
@@ -40,6 +42,22 @@ def test_token_counts_equal_the_library(spark):
     assert tokens.token_counts(table(spark, []), BPE).count() == 0
 
 
+def test_token_counts_start_no_threads():
+    """A task has one core: threads of the library's own would each hold memory."""
+    code = f"""
+import os, sys
+sys.path[:0] = {sys.path!r}
+import pyarrow as pa
+from millrace.llm import tokens
+batch = pa.RecordBatch.from_pylist([dict(row=k, doc_id=k, n_bytes=9, text="one two 3 " * 50) for k in range(200)])
+count = tokens._count_whole(open({str(BPE)!r}).read())
+before = len(os.listdir("/proc/self/task"))
+print(sum(b.num_rows for b in count(iter([batch]))), len(os.listdir("/proc/self/task")) - before)
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120, check=True)
+    assert done.stdout.split() == ["200", "0"]
+
+
 def test_pieces_equal_the_library_and_decode_to_the_text(spark):
     import sentencepiece
 
