@@ -4,7 +4,7 @@ All runs of one to three words are counted by hashed bucket, in the corpus and i
 bucket's gain is the logarithm of its share there against its share here; a document weighs
 the sum of its n-grams' gains, and the draw without replacement adds a Gumbel number.
 
-Inside a task, the n-grams of some hundred thousand words at a time are interned in open-addressed tables of
+Inside a task, the n-grams of some ten thousand words at a time are interned in open-addressed tables of
 arrays: keyed by xxhash64, compared byte by byte, with a bucket and a count in each slot. Words are
 interned by their own bytes; a run of words is then the bytes of its words' slot numbers, and its crc32
 follows from theirs. What an n-gram is worth is looked up by slot.
@@ -29,9 +29,9 @@ LONGEST = 3
 LEAST_WORDS = 20
 SHARE = 5
 SEED = "42"
-# Words interned at once, and bytes of text at once.
-WORDS = 1 << 17
-BLOCK = 4 << 20
+# Words interned at once, and bytes of text at once: their tables stay small enough for a core's cache.
+WORDS = 1 << 15
+BLOCK = 1 << 20
 # Longer words are compared and summed up one by one.
 LONG = 64
 

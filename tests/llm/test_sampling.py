@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from itertools import groupby
@@ -130,6 +131,18 @@ def test_strings_with_one_key_are_told_apart(monkeypatch):
     assert found == Counter(Counter(features(text)[1]).values())
 
 
+def test_interning_needs_little_memory():
+    """A task holds tables of some ten thousand words, however long its texts."""
+    text = prose(9, 400_000)
+    batch = resample.pa.RecordBatch.from_pylist([{"doc_id": 1, "text": text}] * 2)
+    tracemalloc.start()
+    try:
+        list(resample._weigh(np.ones(resample.BUCKETS, np.int64))(iter([batch])))
+        assert tracemalloc.get_traced_memory()[1] < 64 << 20
+    finally:
+        tracemalloc.stop()
+
+
 def test_query_resamples_the_given_tables(spark, sf_dir):
     docs = parquet(sf_dir, "documents", "doc_id, text")
     target = [t for t, in parquet(sf_dir, "benchmark", "text")]
