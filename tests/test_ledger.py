@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.operators import ledger
 from millrace.streaming.tables import reserve_writer
@@ -40,6 +41,24 @@ def test_ranges_are_the_fewest_and_lookups_exact(spark, rows):
         assert sorted(str(tuple(r)) for r in got) == sorted(want)
 
 
+def test_one_partition_is_looked_up_by_many_tasks(spark):
+    """Lines of one log partition do not meet in one task, nor is each held against all of its ranges."""
+    lines = spark.range(600_000).select(
+        F.lit(0).alias("partition"), F.expr("id div 3").alias("offset"), F.col("id").alias("v")
+    )
+    done = ledger.ranges_of(lines.where("offset % 10 < 9 AND offset < 100000"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        new = ledger.skip_ranges(lines, done)
+        held = new.groupBy(F.spark_partition_id()).count().agg(F.sum("count"), F.max("count")).first()
+        assert held[0] == 330_000 and held[1] < 250_000
+        assert "NestedLoop" not in new._jdf.queryExecution().toString() and "BroadcastHash" not in (
+            new._jdf.queryExecution().toString()
+        )
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_contiguous_history_is_one_row(spark):
     log = spark.range(50_000).selectExpr("CAST(0 AS INT) AS partition", "id AS offset", "'x' AS v")
     ranges = ledger.ranges_of(log, rows=1000)
