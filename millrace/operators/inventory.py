@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +25,9 @@ _NEVER = 1 << 62
 # Pieces of a block's map, and quantities in a row of a block that has more of them, at most.
 PIECES = 4096
 
+# Lines of a block that is passed on as its quantities at once: folding them costs no more than making a map.
+SHORT = 256
+
 # What a new shop starts with.
 SEEDS = {"SKU-1": 100, "SKU-LOAD": 1000}
 
@@ -319,32 +323,61 @@ def _pieces(wants, least, most, limit):
 def _maps(lines, seq):
     """Each block as a map from the stock it starts with to what it leaves: rows in order of ``_part``.
 
-    A block with too many pieces is passed on as its quantities, some in each row.
+    A block is passed on as its quantities, some in each row, where a map would have more pieces than the
+    block has lines, or than ``PIECES``. Lines stream through in order; of a block only quantities are held.
     """
+    keys = ["sku", BLOCK]
+    names = [*keys, "_part", "_first", "_shift", "_wants"]
+    placed = lines.repartition(*keys).sortWithinPartitions(*keys, *seq)
+    sku = lines.schema["sku"].dataType.simpleString()
+    shape = f"sku {sku}, {BLOCK} long, _part long, _first array<long>, _shift array<long>, _wants array<long>"
 
-    def summarise(key, pdf):
-        pdf = pdf.sort_values(seq, kind="stable", na_position="first")
-        wants = pdf["quantity"].to_numpy(dtype=np.int64)
-        stock, most = int(pdf["_stock"].iloc[0]), int(pdf["_most"].iloc[0])
-        pieces = _pieces(wants, min(0, stock), most, PIECES)
+    def rows_of(key, wants, stock, most):
+        pieces = None
+        if len(wants) > SHORT:
+            pieces = _pieces(wants, min(0, stock), most, min(PIECES, len(wants)))
         if pieces is not None:
-            found = [(0, *pieces, None)]
-        else:
-            found = [(k, None, None, wants[k:k + PIECES]) for k in range(0, len(wants), PIECES)]
-        return pd.DataFrame(
-            [(*key, *row) for row in found], columns=["sku", BLOCK, "_part", "_first", "_shift", "_wants"]
-        )
+            return [(*key, 0, *pieces, None)]
+        return [(*key, k, None, None, wants[k:k + PIECES]) for k in range(0, len(wants), PIECES)]
 
-    sku = lines.schema["sku"].dataType.simpleString()
-    shape = f"sku {sku}, {BLOCK} long, _part long, _first array<long>, _shift array<long>, _wants array<long>"
-    return lines.groupBy("sku", BLOCK).applyInPandas(summarise, shape)
+    def run(batches):
+        kinds, key, held = None, None, []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if kinds is None:
+                longs = pa.list_(pa.int64())
+                kinds = [*(batch.schema.field(c).type for c in keys), pa.int64(), longs, longs, longs]
+            new = np.zeros(batch.num_rows, bool)
+            for c in keys:
+                column = batch.column(c)
+                new[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+            starts = [0, *np.flatnonzero(new).tolist()]
+            wants = batch.column("quantity").to_numpy(zero_copy_only=False).astype(np.int64)
+            of = zip(*(batch.column(c).take(pa.array(starts)).to_pylist() for c in (*keys, "_stock", "_most")))
+            out = []
+            for a, b, (*here, stock, most) in zip(starts, [*starts[1:], None], of):
+                if key is not None and here != key:
+                    out += rows_of(key, np.concatenate(held), *ends)
+                    held = []
+                key, ends = here, (stock, most)
+                held.append(wants[a:b])
+            if out:
+                yield _batch(out, kinds)
+        if key is not None:
+            yield _batch(rows_of(key, np.concatenate(held), *ends), kinds)
+
+    def _batch(rows, kinds):
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+
+    return placed.select(*keys, "quantity", "_stock", "_most").mapInArrow(run, shape)
 
 
 def _mapped_starts(lines, hot, seq):
     """Stock at the start of every block of the hot SKUs, whose stock may grow as well.
 
     The blocks are turned into maps side by side. What is left of a SKU is then carried from map to
-    map, in one pass over sorted partitions: per block one search in a short list, not its lines.
+    map, in one pass over sorted partitions: per block one search in a short list, or its lines where they are few.
     """
     begin = F.broadcast(hot.select("sku", "_stock"))
     maps = _maps(lines, seq).join(begin, "sku")
@@ -353,26 +386,26 @@ def _mapped_starts(lines, hot, seq):
     def run(batches):
         sku, left = None, 0
         for batch in batches:
-            starts, opens = [], []
-            for here, stock, part, first, shift, wants in zip(*(
-                batch.column(c) for c in ("sku", "_stock", "_part", "_first", "_shift", "_wants")
-            )):
+            starts = []
+            skus, stocks, parts = (batch.column(c).to_pylist() for c in ("sku", "_stock", "_part"))
+            firsts, shifts, wanted = (batch.column(c) for c in ("_first", "_shift", "_wants"))
+            numbers, ends = wanted.values.to_numpy(zero_copy_only=False), wanted.offsets.to_pylist()
+            for k, (here, stock, mapped) in enumerate(zip(skus, stocks, firsts.is_valid().to_pylist())):
                 if sku is None or here != sku:
-                    sku, left = here, stock.as_py()
+                    sku, left = here, stock
                 starts.append(left)
-                opens.append(part.as_py() == 0)
-                if first.is_valid:
-                    piece = np.searchsorted(first.values.to_numpy(), left, side="right") - 1
-                    left -= shift.values[int(piece)].as_py()
+                if mapped:
+                    piece = np.searchsorted(firsts[k].values.to_numpy(), left, side="right") - 1
+                    left -= shifts[k].values[int(piece)].as_py()
                 else:
-                    for want in wants.as_py():
+                    for want in numbers[ends[k]:ends[k + 1]].tolist():
                         if want <= left:
                             left -= want
             found = pa.RecordBatch.from_arrays(
                 [batch.column("sku"), batch.column(BLOCK), pa.array(starts, pa.int64())],
                 names=["sku", BLOCK, "_start"],
             )
-            yield found.filter(pa.array(opens, pa.bool_()))
+            yield found.filter(pa.array([part == 0 for part in parts], pa.bool_()))
 
     shape = T.StructType([
         lines.schema["sku"], T.StructField(BLOCK, T.LongType()), T.StructField("_start", T.LongType()),

@@ -181,6 +181,23 @@ def test_hot_sku_with_returns_in_blocks_equals_the_fold(spark, monkeypatch, seed
     assert run(spark, lines, list(stock.items()), rows=9) == fold(lines, stock)
 
 
+@pytest.mark.parametrize("short", [0, 1 << 20])
+def test_blocks_pass_on_maps_or_quantities(spark, monkeypatch, short):
+    """What is passed on is never longer than the lines, whichever way; the result is that of the fold."""
+    monkeypatch.setattr(inventory, "SHORT", short)
+    rng = random.Random(6)
+    stock = {"a": 30, "b": 0, "c": 7}
+    lines = growing(rng, 2, 400, stock, 0.3)
+    assert run(spark, lines, list(stock.items()), rows=40) == fold(lines, stock)
+    rows = [(sku, o // 40, o, line, q, stock[sku], 5_000) for sku, o, line, q in lines]
+    eligible = spark.createDataFrame(
+        rows, "sku string, _block long, offset long, line int, quantity int, _stock long, _most long"
+    )
+    maps = inventory._maps(eligible, ["offset", "line"]).collect()
+    assert sum(len(r["_first"] or r["_wants"]) for r in maps) <= len(lines)
+    assert short == 0 or sum(len(r["_wants"]) for r in maps) == len(lines)
+
+
 def test_a_block_is_a_map_of_the_stock():
     rng = random.Random(5)
     for _ in range(60):
