@@ -24,6 +24,8 @@ from millrace.operators.fraud import high_value_alerts, velocity_rows
 LAG = "7 days"
 # Alerts of one window that one task writes out.
 CHUNK = 1 << 20
+# Records a partition's clock lets through at once.
+SLICE = 1 << 16
 
 
 def stream_window_counts(stream: DataFrame, size=WINDOW_SIZE, grace=GRACE, *,
@@ -63,6 +65,8 @@ def stream_velocity(stream: DataFrame, size=WINDOW_SIZE, grace=GRACE, mode="upda
     size_ms, grace_ms = _seconds(size) * 1000, _seconds(grace) * 1000
     known = stream.where(F.col(user).isNotNull())
     if partition is not None:
+        # A partition's clock holds its share of a micro-batch: of each record only what is needed.
+        known = known.select(*dict.fromkeys([user, partition, offset, ts]))
         known = stream_drop_late(
             known, size, grace, partition=partition, offset=offset, ts=ts, keep_time="_clock"
         )
@@ -212,21 +216,25 @@ class PartitionClock(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues):
         chunks = list(rows)
         pdf = chunks[0] if len(chunks) == 1 else pd.concat(chunks, ignore_index=True)
-        pdf = pdf.sort_values(self.offset, kind="stable", ignore_index=True)
-        known = pdf[self.ts].notna().to_numpy()
+        del chunks
+        order = np.argsort(pdf[self.offset].to_numpy(), kind="stable")
         lowest = np.iinfo(np.int64).min
-        micros = np.where(known, pdf[self.ts].to_numpy().astype("datetime64[us]").astype(np.int64), lowest)
+        times = pdf[self.ts].to_numpy().astype("datetime64[us]")[order]
+        # What is no time is the lowest number, and the lowest time.
+        micros = times.view(np.int64)
         before = self.clock.get()[0] if self.clock.exists() else lowest
         clock = np.maximum(np.maximum.accumulate(micros), before)
         if clock[-1] > lowest:
             self.clock.update((int(clock[-1]),))
-        end = micros - micros % (self.size * 1000) + self.size * 1000
-        in_time = known & (end > clock - self.grace * 1000)
-        kept = pdf[in_time]
-        if self.keep_time is not None:
-            kept = kept.assign(**{self.keep_time: clock[in_time].astype("datetime64[us]")})
-        if len(kept):
-            yield kept
+        for at in range(0, len(order), SLICE):
+            part = slice(at, at + SLICE)
+            end = micros[part] - micros[part] % (self.size * 1000) + self.size * 1000
+            in_time = (micros[part] > lowest) & (end > clock[part] - self.grace * 1000)
+            kept = pdf.take(order[part][in_time])
+            if self.keep_time is not None:
+                kept = kept.assign(**{self.keep_time: clock[part][in_time].astype("datetime64[us]")})
+            if len(kept):
+                yield kept
 
     def close(self):
         pass

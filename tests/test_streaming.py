@@ -432,3 +432,31 @@ def test_reports_of_a_running_job_become_rows(spark, orders, tmp_path):
     progress = read_progress(spark, str(tmp_path / "reports"))
     assert progress.count() == 3
     assert {r.label: r.n for r in counter_totals(progress).collect()} == {"rows": 6, "of_u": 3}
+
+
+def test_a_partitions_clock_holds_little():
+    """Of a partition's share of a micro-batch there are few copies, whatever is let through."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import numpy as np
+    import pandas as pd
+
+    from millrace.streaming.fraud import PartitionClock
+
+    n = 400_000
+    state = SimpleNamespace(exists=lambda: False, update=lambda value: None)
+    clock = PartitionClock(3_600_000, 60_000, "offset", "occurred_at", "_clock")
+    clock.init(SimpleNamespace(getValueState=lambda *_: state))
+
+    def chunks():
+        for offsets in np.random.default_rng(1).permutation(n).reshape(-1, 10_000):
+            times = pd.to_datetime(offsets * 1_000, unit="ms")
+            yield pd.DataFrame({"partition": 0, "user_id": offsets % 9, "offset": offsets, "occurred_at": times})
+
+    tracemalloc.start()
+    try:
+        passed = sum(len(kept) for kept in clock.handleInputRows((0,), chunks(), None))
+        assert passed == n and tracemalloc.get_traced_memory()[1] < 96 * n
+    finally:
+        tracemalloc.stop()
