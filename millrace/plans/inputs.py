@@ -292,10 +292,14 @@ def raw_documents(spark, sf_dir):
 
 
 def order_lines_log(spark, sf_dir):
-    """Order lines as they are on a log of one partition, with what their events carry on."""
+    """Order lines as they are on a log of one partition."""
+    return lines_log(spark, sf_dir).withColumn("partition", F.lit(0))
+
+
+def with_order(lines):
+    """Lines, or what became of them, with what the events of their order carry on: it follows from the line."""
     order = F.col("offset").cast("string")
-    return lines_log(spark, sf_dir).withColumns({
-        "partition": F.lit(0),
+    return lines.withColumns({
         "order_id": order,
         "trace_id": F.concat(F.lit("trace-"), order),
         "occurred_at": F.col("shipped"),

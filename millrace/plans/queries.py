@@ -506,9 +506,10 @@ def reserve_hot_returns(spark, sf_dir):
 def reservation_events(spark, sf_dir):
     """Reservations as events that carry on the trace of their order, keyed by it."""
     events, _ = inventory.reserve_stock(
-        inputs.order_lines_log(spark, sf_dir), inputs.stock(spark, sf_dir), inputs.LINE_ORDER
+        inputs.lines_log(spark, sf_dir), inputs.stock(spark, sf_dir), inputs.LINE_ORDER
     )
-    named = inventory.reservation_events(events, inputs.LINE_ORDER)
+    # What a line's order gives it is put to it when all shuffles are done.
+    named = inventory.reservation_events(inputs.with_order(events), inputs.LINE_ORDER)
     header = F.col("headers")[0]["value"].cast("string")
     return named.withColumn("header", header).drop("headers")
 
