@@ -12,7 +12,9 @@ from millrace.session import scratch_dir
 def arrivals(spark, name, parts, key) -> str:
     """A folder of files that arrive one part after the other, for a stream to read.
 
-    Inside a part, files hold different keys, so it does not matter which of them comes first.
+    Inside a part, files hold different keys, so it does not matter which of them comes first. With the bucket
+    of a key as ``key``, no two files of a part have a bucket in common either: a table in buckets that takes
+    them one by one rewrites or reads each bucket once for a part, however many files it has.
     """
     folder = scratch_dir(spark, name)
     for part in parts:

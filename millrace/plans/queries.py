@@ -18,7 +18,7 @@ from millrace.plans import inputs
 from millrace.schemas import ORDER_CREATED, USER_PROFILE_V1, USER_PROFILE_V2, to_columns
 from millrace.session import prepare, scratch_dir
 from millrace.sinks.buckets import (
-    bucket_writer, document_writer, insert_writer, read_buckets, read_inserted,
+    bucket_of, bucket_writer, document_writer, insert_writer, read_buckets, read_inserted,
 )
 from millrace.sinks.logs import to_topic_rows, write_topic
 from millrace.sinks.tables import (
@@ -942,7 +942,7 @@ def stream_upsert_buckets(spark, sf_dir):
     days = [F.col("offset") % 3 == k for k in range(3)]
     turns = [updates.where(day).withColumn("turn", F.lit(k)) for k, day in enumerate(days)]
     parts = [known.withColumn("turn", F.lit(-1)), *turns]
-    folder = inputs.arrivals(spark, "arrivals", [p.select(*parts[0].columns) for p in parts], "user_id")
+    folder = inputs.arrivals(spark, "arrivals", [p.select(*parts[0].columns) for p in parts], bucket_of(["user_id"], 32))
     job = scratch_dir(spark, "upsert-buckets")
     writer = bucket_writer(f"{job}/table", "user_id", ["turn", "offset"], buckets=32)
     stream = table_stream(spark, folder, "*.parquet", max_files=1)
@@ -956,7 +956,7 @@ def stream_documents(spark, sf_dir):
     log = inputs.raw_documents(spark, sf_dir)
     middle = F.lit("2024-01-15").cast("timestamp")
     parts = [log.where(F.col("timestamp") < middle), log.where(F.col("timestamp") >= middle)]
-    folder = inputs.arrivals(spark, "documents", parts, "key")
+    folder = inputs.arrivals(spark, "documents", parts, bucket_of([F.col("key").cast("string")], 32))
     job = scratch_dir(spark, "documents")
     schema = T.StructType([T.StructField("name", T.StringType()), T.StructField("email", T.StringType())])
     writer = document_writer(job, schema, required=("name",), buckets=32)

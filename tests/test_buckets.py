@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.tables import upsert
+from millrace.plans import inputs, queries
 from millrace.sinks import buckets as sink
 
 UPDATES = "id long, at long, a string, b string"
@@ -108,3 +109,33 @@ def test_inserted_rows_are_one_per_key_as_they_lie(spark, tmp_path):
     got = sorted((str(r.id), r.a) for r in sink.read_inserted(spark, path).collect())
     assert got == [("1", "a"), ("2", "c"), ("None", "m"), ("None", "n"), ("None", "n")]
     assert not any(r.a == "z" for r in spark.read.parquet(f"{path}/version=1").collect())
+
+
+class Stopped(Exception):
+    """Raised where a query would go on."""
+
+
+@pytest.mark.parametrize("name, key", [
+    ("stream_upsert_buckets", "user_id"),
+    ("stream_documents", "CAST(key AS STRING)"),
+])
+def test_files_of_a_part_have_no_bucket_in_common(spark, sf_dir, monkeypatch, name, key):
+    """A batch has one file; what all batches rewrite or read does not grow with the number of files."""
+    arrivals, key = inputs.arrivals, F.expr(key)
+
+    def spy(spark, folder, parts, by):
+        path = arrivals(spark, folder, parts[:1], by)
+        files = spark.read.parquet(path).where(key.isNotNull()).select(
+            F.input_file_name().alias("file"), sink.bucket_of([key], 32).alias("bucket")
+        ).distinct()
+        assert files.select("file").distinct().count() > 1
+        assert files.count() == files.select("bucket").distinct().count()
+        raise Stopped
+
+    monkeypatch.setattr(inputs, "arrivals", spy)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        with pytest.raises(Stopped):
+            queries.QUERIES[name](spark, sf_dir)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
