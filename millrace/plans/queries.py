@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.envelope import with_envelope
-from millrace.functions.scalar import VELOCITY_THRESHOLD, first_non_blank, money
+from millrace.functions.scalar import VELOCITY_THRESHOLD, first_non_blank, money, transaction_id
 from millrace.functions.trace import with_trace_id
 from millrace.operators import dedup, enrich, fraud, inventory, lag, ledger, notify, orders as intake
 from millrace.operators import tables
@@ -1106,7 +1106,7 @@ def stream_payments_inserted(spark, sf_dir):
     """Most orders come twice, in batches of their own; the table has one payment each as it lies there."""
     orders = inputs.orders_log(spark, sf_dir)
     parts = [orders.where("offset % 4 <> 0"), orders.where("offset % 4 <> 1")]
-    log = inputs.arrivals(spark, "orders-twice", parts, "order_id")
+    log = inputs.arrivals(spark, "orders-twice", parts, bucket_of([transaction_id("order_id")], 32))
     job = scratch_dir(spark, "payments-inserted")
     writer = insert_writer(f"{job}/table", "transaction_id", "amount", buckets=32, transform=charge)
     stream = table_stream(spark, log, "*.parquet", max_files=1)

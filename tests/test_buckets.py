@@ -117,6 +117,7 @@ class Stopped(Exception):
 
 @pytest.mark.parametrize("name, key", [
     ("stream_upsert_buckets", "user_id"),
+    ("stream_payments_inserted", "concat('pay-', order_id)"),
     ("stream_documents", "CAST(key AS STRING)"),
 ])
 def test_files_of_a_part_have_no_bucket_in_common(spark, sf_dir, monkeypatch, name, key):
