@@ -1074,24 +1074,30 @@ def stream_counters(spark, sf_dir):
 
 @query
 def stream_topic_orders(spark, sf_dir):
-    """Orders with their lines from a topic, decoded by their schema in capped micro-batches; the job is stopped in between."""
+    """Orders with their lines from a topic, decoded by their schema in capped micro-batches, a member of the
+    group for each partition; the job is stopped in between."""
     events = inputs.order_events(spark, sf_dir)
     log, job = scratch_dir(spark, "orders-topic"), scratch_dir(spark, "orders-read")
     for half in (0, 1):
         some = events.where(F.col("offset") % 2 == half)
+        # By half the offset, as offsets of one half leave only three remainders of six: every member has a share.
         rows = to_topic_rows(
-            some.withColumn("partition", (F.col("offset") % 6).cast("int")), "userId", "orders",
+            some.withColumn("partition", (F.floor(F.col("offset") / 2) % 6).cast("int")), "userId", "orders",
             trace="traceId", partition="partition", fields=ORDER_CREATED.fieldNames(),
         )
         write_topic(rows.withColumns({
             "offset": F.lit(0).cast("long"), "timestamp": F.lit("2026-01-01").cast("timestamp"), "timestampType": F.lit(0),
         }), path=log, segment_records=20_000)
-        topic = read_topic(
-            spark, "orders", streaming=True, path=log, max_per_trigger=40_000, segment_records=20_000
-        )
-        decoded = decode.decode_json(topic, ORDER_CREATED, required=("orderId", "userId"))
-        good, _ = decode.quarantine(decoded)
-        jobs.run_to_table(to_columns(good.select("event.*")), job)
+        members = {}
+        for partition in range(6):
+            topic = read_topic(
+                spark, "orders", streaming=True, path=log, max_per_trigger=40_000, segment_records=20_000,
+                partitions=[partition],
+            )
+            decoded = decode.decode_json(topic, ORDER_CREATED, required=("orderId", "userId"))
+            good, _ = decode.quarantine(decoded)
+            members[partition] = to_columns(good.select("event.*"))
+        jobs.run_members(members, job)
     orders = intake.accept(read_batches(spark, f"{job}/table"))
     return orders.select(
         "event_id", F.col("occurred_at").cast("timestamp_ntz").alias("occurred_at"), "order_id", "user_id",

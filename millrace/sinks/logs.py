@@ -36,7 +36,7 @@ def to_topic_rows(
 
 
 def write_topic(rows: DataFrame, *, bootstrap=None, path=None, mode="append", segment_records=None):
-    """Write records to brokers (needs the log connector) or to a folder by topic.
+    """Write records to brokers (needs the log connector) or to a folder by topic, and by partition where they name one.
 
     ``segment_records`` is how many records a file of the folder has at most: what lets a reader cap its
     micro-batches in records.
@@ -46,7 +46,8 @@ def write_topic(rows: DataFrame, *, bootstrap=None, path=None, mode="append", se
             "includeHeaders", "true"
         ).save()
     else:
-        rows.write.mode(mode).option("maxRecordsPerFile", segment_records or 0).partitionBy("topic").parquet(path)
+        folders = [c for c in ("topic", "partition") if c in rows.columns]
+        rows.write.mode(mode).option("maxRecordsPerFile", segment_records or 0).partitionBy(*folders).parquet(path)
 
 
 def stream_topic(rows: DataFrame, checkpoint: str, *, bootstrap=None, path=None, trigger=None):

@@ -26,7 +26,9 @@ def decode_json(log: DataFrame, schema: T.StructType, *, value="value", into="ev
     text = F.when(F.length(_text(value)) > 0, _text(value))
     wide = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    parsed = log.withColumn("_parsed", F.from_json(text, wide, options))
+    # A generator's row is made once: a filter on a projected value goes below the projection and parses
+    # the text again for each field it looks at.
+    parsed = log.select("*", F.explode(F.array(F.from_json(text, wide, options))).alias("_parsed"))
     problem = F.when(F.col(f"_parsed.{_CORRUPT}").isNotNull(), F.lit("malformed"))
     for name in required:
         problem = problem.when(

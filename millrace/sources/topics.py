@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,20 +12,22 @@ from millrace.schemas import TOPIC_LOG
 
 def read_topic(
     spark: SparkSession, topic: str, *, streaming=False, starting="earliest",
-    max_per_trigger=None, segment_records=None, bootstrap=None, path=None, file_format="parquet",
+    max_per_trigger=None, segment_records=None, partitions=None, bootstrap=None, path=None,
+    file_format="parquet",
 ) -> DataFrame:
     """A topic as a batch or streaming DataFrame.
 
     From brokers (``bootstrap``; needs the log connector on the class path) or from a
     folder of files (``path``) holding the same columns. Only committed records are read.
     ``max_per_trigger`` caps a micro-batch: in records where they come from brokers or where ``segment_records``
-    says how many a file holds at most, else in files.
+    says how many a file holds at most, else in files. With ``partitions`` only these are read, as by one
+    member of a consumer group; a folder must have been written by partition for it (see ``write_topic``).
     """
     reader = spark.readStream if streaming else spark.read
     if bootstrap is not None:
         options = {
             "kafka.bootstrap.servers": bootstrap,
-            "subscribe": topic,
+            **({"subscribe": topic} if partitions is None else {"assign": json.dumps({topic: list(partitions)})}),
             "startingOffsets": starting,
             "kafka.isolation.level": "read_committed",
             "includeHeaders": "true",
@@ -35,6 +39,10 @@ def read_topic(
     if streaming and max_per_trigger:
         files = max_per_trigger if segment_records is None else max(1, max_per_trigger // segment_records)
         reader = reader.option("maxFilesPerTrigger", files)
+    if partitions is not None:
+        # As a pattern: a stream takes a plain path for the place where the folder begins, and finds no partition in it.
+        reader = reader.option("basePath", path)
+        path = f"{path}/topic={topic}/partition={{{','.join(str(p) for p in partitions)}}}"
     log = reader.format(file_format).load(path).where(F.col("topic") == topic)
     return log.select(*TOPIC_LOG.fieldNames())
 

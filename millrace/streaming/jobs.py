@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,6 +60,23 @@ def run_to_table(stream: DataFrame, folder: str, *, restarts=0, **options) -> st
     return f"{folder}/table"
 
 
+def run_members(streams: dict, folder: str, *, restarts=0, transform=None, after_write=None) -> str:
+    """Members of one consumer group side by side: ``run_to_table`` for each stream, with progress of its own.
+
+    Their batches lie under ``member=`` in one table, whose path is returned. A cap on micro-batches holds for
+    each member. Returns when all have ended, also where one fails.
+    """
+
+    def run(member):
+        writer = exactly_once_writer(f"{folder}/table/member={member}", transform, after_write)
+        checkpoint = f"{folder}/checkpoint/member={member}"
+        supervise(lambda: start(streams[member], writer, checkpoint), restarts)
+
+    with ThreadPoolExecutor(len(streams)) as pool:
+        list(pool.map(run, streams))
+    return f"{folder}/table"
+
+
 def stream_payments(orders: DataFrame, folder: str, after_write=None, **options) -> str:
     """Charge a stream of orders, one payment per order, into ``folder``."""
     return run_to_table(orders, folder, transform=charge, after_write=after_write, **options)

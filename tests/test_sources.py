@@ -1,8 +1,10 @@
 import json
+from collections import Counter
 from datetime import datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,10 +14,12 @@ from millrace.functions.scalar import default_currency, first_non_blank, order_t
 from millrace.functions.trace import with_trace_id
 from millrace.operators import orders as intake
 from millrace.sinks.logs import stream_topic, to_topic_rows, write_topic
+from millrace.sinks.tables import read_batches
 from millrace.sources import cdc, decode
 from millrace.sources.avro import decode_text_record
 from millrace.sources.infer import infer_fields, infer_flatten
 from millrace.sources.topics import read_topic, table_stream
+from millrace.streaming import jobs
 
 ORDER = {
     "eventId": "e1", "occurredAt": "2026-01-01T00:00:00.123Z", "traceId": "t1", "orderId": "o1",
@@ -270,6 +274,50 @@ def test_stream_to_a_topic_folder(spark, tmp_path):
     assert again.isStreaming and again.columns == back.columns
 
 
+def test_a_text_is_parsed_once(spark):
+    """However many of its fields are looked at, and whatever is left out for what they hold."""
+    log = values(spark, json.dumps(ORDER))
+    decoded = decode.decode_json(log, schemas.ORDER_CREATED, required=("orderId", "userId"))
+    for part in decode.quarantine(decoded):
+        plan = part._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("from_json(") == 1
+
+
+def test_members_of_a_group_share_a_topic(spark, tmp_path):
+    """Each reads its own partition in micro-batches under its own cap, and goes on where it stopped."""
+    log, job = str(tmp_path / "log"), str(tmp_path / "job")
+    for first in (0, 60):
+        records = spark.range(first, first + 60).selectExpr(
+            "cast(id AS string) AS user_id", "id AS n", "cast(id % 3 AS int) AS partition"
+        )
+        rows = to_topic_rows(records.coalesce(1), "user_id", "orders", partition="partition")
+        write_topic(rows, path=log, segment_records=5)
+        members = {
+            p: read_topic(
+                spark, "orders", streaming=True, path=log, max_per_trigger=10, segment_records=5, partitions=[p]
+            )
+            for p in range(3)
+        }
+        table = jobs.run_members(members, job)
+    got = [(int(r.key), r.partition, r.topic, r.member, r.batch_id) for r in read_batches(spark, table).collect()]
+    assert sorted(r[0] for r in got) == list(range(120))
+    assert all(n % 3 == partition == member and topic == "orders" for n, partition, topic, member, _ in got)
+    # 20 records of each half and member, ten at a time.
+    assert Counter((member, batch) for *_, member, batch in got) == {(m, b): 10 for m in range(3) for b in range(4)}
+    some = read_topic(spark, "orders", path=log, partitions=[0, 2])
+    assert {r.partition for r in some.collect()} == {0, 2} and some.count() == 80
+    assert read_topic(spark, "orders", path=log).count() == 120
+
+
+def test_a_member_that_fails_leaves_the_others_alone(spark, tmp_path):
+    spark.range(4).write.parquet(str(tmp_path / "in"))
+    stream = table_stream(spark, str(tmp_path), "in")
+    bad = stream.select(F.raise_error(F.lit("broken")).alias("id"))
+    with pytest.raises(StreamingQueryException, match="broken"):
+        jobs.run_members({0: bad, 1: stream}, str(tmp_path / "job"))
+    assert read_batches(spark, str(tmp_path / "job/table")).where("member = 1").count() == 4
+
+
 def test_a_table_streams_from_a_file_or_a_folder(spark, tmp_path):
     spark.range(10).repartition(3).write.parquet(str(tmp_path / "t.parquet"))
     one = next((tmp_path / "t.parquet").glob("part-*.parquet"))
