@@ -1049,7 +1049,8 @@ def stream_state_lookup(spark, sf_dir):
     log = _purchases_and_signups(spark, sf_dir)
     joined = enrich_log(log, "user_id", "offset", ["name", "email"], ["total_amount"])
     jobs.run_to_table(joined, folder)
-    state = jobs.read_state(spark, f"{folder}/checkpoint", "profile").select("key.user_id", "value.*")
+    state = jobs.read_state(spark, f"{folder}/checkpoint", "profile")
+    state = state.select("user_map_key.user_id", "user_map_value.*")
     wanted = inputs.profiles(spark, sf_dir).select("user_id")
     return tables.lookup_many(state, wanted, "user_id")
 

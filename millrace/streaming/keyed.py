@@ -1,9 +1,10 @@
 """Profile at arrival with per-key state, for low latency.
 
-Only users in a micro-batch are touched. Spark hands a key's rows over in no given order,
-so they are sorted by arrival first: one key's share of one micro-batch is held in memory,
-which the cap on micro-batches (``max_per_trigger``, ``max_bytes``) bounds. To work through
-a large backlog use ``enrich_writer``, which has no such limit.
+Only users in a micro-batch are touched. They come to Python a bucket of users at a time, as a call
+costs far more than a row; what is kept is a map from user to profile. Spark hands rows over in no
+given order, so they are sorted by arrival first: one bucket's share of one micro-batch is held in
+memory, which the cap on micro-batches (``max_per_trigger``, ``max_bytes``) bounds. To work through a
+large backlog use ``enrich_writer``, which has no such limit.
 """
 
 from __future__ import annotations
@@ -16,12 +17,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
 
 
-def _in_order(rows, major, minor):
-    chunks = list(rows)
-    pdf = chunks[0] if len(chunks) == 1 else pd.concat(chunks, ignore_index=True)
-    return pdf.take(np.lexsort((pdf[minor].to_numpy(), pdf[major].to_numpy())))
-
-
 def stream_asof_enrich(orders: DataFrame, changes: DataFrame, key="user_id", seq="offset", salts=1):
     """Orders with the profile current when they arrived; see ``asof_enrich`` and ``enrich_log``.
 
@@ -36,11 +31,12 @@ def stream_asof_enrich(orders: DataFrame, changes: DataFrame, key="user_id", seq
     return enrich_log(log, key, seq, fields, carried, salts)
 
 
-def enrich_log(log: DataFrame, key, seq, fields, carried, salts=1):
+def enrich_log(log: DataFrame, key, seq, fields, carried, salts=1, buckets=1024):
     """The same over one log that holds both, told apart by ``log_side`` (0 change, 1 order).
 
     With ``salts`` a key's orders are dealt to that many tasks by their ``seq``, and each of them keeps the
-    profile: changes, which are few against the orders of a hot user, go to all of them.
+    profile: changes, which are few against the orders of a hot user, go to all of them. ``buckets`` is how
+    many groups of users there are, in each of these.
     """
     kinds = {f.name: f.dataType for f in log.schema.fields}
     names = {"name": "user_name", "email": "user_email"}
@@ -48,49 +44,75 @@ def enrich_log(log: DataFrame, key, seq, fields, carried, salts=1):
         [T.StructField(c, kinds[c]) for c in (key, seq, *carried)]
         + [T.StructField(names.get(c, c), T.StringType()) for c in fields]
     )
+    # pandas turns whole numbers next to nulls, which changes have here, into doubles: they travel as text.
+    whole = {c: kinds[c] for c in carried if isinstance(kinds[c], T.IntegralType)}
+    sent = T.StructType([T.StructField(f.name, T.StringType()) if f.name in whole else f for f in schema])
+    log = log.withColumns({c: F.col(c).cast("string") for c in whole})
     every = F.sequence(F.lit(0), F.lit(salts - 1))
     own = F.array(F.pmod(F.col(seq).cast("long"), F.lit(salts)).cast("int"))
-    dealt = log.where(F.col(key).isNotNull()).withColumn(
-        "log_salt", F.explode(F.when(F.col("log_side") == 0, every).otherwise(own))
-    )
-    return dealt.groupBy(key, "log_salt").transformWithStateInPandas(
-        ProfileAtArrival(key, seq, fields, carried, names), schema, "append", "none"
+    dealt = log.where(F.col(key).isNotNull()).withColumns({
+        "log_salt": F.explode(F.when(F.col("log_side") == 0, every).otherwise(own)),
+        "log_bucket": F.pmod(F.hash(key), F.lit(buckets)),
+    })
+    joined = dealt.groupBy("log_bucket", "log_salt").transformWithStateInPandas(
+        ProfileAtArrival(key, seq, fields, carried, names, kinds[key].simpleString()), sent, "append", "none"
     )
+    return joined.withColumns({c: F.col(c).cast(kind) for c, kind in whole.items()})
 
 
 class ProfileAtArrival(StatefulProcessor):
-    """Keeps the current profile of a user."""
+    """Keeps the current profile of each user of a bucket."""
 
-    def __init__(self, key, seq, fields, carried, names):
-        self.key, self.seq, self.fields, self.carried, self.names = (
-            key, seq, fields, carried, names,
+    def __init__(self, key, seq, fields, carried, names, kind="string"):
+        self.key, self.seq, self.fields, self.carried, self.names, self.kind = (
+            key, seq, fields, carried, names, kind,
         )
 
     def init(self, handle):
         columns = ", ".join(f"{c} string" for c in self.fields)
-        self.profile = handle.getValueState("profile", columns)
+        self.profiles = handle.getMapState("profile", f"{self.key} {self.kind}", columns)
+
+    def _known(self, users, wanted):
+        """The profile of each user from before these rows, all null where there is none or none is wanted."""
+        nothing = (None,) * len(self.fields)
+        found = [nothing] * len(users)
+        if len(wanted) and self.profiles.exists():
+            for n in wanted:
+                if self.profiles.containsKey((users[n],)):
+                    found[n] = tuple(self.profiles.getValue((users[n],)))
+        return found
 
     def handleInputRows(self, key, rows, timerValues):
-        pdf = _in_order(rows, self.seq, "log_side")
-        known = self.profile.get() if self.profile.exists() else (None,) * len(self.fields)
+        pdf = pd.concat(list(rows), ignore_index=True)
+        user, users = pd.factorize(pdf[self.key])
+        users = users.tolist()
+        order = np.lexsort((pdf["log_side"].to_numpy(), pdf[self.seq].to_numpy(), user))
+        pdf, user = pdf.take(order), user[order]
         is_change = pdf["log_side"].to_numpy() == 0
-        # Number of changes at or before each row; zero is the profile carried in.
-        at = is_change.cumsum()
-        changes = zip(*[pdf[f].to_numpy()[is_change] for f in self.fields])
-        profiles = [known, *(tuple(None if v != v else v for v in p) for p in changes)]
-        if is_change.any():
-            if any(v is not None for v in profiles[-1]):
-                self.profile.update(profiles[-1])
+        begins = np.searchsorted(user, np.arange(len(users)))
+        # Row of the last change at or before each row. Before the first change of its user that is
+        # the profile carried in, which stands behind the rows.
+        at = np.maximum.accumulate(np.where(is_change, np.arange(len(pdf)), -1))
+        before = at < begins[user]
+        at = np.where(before, len(pdf) + user, at)
+        known = self._known(users, np.unique(user[before]).tolist())
+        profiles = [
+            np.array([*pdf[f].where(pdf[f].notna(), None), *(p[i] for p in known)], dtype=object)
+            for i, f in enumerate(self.fields)
+        ]
+        alive = np.array([any(v is not None for v in p) for p in zip(*profiles)])
+        last = at[np.append(begins[1:], len(pdf)) - 1]
+        for n in np.flatnonzero(last < len(pdf)).tolist():
+            if alive[last[n]]:
+                self.profiles.updateValue((users[n],), tuple(p[last[n]] for p in profiles))
             else:
-                self.profile.clear()
-        alive = np.array([any(v is not None for v in p) for p in profiles])
+                self.profiles.removeKey((users[n],))
         keep = ~is_change & alive[at]
         if keep.any():
             chosen = at[keep]
-            out = {self.key: key[0], self.seq: pdf[self.seq].to_numpy()[keep]}
-            out |= {c: pdf[c].to_numpy()[keep] for c in self.carried}
-            for i, field in enumerate(self.fields):
-                out[self.names.get(field, field)] = [profiles[n][i] for n in chosen]
+            out = {c: pdf[c].to_numpy()[keep] for c in (self.key, self.seq, *self.carried)}
+            for field, values in zip(self.fields, profiles):
+                out[self.names.get(field, field)] = values[chosen]
             yield pd.DataFrame(out)
 
     def close(self):

@@ -399,6 +399,63 @@ def test_a_salted_profile_is_the_same_for_every_order(spark, tmp_path):
     )
 
 
+def test_users_of_a_bucket_keep_their_own_profiles(spark, tmp_path):
+    """Over micro-batches, with tombstones and whole numbers that a double does not hold."""
+    log = Log(spark, tmp_path / "s", "user_id long, offset long, log_side int, name string, email string, amount long")
+    rng = random.Random(7)
+    offset = 0
+    for _ in range(4):
+        rows = []
+        for _ in range(150):
+            change = rng.random() < 0.4
+            name, email = (rng.choice([None, f"{f}{offset}"]) if change else None for f in "ne")
+            rows.append((rng.randrange(40), offset, 0 if change else 1, name, email, None if change else 2**53 + offset))
+            offset += 1
+        log.add(rng.sample(rows, len(rows)))
+    table = log.table()
+    want = asof_enrich(
+        table.where("log_side = 1").select("user_id", "offset", "amount"),
+        table.where("log_side = 0").select("user_id", "offset", "name", "email"),
+    )
+    pick = ("user_id", "offset", "amount", "user_name", "user_email")
+    want = sorted(want.select(*pick).collect(), key=lambda r: r.offset)
+    for salts in (1, 2):
+        joined = enrich_log(
+            log.stream(), "user_id", "offset", ["name", "email"], ["amount"], salts=salts, buckets=3
+        )
+        path = jobs.run_to_table(joined, str(tmp_path / f"job-{salts}"))
+        got = sinks.read_batches(spark, path).select(*pick).collect()
+        assert sorted(got, key=lambda r: r.offset) == want
+
+
+def test_a_call_serves_many_users_and_asks_for_few_profiles():
+    """State is asked only for users with an order before their first change, and written once a user."""
+    from types import SimpleNamespace
+
+    import pandas as pd
+
+    from millrace.streaming.keyed import ProfileAtArrival
+
+    kept, asked, written = {(0,): ("old",), (1,): ("gone",)}, [], []
+    state = SimpleNamespace(
+        exists=lambda: bool(kept),
+        containsKey=lambda user: asked.append(user) or user in kept,
+        getValue=kept.get,
+        updateValue=lambda user, value: written.append(user) or kept.update({user: value}),
+        removeKey=lambda user: kept.pop(user, None),
+    )
+    processor = ProfileAtArrival("user_id", "offset", ["name"], [], {}, "bigint")
+    processor.init(SimpleNamespace(getMapState=lambda *_: state))
+    rows = [(u, 10 * u + k, k % 2, None if u == 1 or k % 2 else f"n{10 * u + k}") for u in range(1, 200) for k in range(4)]
+    rows += [(0, 5, 1, None), (0, -1, 1, None), (500, 2, 1, None)]
+    chunks = pd.DataFrame(rows, columns=["user_id", "offset", "log_side", "name"]).sample(frac=1, random_state=1)
+    (out,) = processor.handleInputRows((0, 0), iter([chunks[:300], chunks[300:]]), None)
+    want = {(u, 10 * u + k): f"n{10 * u + k - 1}" for u in range(2, 200) for k in (1, 3)} | {(0, 5): "old", (0, -1): "old"}
+    assert dict(zip(zip(out["user_id"], out["offset"]), out["name"])) == want
+    assert sorted(asked) == [(0,), (500,)] and sorted(written) == [(u,) for u in range(2, 200)]
+    assert kept == {(0,): ("old",)} | {(u,): (f"n{10 * u + 2}",) for u in range(2, 200)}
+
+
 def test_a_supervisor_begins_again_and_gives_up(spark, orders, tmp_path):
     orders.add([order("a", "u", 0), order("b", "u", 10)])
     faults = iter([True, True, False])
