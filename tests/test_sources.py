@@ -1,4 +1,5 @@
 import json
+import re
 from collections import Counter
 from datetime import datetime
 from decimal import Decimal
@@ -281,6 +282,8 @@ def test_a_text_is_parsed_once(spark):
     for part in decode.quarantine(decoded):
         plan = part._jdf.queryExecution().executedPlan().toString()
         assert plan.count("from_json(") == 1
+        # Nor are its characters counted to see whether there is a text.
+        assert not re.search(r"(?<!octet_)length\(", plan)
 
 
 def test_members_of_a_group_share_a_topic(spark, tmp_path):
