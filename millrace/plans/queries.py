@@ -1082,9 +1082,11 @@ def stream_topic_orders(spark, sf_dir):
     for half in (0, 1):
         some = events.where(F.col("offset") % 2 == half)
         # By half the offset, as offsets of one half leave only three remainders of six: every member has a share.
+        placed = some.withColumn("partition", (F.floor(F.col("offset") / 2) % 6).cast("int"))
+        # Four writers a partition, whatever the number of tasks before: all but their last files are full.
+        placed = placed.repartition("partition", F.floor(F.col("offset") / 12) % 4)
         rows = to_topic_rows(
-            some.withColumn("partition", (F.floor(F.col("offset") / 2) % 6).cast("int")), "userId", "orders",
-            trace="traceId", partition="partition", fields=ORDER_CREATED.fieldNames(),
+            placed, "userId", "orders", trace="traceId", partition="partition", fields=ORDER_CREATED.fieldNames(),
         )
         write_topic(rows.withColumns({
             "offset": F.lit(0).cast("long"), "timestamp": F.lit("2026-01-01").cast("timestamp"), "timestampType": F.lit(0),

@@ -312,6 +312,24 @@ def test_members_of_a_group_share_a_topic(spark, tmp_path):
     assert read_topic(spark, "orders", path=log).count() == 120
 
 
+def test_files_of_the_orders_topic_do_not_grow_with_the_tasks(spark, sf_dir, monkeypatch):
+    """A cap on micro-batches counts files: those of a few records each make many micro-batches."""
+    from millrace.plans import queries
+
+    paths = []
+    monkeypatch.setattr(queries, "write_topic", lambda rows, **to: paths.append(to["path"]) or write_topic(rows, **to))
+    many = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in many}
+    try:
+        for name, value in many.items():
+            spark.conf.set(name, value)
+        queries.QUERIES["stream_topic_orders"](spark, sf_dir)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert len(spark.read.parquet(paths[0]).inputFiles()) <= 2 * 6 * 4
+
+
 def test_a_member_that_fails_leaves_the_others_alone(spark, tmp_path):
     spark.range(4).write.parquet(str(tmp_path / "in"))
     stream = table_stream(spark, str(tmp_path), "in")
