@@ -318,7 +318,10 @@ def test_files_of_the_orders_topic_do_not_grow_with_the_tasks(spark, sf_dir, mon
 
     paths = []
     monkeypatch.setattr(queries, "write_topic", lambda rows, **to: paths.append(to["path"]) or write_topic(rows, **to))
-    many = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    many = {
+        "spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
     before = {name: spark.conf.get(name) for name in many}
     try:
         for name, value in many.items():
